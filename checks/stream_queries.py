@@ -1,0 +1,345 @@
+"""Streams run to their end on the driver's tables, against the SQL of their batch form."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.queries import (
+    AML_SQL,
+    BURST_SQL,
+    CLAIMS_TODAY,
+    FLOORS,
+    PREMIUMS_CTE,
+    UNUSUAL_SQL,
+    as_eur,
+    bank_events,
+    cts,
+    eur,
+    insurance,
+    liquidity_sql,
+    payment_rows,
+    query,
+    time_text,
+    write_payment_files,
+)
+from checks.views import oracle, table, view
+from cowrie import session
+from cowrie.functions import messages as msg
+from cowrie.functions.money import with_eur
+from cowrie.model import DATASETS, REJECTED_TOPIC
+from cowrie.operators import latest, reconcile
+from cowrie.sources import raw_files
+from cowrie.sources.lake import Lake
+from cowrie.sources.topics import Channel
+from cowrie.streaming import alerts
+from cowrie.streaming import silver as stream
+from cowrie.streaming.sinks import StreamTable, run
+
+NOW = {"availableNow": True}
+
+
+def finish(*queries) -> None:
+    for running in queries:
+        running.awaitTermination()
+
+
+def streamed_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table as a stream."""
+    source = spark.readStream.schema(table(spark, sf, "events").schema)
+    return source.option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+def wire_text(moment: str) -> Column:
+    return F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
+def bank_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Bank events as raw JSON messages."""
+    events = bank_events(spark, sf).withColumn("timestamp", wire_text("event_ts")).drop("event_ts")
+    return msg.to_messages(events)
+
+
+class Platform:
+    """Folders of one run: topics, lake and checkpoints."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        root = session.shared_folder(spark, label)
+        self.root = root
+        self.channel = Channel("parquet", {"root": f"{root}/topics"})
+        self.lake = Lake(spark, f"{root}/lake")
+        self.checkpoints = f"{root}/checkpoints"
+
+    def raw_to_silver(self, name: str, messages: DataFrame) -> None:
+        self.channel.write(messages, DATASETS[name].raw_topic, "all")
+        finish(*stream.start(self.spark, name, self.channel, self.lake.root, self.checkpoints, NOW))
+
+    def table(self, name: str) -> DataFrame:
+        return stream.stream_table(self.lake.root, name).read(self.spark)
+
+    def topic(self, topic: str, columns: str) -> DataFrame:
+        return msg.parsed(self.channel.read(self.spark, topic), columns).select("data.*")
+
+    def alerts(self, rule: str, messages: DataFrame, columns: str, rules=None) -> DataFrame:
+        """What a rule publishes for raw messages, refined onto the silver topic first."""
+        dataset = DATASETS[alerts.RULES[rule].dataset]
+        refined = stream.stream_silver(messages, dataset)
+        self.channel.write(msg.to_messages(refined), dataset.silver_topic, "all")
+        finish(
+            alerts.start(
+                self.spark, rule, self.channel, self.lake.load, self.checkpoints, NOW,
+                lambda: CLAIMS_TODAY, rules,
+            )
+        )
+        return self.topic(alerts.RULES[rule].topic, columns)
+
+
+STREAM_BANK_SQL = f"""SELECT transaction_id, {time_text('event_ts')} AS timestamp, account_id, country_code,
+    transaction_type, amount, currency, {eur('amount')} AS amount_eur FROM v_bank_stream"""
+STREAM_BANK_COLUMNS = ["transaction_id", "timestamp", "account_id", "country_code", "transaction_type",
+                       "amount", "currency", "amount_eur"]
+
+
+@query("j2_stream_dedup", oracle(STREAM_BANK_SQL))
+def _(spark, sf):
+    """Every event arrives twice in the stream."""
+    events = view(spark, sf, "v_bank_stream", events=streamed_events(spark, sf))
+    events = events.withColumn("timestamp", F.col("event_ts").cast("timestamp")).drop("event_ts")
+    twice = stream.distinct_events(events.unionByName(events), "transaction_id")
+    out = StreamTable(f"{session.shared_folder(spark, 'j2')}/events", ["country_code"])
+    finish(run(with_eur(twice, ["amount"]), out.write_batch, f"{out.path}/_checkpoint", "append", NOW))
+    return out.read(spark).select(*STREAM_BANK_COLUMNS)
+
+
+TEXT_IDS = STREAM_BANK_SQL.replace("SELECT transaction_id", "SELECT CAST(transaction_id AS VARCHAR) AS transaction_id") \
+    .replace(" account_id,", " CAST(account_id AS VARCHAR) AS account_id,")
+
+
+@query("p5_stream_silver_bank", oracle(TEXT_IDS))
+def _(spark, sf):
+    platform = Platform(spark, "p5")
+    messages = bank_messages(spark, sf)
+    platform.raw_to_silver("bank_transactions", messages.unionByName(messages))
+    return platform.table("bank_transactions").select(*STREAM_BANK_COLUMNS)
+
+
+@query(
+    "j17_stream_silver_mobile",
+    oracle(
+        f"""SELECT CAST(payment_id AS VARCHAR) AS payment_id, {time_text('event_ts')} AS timestamp,
+                   CAST(sender_id AS VARCHAR) AS sender_id, sender_country, receiver_country,
+                   sender_country AS country_code, amount, fee_amount, currency, status,
+                   {eur('amount')} AS amount_eur, {eur('fee_amount')} AS fee_amount_eur
+            FROM v_mobile"""
+    ),
+)
+def _(spark, sf):
+    platform = Platform(spark, "j17")
+    platform.raw_to_silver("mobile_money", msg.to_messages(numbers(payment_rows(spark, sf))))
+    return platform.table("mobile_money").select(
+        "payment_id", "timestamp", "sender_id", "sender_country", "receiver_country", "country_code",
+        "amount", "fee_amount", "currency", "status", "amount_eur", "fee_amount_eur",
+    )
+
+
+def numbers(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("amount", "fee_amount")})
+
+
+MILLIS = "strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%gZ')"
+
+
+@query(
+    "a11_topic_table",
+    oracle(
+        f"""SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, {MILLIS} AS event_time,
+                   CAST(account_id AS VARCHAR) AS account_id, CAST(NULL AS VARCHAR) AS customer_id, country_code,
+                   transaction_type, amount, {eur('amount')} AS streaming_amount_eur, currency,
+                   CAST(NULL AS VARCHAR) AS entity_type
+            FROM v_bank_stream"""
+    ),
+)
+def _(spark, sf):
+    """The second sink of the stream, the silver topic, seen as a table."""
+    platform = Platform(spark, "a11")
+    platform.raw_to_silver("bank_transactions", bank_messages(spark, sf))
+    topic = platform.channel.read(spark, DATASETS["bank_transactions"].silver_topic)
+    return msg.as_table(topic, msg.SILVER_BANK_TABLE)
+
+
+@query(
+    "c11_dead_letters",
+    oracle(
+        """SELECT CASE transaction_type WHEN 'DEPOSIT' THEN 'no JSON: ' || transaction_id
+                  ELSE '{{"account_id":' || account_id || '}}' END AS value
+           FROM v_bank_stream WHERE transaction_type IN ('DEPOSIT', 'PAYMENT')"""
+    ),
+)
+def _(spark, sf):
+    """Messages that are no JSON or lack the key come back unchanged, the others do not."""
+    events = bank_events(spark, sf)
+    kind = F.col("transaction_type")
+    damaged = events.select(
+        F.when(kind == "DEPOSIT", F.concat(F.lit("no JSON: "), F.col("transaction_id")))
+        .when(kind == "PAYMENT", F.to_json(F.struct("account_id")))
+        .otherwise(F.to_json(F.struct("transaction_id", "account_id")))
+        .alias("value")
+    )
+    platform = Platform(spark, "c11")
+    platform.raw_to_silver("bank_transactions", damaged)
+    return platform.channel.read(spark, REJECTED_TOPIC)
+
+
+@query(
+    "a12_publish_events",
+    oracle(
+        f"""SELECT CAST(payment_id AS VARCHAR) AS payment_id, {time_text('event_ts')} AS timestamp, sender_country,
+                   amount, fee_amount, true AS from_csv
+            FROM v_mobile"""
+    ),
+)
+def _(spark, sf):
+    platform = Platform(spark, "a12")
+    dataset = DATASETS["mobile_money"]
+    write_payment_files(spark, sf, f"{platform.root}/raw")
+    rows = raw_files.event_stream(spark, f"{platform.root}/raw/*/mobile_money/*/", dataset.columns)
+    finish(stream.start_publisher(rows, dataset, platform.channel, platform.checkpoints, NOW))
+    published = platform.topic(dataset.raw_topic, dataset.message_columns)
+    return published.select(
+        "payment_id", "timestamp", "sender_country", "amount", "fee_amount",
+        F.col("source_file").endswith(".csv").alias("from_csv"),
+    )
+
+
+# -- P6: alert streams ------------------------------------------------------------------------
+
+WINDOW_COLUMNS = "alert_type string, window_start timestamp, window_end timestamp, country_code string, "
+
+
+@query(
+    "j12_multi_txn_stream",
+    oracle(BURST_SQL.replace(", account_id, country_code,", ", CAST(account_id AS VARCHAR) AS account_id, country_code,")),
+)
+def _(spark, sf):
+    platform = Platform(spark, "j12")
+    sent = platform.alerts(
+        "fraud_multiple_txn",
+        bank_messages(spark, sf),
+        WINDOW_COLUMNS + "account_id string, total_amount_xof double, txn_count long, detected_at timestamp",
+    )
+    keys = ["window_start", "account_id", "country_code"]
+    return latest.latest_per_key(sent, keys, "detected_at").drop("detected_at")
+
+
+@query("j16_liquidity_stream", oracle(liquidity_sql(-1000000, -500000)))
+def _(spark, sf):
+    platform = Platform(spark, "j16")
+    lower = replace(
+        alerts.RULES["liquidity_alerts"],
+        check=lambda events, load, today: alerts.liquidity_breach(events, **FLOORS),
+    )
+    sent = platform.alerts(
+        "liquidity_alerts",
+        bank_messages(spark, sf),
+        WINDOW_COLUMNS + "currency string, net_balance double, min_threshold double, detected_at timestamp",
+        {"liquidity_alerts": lower},
+    )
+    keys = ["window_start", "country_code", "currency"]
+    return latest.latest_per_key(sent, keys, "detected_at").drop("detected_at")
+
+
+@query(
+    "j15_aml_stream",
+    oracle(
+        AML_SQL.replace("FROM v_bank ", "FROM v_bank_stream ")
+        .replace("transaction_id, account_id", "CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(account_id AS VARCHAR) AS account_id")
+        .replace(time_text("event_ts"), MILLIS)
+    ),
+)
+def _(spark, sf):
+    platform = Platform(spark, "j15")
+    return platform.alerts(
+        "aml_threshold",
+        bank_messages(spark, sf),
+        "alert_type string, transaction_id string, account_id string, country_code string, amount double, "
+        "currency string, timestamp string",
+    )
+
+
+@query(
+    "j13_unusual_country_stream",
+    oracle(UNUSUAL_SQL.replace("payment_id, sender_id,", "CAST(payment_id AS VARCHAR) AS payment_id, CAST(sender_id AS VARCHAR) AS sender_id,")),
+)
+def _(spark, sf):
+    platform = Platform(spark, "j13")
+    customers = view(spark, sf, "v_customers").withColumn("customer_id", F.col("customer_id").cast("string"))
+    platform.lake.bronze("customers").append(customers)
+    return platform.alerts(
+        "fraud_unusual_country",
+        msg.to_messages(numbers(payment_rows(spark, sf))),
+        "alert_type string, payment_id string, sender_id string, sender_country string, "
+        "registered_country string, amount double, currency string",
+    )
+
+
+@query(
+    "j14_claim_ratio_stream",
+    oracle(
+        f"""SELECT 'CLAIM_EXCEEDS_PREMIUM_RATIO' AS alert_type, CAST(operation_id AS VARCHAR) AS operation_id,
+                   CAST(customer_id AS VARCHAR) AS customer_id, country_code,
+                   {eur('amount')} AS claim_amount_eur, {as_eur('premium')} AS annual_premium_eur
+            FROM (SELECT * FROM v_insurance
+                  QUALIFY row_number() OVER (PARTITION BY operation_id, event_ts ORDER BY amount) = 1)
+                 JOIN p USING (customer_id)
+            WHERE operation_type = 'CLAIM_PAYMENT' AND claim_status = 'PAID' AND {cts('amount')} > 3 * premium""",
+        PREMIUMS_CTE,
+    ),
+)
+def _(spark, sf):
+    platform = Platform(spark, "j14")
+    history = insurance(spark, sf).withColumns(
+        {"event_date": F.to_date("event_ts"), "customer_id": F.col("customer_id").cast("string")}
+    )
+    # the history lies in one folder per country here, to write few files
+    table_by_country = platform.lake.silver("insurance_operations")
+    table_by_country.partition_by = ["country_code"]
+    table_by_country.append(history)
+    operations = view(spark, sf, "v_insurance").withColumn("timestamp", wire_text("event_ts"))
+    # one row per key and time, so that which duplicate arrives first does not matter
+    first = latest.latest_per_key(operations.withColumn("less", -F.col("amount")), ["operation_id", "timestamp"], "less")
+    return platform.alerts(
+        "fraud_claim_ratio",
+        msg.to_messages(first.drop("less", "event_ts")),
+        "alert_type string, operation_id string, customer_id string, country_code string, "
+        "claim_amount_eur double, annual_premium_eur double",
+    )
+
+
+# -- D10 ------------------------------------------------------------------------------------------
+
+
+@query(
+    "d10_batch_stream_reconcile",
+    oracle(
+        f"""SELECT transaction_id, CAST(b IS NOT NULL AS BIGINT) AS batch_rows, CAST(s IS NOT NULL AS BIGINT) AS stream_rows,
+                   {as_eur('b')} AS batch_amount_eur, {as_eur('s')} AS streaming_amount_eur,
+                   {as_eur('(s - b)')} AS difference_eur,
+                   CASE WHEN s IS NULL THEN 'ONLY_BATCH' WHEN b IS NULL THEN 'ONLY_STREAM'
+                        WHEN s = b THEN 'SAME' ELSE 'DIFFERENT' END AS outcome
+            FROM (SELECT transaction_id, {cts('amount')} AS b FROM v_bank_stream WHERE transaction_type <> 'DEPOSIT')
+                 FULL JOIN
+                 (SELECT transaction_id, {cts("CASE transaction_type WHEN 'PAYMENT' THEN amount * 2 ELSE amount END")} AS s
+                  FROM v_bank_stream WHERE transaction_type <> 'TRANSFER') USING (transaction_id)"""
+    ),
+)
+def _(spark, sf):
+    events = bank_events(spark, sf)
+    doubled = F.when(F.col("transaction_type") == "PAYMENT", F.col("amount") * 2).otherwise(F.col("amount"))
+    batch = with_eur(events.filter("transaction_type <> 'DEPOSIT'"), ["amount"])
+    streamed = with_eur(
+        events.filter("transaction_type <> 'TRANSFER'").withColumn("amount", doubled), ["amount"]
+    )
+    return reconcile.reconcile(batch, streamed, "transaction_id")

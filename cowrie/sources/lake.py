@@ -109,7 +109,11 @@ class FactTable:
 
     def read(self) -> DataFrame:
         """The table; the stored schema saves inferring one from files and folders."""
-        return self.spark.read.schema(self.schema()).parquet(self.path)
+        return self._read(self.path)
+
+    def _read(self, path: str) -> DataFrame:
+        schema = self.schema()
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
     def latest(self, column: str) -> dt.date | None:
         return self.read().agg(F.max(column).alias("m")).collect()[0]["m"] if self.exists() else None
@@ -140,7 +144,7 @@ class FactTable:
             self._merge_incoming()
 
     def _merge_incoming(self) -> None:
-        source = self.spark.read.schema(self.schema()).parquet(self._incoming)
+        source = self._read(self._incoming)
         self._update_and_insert(source) if self.update else self._insert(source)
         files.remove(self.spark, self._incoming)
 
@@ -167,7 +171,7 @@ class FactTable:
         rewritten = kept.unionByName(self._within(source, touched))
         self._partitioned(rewritten, "overwrite", self._rewrite)
         emptied = merge.unmatched(
-            touched, self._read_rewritten().select(*self.partition_by).distinct(),
+            touched, self._read(self._rewrite).select(*self.partition_by).distinct(),
             self.partition_by, null_safe=True,
         ).collect()
         self._put_rewritten()
@@ -182,11 +186,8 @@ class FactTable:
             df = df.filter(F.col(column).between(F.lit(low), F.lit(high)) | F.col(column).isNull())
         return merge.matched(df, touched, self.partition_by, null_safe=True)
 
-    def _read_rewritten(self) -> DataFrame:
-        return self.spark.read.schema(self.schema()).parquet(self._rewrite)
-
     def _put_rewritten(self) -> None:
-        self._write(self._read_rewritten(), "overwrite")
+        self._write(self._read(self._rewrite), "overwrite")
         files.remove(self.spark, self._rewrite)
 
     def _folder(self, place: dict) -> str:

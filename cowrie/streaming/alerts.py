@@ -176,36 +176,37 @@ def detected(alerts: DataFrame) -> DataFrame:
 class Rule:
     """A rule's source and topic; ``per_batch`` rules join tables read anew each batch.
 
-    ``check`` takes the events and a function that loads a lake table by layer and name.
+    ``check`` takes the events, a function that loads a lake table by layer and
+    name, and the present day.
     """
 
     dataset: str
     topic: str
-    check: Callable[[DataFrame, Callable[[str, str], DataFrame]], DataFrame]
+    check: Callable[[DataFrame, Callable[[str, str], DataFrame], dt.date], DataFrame]
     per_batch: bool = False
 
 
 RULES = {
     "fraud_multiple_txn": Rule(
-        "bank_transactions", FRAUD_TOPIC, lambda events, load: multiple_transactions(events)
+        "bank_transactions", FRAUD_TOPIC, lambda events, load, today: multiple_transactions(events)
     ),
     "fraud_unusual_country": Rule(
         "mobile_money",
         FRAUD_TOPIC,
-        lambda events, load: unusual_country(events, load("bronze", "customers")),
+        lambda events, load, today: unusual_country(events, load("bronze", "customers")),
         per_batch=True,
     ),
     "fraud_claim_ratio": Rule(
         "insurance_operations",
         FRAUD_TOPIC,
-        lambda events, load: claim_over_premiums(
-            events, load("silver", "insurance_operations"), _utc_today(), "event_date"
+        lambda events, load, today: claim_over_premiums(
+            events, load("silver", "insurance_operations"), today, "event_date"
         ),
         per_batch=True,
     ),
-    "aml_threshold": Rule("bank_transactions", AML_TOPIC, lambda events, load: aml_threshold(events)),
+    "aml_threshold": Rule("bank_transactions", AML_TOPIC, lambda events, load, today: aml_threshold(events)),
     "liquidity_alerts": Rule(
-        "bank_transactions", LIQUIDITY_TOPIC, lambda events, load: liquidity_breach(events)
+        "bank_transactions", LIQUIDITY_TOPIC, lambda events, load, today: liquidity_breach(events)
     ),
 }
 
@@ -231,15 +232,17 @@ def start(
     load: Callable[[str, str], DataFrame],
     checkpoints: str,
     trigger: dict | None = None,
+    today: Callable[[], dt.date] = _utc_today,
+    rules: Mapping[str, Rule] | None = None,
 ) -> StreamingQuery:
     """Run one rule; a window's alert is sent again whenever its sum changes."""
-    rule = RULES[name]
+    rule = (rules or RULES)[name]
     topic = DATASETS[rule.dataset].silver_topic
     events = silver_events(channel.read_stream(spark, topic), rule.dataset)
-    rows = events if rule.per_batch else rule.check(events, load)
+    rows = events if rule.per_batch else rule.check(events, load, today())
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        alerts = rule.check(batch, load) if rule.per_batch else batch
+        alerts = rule.check(batch, load, today()) if rule.per_batch else batch
         channel.write(to_messages(detected(alerts)), rule.topic, f"{name}/batch_id={batch_id}")
 
     mode = "append" if rule.per_batch else "update"
