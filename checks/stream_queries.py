@@ -46,6 +46,10 @@ def finish(*queries) -> None:
         running.awaitTermination()
 
 
+def cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def streamed_events(spark: SparkSession, sf: str) -> DataFrame:
     """The events table as a stream."""
     source = spark.readStream.schema(table(spark, sf, "events").schema)
@@ -75,7 +79,12 @@ class Platform:
 
     def raw_to_silver(self, name: str, messages: DataFrame) -> None:
         self.channel.write(messages, DATASETS[name].raw_topic, "all")
-        finish(*stream.start(self.spark, name, self.channel, self.lake.root, self.checkpoints, NOW))
+        finish(
+            *stream.start(
+                self.spark, name, self.channel, self.lake.root, self.checkpoints, NOW,
+                state_partitions=cores(self.spark),
+            )
+        )
 
     def table(self, name: str) -> DataFrame:
         return stream.stream_table(self.lake.root, name).read(self.spark)
@@ -91,7 +100,7 @@ class Platform:
         finish(
             alerts.start(
                 self.spark, rule, self.channel, self.lake.load, self.checkpoints, NOW,
-                lambda: CLAIMS_TODAY, rules,
+                lambda: CLAIMS_TODAY, rules, cores(self.spark),
             )
         )
         return self.topic(alerts.RULES[rule].topic, columns)
@@ -110,7 +119,8 @@ def _(spark, sf):
     events = events.withColumn("timestamp", F.col("event_ts").cast("timestamp")).drop("event_ts")
     twice = stream.distinct_events(events.unionByName(events), "transaction_id")
     out = StreamTable(f"{session.shared_folder(spark, 'j2')}/events", ["country_code"])
-    finish(run(with_eur(twice, ["amount"]), out.write_batch, f"{out.path}/_checkpoint", "append", NOW))
+    rows = with_eur(twice, ["amount"])
+    finish(run(rows, out.write_batch, f"{out.path}/_checkpoint", "append", NOW, cores(spark)))
     return out.read(spark).select(*STREAM_BANK_COLUMNS)
 
 

@@ -46,6 +46,7 @@ def arguments() -> argparse.ArgumentParser:
         stream.add_argument("--format", default="kafka", choices=["kafka", "parquet", "text"])
         stream.add_argument("--options", type=json.loads, default={}, help="JSON, e.g. servers or root")
         stream.add_argument("--checkpoints", required=True)
+        stream.add_argument("--state-partitions", type=int, help="fixed by the checkpoint's first run")
     return parser
 
 
@@ -67,9 +68,15 @@ def main(argv: list[str] | None = None) -> None:
     else:
         channel = Channel(args.format, args.options)
         if args.job == "stream-silver":
-            stream_silver.start(spark, args.data_type, channel, args.lake, args.checkpoints)
+            stream_silver.start(
+                spark, args.data_type, channel, args.lake, args.checkpoints,
+                state_partitions=args.state_partitions,
+            )
         else:
-            alerts.start(spark, args.rule, channel, lake.load, args.checkpoints)
+            alerts.start(
+                spark, args.rule, channel, lake.load, args.checkpoints,
+                state_partitions=args.state_partitions,
+            )
         spark.streams.awaitAnyTermination()
 
 

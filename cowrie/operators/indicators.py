@@ -6,6 +6,8 @@ Sums are of whole cents (see ``functions.money``).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,40 +46,52 @@ def daily_transaction_volume(bank: DataFrame, moment: str = "timestamp") -> Data
 
 
 def npl_ratio_by_country(
-    loans: DataFrame, moment: str = "due_date", periods: DataFrame | None = None
+    loans: DataFrame,
+    moment: str = "due_date",
+    first: dt.date | None = None,
+    periods: DataFrame | None = None,
 ) -> DataFrame:
     """Share in default of all that was due up to each period (a stock).
 
     Facts shrink to one row per day and group; a running sum over those gives the
-    stock from each day to the group's next one.  Each such stretch is spread over
-    its calendar days, and the wanted periods are picked by equality, so the cost
-    does not grow with the number of periods times the facts.  ``periods`` (one
-    column ``period``) defaults to every day present.
+    stock from each day to the group's next one, and each such stretch is spread
+    over its calendar days.  So the facts are aggregated once, however many
+    periods are reported.  Reported are the days present from ``first`` on, or
+    the given ``periods`` (one column ``period``).
     """
     group = ["country_code", "loan_type"]
-    due = loans.filter(F.col(moment).isNotNull())
-    if periods is None:
-        periods = due.select(period_of(moment, "day").alias("period")).distinct()
-    first = periods.agg(F.min("period")).scalar()
-    last = periods.agg(F.max("period")).scalar()
-
     defaulted = F.when(F.col("repayment_status") == DEFAULTED, cents("amount_due_eur")).otherwise(0)
-    daily = due.groupBy(period_of(moment, "day").alias("day"), *group).agg(
-        F.sum(defaulted).alias("d"), F.sum(cents("amount_due_eur")).alias("t")
+    daily = (
+        loans.filter(F.col(moment).isNotNull())
+        .groupBy(period_of(moment, "day").alias("day"), *group)
+        .agg(F.sum(defaulted).alias("d"), F.sum(cents("amount_due_eur")).alias("t"))
     )
+    if periods is None:
+        # the whole row takes part, so that Spark reuses the aggregate computed above
+        last = daily.agg(F.max(F.struct("day", "d", "t"))["day"].alias("last")).scalar()
+        begin = F.col("day") if first is None else F.greatest("day", F.lit(first))
+    else:
+        last = periods.agg(F.max("period")).scalar()
+        begin = F.greatest("day", periods.agg(F.min("period")).scalar())
+
     by_day = Window.partitionBy(*group).orderBy("day")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
     stretches = daily.select(
         *group,
+        "day",
         F.sum("d").over(so_far).alias("d"),
         F.sum("t").over(so_far).alias("t"),
-        F.col("day").alias("start"),
         F.date_sub(F.lead("day").over(by_day), 1).alias("stop"),
-    ).withColumns({"start": F.greatest("start", first), "stop": F.least("stop", last)})
-    calendar = stretches.filter("start <= stop").select(
-        F.explode(F.sequence("start", "stop")).alias("period"), *group, "d", "t"
+    ).withColumns({"begin": begin, "stop": F.least("stop", last)})
+    stocks = stretches.filter("begin <= stop").select(
+        F.explode(F.sequence("begin", "stop")).alias("period"), *group, "day", "d", "t"
     )
-    return calendar.join(periods, "period", "left_semi").select(
+    if periods is None:
+        present = F.max(F.col("period") == F.col("day")).over(Window.partitionBy("period"))
+        stocks = stocks.withColumn("present", present).filter("present")
+    else:
+        stocks = stocks.join(periods, "period", "left_semi")
+    return stocks.select(
         "period",
         *group,
         ratio(F.col("d"), F.col("t"), 4).alias("npl_ratio"),

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from cowrie.functions.periods import from_day, period_of
+from cowrie.functions.periods import from_day
 from cowrie.operators import indicators
 from cowrie.operators.incremental import first_pending, pending_periods, pending_rows
 from cowrie.sources.lake import Lake
@@ -41,9 +41,7 @@ def _volume(lake: Lake, first: dt.date | None) -> DataFrame:
 def _npl(lake: Lake, first: dt.date | None) -> DataFrame:
     # a stock: all rows count, only the periods reported are limited
     loans = lake.silver("loan_repayments").read()
-    days = from_day(loans.select(DAY), DAY, first)
-    periods = days.select(period_of(DAY, "day").alias("period")).distinct()
-    return indicators.npl_ratio_by_country(loans, DAY, periods)
+    return indicators.npl_ratio_by_country(loans, DAY, first)
 
 
 def _arpu(lake: Lake, first: dt.date | None) -> DataFrame:

@@ -68,8 +68,9 @@ def refresh(
     else:
         mark = silver.latest("event_date")
         rows = pending_rows(bronze.read(), "event_date", "day", mark, refresh_current)
-    if rows.isEmpty():
+    days = rows.select("event_date").distinct().limit(2).count()
+    if not days:
         return False
     references = {r: lake.bronze(r).read() for r in dataset.references}
-    silver.merge(refined(rows, dataset, references, moment="event_date", single_day=day is not None))
+    silver.merge(refined(rows, dataset, references, moment="event_date", single_day=days == 1))
     return True

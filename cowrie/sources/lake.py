@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -63,7 +63,7 @@ class Lake:
         return table
 
     def ingested_files(self) -> FactTable:
-        ledger = FactTable(self.spark, self.path("bronze", "ingested_files"), "path", [])
+        ledger = FactTable(self.spark, self.path("bronze", "ingested_files"), "path", ["dataset"])
         ledger.create("path string, dataset string, ingested_at timestamp")
         return ledger
 
@@ -167,7 +167,8 @@ class FactTable:
         touched = self.spark.createDataFrame(
             places, StructType([self.schema()[c] for c in self.partition_by])
         )
-        kept = merge.unmatched(self._within(target, touched), source, keys)
+        nearby = self._pruned(target, places)
+        kept = merge.unmatched(self._within(nearby, touched), source, keys)
         rewritten = kept.unionByName(self._within(source, touched))
         self._partitioned(rewritten, "overwrite", self._rewrite)
         emptied = merge.unmatched(
@@ -179,11 +180,18 @@ class FactTable:
             files.remove(self.spark, self._folder(place.asDict()))
         self._write(merge.unmatched(source, touched, self.partition_by, null_safe=True), "append")
 
-    def _within(self, df: DataFrame, touched: DataFrame) -> DataFrame:
-        """Rows of the touched partitions; the range of each column prunes the scan."""
+    def _pruned(self, df: DataFrame, places: Sequence[Row]) -> DataFrame:
+        """Rows in the range of the places: a plain filter, which prunes the scan."""
         for column in self.partition_by:
-            low, high = touched.agg(F.min(column), F.max(column)).collect()[0]
-            df = df.filter(F.col(column).between(F.lit(low), F.lit(high)) | F.col(column).isNull())
+            values = {place[column] for place in places}
+            known = values - {None}
+            inside = F.lit(False)
+            if known:
+                inside = F.col(column).between(F.lit(min(known)), F.lit(max(known)))
+            df = df.filter(inside | F.col(column).isNull() if None in values else inside)
+        return df
+
+    def _within(self, df: DataFrame, touched: DataFrame) -> DataFrame:
         return merge.matched(df, touched, self.partition_by, null_safe=True)
 
     def _put_rewritten(self) -> None:

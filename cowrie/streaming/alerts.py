@@ -99,13 +99,9 @@ def recent_premiums(operations: DataFrame, today: dt.date, moment: str = "timest
 def claim_over_premiums(
     operations: DataFrame, history: DataFrame, today: dt.date, moment: str = "timestamp"
 ) -> DataFrame:
-    """Settled claims above three times the customer's premiums of the last year.
-
-    The history is cut to the customers of the batch before it is aggregated.
-    """
+    """Settled claims above three times the customer's premiums of the last year."""
     claims = operations.filter(is_settled_claim())
-    theirs = matched(history, claims, ["customer_id"])
-    premiums = recent_premiums(theirs, today, moment).withColumnRenamed("customer_id", "_customer")
+    premiums = recent_premiums(history, today, moment).withColumnRenamed("customer_id", "_customer")
     known = claims.join(premiums, claims["customer_id"] == premiums["_customer"], "inner")
     over = F.col("amount_eur") > CLAIM_TO_PREMIUM_LIMIT * F.col("annual_premium_eur")
     return _alert(
@@ -119,6 +115,12 @@ def claim_over_premiums(
     )
 
 
+def claims_of_batch(batch: DataFrame, history: DataFrame, today: dt.date) -> DataFrame:
+    """The rule for one micro-batch: the history is first cut to the batch's claimants."""
+    theirs = matched(history, batch.filter(is_settled_claim()), ["customer_id"])
+    return claim_over_premiums(batch, theirs, today, "event_date")
+
+
 def aml_threshold(
     bank: DataFrame, moment: str = "timestamp", limits: Mapping[str, float] = AML_LIMITS
 ) -> DataFrame:
@@ -199,8 +201,8 @@ RULES = {
     "fraud_claim_ratio": Rule(
         "insurance_operations",
         FRAUD_TOPIC,
-        lambda events, load, today: claim_over_premiums(
-            events, load("silver", "insurance_operations"), today, "event_date"
+        lambda events, load, today: claims_of_batch(
+            events, load("silver", "insurance_operations"), today
         ),
         per_batch=True,
     ),
@@ -234,6 +236,7 @@ def start(
     trigger: dict | None = None,
     today: Callable[[], dt.date] = _utc_today,
     rules: Mapping[str, Rule] | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Run one rule; a window's alert is sent again whenever its sum changes."""
     rule = (rules or RULES)[name]
@@ -246,4 +249,4 @@ def start(
         channel.write(to_messages(detected(alerts)), rule.topic, f"{name}/batch_id={batch_id}")
 
     mode = "append" if rule.per_batch else "update"
-    return run(rows, publish, f"{checkpoints}/{name}", mode, trigger)
+    return run(rows, publish, f"{checkpoints}/{name}", mode, trigger, state_partitions)

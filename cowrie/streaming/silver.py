@@ -49,7 +49,7 @@ def dead_letters(messages: DataFrame, dataset: Dataset) -> DataFrame:
 
 
 def stream_table(root: str, name: str) -> StreamTable:
-    return StreamTable(f"{root.rstrip('/')}/silver/{name}_stream", ["country_code", "event_date"])
+    return StreamTable(f"{root.rstrip('/')}/silver/{name}_stream", ["event_date"])
 
 
 def start(
@@ -59,16 +59,15 @@ def start(
     lake_root: str,
     checkpoints: str,
     trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Start the two queries of a dataset: silver rows and dead letters."""
     dataset = DATASETS[name]
     table = stream_table(lake_root, name)
 
     def to_table_and_topic(rows: DataFrame, batch_id: int) -> None:
-        rows = rows.persist()
         table.write_batch(rows.withColumn("event_date", period_of("timestamp", "day")), batch_id)
         channel.write(to_messages(rows), dataset.silver_topic, f"{name}/batch_id={batch_id}")
-        rows.unpersist()
 
     def to_dead_letters(rows: DataFrame, batch_id: int) -> None:
         channel.write(rows, REJECTED_TOPIC, f"{name}/batch_id={batch_id}")
@@ -76,7 +75,7 @@ def start(
     silver = stream_silver(channel.read_stream(spark, dataset.raw_topic), dataset)
     dead = dead_letters(channel.read_stream(spark, dataset.raw_topic), dataset)
     return [
-        run(silver, to_table_and_topic, f"{checkpoints}/{name}_silver", "append", trigger),
+        run(silver, to_table_and_topic, f"{checkpoints}/{name}_silver", "append", trigger, state_partitions),
         run(dead, to_dead_letters, f"{checkpoints}/{name}_dlq", "append", trigger),
     ]
 

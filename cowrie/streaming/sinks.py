@@ -18,19 +18,35 @@ def run(
     checkpoint: str,
     mode: str,
     trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query that hands each non-empty micro-batch to ``write``.
 
+    A micro-batch is computed once, and counting it tells the planner its size:
+    a small one is broadcast against the large tables a rule joins it with.
+
     Keep the checkpoint on the same lasting storage as the tables: batch numbers,
-    and with them the replaceable pieces, continue from it.
+    and with them the replaceable pieces, continue from it.  It also fixes
+    ``state_partitions``, the number of pieces of the keyed state.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            write(batch, batch_id)
+        batch = batch.persist()
+        try:
+            if batch.count():
+                write(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     stream = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    return stream.trigger(**(trigger or {"processingTime": TRIGGER})).foreachBatch(each).start()
+    query = stream.trigger(**(trigger or {"processingTime": TRIGGER})).foreachBatch(each)
+    conf, width = rows.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(width)
+    conf.set(width, str(state_partitions or before))
+    try:
+        return query.start()  # the query keeps the settings it starts with
+    finally:
+        conf.set(width, before)
 
 
 @dataclass(frozen=True)
