@@ -754,10 +754,10 @@ def _(spark, sf):
     npl, loss = report_inputs(spark, sf)
     lake.gold("npl_ratio_by_country").write(npl)
     lake.gold("loss_ratio_by_product").write(loss)
-    report.publish(lake, REPORT_DAY, f"{root}/report")
+    report.publish(lake, REPORT_DAY, f"{root}/report.csv")
     columns = "report_date date, country_code string, indicator_type string, dimension string, " \
               "value double, threshold double, breach boolean"
-    return spark.read.schema(columns).option("header", True).csv(f"{root}/report")
+    return spark.read.schema(columns).option("header", True).csv(f"{root}/report.csv")
 
 
 @query(

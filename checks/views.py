@@ -26,7 +26,7 @@ VIEWS = {
          CASE c_custkey % 3 WHEN 0 THEN 'CURRENT' WHEN 1 THEN 'SAVINGS' ELSE 'LOAN' END AS account_type,
          CASE WHEN c_acctbal < 0 THEN 'FROZEN' ELSE 'ACTIVE' END AS status
   FROM {customer}
-  WHERE c_custkey % 50 <> 0""",
+  WHERE c_acctbal >= -800""",
     "v_branches": """
   SELECT s_suppkey AS branch_id,
          CASE s_suppkey % 4 WHEN 0 THEN 'FULL_SERVICE' WHEN 1 THEN 'DIGITAL_ONLY' WHEN 2 THEN 'AGENCY_BANKING' ELSE 'ATM_POINT' END AS branch_type,

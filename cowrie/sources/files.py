@@ -28,3 +28,13 @@ def make_folder(spark: SparkSession, path: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _handle(spark, path)
     fs.delete(target, True)
+
+
+def publish_single(spark: SparkSession, folder: str, target: str) -> None:
+    """Turn the one part file Spark wrote into a folder into the file ``target``."""
+    part = next(name for name in children(spark, folder) if name.startswith("part-"))
+    fs, destination = _handle(spark, target)
+    fs.mkdirs(destination.getParent())
+    fs.delete(destination, False)
+    fs.rename(_handle(spark, f"{folder}/{part}")[1], destination)
+    remove(spark, folder)

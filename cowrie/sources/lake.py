@@ -145,7 +145,11 @@ class FactTable:
 
     def _merge_incoming(self) -> None:
         source = self._read(self._incoming)
-        self._update_and_insert(source) if self.update else self._insert(source)
+        try:
+            self._update_and_insert(source) if self.update else self._insert(source)
+        except DuplicateMatch:
+            files.remove(self.spark, self._incoming)  # refused, not to be tried again
+            raise
         files.remove(self.spark, self._incoming)
 
     def _insert(self, source: DataFrame) -> None:

@@ -49,6 +49,12 @@ def run(
         conf.set(width, before)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the query's recent micro-batches dropped because they came after the watermark."""
+    operators = [op for p in query.recentProgress for op in p["stateOperators"]]
+    return sum(op["numRowsDroppedByWatermark"] for op in operators)
+
+
 @dataclass(frozen=True)
 class StreamTable:
     """An append-only table; each micro-batch owns one folder and overwrites it on replay."""

@@ -1,0 +1,156 @@
+"""Plan shapes and hot keys: what must hold when the data is a thousand times larger."""
+
+import re
+
+import pytest
+from conftest import as_set, day
+from pyspark.sql import functions as F
+
+from cowrie.functions.money import with_eur
+from cowrie.operators import indicators
+from cowrie.operators.enrich import enrich
+from cowrie.operators.incremental import pending_rows
+from cowrie.operators.latest import latest_per_key
+from cowrie.operators.merge import rows_to_insert
+from cowrie.sources.lake import FactTable
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def conf(spark):
+    before = {}
+
+    def put(**settings):
+        for name, value in settings.items():
+            name = name.replace("__", ".")
+            before.setdefault(name, spark.conf.get(name, None))
+            spark.conf.set(name, value)
+
+    yield put
+    for name, value in before.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def loans(spark, n=3000):
+    """A third of the rows share one group and day."""
+    hot = F.col("id") % 3 == 0
+    return spark.range(n).select(
+        F.when(hot, F.lit(day("2026-01-01"))).otherwise(F.date_add(F.lit(day("2026-01-01")), (F.col("id") % 50).cast("int"))).alias("due_date"),
+        F.when(hot, "CI").otherwise(F.concat(F.lit("C"), F.col("id") % 7)).alias("country_code"),
+        F.lit("SME").alias("loan_type"),
+        F.when(F.col("id") % 11 == 0, "DEFAULT").otherwise("LATE").alias("repayment_status"),
+        (F.col("id") * 1.25).alias("amount_due_eur"),
+    )
+
+
+def test_dedup_cuts_a_hot_key_before_the_shuffle(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("t"))
+    latest = latest_per_key(df, ["k"], "t")
+    text = plan(latest)
+    assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+    assert latest.filter("k = 0").collect()[0]["t"] == 8997
+    assert latest.count() == 6001
+
+
+def test_stock_reads_its_facts_once(spark, tmp_path):
+    loans(spark).write.parquet(str(tmp_path / "loans"))
+    result = indicators.npl_ratio_by_country(spark.read.parquet(str(tmp_path / "loans")))
+    result.collect()
+    final = plan(result).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan(result)
+    assert len(re.findall("FileScan|Scan parquet", final)) <= 1
+
+
+def test_indicators_combine_before_the_shuffle_and_use_no_python(spark):
+    for df in (
+        indicators.npl_ratio_by_country(loans(spark)),
+        indicators.daily_transaction_volume(
+            spark.range(10).select(
+                F.current_timestamp().alias("timestamp"), F.lit("CI").alias("country_code"),
+                F.lit("B").alias("entity_type"), F.lit("T").alias("transaction_type"), F.lit(1.0).alias("amount_eur"),
+            )
+        ),
+    ):
+        text = plan(df)
+        assert "partial_sum" in text and "Python" not in text and "Cartesian" not in text
+        assert "BroadcastNestedLoop" not in text
+
+
+def test_pending_rows_prune_partitions_and_reach_the_scan(spark, tmp_path):
+    loans(spark).withColumn("event_date", F.col("due_date")).write.partitionBy("event_date").parquet(str(tmp_path / "t"))
+    rows = pending_rows(spark.read.parquet(str(tmp_path / "t")), "event_date", "month", day("2026-01-01"))
+    text = plan(rows.groupBy("country_code").count())
+    assert re.search(r"PartitionFilters: \[[^]]*event_date#\d+ >= 2026-02-01", text)
+    assert re.search(r"ReadSchema: struct<country_code:string>", text)
+    flat = pending_rows(spark.read.parquet(str(tmp_path / "t")), "due_date", "day", day("2026-01-10"))
+    assert "GreaterThanOrEqual(due_date,2026-01-11)" in plan(flat)
+
+
+def test_a_hot_account_is_split_in_the_join(spark, conf, tmp_path):
+    """A third of the facts belong to one account: AQE reads its partition in pieces."""
+    facts = spark.range(0, 60000, 1, 12).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("a0")).otherwise(F.concat(F.lit("a"), F.col("id") % 500)).alias("account_id"),
+        F.lit("x" * 50).alias("payload"),
+    )
+    accounts = spark.range(500).select(
+        F.concat(F.lit("a"), "id").alias("account_id"), F.concat(F.lit("c"), "id").alias("customer_id"),
+        F.lit("CURRENT").alias("account_type"), F.lit("ACTIVE").alias("status"),
+    )
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="20",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20000",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20000",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="1000",
+    )
+    joined = enrich(facts, {"accounts": accounts})
+    assert joined.groupBy().count().collect()[0][0] == 60000
+    again = enrich(facts, {"accounts": accounts})
+    again.write.format("noop").mode("overwrite").save()
+    result = again.select("id", "account_status")
+    rows = result.collect()
+    assert len(rows) == 60000 and all(r[1] == "ACTIVE" for r in rows)
+    assert "skew=true" in plan(result)
+
+
+def test_no_hint_forces_a_broadcast(spark, conf):
+    facts = spark.range(10).select("id", F.col("id").cast("string").alias("branch_id"))
+    branches = spark.range(10).select(
+        F.col("id").cast("string").alias("branch_id"), F.lit("A").alias("branch_type"), F.lit("r").alias("region")
+    )
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    assert "Broadcast" not in plan(enrich(facts, {"branches": branches}))
+
+
+def test_insert_only_merge_shuffles_no_fact_columns_of_the_target(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    path = str(tmp_path / "target")
+    spark.range(100).select("id", F.lit("x").alias("payload")).write.parquet(path)
+    text = plan(rows_to_insert(spark.read.parquet(path), spark.range(90, 110).withColumn("payload", F.lit("y")), ["id"]))
+    assert "ReadSchema: struct<id:bigint>" in text
+
+
+def test_a_hot_partition_is_written_by_several_tasks(spark, conf, tmp_path):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20000", spark__sql__shuffle__partitions="8")
+    rows = spark.range(0, 60000, 1, 8).select(
+        F.col("id").cast("string").alias("k"), F.lit("x" * 20).alias("v"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 4)).alias("place"),
+    )
+    table = FactTable(spark, str(tmp_path / "t"), "k", ["place"])
+    table.append(rows)
+    assert len(list((tmp_path / "t" / "place=hot").glob("*.parquet"))) > 1
+    assert table.read().count() == 60000
+
+
+def test_exact_sums_do_not_depend_on_partitions(spark):
+    df = with_eur(spark.range(20000).select((F.rand(3) * 1e6).alias("amount"), F.lit("XOF").alias("currency")), ["amount"])
+    df = spark.createDataFrame(df.limit(5000).collect(), df.schema).withColumns({
+        "timestamp": F.lit("2026-01-01").cast("timestamp"), "country_code": F.lit("CI"), "entity_type": F.lit("B"),
+        "transaction_type": F.lit("T"),
+    })
+    results = {as_set(indicators.daily_transaction_volume(df.repartition(n))).pop() for n in (1, 3, 17)}
+    assert len(results) == 1
