@@ -347,29 +347,41 @@ def _(spark, sf):
 # -- D, P2: silver ----------------------------------------------------------------------
 
 
-def silver_sql(source: str, key: str, moment: str, amounts: list[str], ties: list[str], joins: str, extra: str) -> str:
-    """Newest row per key and day, cleaned; then the last surviving day per key."""
+def silver_ctes(
+    name: str, source: str, key: str, moment: str, amounts: list[str], ties: list[str]
+) -> tuple[str, str]:
+    """Newest row per key and day, cleaned; then the last surviving day per key, as ``name``."""
     order = ", ".join(f"{c} DESC NULLS LAST" for c in [moment, *ties])
-    main, others = amounts[0], amounts[1:]
+    return (
+        f"""{name}_days AS (SELECT *, CAST({moment} AS DATE) AS k_day FROM {source}
+             QUALIFY row_number() OVER (PARTITION BY {key}, CAST({moment} AS DATE) ORDER BY {order}) = 1)""",
+        f"""{name} AS (SELECT * FROM {name}_days WHERE {amounts[0]} >= 0
+             QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY k_day DESC) = 1)""",
+    )
+
+
+def silver_sql(source: str, key: str, moment: str, amounts: list[str], ties: list[str], joins: str, extra: str) -> str:
     shown = {moment: time_text(moment) if moment == "event_ts" else day_text(moment)}
-    shown |= {a: f"CASE WHEN {a} >= 0 THEN {a} END" for a in others}
+    shown |= {a: f"CASE WHEN {a} >= 0 THEN {a} END" for a in amounts[1:]}
     columns = ", ".join(f"{shown.get(c, f's.{c}')} AS {c}" for c in [key, moment, *ties])
     converted = ", ".join(f"{eur(shown.get(a, a))} AS {a}_eur" for a in amounts)
     return oracle(
         f"SELECT {columns}, {converted}, {extra} FROM s {joins}",
-        f"""d AS (SELECT *, CAST({moment} AS DATE) AS k_day FROM {source}
-             QUALIFY row_number() OVER (PARTITION BY {key}, CAST({moment} AS DATE) ORDER BY {order}) = 1)""",
-        f"""s AS (SELECT * FROM d WHERE {main} >= 0
-             QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY k_day DESC) = 1)""",
+        *silver_ctes("s", source, key, moment, amounts, ties),
     )
 
 
+BANK_TIES = ["account_id", "branch_id", "country_code", "transaction_type", "amount", "currency",
+             "transaction_status", "fee_amount", "entity_type"]
+INSURANCE_TIES = ["customer_id", "account_id", "country_code", "product_line", "p_size", "amount", "currency",
+                  "operation_type", "k2", "claim_status", "processing_days"]
+
+
 @query(
     "p2_silver_bank",
     silver_sql(
         "v_bank", "transaction_id", "event_ts", ["amount", "fee_amount"],
-        ["account_id", "branch_id", "country_code", "transaction_type", "amount", "currency",
-         "transaction_status", "fee_amount", "entity_type"],
+        BANK_TIES,
         """LEFT JOIN v_accounts a ON s.account_id = a.account_id
            LEFT JOIN v_customers c ON a.customer_id = c.customer_id
            LEFT JOIN v_branches b ON s.branch_id = b.branch_id""",
@@ -386,8 +398,7 @@ def _(spark, sf):
     "p2_silver_insurance",
     silver_sql(
         "v_insurance", "operation_id", "event_ts", ["amount"],
-        ["customer_id", "account_id", "country_code", "product_line", "p_size", "amount", "currency",
-         "operation_type", "k2", "claim_status", "processing_days"],
+        INSURANCE_TIES,
         """LEFT JOIN v_accounts a ON s.account_id = a.account_id
            LEFT JOIN v_customers c ON s.customer_id = c.customer_id""",
         "a.account_type, a.status AS account_status, c.segment, c.kyc_level AS customer_kyc_level",
@@ -679,12 +690,22 @@ def write_payment_files(spark: SparkSession, sf: str, root: str) -> list[str]:
 def ingested_payments(spark: SparkSession, sf: str, label: str) -> Lake:
     root = session.shared_folder(spark, label)
     lake = Lake(spark, f"{root}/lake")
-    for country in write_payment_files(spark, sf, f"{root}/raw"):
-        for _ in range(2):  # the second time no file is unread
-            bronze.ingest(spark, lake, f"{root}/raw", "mobile_money", country)
+    write_payment_files(spark, sf, f"{root}/raw")
+    for _ in range(2):  # the second time no file is unread
+        bronze.ingest(spark, lake, f"{root}/raw", "mobile_money")
     return lake
 
 
+@query("a3_file_provenance", oracle("SELECT DISTINCT sender_country AS country_code FROM v_mobile"))
+def _(spark, sf):
+    root = session.shared_folder(spark, "a3")
+    write_payment_files(spark, sf, root)
+    pattern = raw_files.file_pattern(root, DATASETS["mobile_money"])
+    rows = raw_files.read_csv(spark, pattern, DATASETS["mobile_money"].columns)
+    files = raw_files.located(raw_files.files_read(rows), raw_files.SOURCE_FILE)
+    return files.select("country_code").distinct()
+
+
 PAYMENT_SQL = f"""SELECT CAST(payment_id AS VARCHAR) AS payment_id, {time_text('event_ts')} AS timestamp,
     CAST(sender_id AS VARCHAR) AS sender_id, sender_country, receiver_country, amount, currency, status,
     fee_amount, sender_country AS country_code, {day_text('event_ts')} AS event_date"""
@@ -710,7 +731,7 @@ def customer_table(spark: SparkSession, sf: str, lake: Lake) -> None:
 )
 def _(spark, sf):
     """Bronze to silver to gold in two runs; the second adds the later weeks only."""
-    lake = Lake(spark, f"{session.shared_folder(spark, 'p3')}/lake")
+    lake = Lake(spark, f"{session.shared_folder(spark, 'p3')}/lake", by_day=False)
     customer_table(spark, sf, lake)
     payments = payment_rows(spark, sf).withColumns(
         {c: F.col(c).cast(kind) for c, kind in DATASETS["mobile_money"].fields.items()}
@@ -722,6 +743,92 @@ def _(spark, sf):
     return lake.gold("cross_border_transfers").read()
 
 
+# Bronze, silver and gold in one go, for the facts that span years (so not cut by day).
+
+
+def refined_lake(spark: SparkSession, sf: str, label: str, *names: str) -> Lake:
+    lake = Lake(spark, f"{session.shared_folder(spark, label)}/lake", by_day=False)
+    for name, frame in references(spark, sf).items():
+        FactTable(spark, lake.path("bronze", name), DATASETS[name].key, []).append(frame)
+    sources = {"bank_transactions": "v_bank", "insurance_operations": "v_insurance", "loan_repayments": "v_loans"}
+    for name in names:
+        rows = view(spark, sf, sources[name])
+        moment = "due_date" if "due_date" in rows.columns else "event_ts"
+        stamped = rows.withColumns(
+            {"timestamp": F.col(moment).cast("timestamp"), "event_date": F.to_date(moment)}
+        )
+        lake.bronze(name).merge(stamped)
+        silver.refresh(lake, name)
+    return lake
+
+
+S_LOANS = silver_ctes("s_loans", "v_loans", "repayment_id", "due_date", ["amount_due"], LOAN_TIES)
+S_BANK = silver_ctes("s_bank", "v_bank", "transaction_id", "event_ts", ["amount"], BANK_TIES)
+S_INSURANCE = silver_ctes("s_insurance", "v_insurance", "operation_id", "event_ts", ["amount"], INSURANCE_TIES)
+
+
+@query(
+    "p3_gold_npl",
+    oracle(
+        f"""SELECT {day_text('due_date')} AS period, country_code, loan_type, {half_up('d', 't', 4)} AS npl_ratio,
+                   {as_eur('d')} AS encours_defaut_eur, {as_eur('t')} AS encours_total_eur
+            FROM stock WHERE t IS NOT NULL""",
+        *S_LOANS,
+        *(cte.replace("FROM v_loans", "FROM s_loans") for cte in NPL_CTES),
+    ),
+)
+def _(spark, sf):
+    lake = refined_lake(spark, sf, "p3n", "loan_repayments")
+    gold.refresh(lake, "npl_ratio_by_country")
+    return lake.gold("npl_ratio_by_country").read()
+
+
+@query(
+    "p3_gold_arpu",
+    oracle(
+        f"""SELECT CAST(month AS VARCHAR) AS period, country_code, segment,
+                   {half_up('sum(fees + paid)', 'count(DISTINCT customer_id) * 100', 2)} AS arpu_eur,
+                   count(DISTINCT customer_id) AS nb_customers
+            FROM (SELECT coalesce(b.month, l.month) AS month, coalesce(b.country_code, l.country_code) AS country_code,
+                         coalesce(b.segment, l.segment) AS segment, coalesce(b.customer_id, l.customer_id) AS customer_id,
+                         coalesce(fees, 0) AS fees, coalesce(paid, 0) AS paid
+                  FROM b FULL JOIN l ON b.month = l.month AND b.country_code = l.country_code
+                       AND b.segment = l.segment AND b.customer_id = l.customer_id)
+            WHERE month IN (SELECT month FROM b)
+            GROUP BY month, country_code, segment""",
+        *S_BANK,
+        *S_LOANS,
+        f"""b AS (SELECT CAST(date_trunc('month', event_ts) AS DATE) AS month, s_bank.country_code, segment,
+                  a.customer_id, sum({cts('fee_amount')}) AS fees
+           FROM s_bank LEFT JOIN v_accounts a USING (account_id)
+                LEFT JOIN v_customers c ON a.customer_id = c.customer_id GROUP BY ALL)""",
+        f"""l AS (SELECT CAST(date_trunc('month', due_date) AS DATE) AS month, s_loans.country_code, segment,
+                  s_loans.customer_id, sum({cts('amount_paid')}) AS paid
+           FROM s_loans LEFT JOIN v_customers USING (customer_id) GROUP BY ALL)""",
+    ),
+)
+def _(spark, sf):
+    lake = refined_lake(spark, sf, "p3a", "bank_transactions", "loan_repayments")
+    gold.refresh(lake, "customer_arpu_monthly")
+    return lake.gold("customer_arpu_monthly").read()
+
+
+@query(
+    "p3_gold_loss_ratio",
+    oracle(
+        f"""SELECT {day_text('month')} AS period, country_code, product_line, {as_eur('c')} AS claims_paid_eur,
+                   {as_eur('p')} AS premiums_eur, {half_up('c', 'p', 4)} AS loss_ratio
+            FROM losses""",
+        *S_INSURANCE,
+        *(cte.replace("FROM v_insurance", "FROM s_insurance") for cte in LOSS_CTES),
+    ),
+)
+def _(spark, sf):
+    lake = refined_lake(spark, sf, "p3l", "insurance_operations")
+    gold.refresh(lake, "loss_ratio_by_product")
+    return lake.gold("loss_ratio_by_product").read()
+
+
 # -- P4: report ----------------------------------------------------------------------------
 
 REPORT_DAY = dt.date(1998, 6, 30)

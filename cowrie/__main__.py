@@ -7,7 +7,7 @@ import json
 
 from cowrie import session
 from cowrie.functions.periods import parse_day
-from cowrie.model import DATASETS, FACTS, STREAMED
+from cowrie.model import COUNTRIES, DATASETS, FACTS, STREAMED
 from cowrie.plans import bronze, gold, report, silver
 from cowrie.sources.lake import Lake
 from cowrie.sources.topics import Channel
@@ -23,7 +23,7 @@ def arguments() -> argparse.ArgumentParser:
     ingest = jobs.add_parser("ingest", help="raw files to bronze")
     ingest.add_argument("--raw", help="root folder of the raw files")
     ingest.add_argument("--data-type", required=True, choices=list(DATASETS))
-    ingest.add_argument("--country", help="needed for facts")
+    ingest.add_argument("--country", nargs="+", choices=COUNTRIES, help="some countries; all if left out")
     ingest.add_argument("--date", type=parse_day, help="YYYYMMDD; all days if left out")
     ingest.add_argument("--ensure-table-only", action="store_true")
 

@@ -27,26 +27,31 @@ class DuplicateMatch(ValueError):
 
 
 class Lake:
-    """Where each table of the platform lies and how it is merged."""
+    """Where each table of the platform lies and how it is merged.
 
-    def __init__(self, spark: SparkSession, root: str):
+    Facts are partitioned by country and day.  ``by_day=False`` keeps the days of a
+    country together, for facts so few that a folder per day would hold next to
+    nothing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, by_day: bool = True):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.by_day = by_day
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def bronze(self, name: str) -> FactTable:
+    def _facts(self, layer: str, name: str, update: bool) -> FactTable:
         dataset = DATASETS[name]
-        return FactTable(
-            self.spark, self.path("bronze", name), dataset.key, dataset.partition_by, update=False
-        )
+        places = [c for c in dataset.partition_by if self.by_day or c != "event_date"]
+        return FactTable(self.spark, self.path(layer, name), dataset.key, places, update)
+
+    def bronze(self, name: str) -> FactTable:
+        return self._facts("bronze", name, update=False)
 
     def silver(self, name: str) -> FactTable:
-        dataset = DATASETS[name]
-        return FactTable(
-            self.spark, self.path("silver", name), dataset.key, dataset.partition_by, update=True
-        )
+        return self._facts("silver", name, update=True)
 
     def gold(self, name: str) -> SmallTable:
         return SmallTable(self.spark, self.path("gold", name))
@@ -89,6 +94,7 @@ class FactTable:
         self.key = key
         self.partition_by = list(partition_by)
         self.update = update
+        self._schema: StructType | None = None
         self._schema_path = f"{path}/_schema"
         self._incoming = f"{path}/_incoming"
         self._rewrite = f"{path}/_rewrite"
@@ -105,7 +111,9 @@ class FactTable:
             empty.coalesce(1).write.mode("ignore").parquet(self._schema_path)
 
     def schema(self) -> StructType:
-        return self.spark.read.parquet(self._schema_path).schema
+        if self._schema is None:  # written once, when the table is created
+            self._schema = self.spark.read.parquet(self._schema_path).schema
+        return self._schema
 
     def read(self) -> DataFrame:
         """The table; the stored schema saves inferring one from files and folders."""
@@ -199,7 +207,8 @@ class FactTable:
         return merge.matched(df, touched, self.partition_by, null_safe=True)
 
     def _put_rewritten(self) -> None:
-        self._write(self._read(self._rewrite), "overwrite")
+        # its files are cut by partition already: no second shuffle
+        self._partitioned(self._read(self._rewrite), "overwrite", self.path, shuffle=False)
         files.remove(self.spark, self._rewrite)
 
     def _folder(self, place: dict) -> str:
@@ -211,12 +220,11 @@ class FactTable:
     def _write(self, df: DataFrame, mode: str) -> None:
         self._partitioned(df.select(*self.schema().names), mode, self.path)
 
-    def _partitioned(self, df: DataFrame, mode: str, path: str) -> None:
-        writer = df
-        if self.partition_by:
+    def _partitioned(self, df: DataFrame, mode: str, path: str, shuffle: bool = True) -> None:
+        if self.partition_by and shuffle:
             # one writing task per partition, except that AQE splits the oversized ones
-            writer = df.hint("rebalance", *self.partition_by)
-        output = writer.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+            df = df.hint("rebalance", *self.partition_by)
+        output = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         (output.partitionBy(*self.partition_by) if self.partition_by else output).parquet(path)
 
 

@@ -67,12 +67,11 @@ def lake(spark, tmp_path):
 
 def test_file_patterns():
     dataset = DATASETS["bank_transactions"]
-    assert raw_files.file_pattern("/raw/", dataset, "CI", day("2026-05-10")) == \
+    assert raw_files.file_pattern("/raw/", dataset, ["CI"], day("2026-05-10")) == \
         "/raw/CI/bank_transactions/20260510/bank_txn_CI_20260510_*.csv"
-    assert raw_files.file_pattern("/raw", dataset, "CI") == "/raw/CI/bank_transactions/*/*.csv"
+    assert raw_files.file_pattern("/raw", dataset, ["CI", "GH"]) == "/raw/{CI,GH}/bank_transactions/*/*.csv"
     assert raw_files.file_pattern("/raw", DATASETS["accounts"]) == "/raw/shared/referentials/accounts.csv"
-    with pytest.raises(ValueError):
-        raw_files.file_pattern("/raw", dataset)
+    assert raw_files.file_pattern("/raw", dataset) == "/raw/{CI,SN,ML,BF,GN,TG,BJ,GH}/bank_transactions/*/*.csv"
 
 
 def test_ingest_counts_rejects_and_reads_each_file_once(spark, lake, raw):
@@ -87,14 +86,14 @@ def test_ingest_counts_rejects_and_reads_each_file_once(spark, lake, raw):
         bank("", "2026-05-10 08:00:00"),
         bank("t1", "2026-05-10 09:00:00"),
     )
-    load = bronze.ingest(spark, lake, str(raw), "bank_transactions", "CI", day("2026-05-10"))
+    load = bronze.ingest(spark, lake, str(raw), "bank_transactions", ["CI"], day("2026-05-10"))
     assert (load.files, load.rows_handled, load.rows_rejected) == (1, 2, 4)
     assert [r[0] for r in lake.bronze("bank_transactions").read().select("transaction_id").collect()] == ["t1", "t1"]
-    again = bronze.ingest(spark, lake, str(raw), "bank_transactions", "CI", day("2026-05-10"))
+    again = bronze.ingest(spark, lake, str(raw), "bank_transactions", ["CI"], day("2026-05-10"))
     assert (again.files, again.rows_handled) == (0, 0)
     put(raw, "CI/bank_transactions/20260510/bank_txn_CI_20260510_0900.csv", BANK_HEADER,
         bank("t1", "2026-05-10 10:00:00"), bank("t6", "2026-05-10 10:00:00"))
-    later = bronze.ingest(spark, lake, str(raw), "bank_transactions", "CI")
+    later = bronze.ingest(spark, lake, str(raw), "bank_transactions", ["CI"])
     assert (later.files, later.rows_handled) == (1, 2)
     assert lake.bronze("bank_transactions").read().count() == 3
 
@@ -103,18 +102,28 @@ def test_an_integer_column_refuses_decimals(spark, lake, raw):
     put(raw, "CI/insurance_operations/20260510/insurance_ops_CI_20260510_1.csv", INSURANCE_HEADER,
         insurance("o1", "2026-05-10 08:00:00", "CLAIM_PAYMENT", days="6.0"),
         insurance("o2", "2026-05-10 08:00:00", "CLAIM_PAYMENT", days="6"))
-    load = bronze.ingest(spark, lake, str(raw), "insurance_operations", "CI")
+    load = bronze.ingest(spark, lake, str(raw), "insurance_operations", ["CI"])
     assert (load.rows_handled, load.rows_rejected) == (1, 1)
 
 
+def test_all_countries_in_one_load(spark, lake, raw):
+    for country in ("CI", "GH"):
+        put(raw, f"{country}/mobile_money/20260510/mobile_money_{country}_20260510_1.csv", MOBILE_HEADER,
+            payment(f"m-{country}", "2026-05-10 08:00:00", sender=country))
+    assert bronze.ingest(spark, lake, str(raw), "mobile_money", ["GH"], day("2026-05-10")).files == 1
+    assert bronze.ingest(spark, lake, str(raw), "mobile_money", day=day("2026-05-10")).files == 1
+    stored = lake.bronze("mobile_money").read()
+    assert as_set(stored.select("payment_id", "country_code")) == {("m-CI", "CI"), ("m-GH", "GH")}
+
+
 def test_absent_files_are_no_error(spark, lake, raw):
-    assert bronze.ingest(spark, lake, str(raw), "mobile_money", "GH", day("2026-05-10")).files == 0
+    assert bronze.ingest(spark, lake, str(raw), "mobile_money", ["GH"], day("2026-05-10")).files == 0
     assert lake.bronze("mobile_money").read().isEmpty()
 
 
 def test_due_dates_with_a_time_part(spark, lake, raw):
     put(raw, "CI/loan_repayments/20260510/loan_repayments_CI_20260510_1.csv", LOAN_HEADER, loan("r1", "2026-05-10"))
-    assert bronze.ingest(spark, lake, str(raw), "loan_repayments", "CI").rows_handled == 1
+    assert bronze.ingest(spark, lake, str(raw), "loan_repayments", ["CI"]).rows_handled == 1
     assert lake.bronze("loan_repayments").read().collect()[0]["due_date"] == day("2026-05-10")
 
 
@@ -132,7 +141,7 @@ def ingest_all(spark, lake, raw):
     for name in ("customers", "accounts", "branches", "products"):
         assert bronze.ingest(spark, lake, str(raw), name).rows_handled >= 1
     for name in FACTS:
-        bronze.ingest(spark, lake, str(raw), name, "CI")
+        bronze.ingest(spark, lake, str(raw), name)
 
 
 def put_first_days(raw):
@@ -206,7 +215,7 @@ def test_next_days_and_replays(spark, lake, raw):
         bank("t1", "2026-05-12 08:00:00", amount="655.957"),   # a known key: ignored by bronze
         bank("t4", "2026-05-12 08:00:00", amount="655.957"),
         bank("t5", "2026-05-09 08:00:00", amount="655.957"))   # late: behind the mark
-    bronze.ingest(spark, lake, str(raw), "bank_transactions", "CI", day("2026-05-12"))
+    bronze.ingest(spark, lake, str(raw), "bank_transactions", ["CI"], day("2026-05-12"))
     assert silver.refresh(lake, "bank_transactions")
     keys = {r[0] for r in lake.silver("bank_transactions").read().select("transaction_id").collect()}
     assert keys == {"t1", "t3", "t4"}
@@ -225,7 +234,7 @@ def test_refresh_current_computes_the_open_month_again(spark, lake, raw):
     gold.refresh(lake, "loss_ratio_by_product")
     put(raw, "CI/insurance_operations/20260512/insurance_ops_CI_20260512_1.csv", INSURANCE_HEADER,
         insurance("o3", "2026-05-12 08:00:00", "PREMIUM_PAYMENT"))
-    bronze.ingest(spark, lake, str(raw), "insurance_operations", "CI", day("2026-05-12"))
+    bronze.ingest(spark, lake, str(raw), "insurance_operations", ["CI"], day("2026-05-12"))
     silver.refresh(lake, "insurance_operations")
     assert not gold.refresh(lake, "loss_ratio_by_product"), "strict: the month is known"
     assert gold.refresh(lake, "loss_ratio_by_product", refresh_current=True)
