@@ -670,7 +670,7 @@ def payment_rows(spark: SparkSession, sf: str) -> DataFrame:
             "timestamp": F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
             "receiver_id": F.col("sender_id"),
             "payment_type": F.lit("P2P"),
-            "operator": F.lit("WABA_PAY"),
+            "operator": F.lit("WALLET"),
             "entity_type": F.lit("MOBILE_MONEY"),
         }
     )

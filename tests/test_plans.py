@@ -40,7 +40,7 @@ def insurance(key, when, kind, amount="655.957", status="", days=""):
 
 
 def payment(key, when, sender="CI", receiver="SN", amount="655.957"):
-    return f"{key},{when},c1,c2,{sender},{receiver},{amount},XOF,P2P,WABA_PAY,SUCCESS,0.0,MOBILE_MONEY"
+    return f"{key},{when},c1,c2,{sender},{receiver},{amount},XOF,P2P,WALLET,SUCCESS,0.0,MOBILE_MONEY"
 
 
 def put_references(raw):

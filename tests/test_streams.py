@@ -131,7 +131,7 @@ def test_publishing_csv_rows(spark, tmp_path, channel):
     folder.mkdir(parents=True)
     header = ",".join(DATASETS["mobile_money"].fields)
     (folder / "mobile_money_CI_20260510_1.csv").write_text(
-        f"{header}\nm1,2026-05-10 08:00:00,c1,c2,CI,SN,5.0,XOF,P2P,WABA_PAY,SUCCESS,,MOBILE_MONEY\n"
+        f"{header}\nm1,2026-05-10 08:00:00,c1,c2,CI,SN,5.0,XOF,P2P,WALLET,SUCCESS,,MOBILE_MONEY\n"
     )
     dataset = DATASETS["mobile_money"]
     for _ in range(2):  # a file is published once
