@@ -18,6 +18,7 @@ from cowrie.streaming import silver as stream_silver
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="cowrie", description=__doc__)
     parser.add_argument("--lake", required=True, help="root folder of the tables")
+    parser.add_argument("--shuffle-gb", type=int, help="size of the largest shuffle expected")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     ingest = jobs.add_parser("ingest", help="raw files to bronze")
@@ -53,6 +54,8 @@ def arguments() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = session.build(f"cowrie-{args.job}")
+    if args.shuffle_gb:
+        session.expect_shuffle(spark, args.shuffle_gb << 30)
     lake = Lake(spark, args.lake)
     if args.job == "ingest":
         if args.ensure_table_only:

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from cowrie.functions.periods import from_day
+from cowrie.functions.periods import from_day, period_start
 from cowrie.operators import indicators
-from cowrie.operators.incremental import first_pending, pending_periods, pending_rows
+from cowrie.operators.incremental import first_pending
 from cowrie.sources.lake import Lake
 
 DAY = "event_date"
@@ -20,49 +20,49 @@ DAY = "event_date"
 class Indicator:
     """How an indicator is computed and merged.
 
-    ``compute`` takes the lake and the first day to be computed (None: all days).
+    ``compute`` takes the lake and the first day to be computed.
     A new indicator is one more entry; its source's days decide what is pending.
     """
 
     source: str
     grain: str
     keys: tuple[str, ...]
-    compute: Callable[[Lake, dt.date | None], DataFrame]
+    compute: Callable[[Lake, dt.date], DataFrame]
 
 
-def _since(lake: Lake, source: str, first: dt.date | None) -> DataFrame:
+def _since(lake: Lake, source: str, first: dt.date) -> DataFrame:
     return from_day(lake.silver(source).read(), DAY, first)
 
 
-def _volume(lake: Lake, first: dt.date | None) -> DataFrame:
+def _volume(lake: Lake, first: dt.date) -> DataFrame:
     return indicators.daily_transaction_volume(_since(lake, "bank_transactions", first), DAY)
 
 
-def _npl(lake: Lake, first: dt.date | None) -> DataFrame:
+def _npl(lake: Lake, first: dt.date) -> DataFrame:
     # a stock: all rows count, only the periods reported are limited
     loans = lake.silver("loan_repayments").read()
     return indicators.npl_ratio_by_country(loans, DAY, first)
 
 
-def _arpu(lake: Lake, first: dt.date | None) -> DataFrame:
+def _arpu(lake: Lake, first: dt.date) -> DataFrame:
     return indicators.customer_arpu_monthly(
         _since(lake, "bank_transactions", first), _since(lake, "loan_repayments", first), DAY, DAY
     )
 
 
-def _loss_ratio(lake: Lake, first: dt.date | None) -> DataFrame:
+def _loss_ratio(lake: Lake, first: dt.date) -> DataFrame:
     return indicators.loss_ratio_by_product(_since(lake, "insurance_operations", first), DAY)
 
 
-def _processing(lake: Lake, first: dt.date | None) -> DataFrame:
+def _processing(lake: Lake, first: dt.date) -> DataFrame:
     return indicators.claims_processing_time(_since(lake, "insurance_operations", first), DAY)
 
 
-def _flow(lake: Lake, first: dt.date | None) -> DataFrame:
+def _flow(lake: Lake, first: dt.date) -> DataFrame:
     return indicators.mobile_money_daily_flow(_since(lake, "mobile_money", first), DAY)
 
 
-def _corridors(lake: Lake, first: dt.date | None) -> DataFrame:
+def _corridors(lake: Lake, first: dt.date) -> DataFrame:
     return indicators.cross_border_transfers(_since(lake, "mobile_money", first), DAY)
 
 
@@ -89,13 +89,13 @@ INDICATORS = {
 }
 
 
-def new_periods(lake: Lake, name: str, refresh_current: bool = False) -> DataFrame | None:
+def new_periods(lake: Lake, name: str, refresh_current: bool = False) -> list[dt.date]:
+    """The periods of the source after the last one computed, ascending."""
     indicator = INDICATORS[name]
-    if not lake.silver(indicator.source).exists():
-        return None
-    mark = lake.gold(name).latest("period")
-    source = lake.silver(indicator.source).read()
-    return pending_periods(source, DAY, indicator.grain, mark, refresh_current)
+    first = first_pending(lake.gold(name).latest("period"), indicator.grain, refresh_current)
+    days = lake.silver(indicator.source).days(DAY)
+    periods = {period_start(d, indicator.grain) for d in days if first is None or d >= first}
+    return sorted(periods)
 
 
 def refresh(
@@ -107,12 +107,9 @@ def refresh(
     range of days that prunes partitions, not as a list.
     """
     indicator = INDICATORS[name]
-    silver = lake.silver(indicator.source)
-    if not silver.exists():
+    periods = new_periods(lake, name, refresh_current)
+    if not periods:
         return False
-    mark = lake.gold(name).latest("period")
-    if pending_rows(silver.read(), DAY, indicator.grain, mark, refresh_current).isEmpty():
-        return False
-    first = first_pending(mark, indicator.grain, refresh_current)
-    lake.gold(name).upsert(indicator.compute(lake, first), list(indicator.keys), null_safe)
+    computed = indicator.compute(lake, periods[0])
+    lake.gold(name).upsert(computed, list(indicator.keys), null_safe)
     return True

@@ -8,10 +8,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from cowrie.functions.money import with_eur
-from cowrie.functions.periods import on_day, period_of
+from cowrie.functions.periods import from_day, on_day, period_of
 from cowrie.model import DATASETS, Dataset
 from cowrie.operators.enrich import enrich
-from cowrie.operators.incremental import pending_periods, pending_rows
+from cowrie.operators.incremental import first_pending
 from cowrie.operators.latest import last_day_wins, latest_per_day, latest_per_key
 from cowrie.operators.quality import usable_amounts
 from cowrie.sources.lake import Lake
@@ -43,12 +43,10 @@ def refined(
     return enrich(with_eur(clean, dataset.amounts), used)
 
 
-def pending_days(lake: Lake, name: str) -> DataFrame | None:
-    """Bronze days after the last silver day; None where bronze has no table."""
-    if not lake.bronze(name).exists():
-        return None
-    mark = lake.silver(name).latest("event_date")
-    return pending_periods(lake.bronze(name).read(), "event_date", "day", mark)
+def pending_days(lake: Lake, name: str, refresh_current: bool = False) -> list[dt.date]:
+    """Bronze days after the last silver day, ascending."""
+    first = first_pending(lake.silver(name).latest("event_date"), "day", refresh_current)
+    return [d for d in lake.bronze(name).days("event_date") if first is None or d >= first]
 
 
 def refresh(
@@ -60,17 +58,19 @@ def refresh(
     """
     dataset = DATASETS[name]
     bronze, silver = lake.bronze(name), lake.silver(name)
-    if not bronze.exists():
-        return False
     silver.recover()
-    if day is not None:
-        rows = on_day(bronze.read(), "event_date", day)
+    if day is None:
+        days = pending_days(lake, name, refresh_current)
     else:
-        mark = silver.latest("event_date")
-        rows = pending_rows(bronze.read(), "event_date", "day", mark, refresh_current)
-    days = rows.select("event_date").distinct().limit(2).count()
+        days = [d for d in bronze.days("event_date") if d == day]
     if not days:
         return False
+    if len(days) == 1:
+        rows = on_day(bronze.read(), "event_date", days[0])
+    else:
+        rows = from_day(bronze.read(), "event_date", days[0])
     references = {r: lake.bronze(r).read() for r in dataset.references}
-    silver.merge(refined(rows, dataset, references, moment="event_date", single_day=days == 1))
+    silver.merge(
+        refined(rows, dataset, references, moment="event_date", single_day=len(days) == 1)
+    )
     return True

@@ -25,6 +25,9 @@ SETTINGS = {
 }
 
 
+MOST_PIECES = 100_000  # beyond it the bookkeeping per map task outweighs smaller pieces
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
@@ -38,6 +41,18 @@ def build(app_name: str = "cowrie", **settings: str) -> SparkSession:
     return configure(builder.getOrCreate())
 
 
+def expect_shuffle(spark: SparkSession, size: int, piece: int = 256 << 20) -> int:
+    """Cut shuffles into pieces of about 256 MB for the ``size`` bytes expected.
+
+    AQE merges pieces that turn out small but cannot cut finer than it began, so a
+    large job has to begin with enough of them.  Returns their number.
+    """
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = min(max(least, -(-size // piece)), MOST_PIECES)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(pieces))
+    return pieces
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder that every executor can reach.
 

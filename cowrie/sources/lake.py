@@ -20,6 +20,7 @@ from cowrie.operators import merge
 from cowrie.sources import files
 
 DONE = "_SUCCESS"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL
 
 
 class DuplicateMatch(ValueError):
@@ -123,8 +124,30 @@ class FactTable:
         schema = self.schema()
         return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
+    def days(self, column: str) -> list[dt.date]:
+        """The dates present, ascending.
+
+        Where the table is cut by them they are the names of its folders: a few
+        listings, while a query would open the footer of every file.
+        """
+        if not self.exists():
+            return []
+        if column not in self.partition_by:
+            found = self.read().select(column).filter(F.col(column).isNotNull()).distinct()
+            return sorted(row[0] for row in found.collect())
+        folders = [self.path]
+        for name in self.partition_by[: self.partition_by.index(column) + 1]:
+            folders = [
+                f"{folder}/{child}"
+                for folder in folders
+                for child in files.children(self.spark, folder)
+                if child.startswith(f"{name}=")
+            ]
+        values = {folder.rpartition("=")[2] for folder in folders} - {NO_VALUE}
+        return sorted(map(dt.date.fromisoformat, values))
+
     def latest(self, column: str) -> dt.date | None:
-        return self.read().agg(F.max(column).alias("m")).collect()[0]["m"] if self.exists() else None
+        return max(self.days(column), default=None)
 
     # -- writing ---------------------------------------------------------------
 
@@ -212,10 +235,9 @@ class FactTable:
         files.remove(self.spark, self._rewrite)
 
     def _folder(self, place: dict) -> str:
-        def value(v) -> str:
-            return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
-
-        return "/".join([self.path, *(f"{c}={value(v)}" for c, v in place.items())])
+        return "/".join(
+            [self.path, *(f"{c}={NO_VALUE if v is None else v}" for c, v in place.items())]
+        )
 
     def _write(self, df: DataFrame, mode: str) -> None:
         self._partitioned(df.select(*self.schema().names), mode, self.path)

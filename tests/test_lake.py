@@ -164,3 +164,16 @@ def test_tables_are_placed_by_layer(spark, tmp_path):
     assert lake.bronze("products").partition_by == []
     assert lake.silver("mobile_money").update and not lake.bronze("mobile_money").update
     assert lake.report().read().isEmpty()
+
+
+def test_days_come_from_folders_or_from_rows(spark, tmp_path, rows):
+    ddl = "k string, country_code string, event_date date"
+    batch = rows(
+        ddl, ("a", "CI", day("2026-01-02")), ("b", "GH", day("2026-01-01")), ("c", "GH", None), ("d", None, day("2026-01-05"))
+    )
+    for number, places in enumerate((["country_code", "event_date"], ["country_code"], [])):
+        table = FactTable(spark, str(tmp_path / str(number)), "k", places)
+        assert table.days("event_date") == [] and table.latest("event_date") is None
+        table.append(batch)
+        assert table.days("event_date") == [day("2026-01-01"), day("2026-01-02"), day("2026-01-05")]
+        assert table.latest("event_date") == day("2026-01-05")

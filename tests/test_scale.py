@@ -6,6 +6,7 @@ import pytest
 from conftest import as_set, day
 from pyspark.sql import functions as F
 
+from cowrie import session
 from cowrie.functions.money import with_eur
 from cowrie.operators import indicators
 from cowrie.operators.enrich import enrich
@@ -117,6 +118,12 @@ def test_a_hot_account_is_split_in_the_join(spark, conf, tmp_path):
     assert "skew=true" in plan(result)
 
 
+def test_a_large_shuffle_begins_with_small_pieces(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__initialPartitionNum="8")
+    assert session.expect_shuffle(spark, 10 << 40) == 40960
+    assert session.expect_shuffle(spark, 10 << 20) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_no_hint_forces_a_broadcast(spark, conf):
     facts = spark.range(10).select("id", F.col("id").cast("string").alias("branch_id"))
     branches = spark.range(10).select(

@@ -4,6 +4,7 @@ import json
 
 import pytest
 from conftest import as_set, day, ts
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cowrie.functions import messages as msg
@@ -145,6 +146,14 @@ def test_publishing_csv_rows(spark, tmp_path, channel):
     assert message["ingestion_timestamp"]
 
 
+def test_kafka_is_asked_for_by_name(spark):
+    """Without its connector Spark says what is missing; the folders stand in for it here."""
+    kafka = Channel("kafka", {"kafka.bootstrap.servers": "broker:9092"})
+    for read in (kafka.read, kafka.read_stream):
+        with pytest.raises(AnalysisException, match="kafka"):
+            read(spark, "topic")
+
+
 # -- alert rules ------------------------------------------------------------------
 
 
