@@ -12,6 +12,9 @@ from cowrie.model import TRIGGER
 from cowrie.sources import files
 
 
+ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
 def run(
     rows: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -23,7 +26,10 @@ def run(
     """Start a query that hands each non-empty micro-batch to ``write``.
 
     A micro-batch is computed once, and counting it tells the planner its size:
-    a small one is broadcast against the large tables a rule joins it with.
+    a small one is broadcast against the large tables a rule joins it with.  Spark
+    turns AQE off for the stream itself, whose state must keep its partitions; what
+    ``write`` does with the computed batch is planned with AQE again, so that hot
+    partitions are split and small ones merged before files are written.
 
     Keep the checkpoint on the same lasting storage as the tables: batch numbers,
     and with them the replaceable pieces, continue from it.  It also fixes
@@ -31,11 +37,14 @@ def run(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
         batch = batch.persist()
         try:
             if batch.count():
+                conf.set(ADAPTIVE, "true")
                 write(batch, batch_id)
         finally:
+            conf.set(ADAPTIVE, "false")
             batch.unpersist()
 
     stream = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)

@@ -14,6 +14,8 @@ from cowrie.operators.incremental import pending_rows
 from cowrie.operators.latest import latest_per_key
 from cowrie.operators.merge import rows_to_insert
 from cowrie.sources.lake import FactTable
+from cowrie.streaming.silver import distinct_events
+from cowrie.streaming.sinks import StreamTable, run
 
 
 def plan(df) -> str:
@@ -153,6 +155,28 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, conf, tmp_path):
     assert table.read().count() == 60000
 
 
+def test_micro_batches_are_written_in_few_files_and_keep_their_state(spark, tmp_path):
+    """AQE plans the writes, not the stream: its state keeps 4 partitions over all batches."""
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema("k long, t timestamp, place string").option("maxFilesPerTrigger", 1)
+    seen = []
+    for number in range(3):
+        rows = spark.range(number * 50, number * 50 + 100).select(
+            F.col("id").alias("k"), F.lit("2026-01-01 10:00:00").cast("timestamp").alias("t"), F.lit("x").alias("place")
+        )
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        out = StreamTable(str(tmp_path / "out"), ["place"])
+
+        def write(batch, batch_id):
+            seen.append((batch.rdd.getNumPartitions(), batch.count()))
+            out.write_batch(batch, batch_id)
+
+        events = distinct_events(source.parquet(str(tmp_path / "in")), "k", "t")
+        run(events, write, str(tmp_path / "c"), "append", {"availableNow": True}, 4).awaitTermination()
+    assert seen == [(4, 100), (4, 50), (4, 50)]
+    assert len(list((tmp_path / "out").glob("batch_id=*/place=x/*.parquet"))) == 3
+
+
 def test_exact_sums_do_not_depend_on_partitions(spark):
     df = with_eur(spark.range(20000).select((F.rand(3) * 1e6).alias("amount"), F.lit("XOF").alias("currency")), ["amount"])
     df = spark.createDataFrame(df.limit(5000).collect(), df.schema).withColumns({
