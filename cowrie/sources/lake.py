@@ -176,27 +176,28 @@ class FactTable:
 
     def _merge_incoming(self) -> None:
         source = self._read(self._incoming)
+        few = source.count() <= merge.FEW_KEYS  # read from the footers
         try:
-            self._update_and_insert(source) if self.update else self._insert(source)
+            self._update_and_insert(source, few) if self.update else self._insert(source, few)
         except DuplicateMatch:
             files.remove(self.spark, self._incoming)  # refused, not to be tried again
             raise
         files.remove(self.spark, self._incoming)
 
-    def _insert(self, source: DataFrame) -> None:
-        self._write(merge.rows_to_insert(self.read(), source, [self.key]), "append")
+    def _insert(self, source: DataFrame, few: bool) -> None:
+        self._write(merge.rows_to_insert(self.read(), source, [self.key], few), "append")
 
-    def _update_and_insert(self, source: DataFrame) -> None:
+    def _update_and_insert(self, source: DataFrame, few: bool) -> None:
         """Rewrite the partitions that hold rows to be replaced, append to the others."""
         target = self.read()
         keys = [self.key]
-        held = merge.matched(target.select(self.key, *self.partition_by), source, keys)
+        held = merge.rows_to_update(target.select(self.key, *self.partition_by), source, keys, few)
         places = held.select(*self.partition_by).distinct().collect()
         if not places:
             self._write(source, "append")
             return
         repeated = merge.repeated_keys(source, keys)
-        if not repeated.isEmpty() and not merge.matched(repeated, target, keys).isEmpty():
+        if not repeated.isEmpty() and not merge.matched(repeated, held, keys).isEmpty():
             raise DuplicateMatch(f"several source rows for one {self.key} of {self.path}")
 
         touched = self.spark.createDataFrame(

@@ -12,7 +12,7 @@ from cowrie.operators import indicators
 from cowrie.operators.enrich import enrich
 from cowrie.operators.incremental import pending_rows
 from cowrie.operators.latest import latest_per_key
-from cowrie.operators.merge import rows_to_insert
+from cowrie.operators.merge import may_match, rows_to_insert
 from cowrie.sources.lake import FactTable
 from cowrie.streaming.silver import distinct_events
 from cowrie.streaming.sinks import StreamTable, run
@@ -135,12 +135,19 @@ def test_no_hint_forces_a_broadcast(spark, conf):
     assert "Broadcast" not in plan(enrich(facts, {"branches": branches}))
 
 
-def test_insert_only_merge_shuffles_no_fact_columns_of_the_target(spark, tmp_path, conf):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+def test_a_merge_scans_the_keys_of_the_target_and_shuffles_none_of_it(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
     path = str(tmp_path / "target")
-    spark.range(100).select("id", F.lit("x").alias("payload")).write.parquet(path)
-    text = plan(rows_to_insert(spark.read.parquet(path), spark.range(90, 110).withColumn("payload", F.lit("y")), ["id"]))
-    assert "ReadSchema: struct<id:bigint>" in text
+    spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("payload")).write.parquet(path)
+    source = spark.range(90, 110).select(F.col("id").cast("string").alias("k"), F.lit("y").alias("payload"))
+    target = spark.read.parquet(path)
+    for few in (True, False):
+        assert {r["k"] for r in rows_to_insert(target, source, ["k"], few).collect()} == set(map(str, range(100, 110)))
+    found = may_match(target.select("k"), source, ["k"], few=True)
+    text = plan(found)
+    assert "ReadSchema: struct<k:string>" in text
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+    assert "BroadcastHashJoin" not in plan(may_match(target.select("k"), source, ["k"]))
 
 
 def test_a_hot_partition_is_written_by_several_tasks(spark, conf, tmp_path):
