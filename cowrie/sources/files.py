@@ -5,6 +5,16 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+# Written by Spark when all of a write is in place; the lake's tables go by it, so it
+# is asked for even where a cluster turns it off.
+DONE = "_SUCCESS"
+MARK_DONE = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
+
+
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    return exists(spark, f"{folder}/{DONE}")
+
+
 def _handle(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target

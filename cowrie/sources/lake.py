@@ -19,7 +19,6 @@ from cowrie.model import DATASETS, REPORT_COLUMNS
 from cowrie.operators import merge
 from cowrie.sources import files
 
-DONE = "_SUCCESS"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL
 
 
@@ -103,13 +102,13 @@ class FactTable:
     # -- reading ---------------------------------------------------------------
 
     def exists(self) -> bool:
-        return files.exists(self.spark, f"{self._schema_path}/{DONE}")
+        return files.is_complete(self.spark, self._schema_path)
 
     def create(self, schema: StructType | str) -> None:
         """Fix the schema if the table is new; a concurrent creation is tolerated."""
         if not self.exists():
             empty = self.spark.createDataFrame([], schema)
-            empty.coalesce(1).write.mode("ignore").parquet(self._schema_path)
+            empty.coalesce(1).write.mode("ignore").options(**files.MARK_DONE).parquet(self._schema_path)
 
     def schema(self) -> StructType:
         if self._schema is None:  # written once, when the table is created
@@ -164,14 +163,14 @@ class FactTable:
         """Insert the rows with a new key; update the others, or leave them be."""
         self.recover()
         self.create(source.schema)
-        source.write.mode("overwrite").parquet(self._incoming)
+        source.write.mode("overwrite").options(**files.MARK_DONE).parquet(self._incoming)
         self._merge_incoming()
 
     def recover(self) -> None:
         """Finish what a job that died has left half done."""
-        if files.exists(self.spark, f"{self._rewrite}/{DONE}"):
+        if files.is_complete(self.spark, self._rewrite):
             self._put_rewritten()
-        if files.exists(self.spark, f"{self._incoming}/{DONE}"):
+        if files.is_complete(self.spark, self._incoming):
             self._merge_incoming()
 
     def _merge_incoming(self) -> None:
@@ -247,7 +246,7 @@ class FactTable:
         if self.partition_by and shuffle:
             # one writing task per partition, except that AQE splits the oversized ones
             df = df.hint("rebalance", *self.partition_by)
-        output = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        output = df.write.mode(mode).options(partitionOverwriteMode="dynamic", **files.MARK_DONE)
         (output.partitionBy(*self.partition_by) if self.partition_by else output).parquet(path)
 
 
@@ -260,7 +259,7 @@ class SmallTable:
 
     def _versions(self) -> list[int]:
         names = [n for n in files.children(self.spark, self.path) if n.startswith("v")]
-        complete = [n for n in names if files.exists(self.spark, f"{self.path}/{n}/{DONE}")]
+        complete = [n for n in names if files.is_complete(self.spark, f"{self.path}/{n}")]
         return sorted(int(n[1:]) for n in complete)
 
     def _folder(self, version: int) -> str:
@@ -277,7 +276,8 @@ class SmallTable:
 
     def write(self, df: DataFrame) -> None:
         versions = self._versions()
-        df.write.mode("overwrite").parquet(self._folder(versions[-1] + 1 if versions else 1))
+        target = self._folder(versions[-1] + 1 if versions else 1)
+        df.write.mode("overwrite").options(**files.MARK_DONE).parquet(target)
         for version in versions[:-1]:
             files.remove(self.spark, self._folder(version))
 

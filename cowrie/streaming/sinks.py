@@ -73,14 +73,15 @@ class StreamTable:
 
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        if not files.exists(spark, f"{self.path}/_schema/_SUCCESS"):
-            spark.createDataFrame([], rows.schema).write.mode("ignore").parquet(f"{self.path}/_schema")
+        if not self.exists(spark):
+            empty = spark.createDataFrame([], rows.schema)
+            empty.write.mode("ignore").options(**files.MARK_DONE).parquet(f"{self.path}/_schema")
         folder = f"{self.path}/batch_id={batch_id}"
         pieces = rows.hint("rebalance", *self.partition_by)
         pieces.write.mode("overwrite").partitionBy(*self.partition_by).parquet(folder)
 
     def exists(self, spark: SparkSession) -> bool:
-        return files.exists(spark, f"{self.path}/_schema/_SUCCESS")
+        return files.is_complete(spark, f"{self.path}/_schema")
 
     def read(self, spark: SparkSession) -> DataFrame:
         schema = spark.read.parquet(f"{self.path}/_schema").schema

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.views import oracle, table, view
+from cowrie_checks.views import oracle, table, view
 from cowrie import session
 from cowrie.functions.money import with_eur
 from cowrie.model import DATASETS

@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.queries import (
+from cowrie_checks.queries import (
     AML_SQL,
     BURST_SQL,
     CLAIMS_TODAY,
@@ -25,7 +25,7 @@ from checks.queries import (
     time_text,
     write_payment_files,
 )
-from checks.views import oracle, table, view
+from cowrie_checks.views import oracle, table, view
 from cowrie import session
 from cowrie.functions import messages as msg
 from cowrie.functions.money import with_eur
