@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from cowrie.functions.periods import from_day, period_start
+from cowrie.functions.periods import period_start
 from cowrie.operators import indicators
 from cowrie.operators.incremental import first_pending
 from cowrie.sources.lake import Lake
@@ -31,7 +31,7 @@ class Indicator:
 
 
 def _since(lake: Lake, source: str, first: dt.date) -> DataFrame:
-    return from_day(lake.silver(source).read(), DAY, first)
+    return lake.silver(source).read_days(DAY, first)
 
 
 def _volume(lake: Lake, first: dt.date) -> DataFrame:

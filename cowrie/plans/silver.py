@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from cowrie.functions.money import with_eur
-from cowrie.functions.periods import from_day, on_day, period_of
+from cowrie.functions.periods import period_of
 from cowrie.model import DATASETS, Dataset
 from cowrie.operators.enrich import enrich
 from cowrie.operators.incremental import first_pending
@@ -65,10 +65,7 @@ def refresh(
         days = [d for d in bronze.days("event_date") if d == day]
     if not days:
         return False
-    if len(days) == 1:
-        rows = on_day(bronze.read(), "event_date", days[0])
-    else:
-        rows = from_day(bronze.read(), "event_date", days[0])
+    rows = bronze.read_days("event_date", days[0], days[-1])
     references = {r: lake.bronze(r).read() for r in dataset.references}
     silver.merge(
         refined(rows, dataset, references, moment="event_date", single_day=len(days) == 1)

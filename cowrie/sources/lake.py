@@ -123,17 +123,32 @@ class FactTable:
         schema = self.schema()
         return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
-    def days(self, column: str) -> list[dt.date]:
-        """The dates present, ascending.
+    def read_days(
+        self, column: str, first: dt.date | None = None, last: dt.date | None = None
+    ) -> DataFrame:
+        """The rows of a range of days, both ends included.
 
-        Where the table is cut by them they are the names of its folders: a few
-        listings, while a query would open the footer of every file.
+        Where the table is cut by days only the folders wanted are listed, not the
+        tens of thousands of a long history.
         """
-        if not self.exists():
-            return []
-        if column not in self.partition_by:
-            found = self.read().select(column).filter(F.col(column).isNotNull()).distinct()
-            return sorted(row[0] for row in found.collect())
+        rows = F.lit(True)
+        if first is not None:
+            rows = rows & (F.col(column) >= F.lit(first))
+        if last is not None:
+            rows = rows & (F.col(column) <= F.lit(last))
+        if (first is None and last is None) or column not in self.partition_by:
+            return self.read().filter(F.col(column).isNotNull() & rows)
+        wanted = [
+            folder
+            for folder, day in self._day_folders(column)
+            if (first is None or day >= first) and (last is None or day <= last)
+        ]
+        if not wanted:
+            return self.spark.createDataFrame([], self.schema())
+        reader = self.spark.read.schema(self.schema()).option("basePath", self.path)
+        return reader.parquet(*wanted).select(*self.schema().names)
+
+    def _day_folders(self, column: str) -> list[tuple[str, dt.date]]:
         folders = [self.path]
         for name in self.partition_by[: self.partition_by.index(column) + 1]:
             folders = [
@@ -142,8 +157,21 @@ class FactTable:
                 for child in files.children(self.spark, folder)
                 if child.startswith(f"{name}=")
             ]
-        values = {folder.rpartition("=")[2] for folder in folders} - {NO_VALUE}
-        return sorted(map(dt.date.fromisoformat, values))
+        dated = [(folder, folder.rpartition("=")[2]) for folder in folders]
+        return [(folder, dt.date.fromisoformat(d)) for folder, d in dated if d != NO_VALUE]
+
+    def days(self, column: str) -> list[dt.date]:
+        """The dates present, ascending.
+
+        Where the table is cut by them they are the names of its folders: a few
+        listings, while a query would open the footer of every file.
+        """
+        if not self.exists():
+            return []
+        if column in self.partition_by:
+            return sorted({day for _, day in self._day_folders(column)})
+        found = self.read().select(column).filter(F.col(column).isNotNull()).distinct()
+        return sorted(row[0] for row in found.collect())
 
     def latest(self, column: str) -> dt.date | None:
         return max(self.days(column), default=None)

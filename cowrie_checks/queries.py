@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from cowrie_checks.views import oracle, table, view
 from cowrie import session
 from cowrie.functions.money import with_eur
+from cowrie.functions.periods import on_day
 from cowrie.model import DATASETS
 from cowrie.operators import incremental, indicators, latest, quality, regulatory
 from cowrie.plans import bronze, gold, report, silver
@@ -444,7 +445,7 @@ REPLAYED = dt.date(1998, 6, 30)
 
 @query("k3_single_day_replay", LOAN_SILVER.replace("FROM v_loans\n", f"FROM v_loans WHERE due_date = DATE '{REPLAYED}'\n"))
 def _(spark, sf):
-    day = silver.on_day(view(spark, sf, "v_loans"), "due_date", REPLAYED)
+    day = on_day(view(spark, sf, "v_loans"), "due_date", REPLAYED)
     return silver.refined(
         day, DATASETS["loan_repayments"], references(spark, sf), "due_date", "due_date", single_day=True
     )
@@ -529,7 +530,7 @@ def _(spark, sf):
     payments = mobile(spark, sf)
     flows = FactTable(spark, f"{session.shared_folder(spark, 'b7')}/flows", "period", ["period"])
     flows.append(indicators.mobile_money_daily_flow(payments, "event_ts"))
-    day = silver.on_day(payments, "event_ts", dt.date(2024, 1, 15)).filter("status = 'SUCCESS'")
+    day = on_day(payments, "event_ts", dt.date(2024, 1, 15)).filter("status = 'SUCCESS'")
     flows.replace_partitions(indicators.mobile_money_daily_flow(day, "event_ts"))
     return flows.read()
 

@@ -177,3 +177,13 @@ def test_days_come_from_folders_or_from_rows(spark, tmp_path, rows):
         table.append(batch)
         assert table.days("event_date") == [day("2026-01-01"), day("2026-01-02"), day("2026-01-05")]
         assert table.latest("event_date") == day("2026-01-05")
+
+        def keys(*bounds):
+            return {r["k"] for r in table.read_days("event_date", *bounds).collect()}
+
+        assert keys() == {"a", "b", "d"}
+        assert keys(day("2026-01-02")) == {"a", "d"}
+        assert keys(day("2026-01-01"), day("2026-01-02")) == {"a", "b"}
+        assert keys(day("2026-02-01")) == set()
+        read = table.read_days("event_date", day("2026-01-01"), day("2026-01-01"))
+        assert as_set(read) == {("b", "GH", day("2026-01-01"))}
