@@ -59,7 +59,9 @@ def rate(currency: str = "currency") -> str:
 
 
 def eur(amount: str) -> str:
-    return f"round({amount} * {rate()}, 2)"
+    """To the cent, half up on the decimal text of the double, as 291.525 -> 291.53."""
+    text = f"CAST({amount} * {rate()} AS VARCHAR)"
+    return f"CAST(round(CAST({text} AS DECIMAL(38, 15)), 2) AS DOUBLE)"
 
 
 def cts(amount: str) -> str:
