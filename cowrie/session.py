@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 # Days, weeks and months are cut in UTC whatever the cluster's own zone is.
 # AQE sizes the shuffle partitions, splits hot ones, and turns a join into a
-# broadcast only once it has measured the small side; the library gives no hints.
+# broadcast only once it has measured the small side.  The library's one hint, in
+# ``operators.merge``, is given after counting the rows.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
