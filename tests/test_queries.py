@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 duckdb = pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables absent")
 
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+QUERIES, ORACLES = __spark_entry__.QUERIES, __spark_entry__.ORACLES
 
 
 @pytest.fixture(scope="module")
