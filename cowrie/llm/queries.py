@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cowrie.llm import decontaminate, packing, token_files
+from cowrie.llm import decontaminate, language, packing, quality, token_files, toxicity
 from cowrie.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,12 +28,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_quality_mil")
+def quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.predict(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op2_benchmark_decontamination")
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digests(decontaminate.scan(docs, items))
 
 
+@query("op3_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
 @query("op4_token_files")
 def token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "tokens")
@@ -46,3 +58,9 @@ def token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))

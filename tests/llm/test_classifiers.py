@@ -1,0 +1,208 @@
+"""Language, toxicity and quality: held-out accuracy, learning rules and odd rows."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cowrie.llm import language, ngrams, quality, toxicity
+from cowrie.llm.queries import QUERIES
+from cowrie.llm.training import sampled
+
+SF = "/root/testdata/sf0.01"
+ODD = [(None, "null id"), (-1, None), (-2, ""), (-3, "12 !? \n"), (-4, "word " * 60_000), (-5, "same"), (-5, "same"), (-6, "퟿\U0001f600é")]
+
+
+def read(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
+
+
+def in_fold(doc_id, folds, fold):
+    return zlib.crc32(str(doc_id).encode()) % folds == fold
+
+
+def test_buckets_are_the_ngrams():
+    def slow(text, low, high):
+        t = f" {' '.join(text.lower().split())} "
+        return [t[i : i + n] for n in range(low, high + 1) for i in range(len(t) - n + 1)]
+
+    text = "The  cat\nsat. The cät"
+    grams, found = slow(text, 2, 4), ngrams.buckets(text, 2, 4, 30).tolist()
+    assert len(grams) == len(found)
+    assert len(set(grams)) == len(set(found)) == len(set(zip(grams, found)))
+    assert all(len(ngrams.buckets(t, 1, 3, 15)) == 0 for t in (None, "", " \n"))
+
+
+def test_language_query(spark):
+    docs = {r["doc_id"]: r for r in read(spark, "documents").collect()}
+    got = QUERIES["op3_language_id"](spark, SF).collect()
+    assert len(got) == len(docs)
+    assert all(r["held_out"] == in_fold(r["doc_id"], 5, 0) and 0 <= r["score"] <= 1 for r in got)
+    right = [docs[r["doc_id"]]["lang"] == r["lang_pred"] for r in got if r["held_out"]]
+    assert np.mean(right) > 0.97
+
+
+def test_language_learns_from_its_fold_only(spark):
+    docs = read(spark, "documents")
+    hidden = docs.withColumn(
+        "lang", F.when(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, "xx").otherwise(F.col("lang"))
+    ).withColumn("source", F.lit("other"))
+    a, b = language.fit(docs), language.fit(hidden)
+    assert a.languages == b.languages and np.array_equal(a.weights, b.weights) and a.temperature == b.temperature
+
+
+def test_language_frequencies_are_brute_force(spark, rows):
+    texts = ["a b", "b c", None, "b", "b"]
+    frequencies, n = language.document_frequencies(rows("doc_id long, text string", *enumerate(texts)))
+    slow = np.zeros(1 << language.BITS, int)
+    for t in texts:
+        slow[list(set(ngrams.buckets(t, 1, 3, language.BITS).tolist()))] += 1
+    assert n == 5 and frequencies.tolist() == slow.tolist()
+
+
+def test_language_odd_rows(spark, rows):
+    docs = rows("doc_id long, score int, text string, lang string", *((i, 1, t, "l" if t else None) for i, t in ODD))
+    model = language.fit(docs)
+    got = language.predict(docs, model).collect()
+    assert len(got) == len(ODD)
+    by_id = {r["doc_id"]: r for r in got}
+    for i in (-1, -2, -3):
+        assert by_id[i]["lang_pred"] == "und" and by_id[i]["score"] == 0
+    assert by_id[-4]["lang_pred"] == "l" and by_id[None]["held_out"] is False
+    kept = language.accepted(docs, model)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {None, -4, -5, -6}
+    none = language.fit(docs.where("false"))
+    assert {r["lang_pred"] for r in language.predict(docs, none).collect()} == {"und"}
+    assert language.predict(docs.where("false"), model).count() == 0
+
+
+def test_ftrl_is_sparse_and_calibrated():
+    random = np.random.default_rng(3)
+    idf = np.ones(50)
+    examples = []
+    for k in range(400):
+        label = k % 2
+        found = np.unique(np.append(random.integers(2, 50, 5), label if random.random() < 0.8 else 1 - label))
+        examples.append((found, np.ones(len(found)), label, k % 5 == 0))
+    model = language.learn(examples, ["a", "b"], idf)
+    assert (model.weights == 0).any() and model.weights[0, 0] > 0 > model.weights[0, 1]
+    scores = [model.logits(f, c) for f, c, _, held in examples if held]
+    labels = [y for _, _, y, held in examples if held]
+    loss = lambda t: -np.mean([np.log(language.softmax(s / t)[y]) for s, y in zip(scores, labels)])
+    assert loss(model.temperature) <= min(loss(0.5), loss(1.0), loss(2.0)) + 1e-9
+
+
+def accuracy(spark, name, label, folds, fold):
+    labels = {r["doc_id"]: r[label] for r in read(spark, "labels").collect()}
+    got = QUERIES[name](spark, SF).collect()
+    assert len(got) == read(spark, "documents").count()
+    assert all(r["held_out"] == in_fold(r["doc_id"], folds, fold) and 0 <= r["score"] <= 1 for r in got)
+    assert all(r["predicted"] == (r["score"] >= 0.5) for r in got)
+    return np.mean([r["predicted"] == labels[r["doc_id"]] for r in got if r["held_out"] and r["doc_id"] in labels])
+
+
+def test_toxicity_query(spark):
+    assert accuracy(spark, "op10_toxicity", "toxic", 5, 0) > 0.9
+
+
+def test_quality_query(spark):
+    assert accuracy(spark, "op1_quality_mil", "quality", 3, 1) > 0.97
+
+
+@pytest.mark.parametrize("module,label,folds,fold", [(toxicity, "toxic", 5, 0), (quality, "quality", 3, 1)])
+def test_labels_outside_the_fold_and_other_columns_do_not_matter(spark, module, label, folds, fold):
+    docs, labels = read(spark, "documents"), read(spark, "labels")
+    hidden = labels.withColumn(
+        label,
+        F.when(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == fold, 1 - F.col(label)).otherwise(F.col(label)),
+    )
+    a = module.fit(docs, labels)
+    b = module.fit(docs.withColumn("lang", F.lit("x")).withColumn("label", F.lit(7)), hidden)
+    texts = [r["text"] for r in docs.limit(20).collect()]
+    assert [a.score(t) for t in texts] == [b.score(t) for t in texts]
+
+
+@pytest.mark.parametrize("module", [toxicity, quality])
+def test_odd_rows(spark, rows, module):
+    docs = rows("doc_id long, label int, score int, text string", *((i, 9, 9, t) for i, t in ODD))
+    labels = rows(
+        "doc_id long, toxic int, quality int, text string",
+        (-4, 1, 1, ""), (-5, 0, 0, ""), (-5, 0, 0, ""), (-1, 0, 1, ""), (-2, None, None, ""), (None, 1, 1, ""), (-99, 1, 1, ""),
+    )
+    for model in (module.fit(docs, labels), module.fit(docs, labels.where("false")), module.fit(docs.where("false"), labels)):
+        got = module.predict(docs, model).collect()
+        assert len(got) == len(ODD) and all(0 <= r["score"] <= 1 for r in got)
+        assert len({r["score"] for r in got if r["doc_id"] == -5}) == 1
+        assert module.predict(docs.where("false"), model).count() == 0
+
+
+def test_toxicity_stage_keeps_columns(spark):
+    docs, labels = read(spark, "documents"), read(spark, "labels")
+    kept = toxicity.accepted(docs, toxicity.fit(docs, labels))
+    assert kept.columns == docs.columns
+    toxic = {r["doc_id"] for r in labels.where("toxic = 1").collect()}
+    left = {r["doc_id"] for r in kept.collect()}
+    assert len(toxic & left) < 0.3 * len(toxic) and len(left) > 0.85 * docs.count()
+
+
+def test_ratios_are_brute_force(spark, rows, monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_TEXTS", 2)
+    monkeypatch.setattr(toxicity, "LEAST_RATIO", 0.5)
+    texts = [(1, "bad word"), (1, "bad wordy"), (0, "good day"), (0, "good day"), (0, "a bad day"), (1, None)]
+    bucket, ratio = toxicity.ratios(rows("label int, text string", *texts))
+    held = [[set(toxicity.present(t).tolist()) for y, t in texts if y == label] for label in (0, 1)]
+    slow = {}
+    for b in set().union(*held[0], *held[1]):
+        without, having = (sum(b in s for s in side) for side in held)
+        r = np.log((having + 1) / (3 + 2) / ((without + 1) / (3 + 2)))
+        if having + without >= 2 and abs(r) >= 0.5:
+            slow[b] = r
+    assert dict(zip(bucket.tolist(), ratio.round(9).tolist())) == {b: round(r, 9) for b, r in slow.items()}
+
+
+def test_mil_gradients_are_numeric_ones():
+    random = np.random.default_rng(0)
+    x, begins = random.normal(size=(7, quality.FIGURES)), np.array([0, 3, 4])
+    y, weight = np.array([1.0, 0.0, 1.0]), np.array([1.0, 2.0, 0.5])
+    model = quality.Model.fresh()
+
+    def loss():
+        p = model.forward(x, begins)["p"]
+        return float(-(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).mean())
+
+    for parameter, gradient in zip(
+        (model.encode, model.tanh, model.gate, model.attend, model.out), model.gradients(x, begins, y, weight)
+    ):
+        for at in [0, parameter.size // 2, parameter.size - 1]:
+            flat, step = parameter.reshape(-1), 1e-6
+            flat[at] += step
+            up = loss()
+            flat[at] -= 2 * step
+            down = loss()
+            flat[at] += step
+            assert abs((up - down) / (2 * step) - gradient.reshape(-1)[at]) < 1e-6
+
+
+def test_attention_finds_the_telling_passage():
+    random = np.random.default_rng(5)
+    bags, y = [], []
+    for k in range(400):
+        bag = random.normal(size=(random.integers(2, 9), quality.FIGURES)).astype(np.float32)
+        bag[:, 0] = -1
+        if k % 2:
+            bag[random.integers(len(bag)), 0] = 3
+        bags.append(bag)
+        y.append(k % 2)
+    model = quality.learn(bags, np.array(y, float), np.ones(400))
+    scores = np.array([model.forward(b, np.array([0]))["p"][0] for b in bags])
+    assert ((scores >= 0.5) == np.array(y)).mean() > 0.9
+    picked = [int(model.forward(b, np.array([0]))["a"].argmax()) == int(b[:, 0].argmax()) for b, label in zip(bags, y) if label]
+    assert np.mean(picked) > 0.8
+
+
+def test_sample_is_bounded(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 100 == 0).cast("int").alias("label"))
+    drawn = sampled(rows, "k", "label", 500).groupBy("label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    got = {r["label"]: (r["n"], r["w"]) for r in drawn.collect()}
+    assert got[1] == (200, 200.0) and abs(got[0][0] - 500) < 120 and abs(got[0][1] - 19_800) < 5_000
