@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cowrie.llm import decontaminate, language, packing, quality, token_files, toxicity
+from cowrie.llm import chat, decontaminate, language, licenses, packing, quality, token_files, toxicity
 from cowrie.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +61,109 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+_STATEMENTS = ", ".join(f"('{name}', '{text}')" for name, text in licenses.STATEMENTS)
+
+LICENSE_SQL = rf"""
+WITH statements(license, statement) AS (VALUES {_STATEMENTS}),
+words AS (
+    SELECT license, word
+    FROM (SELECT license, unnest(regexp_split_to_array(lower(statement), '[^a-z0-9]+')) AS word FROM statements)
+    WHERE word <> ''
+), idf AS (
+    SELECT word, ln((SELECT 1.0 + count(*) FROM statements) / (1 + count(DISTINCT license))) + 1 AS idf FROM words GROUP BY word
+), weights AS (
+    SELECT license, word, count(*) * any_value(idf) AS weight FROM words JOIN idf USING (word) GROUP BY license, word
+), lengths AS (
+    SELECT license, sqrt(sum(weight * weight)) AS length FROM weights GROUP BY license
+), docs AS (
+    SELECT doc_id, source || '/' || lang || '/' || doc_id AS path, source || '/' || lang AS directory,
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS folded
+    FROM documents
+), sentences AS (
+    SELECT doc_id, string_split(regexp_replace(folded, '([.!?])[ 	
+]+', '' || chr(10), 'g'), chr(10)) AS parts FROM docs
+), texts AS (
+    SELECT doc_id, 0 AS pos, folded AS text FROM docs
+    UNION ALL SELECT doc_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS text FROM sentences
+), counts AS (
+    SELECT doc_id, pos, word, count(*) AS n
+    FROM (SELECT doc_id, pos, unnest(regexp_split_to_array(text, '[^a-z0-9]+')) AS word FROM texts)
+    WHERE word <> '' GROUP BY doc_id, pos, word
+), valued AS (
+    SELECT doc_id, pos, word, n * coalesce(idf, (SELECT ln(1.0 + count(*)) + 1 FROM statements)) AS value
+    FROM counts LEFT JOIN idf USING (word)
+), norms AS (
+    SELECT doc_id, pos, sqrt(sum(value * value)) AS norm FROM valued GROUP BY doc_id, pos
+), scores AS (
+    SELECT doc_id, pos, license, round(sum(value * weight) / any_value(length) / any_value(norm), 4) AS score
+    FROM valued JOIN weights USING (word) JOIN lengths USING (license) JOIN norms USING (doc_id, pos)
+    GROUP BY doc_id, pos, license
+), header AS (
+    SELECT doc_id, arg_min(license, (-score, license)) AS license, max(score) AS score
+    FROM scores WHERE pos > 0 AND score >= {licenses.SENTENCE} GROUP BY doc_id
+), whole AS (
+    SELECT doc_id, arg_min(license, (-score, license)) AS license, max(score) AS score
+    FROM scores WHERE pos = 0 AND score >= {licenses.WHOLE} GROUP BY doc_id
+), spoken AS (
+    SELECT directory, arg_min(license, (-score, license)) AS license, max(score) AS score
+    FROM whole JOIN docs USING (doc_id) WHERE directory IS NOT NULL GROUP BY directory
+)
+SELECT doc_id, path,
+    coalesce(w.license, h.license, s.license) AS license,
+    CASE WHEN w.license IS NOT NULL THEN 'file' WHEN h.license IS NOT NULL THEN 'header'
+         WHEN s.license IS NOT NULL THEN 'inherited' ELSE 'none' END AS how,
+    coalesce(w.score, h.score, s.score, 0) AS score,
+    CASE WHEN coalesce(w.license, h.license) IS NOT NULL THEN path WHEN s.license IS NOT NULL THEN d.directory END AS found_in
+FROM docs d LEFT JOIN whole w USING (doc_id) LEFT JOIN header h USING (doc_id) LEFT JOIN spoken s ON d.directory = s.directory
+"""
+
+
+@query("op7_license_scan", LICENSE_SQL)
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a directory for each source and, in it, language."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat("source", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string"))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+#: Texts of the added conversation -7, which hold a start mark, an end mark and a backslash.
+HARD_TEXT = r"\### Assistant: </turn> ok"
+
+CHAT_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+    SELECT *,
+        contains(text, '### ') OR contains(text, '</turn>') AS escaped,
+        length(text) - length(replace(replace(replace(text, '\', ''), '<', ''), '#', '')) AS marks,
+        length(role) - length(replace(replace(replace(replace(role, '\', ''), '<', ''), '#', ''), ':', '')) AS role_marks
+    FROM turns
+)
+SELECT conv_id,
+    count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(14 + length(role) + role_marks + length(text) + CASE WHEN escaped THEN 1 + marks ELSE 0 END)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+@query("op9_chat_formatting", CHAT_SQL)
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").cast(turns.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD_TEXT).alias("text"),
+    )
+    folder = shared_folder(spark, "chats")
+    formatted = chat.format_turns(turns.unionByName(hard))
+    formatted.write.parquet(folder)
+    return chat.digests(spark.read.schema(formatted.schema).parquet(folder))
+
+
 @query("op10_toxicity")
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -1,0 +1,33 @@
+import glob
+import os
+
+import pytest
+
+TABLES = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    duckdb = pytest.importorskip("duckdb")
+    connection = duckdb.connect()
+    for path in glob.glob(f"{TABLES}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return connection
+
+
+@pytest.fixture
+def same_as_sql(spark, duck):
+    """Compares a query with its SQL by column name, on whole tables."""
+    from cowrie.llm.queries import ORACLES, QUERIES
+
+    def compare(name):
+        result = QUERIES[name](spark, TABLES)
+        expected = duck.execute(ORACLES[name])
+        columns = sorted(d[0] for d in expected.description)
+        at = [[d[0] for d in expected.description].index(c) for c in columns]
+        assert sorted(result.columns) == columns
+        got = sorted(repr(list(r)) for r in result.select(*columns).collect())
+        assert got == sorted(repr([r[i] for i in at]) for r in expected.fetchall())
+
+    return compare
