@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cowrie.llm import chat, decontaminate, language, licenses, packing, quality, token_files, toxicity
+from cowrie.llm import chat, decontaminate, jaccard, language, licenses, packing, quality, token_files, toxicity
 from cowrie.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,12 @@ def token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path, digests=True)
 
 
+@query("op5_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.groups(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query("op6_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -81,7 +87,8 @@ words AS (
     FROM documents
 ), sentences AS (
     SELECT doc_id, string_split(regexp_replace(folded, '([.!?])[ 	
-]+', '' || chr(10), 'g'), chr(10)) AS parts FROM docs
+
+]+', '' || chr(10), 'g'), chr(10)) AS parts FROM docs
 ), texts AS (
     SELECT doc_id, 0 AS pos, folded AS text FROM docs
     UNION ALL SELECT doc_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS text FROM sentences
