@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cowrie.llm import chat, decontaminate, jaccard, language, licenses, packing, quality, token_files, toxicity
+from cowrie.llm import chat, decontaminate, jaccard, language, licenses, neighbours, packing, quality, token_files, toxicity
 from cowrie.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,6 +133,11 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
 
 
+@query("op8_curve_neighbours")
+def curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 #: Texts of the added conversation -7, which hold a start mark, an end mark and a backslash.
 HARD_TEXT = r"\### Assistant: </turn> ok"
 

@@ -1,0 +1,89 @@
+"""Neighbour search against brute force: exact scores, recall, ties and odd rows."""
+
+import math
+
+import numpy as np
+import pytest
+
+from cowrie.llm import neighbours
+from cowrie.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+INF, NAN = float("inf"), float("nan")
+
+
+def valid(v):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v) and any(x != 0 for x in v)
+
+
+def brute(rows, k, every):
+    rows = sorted({(i, tuple(v)) for i, v in rows if i is not None and valid(v)})
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
+    out = {}
+    for q in np.flatnonzero(ids % every == 0):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        order = np.lexsort((ids, d))
+        out[int(ids[q])] = [(int(ids[p]), float(d[p])) for p in order if ids[p] != ids[q]][:k]
+    return out
+
+
+def by_query(got):
+    out = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        found = out.setdefault(r["query_id"], [])
+        assert r["rank"] == len(found) + 1
+        found.append((r["vec_id"], r["score"]))
+    return out
+
+
+def recall(got, true):
+    assert got.keys() == true.keys()
+    return np.mean([len({i for i, _ in got[q]} & {i for i, _ in true[q]}) / max(1, len(true[q])) for q in true])
+
+
+def test_query(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    got, x = by_query(QUERIES["op8_curve_neighbours"](spark, SF).collect()), dict(rows)
+    assert recall(got, brute(rows, 10, 100)) >= 0.9
+    for q, found in got.items():
+        assert len(found) == 10 and found == sorted(found, key=lambda f: (f[1], f[0]))
+        for i, score in found:
+            assert abs(score - np.sqrt(((np.array(x[i], float) - np.array(x[q], float)) ** 2).sum())) < 1e-12
+
+
+def test_clustered_vectors_need_narrow_windows(spark, rows):
+    random = np.random.default_rng(0)
+    centres = random.normal(size=(40, 16))
+    x = centres[random.integers(40, size=4000)] + 0.05 * random.normal(size=(4000, 16))
+    curves = neighbours.Curves.of(x).fitted(x, 10)
+    assert 2 * curves.width * len(curves.turns) < 0.5
+    data = [(k, v.tolist()) for k, v in enumerate(x)]
+    got = by_query(neighbours.search(rows("vec_id long, embedding array<double>", *data)).collect())
+    assert recall(got, brute(data, 10, 100)) >= 0.9
+
+
+def test_ties_and_odd_rows_are_exact(spark, rows, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 7)
+    one = [1.0, 0.0]
+    data = [(k, one) for k in range(0, 60)] + [(100, [2.0, 0.0]), (200, [0.0, -1.0]), (201, [-0.0, -1.0]), (201, [-0.0, -1.0])]
+    odd = [(300, None), (400, [0.0, 0.0]), (500, [1.0, None]), (600, [NAN, 1.0]), (700, [INF, 1.0]), (None, one), (800, [1.0]), (900, [])]
+    df = rows("score int, vec_id long, embedding array<double>", *((0, *r) for r in data + odd))
+    got = by_query(neighbours.search(df, 10, 20).collect())
+    assert got == brute(data, 10, 20)
+    assert [i for i, _ in got[0]] == list(range(1, 11)) and [i for i, _ in got[40]] == list(range(10))
+
+
+def test_few_and_no_rows(spark, rows):
+    df = rows("vec_id long, embedding array<double>", (0, [1.0, 2.0]), (5, [1.0, 3.0]), (-100, [4.0, 4.0]))
+    assert by_query(neighbours.search(df).collect()) == brute([(r["vec_id"], r["embedding"]) for r in df.collect()], 10, 100)
+    assert neighbours.search(df.where("false")).count() == 0
+    assert neighbours.search(df.where("vec_id = 0")).count() == 0
+
+
+@pytest.mark.parametrize("n,bits", [(2, 4), (3, 3), (4, 2)])
+def test_hilbert_visits_neighbouring_cells(n, bits):
+    grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * n, indexing="ij"), -1).reshape(-1, n)
+    place = neighbours.hilbert(grid, bits)
+    assert sorted(place.tolist()) == list(range(len(grid)))
+    path = grid[np.argsort(place)]
+    assert (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
