@@ -19,13 +19,9 @@ _COUNT_OF = np.array([1, *COUNTS, 0], np.int64)
 
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits each value needs, at least 1."""
-    need = np.ones(len(values), np.int64)
-    for bit in range(1, 64):
-        wider = values >> np.uint64(bit) != 0
-        if not wider.any():
-            break
-        need += wider
-    return need
+    high = (values >> np.uint64(32)).astype(np.float64)
+    low = (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    return np.maximum(np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1]), 1).astype(np.int8)
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -41,18 +37,17 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     need = _bits(values)
     widest = int(need.max())
     select = np.zeros(n, np.int8)
-    at = np.arange(n)
+    at = np.arange(n, dtype=np.int32)
     for selector in range(len(WIDTHS), 0, -1):
         width, count = WIDTHS[selector - 1], COUNTS[selector - 1]
         if width >= widest:
-            select[:] = selector
+            select[:] = selector  # may be filled up behind the last value
             continue
-        # place of the next value too wide for this selector; behind the end nothing is
-        wide = np.where(need > width, at, n + 60)
-        following = np.minimum.accumulate(wide[::-1])[::-1]
-        fits = following - at >= count
+        # place of the next value too wide for this selector
+        wide = np.where(need > width, at, np.int32(n))
+        fits = np.minimum.accumulate(wide[::-1])[::-1] - at >= count
         if not fits.any():
-            break
+            break  # nor does a narrower one, which takes more values
         select[fits] = selector
     takes = _COUNT_OF[select].tolist()
     begins, place = [], 0

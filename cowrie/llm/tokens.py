@@ -24,6 +24,16 @@ _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 _ODD_SPACES = "\x1c\x1d\x1e\x1f\x85\u180e\u200b\ufeff"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter byte-level tokenizers write each byte as: itself if printable, else the next one from 256."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class _Kept(dict):
     """Keeps what ``make`` gave for a key; forgets everything at ``most`` entries."""
 
@@ -58,27 +68,34 @@ class Encoder:
             self.encode = self._unspaced  # white space only separates
         else:
             self.encode = self.whole
-        self._stems = _Kept(self.whole, STEMS_KEPT)
+        self._model = self.tokenizer.model
+        self._marks = _Kept(self.whole, WORDS_KEPT)
+        self._stems = _Kept(self._stem, STEMS_KEPT)
         self._inner = _Kept(lambda word: self._word(" ", word), WORDS_KEPT)
         self._first = _Kept(lambda word: self._word("", word), WORDS_KEPT)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _stem(self, stem: str) -> bytes:
+        """A run of plain letters is one word to the model: no need to normalise and cut it."""
+        letters = stem.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return np.array([token.id for token in self._model.tokenize(letters)], "<u4").tobytes()
+
     def _word(self, before: str, word: str) -> bytes:
         plain = _PLAIN.fullmatch(word)
         if not plain:
             return self.whole(before + word)
         stem, marks = plain.groups()
         ids = self._stems[before + (stem.lower() if self.lower else stem)]
-        return ids + self._stems[marks] if marks else ids
+        return ids + self._marks[marks] if marks else ids
 
     def _spaced(self, text: str) -> bytes:
         lines = [line.split(" ") for line in text.split("\n")]
         # equal counts: every white space is one space or one line end between two words
         if sum(map(len, lines)) != len(text.split()) or any(s in text for s in self.special):
             return self.whole(text)
-        first, inner, end = self._first, self._inner, self._stems["\n"]
+        first, inner, end = self._first, self._inner, self._marks["\n"]
         parts = []
         for words in lines:
             parts.append(first[words[0]])
