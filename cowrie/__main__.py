@@ -63,9 +63,11 @@ def main(argv: list[str] | None = None) -> None:
         else:
             print(bronze.ingest(spark, lake, args.raw, args.data_type, args.country, args.date))
     elif args.job == "silver":
-        print("refined" if silver.refresh(lake, args.data_type, args.date, args.refresh_current) else "nothing pending")
+        rows = silver.refresh(lake, args.data_type, args.date, args.refresh_current)
+        print("nothing pending" if rows is None else f"{rows} rows refined")
     elif args.job == "gold":
-        print("computed" if gold.refresh(lake, args.kpi, args.refresh_current, args.null_safe) else "nothing pending")
+        rows = gold.refresh(lake, args.kpi, args.refresh_current, args.null_safe)
+        print("nothing pending" if rows is None else f"{rows} rows computed")
     elif args.job == "report":
         print(f"{report.publish(lake, args.date)} limits breached")
     else:

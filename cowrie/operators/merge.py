@@ -11,8 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FEW_KEYS = 10_000_000  # as hashes about 160 MB: what a merge may broadcast
-
 
 def _aside(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*(F.col(k).alias(f"_{k}") for k in keys))
@@ -36,36 +34,29 @@ def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe:
     return left.join(other, _same(left, other, keys, null_safe), "left_anti")
 
 
-def may_match(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], few: bool = False
-) -> DataFrame:
+def may_match(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key hash occurs in the source: all matches, and hardly another.
 
     A merge has to look for its keys in the whole target.  Only 64-bit hashes are
-    compared for that, and where the source is known to be small (``few``) its
-    hashes are broadcast, so that the target is scanned but not shuffled.  The
-    keys must have the same types on both sides.
+    compared for that.  Where the source's are below the session's broadcast
+    threshold, by its files or as measured at run time, Spark broadcasts them and
+    the target is scanned but not shuffled.  The keys must have the same types on
+    both sides.
     """
     hashes = source.select(F.xxhash64(*keys).alias("_source_hash"))
-    if few:
-        hashes = F.broadcast(hashes)
     hashed = target.withColumn("_hash", F.xxhash64(*keys))
     found = hashed.join(hashes, hashed["_hash"] == hashes["_source_hash"], "left_semi")
     return found.drop("_hash")
 
 
-def rows_to_insert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], few: bool = False
-) -> DataFrame:
+def rows_to_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks; duplicates inside the source stay."""
-    return unmatched(source, may_match(target.select(*keys), source, keys, few), keys)
+    return unmatched(source, may_match(target.select(*keys), source, keys), keys)
 
 
-def rows_to_update(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], few: bool = False
-) -> DataFrame:
+def rows_to_update(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key the source brings."""
-    return matched(may_match(target, source, keys, few), source, keys)
+    return matched(may_match(target, source, keys), source, keys)
 
 
 def upserted(

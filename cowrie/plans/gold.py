@@ -28,6 +28,11 @@ class Indicator:
     grain: str
     keys: tuple[str, ...]
     compute: Callable[[Lake, dt.date], DataFrame]
+    also: tuple[str, ...] = ()
+
+    @property
+    def sources(self) -> tuple[str, ...]:
+        return (self.source, *self.also)
 
 
 def _since(lake: Lake, source: str, first: dt.date) -> DataFrame:
@@ -74,7 +79,7 @@ INDICATORS = {
         "loan_repayments", "day", ("period", "country_code", "loan_type"), _npl
     ),
     "customer_arpu_monthly": Indicator(
-        "bank_transactions", "month", ("period", "country_code", "segment"), _arpu
+        "bank_transactions", "month", ("period", "country_code", "segment"), _arpu, ("loan_repayments",)
     ),
     "loss_ratio_by_product": Indicator(
         "insurance_operations", "month", ("period", "country_code", "product_line"), _loss_ratio
@@ -100,16 +105,19 @@ def new_periods(lake: Lake, name: str, refresh_current: bool = False) -> list[dt
 
 def refresh(
     lake: Lake, name: str, refresh_current: bool = False, null_safe: bool = False
-) -> bool:
-    """Compute an indicator's pending periods and upsert them; False if there are none.
+) -> int | None:
+    """Compute an indicator's pending periods and upsert them.
+
+    Returns the rows computed, None if no period is pending.
 
     The pending periods are exactly those after the mark, so they are read as a
     range of days that prunes partitions, not as a list.
     """
     indicator = INDICATORS[name]
+    for source in indicator.sources:
+        lake.silver(source).recover()  # what a dead job has left half done would be passed by for ever
     periods = new_periods(lake, name, refresh_current)
     if not periods:
-        return False
+        return None
     computed = indicator.compute(lake, periods[0])
-    lake.gold(name).upsert(computed, list(indicator.keys), null_safe)
-    return True
+    return lake.gold(name).upsert(computed, list(indicator.keys), null_safe)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from cowrie.functions.money import with_eur
 from cowrie.functions.periods import period_of
@@ -51,23 +52,24 @@ def pending_days(lake: Lake, name: str, refresh_current: bool = False) -> list[d
 
 def refresh(
     lake: Lake, name: str, day: dt.date | None = None, refresh_current: bool = False
-) -> bool:
+) -> int | None:
     """Refine one day again, or all days after the last one in silver.
 
-    Returns whether there was anything to do.
+    Returns the rows refined, None if no day is pending.
     """
     dataset = DATASETS[name]
     bronze, silver = lake.bronze(name), lake.silver(name)
-    silver.recover()
+    for table in (bronze, silver, *map(lake.bronze, dataset.references)):
+        table.recover()  # what a dead job has left half done would be passed by for ever
     if day is None:
         days = pending_days(lake, name, refresh_current)
     else:
         days = [d for d in bronze.days("event_date") if d == day]
     if not days:
-        return False
+        return None
     rows = bronze.read_days("event_date", days[0], days[-1])
     references = {r: lake.bronze(r).read() for r in dataset.references}
-    silver.merge(
-        refined(rows, dataset, references, moment="event_date", single_day=len(days) == 1)
-    )
-    return True
+    counts = Observation(f"refined_{name}")
+    fine = refined(rows, dataset, references, moment="event_date", single_day=len(days) == 1)
+    silver.merge(fine.observe(counts, F.count(F.lit(1)).alias("rows")))
+    return counts.get["rows"]

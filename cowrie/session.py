@@ -9,9 +9,9 @@ from pyspark.sql import SparkSession
 
 # Days, weeks and months are cut in UTC whatever the cluster's own zone is.
 # AQE sizes the shuffle partitions, splits hot ones, and turns a join into a
-# broadcast only once it has measured the small side.  The library's one hint, in
-# ``operators.merge``, is given after counting the rows.
+# broadcast only once it has measured the small side.  Sums that overflow are errors.
 SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -26,9 +26,6 @@ SETTINGS = {
 }
 
 
-MOST_PIECES = 100_000  # beyond it the bookkeeping per map task outweighs smaller pieces
-
-
 def configure(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
@@ -49,7 +46,7 @@ def expect_shuffle(spark: SparkSession, size: int, piece: int = 256 << 20) -> in
     large job has to begin with enough of them.  Returns their number.
     """
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pieces = min(max(least, -(-size // piece)), MOST_PIECES)
+    pieces = max(least, -(-size // piece))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(pieces))
     return pieces
 
@@ -58,9 +55,12 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder that every executor can reach.
 
     It lies under the checkpoint folder the cluster names.  Only where none is
-    named (a single-machine test) a temporary folder of this machine is used.
+    named and all runs in one process a temporary folder of this machine is used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/cowrie/{label}-{uuid.uuid4().hex}"
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"cowrie-{label}-")

@@ -40,6 +40,22 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def exchange(spark: SparkSession, folder: str, target: str) -> None:
+    """Put ``folder`` in the place of ``target``."""
+    fs, source = _handle(spark, folder)
+    destination = _handle(spark, target)[1]
+    fs.mkdirs(destination.getParent())
+    fs.delete(destination, True)
+    if not fs.rename(source, destination):
+        raise OSError(f"{folder} can't be moved to {target}")
+
+
+def same(spark: SparkSession, path: str, other: str) -> bool:
+    """Whether two spellings name one place, as with and without ``file:``."""
+    fs, a = _handle(spark, path)
+    return fs.makeQualified(a).equals(fs.makeQualified(_handle(spark, other)[1]))
+
+
 def publish_single(spark: SparkSession, folder: str, target: str) -> None:
     """Turn the one part file Spark wrote into a folder into the file ``target``."""
     part = next(name for name in children(spark, folder) if name.startswith("part-"))

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,26 +27,27 @@ class DuplicateMatch(ValueError):
     """Several source rows would update one target row."""
 
 
-class Lake:
-    """Where each table of the platform lies and how it is merged.
+class WrongShape(ValueError):
+    """Rows whose columns aren't those of the table they are for."""
 
-    Facts are partitioned by country and day.  ``by_day=False`` keeps the days of a
-    country together, for facts so few that a folder per day would hold next to
-    nothing.
-    """
 
-    def __init__(self, spark: SparkSession, root: str, by_day: bool = True):
+class HalfWritten(RuntimeError):
+    """A table that a job is changing, or has left half changed."""
+
+
+class Lake:
+    """Where each table of the platform lies and how it is merged; facts are cut by country and day."""
+
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.by_day = by_day
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
     def _facts(self, layer: str, name: str, update: bool) -> FactTable:
         dataset = DATASETS[name]
-        places = [c for c in dataset.partition_by if self.by_day or c != "event_date"]
-        return FactTable(self.spark, self.path(layer, name), dataset.key, places, update)
+        return FactTable(self.spark, self.path(layer, name), dataset.key, dataset.partition_by, update)
 
     def bronze(self, name: str) -> FactTable:
         return self._facts("bronze", name, update=False)
@@ -69,7 +71,9 @@ class Lake:
 
     def ingested_files(self) -> FactTable:
         ledger = FactTable(self.spark, self.path("bronze", "ingested_files"), "path", ["dataset"])
-        ledger.create("path string, dataset string, ingested_at timestamp")
+        ledger.create(
+            "path string, length long, modified timestamp, dataset string, ingested_at timestamp"
+        )
         return ledger
 
 
@@ -78,7 +82,8 @@ class FactTable:
 
     A merge first stores its source in ``_incoming``.  Should the job die while
     the partitions are being changed, the next one finds the source there and
-    merges it again, which ends in the same table.
+    merges it again, which ends in the same table.  Until then the table can't be
+    read: a job that took part of a merge would set its mark beyond the rest.
     """
 
     def __init__(
@@ -94,6 +99,8 @@ class FactTable:
         self.key = key
         self.partition_by = list(partition_by)
         self.update = update
+        if update and not self.partition_by:
+            raise ValueError("a table whose rows are replaced has to be partitioned")
         self._schema: StructType | None = None
         self._schema_path = f"{path}/_schema"
         self._incoming = f"{path}/_incoming"
@@ -105,10 +112,10 @@ class FactTable:
         return files.is_complete(self.spark, self._schema_path)
 
     def create(self, schema: StructType | str) -> None:
-        """Fix the schema if the table is new; a concurrent creation is tolerated."""
+        """Fix the schema if the table is new, also where a creation was left half done."""
         if not self.exists():
             empty = self.spark.createDataFrame([], schema)
-            empty.coalesce(1).write.mode("ignore").options(**files.MARK_DONE).parquet(self._schema_path)
+            empty.coalesce(1).write.mode("overwrite").options(**files.MARK_DONE).parquet(self._schema_path)
 
     def schema(self) -> StructType:
         if self._schema is None:  # written once, when the table is created
@@ -117,11 +124,22 @@ class FactTable:
 
     def read(self) -> DataFrame:
         """The table; the stored schema saves inferring one from files and folders."""
+        self._refuse_half_written()
         return self._read(self.path)
 
     def _read(self, path: str) -> DataFrame:
-        schema = self.schema()
-        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
+        return self.spark.read.schema(self.schema()).parquet(path).select(*self.schema().names)
+
+    def _read_folders(self, folders: Sequence[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema())
+        reader = self.spark.read.schema(self.schema()).option("basePath", self.path)
+        return reader.parquet(*folders).select(*self.schema().names)
+
+    def _refuse_half_written(self) -> None:
+        for staged in (self._rewrite, self._incoming):
+            if files.is_complete(self.spark, staged):
+                raise HalfWritten(f"{self.path} is being merged; if no job is, recover() completes it")
 
     def read_days(
         self, column: str, first: dt.date | None = None, last: dt.date | None = None
@@ -131,6 +149,7 @@ class FactTable:
         Where the table is cut by days only the folders wanted are listed, not the
         tens of thousands of a long history.
         """
+        self._refuse_half_written()
         rows = F.lit(True)
         if first is not None:
             rows = rows & (F.col(column) >= F.lit(first))
@@ -143,10 +162,7 @@ class FactTable:
             for folder, day in self._day_folders(column)
             if (first is None or day >= first) and (last is None or day <= last)
         ]
-        if not wanted:
-            return self.spark.createDataFrame([], self.schema())
-        reader = self.spark.read.schema(self.schema()).option("basePath", self.path)
-        return reader.parquet(*wanted).select(*self.schema().names)
+        return self._read_folders(wanted)
 
     def _day_folders(self, column: str) -> list[tuple[str, dt.date]]:
         folders = [self.path]
@@ -168,6 +184,7 @@ class FactTable:
         """
         if not self.exists():
             return []
+        self._refuse_half_written()
         if column in self.partition_by:
             return sorted({day for _, day in self._day_folders(column)})
         found = self.read().select(column).filter(F.col(column).isNotNull()).distinct()
@@ -180,20 +197,30 @@ class FactTable:
 
     def append(self, df: DataFrame) -> None:
         self.create(df.schema)
-        self._write(df, "append")
+        self._write(self._fitting(df), "append")
 
     def replace_partitions(self, df: DataFrame) -> None:
         """Exchange the partitions that ``df`` has rows for, and no others."""
         self.create(df.schema)
-        self._write(df, "overwrite")
+        self._write(self._fitting(df), "overwrite")
 
     def merge(self, source: DataFrame) -> None:
         """Insert the rows with a new key; update the others, or leave them be."""
         self.recover()
         self.create(source.schema)
-        source.write.mode("overwrite").options(**files.MARK_DONE).parquet(self._incoming)
+        staged = self._fitting(source).write.mode("overwrite").options(**files.MARK_DONE)
+        staged.parquet(self._incoming)
         self._merge_incoming()
 
+    def _fitting(self, df: DataFrame) -> DataFrame:
+        """``df`` if it has the columns of the table, in any order, else an error: nothing is dropped or blanked."""
+        own = {f.name: f.dataType.simpleString() for f in self.schema()}
+        brought = {f.name: f.dataType.simpleString() for f in df.schema}
+        if own != brought or len(df.columns) != len(brought):
+            wrong = sorted(set(own.items()) ^ set(brought.items()))
+            raise WrongShape(f"{self.path} has other columns or types than what is written: {wrong}")
+        return df
+
     def recover(self) -> None:
         """Finish what a job that died has left half done."""
         if files.is_complete(self.spark, self._rewrite):
@@ -203,23 +230,23 @@ class FactTable:
 
     def _merge_incoming(self) -> None:
         source = self._read(self._incoming)
-        few = source.count() <= merge.FEW_KEYS  # read from the footers
         try:
-            self._update_and_insert(source, few) if self.update else self._insert(source, few)
+            self._update_and_insert(source) if self.update else self._insert(source)
         except DuplicateMatch:
             files.remove(self.spark, self._incoming)  # refused, not to be tried again
             raise
         files.remove(self.spark, self._incoming)
 
-    def _insert(self, source: DataFrame, few: bool) -> None:
-        self._write(merge.rows_to_insert(self.read(), source, [self.key], few), "append")
+    def _insert(self, source: DataFrame) -> None:
+        self._write(merge.rows_to_insert(self._read(self.path), source, [self.key]), "append")
 
-    def _update_and_insert(self, source: DataFrame, few: bool) -> None:
-        """Rewrite the partitions that hold rows to be replaced, append to the others."""
-        target = self.read()
-        keys = [self.key]
-        held = merge.rows_to_update(target.select(self.key, *self.partition_by), source, keys, few)
-        places = held.select(*self.partition_by).distinct().collect()
+    def _update_and_insert(self, source: DataFrame) -> None:
+        """Rewrite the folders that hold rows to be replaced, append to the others."""
+        keys, folder = [self.key], "_folder"
+        stored = self.spark.read.schema(self.schema()).parquet(self.path)
+        where = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias(folder)
+        held = merge.rows_to_update(stored.select(self.key, *self.partition_by, where), source, keys)
+        places = held.select(*self.partition_by, folder).distinct().collect()
         if not places:
             self._write(source, "append")
             return
@@ -227,51 +254,42 @@ class FactTable:
         if not repeated.isEmpty() and not merge.matched(repeated, held, keys).isEmpty():
             raise DuplicateMatch(f"several source rows for one {self.key} of {self.path}")
 
+        # paths come as URIs; undone once they are the folders' own names
+        folders = sorted({unquote(place[folder]) for place in places})
         touched = self.spark.createDataFrame(
-            places, StructType([self.schema()[c] for c in self.partition_by])
-        )
-        nearby = self._pruned(target, places)
-        kept = merge.unmatched(self._within(nearby, touched), source, keys)
-        rewritten = kept.unionByName(self._within(source, touched))
-        self._partitioned(rewritten, "overwrite", self._rewrite)
-        emptied = merge.unmatched(
-            touched, self._read(self._rewrite).select(*self.partition_by).distinct(),
-            self.partition_by, null_safe=True,
-        ).collect()
-        self._put_rewritten()
-        for place in emptied:
-            files.remove(self.spark, self._folder(place.asDict()))
+            [tuple(place[c] for c in self.partition_by) for place in places],
+            StructType([self.schema()[c] for c in self.partition_by]),
+        ).distinct()
+        kept = merge.unmatched(self._read_folders(folders), source, keys)
+        self._partitioned(kept.unionByName(self._within(source, touched)), "overwrite", self._rewrite)
+        self._put_rewritten(folders)
         self._write(merge.unmatched(source, touched, self.partition_by, null_safe=True), "append")
 
-    def _pruned(self, df: DataFrame, places: Sequence[Row]) -> DataFrame:
-        """Rows in the range of the places: a plain filter, which prunes the scan."""
-        for column in self.partition_by:
-            values = {place[column] for place in places}
-            known = values - {None}
-            inside = F.lit(False)
-            if known:
-                inside = F.col(column).between(F.lit(min(known)), F.lit(max(known)))
-            df = df.filter(inside | F.col(column).isNull() if None in values else inside)
-        return df
-
     def _within(self, df: DataFrame, touched: DataFrame) -> DataFrame:
         return merge.matched(df, touched, self.partition_by, null_safe=True)
 
-    def _put_rewritten(self) -> None:
-        # its files are cut by partition already: no second shuffle
-        self._partitioned(self._read(self._rewrite), "overwrite", self.path, shuffle=False)
-        files.remove(self.spark, self._rewrite)
+    def _put_rewritten(self, emptied: Sequence[str] = ()) -> None:
+        """Move the rewritten folders into the table; ``emptied`` ones that weren't rewritten go.
 
-    def _folder(self, place: dict) -> str:
-        return "/".join(
-            [self.path, *(f"{c}={NO_VALUE if v is None else v}" for c, v in place.items())]
-        )
+        Each folder is exchanged by itself.  What a dead job has not moved is still
+        there for the next one, and its source, merged again, empties what it left.
+        """
+        written = [self._rewrite]
+        for _ in self.partition_by:
+            written = [f"{w}/{c}" for w in written for c in files.children(self.spark, w) if "=" in c]
+        for folder in written:
+            files.exchange(self.spark, folder, self.path + folder.removeprefix(self._rewrite))
+        done = {self.path + folder.removeprefix(self._rewrite) for folder in written}
+        for folder in emptied:
+            if not any(files.same(self.spark, folder, d) for d in done):
+                files.remove(self.spark, folder)
+        files.remove(self.spark, self._rewrite)
 
     def _write(self, df: DataFrame, mode: str) -> None:
         self._partitioned(df.select(*self.schema().names), mode, self.path)
 
-    def _partitioned(self, df: DataFrame, mode: str, path: str, shuffle: bool = True) -> None:
-        if self.partition_by and shuffle:
+    def _partitioned(self, df: DataFrame, mode: str, path: str) -> None:
+        if self.partition_by:
             # one writing task per partition, except that AQE splits the oversized ones
             df = df.hint("rebalance", *self.partition_by)
         output = df.write.mode(mode).options(partitionOverwriteMode="dynamic", **files.MARK_DONE)
@@ -309,8 +327,24 @@ class SmallTable:
         for version in versions[:-1]:
             files.remove(self.spark, self._folder(version))
 
-    def upsert(self, source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> None:
-        """``source`` holds one row per key, as a ``groupBy`` over the keys gives."""
+    def upsert(self, source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> int:
+        """Replace the rows with the source's keys and add the others; returns the source's number of rows.
+
+        Several source rows for one stored row are refused; new keys may repeat.
+        """
+        staged = f"{self.path}/_incoming"  # computed once, though it is looked at twice
+        source.write.mode("overwrite").parquet(staged)
+        source = self.spark.read.schema(source.schema).parquet(staged)
+        rows = source.count()
         if self.exists():
-            source = merge.upserted(self.read(), source, keys, null_safe)
+            stored = self.read()
+            own, brought = ({f.name: f.dataType.simpleString() for f in df.schema} for df in (stored, source))
+            if own != brought:
+                raise WrongShape(f"{self.path} has other columns or types: {sorted(set(own.items()) ^ set(brought.items()))}")
+            repeated = merge.repeated_keys(source, keys)
+            if not merge.matched(repeated, stored, keys, null_safe).isEmpty():
+                raise DuplicateMatch(f"several source rows for one row of {self.path}")
+            source = merge.upserted(stored, source, keys, null_safe)
         self.write(source)
+        files.remove(self.spark, staged)
+        return rows

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cowrie.operators import merge
 from cowrie.operators.incremental import first_pending, pending_periods
 from cowrie.sources import files
-from cowrie.sources.lake import DuplicateMatch, FactTable, Lake, SmallTable
+from cowrie.sources.lake import DuplicateMatch, FactTable, HalfWritten, Lake, SmallTable, WrongShape
 
 DDL = "k string, v int, place string"
 
@@ -187,3 +187,68 @@ def test_days_come_from_folders_or_from_rows(spark, tmp_path, rows):
         assert keys(day("2026-02-01")) == set()
         read = table.read_days("event_date", day("2026-01-01"), day("2026-01-01"))
         assert as_set(read) == {("b", "GH", day("2026-01-01"))}
+
+
+def test_a_half_written_table_is_not_read(table, rows, monkeypatch):
+    table.merge(rows(DDL, ("a", 1, "x")))
+    with monkeypatch.context() as patched:
+        patched.setattr(table, "_update_and_insert", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.merge(rows(DDL, ("a", 2, "x"), ("b", 3, "y")))
+    for read in (table.read, lambda: table.read_days("place"), lambda: table.days("place")):
+        with pytest.raises(HalfWritten):
+            read()
+    table.recover()
+    assert as_set(table.read()) == {("a", 2, "x"), ("b", 3, "y")}
+
+
+@pytest.mark.parametrize("ddl,row", [
+    ("k string, place string", ("a", "x")),
+    (f"{DDL}, more int", ("a", 2, "x", 3)),
+    ("k string, v string, place string", ("a", "2", "x")),
+])
+def test_rows_of_another_shape_are_refused(table, insert_only, rows, ddl, row):
+    for t in (table, insert_only):
+        t.merge(rows(DDL, ("a", 1, "x")))
+        for write in (t.merge, t.append, t.replace_partitions):
+            with pytest.raises(WrongShape):
+                write(rows(ddl, row))
+        assert as_set(t.read()) == {("a", 1, "x")}
+        t.merge(rows("place string, v int, k string", ("x", 5, "z")))  # the order of columns doesn't matter
+        assert as_set(t.read()) == {("a", 1, "x"), ("z", 5, "x")}
+
+
+def test_a_row_moves_out_of_a_partition_with_an_odd_name(table, rows):
+    for name in ("x:y", "50% off/now", "a=b", "é ü"):
+        table.merge(rows(DDL, ("a", 1, name), ("keep", 0, "q")))
+        table.merge(rows(DDL, ("a", 2, "z")))
+        assert as_set(table.read()) == {("a", 2, "z"), ("keep", 0, "q")}
+
+
+def test_an_interrupted_creation_is_completed(table, rows):
+    os.makedirs(f"{table.path}/_schema")
+    table.merge(rows(DDL, ("a", 1, "x")))
+    assert as_set(table.read()) == {("a", 1, "x")}
+
+
+def test_an_upsert_rewrites_only_the_folders_of_its_rows(table, rows):
+    table.merge(rows(DDL, ("a", 1, "a"), ("b", 2, "m"), ("c", 3, "z")))
+    middle = sorted(os.listdir(f"{table.path}/place=m"))
+    table.merge(rows(DDL, ("a", 10, "a"), ("c", 30, "z")))
+    assert sorted(os.listdir(f"{table.path}/place=m")) == middle  # though its name lies between the others
+    assert as_set(table.read()) == {("a", 10, "a"), ("b", 2, "m"), ("c", 30, "z")}
+
+
+def test_aggregates_refuse_ambiguous_updates_and_other_shapes(spark, rows, tmp_path):
+    small, ddl = SmallTable(spark, str(tmp_path / "s")), "p int, g string, v int"
+    small.upsert(rows(ddl, (1, None, 1), (1, "a", 2)), ["p", "g"], null_safe=True)
+    with pytest.raises(DuplicateMatch):
+        small.upsert(rows(ddl, (1, None, 3), (1, None, 4)), ["p", "g"], null_safe=True)
+    with pytest.raises(WrongShape):
+        small.upsert(rows("p int, g string", (1, "a")), ["p", "g"])
+    assert small.read().count() == 2
+
+
+def test_unpartitioned_tables_only_grow(spark, tmp_path):
+    with pytest.raises(ValueError):
+        FactTable(spark, str(tmp_path / "u"), "k", [], update=True)

@@ -8,8 +8,8 @@ from conftest import as_set, day
 from cowrie.__main__ import arguments
 from cowrie.model import DATASETS, FACTS
 from cowrie.plans import bronze, gold, report, silver
-from cowrie.sources import raw_files
-from cowrie.sources.lake import Lake
+from cowrie.sources import files, raw_files
+from cowrie.sources.lake import FactTable, Lake
 
 BANK_HEADER = ("transaction_id,timestamp,account_id,beneficiary_account,branch_id,country_code,transaction_type,"
                "amount,currency,channel,transaction_status,fee_amount,entity_type")
@@ -137,6 +137,63 @@ def test_listing_and_coverage(spark, raw):
     }
 
 
+def test_a_file_delivered_again_under_its_name_is_read_again(spark, lake, raw):
+    name = "CI/mobile_money/20260510/mobile_money_CI_20260510_01.csv"
+    put(raw, name, MOBILE_HEADER, payment("m1", "2026-05-10 08:00:00"))
+    assert bronze.ingest(spark, lake, str(raw), "mobile_money").files == 1
+    put(raw, name, MOBILE_HEADER, payment("m1", "2026-05-10 08:00:00"), payment("m2", "2026-05-10 09:00:00"))
+    assert bronze.ingest(spark, lake, str(raw), "mobile_money").files == 1
+    assert bronze.ingest(spark, lake, str(raw), "mobile_money").files == 0
+    assert {r[0] for r in lake.bronze("mobile_money").read().select("payment_id").collect()} == {"m1", "m2"}
+
+
+def test_silver_takes_all_of_a_bronze_load_that_died(spark, lake, raw, monkeypatch):
+    put_references(raw)
+    ingest(spark, lake, raw, "customers")
+    put(raw, "CI/mobile_money/20260510/mobile_money_CI_20260510_01.csv", MOBILE_HEADER,
+        payment("m8", "2026-05-08 08:00:00"), payment("m9", "2026-05-09 08:00:00"))
+
+    def half(table, source):
+        table._write(source.filter("payment_id = 'm9'"), "append")
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(FactTable, "_insert", half)
+        with pytest.raises(RuntimeError):
+            bronze.ingest(spark, lake, str(raw), "mobile_money")
+    assert silver.refresh(lake, "mobile_money") == 2
+    assert {r[0] for r in lake.silver("mobile_money").read().select("payment_id").collect()} == {"m8", "m9"}
+    assert silver.refresh(lake, "mobile_money") is None
+
+
+def test_gold_takes_all_of_a_silver_merge_that_died(spark, lake, raw, monkeypatch):
+    put_references(raw)
+    ingest(spark, lake, raw, "customers")
+    first = "CI/mobile_money/20260510/mobile_money_CI_20260510_01.csv"
+    put(raw, first, MOBILE_HEADER, payment("m1", "2026-05-10 08:00:00"), payment("m2", "2026-05-11 08:00:00"))
+    ingest(spark, lake, raw, "mobile_money")
+    silver.refresh(lake, "mobile_money")
+    put(raw, first, MOBILE_HEADER, payment("m3", "2026-05-10 09:00:00"))
+    ingest(spark, lake, raw, "mobile_money")
+    real, moved = files.exchange, []
+
+    def once(spark, folder, target):
+        if moved:
+            raise RuntimeError("driver lost")
+        files.remove(spark, target)  # the old rows are gone, the new ones not yet there
+        moved.append(target)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "exchange", once)
+        with pytest.raises(RuntimeError):
+            silver.refresh(lake, "mobile_money", refresh_current=True)
+    assert moved and files.exchange is real
+    assert gold.refresh(lake, "mobile_money_daily_flow") == 2
+    rows = lake.gold("mobile_money_daily_flow").read().select("period", "txn_count").collect()
+    assert sorted(r["txn_count"] for r in rows) in ([1, 1], [1, 2])
+
+
 def ingest(spark, lake, raw, *names):
     for name in names:
         assert bronze.ingest(spark, lake, str(raw), name).rows_handled >= 1
