@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cowrie.functions.money import cents, euros, mean_eur, ratio, sum_eur
+from cowrie.functions.money import beyond, cents, euros, mean_eur, ratio, sum_cents, sum_eur, total
 from cowrie.functions.periods import period_of
 from cowrie.model import (
     CLAIM,
@@ -21,6 +21,7 @@ from cowrie.model import (
     PAYMENT_FAILED,
     PREMIUM,
 )
+from cowrie.session import shared_folder
 
 
 def is_settled_claim() -> Column:
@@ -54,43 +55,57 @@ def npl_ratio_by_country(
     """Share in default of all that was due up to each period (a stock).
 
     Facts shrink to one row per day and group; a running sum over those gives the
-    stock from each day to the group's next one, and each such stretch is spread
-    over its calendar days.  So the facts are aggregated once, however many
-    periods are reported.  Reported are the days present from ``first`` on, or
-    the given ``periods`` (one column ``period``).
+    stock.  It is read at a mark for each group and reported day: the days present
+    from ``first`` on, or the given ``periods`` (one column ``period``).  So the facts
+    are aggregated once, when the function is called, however many periods are
+    reported, and days without rows cost nothing, however far apart.
     """
     group = ["country_code", "loan_type"]
-    defaulted = F.when(F.col("repayment_status") == DEFAULTED, cents("amount_due_eur")).otherwise(0)
+    sums = ["d", "d_beyond", "t", "t_beyond"]
+    due = F.col("amount_due_eur")
+    bad = F.when(F.col("repayment_status") == DEFAULTED, due).otherwise(F.lit(0.0))
     daily = (
         loans.filter(F.col(moment).isNotNull())
         .groupBy(period_of(moment, "day").alias("day"), *group)
-        .agg(F.sum(defaulted).alias("d"), F.sum(cents("amount_due_eur")).alias("t"))
+        .agg(
+            F.sum(cents(bad)).alias("d"), F.sum(beyond(bad)).alias("d_beyond"),
+            F.sum(cents(due)).alias("t"), F.sum(beyond(due)).alias("t_beyond"),
+        )
     )
+    # written: days, groups and sums are read from it, and the facts but once
+    folder = shared_folder(loans.sparkSession, "daily-due")
+    daily.write.parquet(folder)
+    daily = loans.sparkSession.read.schema(daily.schema).parquet(folder)
     if periods is None:
-        # the whole row takes part, so that Spark reuses the aggregate computed above
-        last = daily.agg(F.max(F.struct("day", "d", "t"))["day"].alias("last")).scalar()
-        begin = F.col("day") if first is None else F.greatest("day", F.lit(first))
+        reported = daily.select(F.col("day").alias("period")).distinct()
+        if first is not None:
+            reported = reported.filter(F.col("period") >= F.lit(first))
     else:
-        last = periods.agg(F.max("period")).scalar()
-        begin = F.greatest("day", periods.agg(F.min("period")).scalar())
+        reported = periods.select("period").distinct()
+    # one date for each day there is: a list, ascending, of some thousands at most
+    listed = reported.agg(F.sort_array(F.collect_list("period"))).scalar()
 
-    by_day = Window.partitionBy(*group).orderBy("day")
-    so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
-    stretches = daily.select(
-        *group,
-        "day",
-        F.sum("d").over(so_far).alias("d"),
-        F.sum("t").over(so_far).alias("t"),
-        F.date_sub(F.lead("day").over(by_day), 1).alias("stop"),
-    ).withColumns({"begin": begin, "stop": F.least("stop", last)})
-    stocks = stretches.filter("begin <= stop").select(
-        F.explode(F.sequence("begin", "stop")).alias("period"), *group, "day", "d", "t"
+    marks = daily.select(*group).distinct().select(
+        F.explode(listed).alias("day"), *group, *(F.lit(None).cast(daily.schema[c].dataType).alias(c) for c in sums),
+        F.lit(True).alias("mark"),
+    )
+    # a day's own rows come before its mark
+    so_far = (
+        Window.partitionBy(*group).orderBy("day", "mark").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    stocks = (
+        daily.withColumn("mark", F.lit(False))
+        .unionByName(marks)
+        .select(
+            F.col("day").alias("period"),
+            *group,
+            "mark",
+            F.min("mark").over(so_far).alias("before_all"),
+            total(F.sum("d").over(so_far), F.sum("d_beyond").over(so_far)).alias("d"),
+            total(F.sum("t").over(so_far), F.sum("t_beyond").over(so_far)).alias("t"),
+        )
+        .filter("mark AND NOT before_all")
     )
-    if periods is None:
-        present = F.max(F.col("period") == F.col("day")).over(Window.partitionBy("period"))
-        stocks = stocks.withColumn("present", present).filter("present")
-    else:
-        stocks = stocks.join(periods, "period", "left_semi")
     return stocks.select(
         "period",
         *group,
@@ -119,7 +134,7 @@ def customer_arpu_monthly(
             "country_code",
             "segment",
             "customer_id",
-            F.coalesce(cents(amount), F.lit(0)).alias("revenue"),
+            F.coalesce(F.col(amount), F.lit(0.0)).alias("revenue"),
             F.lit(from_bank).alias("from_bank"),
         )
 
@@ -127,7 +142,7 @@ def customer_arpu_monthly(
         side(loans, loan_moment, "amount_paid_eur", 0)
     )
     grouped = both.groupBy("period", "country_code", "segment").agg(
-        F.sum("revenue").alias("revenue"),
+        sum_cents("revenue").alias("revenue"),
         F.count_distinct("customer_id").alias("nb_customers"),
         F.max("from_bank").alias("from_bank"),
     )
@@ -162,8 +177,8 @@ def loss_ratio_by_product(operations: DataFrame, moment: str = "timestamp") -> D
             F.when(unknown, is_premium()).alias("apart"),
         )
         .agg(
-            F.coalesce(F.sum(F.when(is_settled_claim(), cents("amount_eur"))), F.lit(0)).alias("claims"),
-            F.coalesce(F.sum(F.when(is_premium(), cents("amount_eur"))), F.lit(0)).alias("premiums"),
+            F.coalesce(sum_cents(F.when(is_settled_claim(), F.col("amount_eur"))), F.lit(0.0)).alias("claims"),
+            F.coalesce(sum_cents(F.when(is_premium(), F.col("amount_eur"))), F.lit(0.0)).alias("premiums"),
         )
     )
     return grouped.select(

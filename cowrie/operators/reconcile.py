@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cowrie.functions.money import cents, euros
+from cowrie.functions.money import euros, sum_cents
 
 
 def reconcile(batch: DataFrame, stream: DataFrame, key: str, amount: str = "amount_eur") -> DataFrame:
@@ -16,7 +16,7 @@ def reconcile(batch: DataFrame, stream: DataFrame, key: str, amount: str = "amou
     """
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col(key), cents(amount).alias("amount"), F.lit(name).alias("side"))
+        return df.select(F.col(key), F.col(amount).cast("double").alias("amount"), F.lit(name).alias("side"))
 
     def of(name: str, value) -> object:
         return F.when(F.col("side") == name, value)
@@ -28,8 +28,8 @@ def reconcile(batch: DataFrame, stream: DataFrame, key: str, amount: str = "amou
         .agg(
             F.count(of("batch", F.lit(1))).alias("batch_rows"),
             F.count(of("stream", F.lit(1))).alias("stream_rows"),
-            F.sum(of("batch", F.col("amount"))).alias("b"),
-            F.sum(of("stream", F.col("amount"))).alias("s"),
+            sum_cents(of("batch", F.col("amount"))).alias("b"),
+            sum_cents(of("stream", F.col("amount"))).alias("s"),
         )
     )
     outcome = (

@@ -45,7 +45,18 @@ def test_mean_of_half_a_cent_rounds_up(rows):
     assert df.agg(mean_eur("a").alias("m")).collect()[0]["m"] == 50.01
 
 
-def test_nan_amount_has_no_cents(rows):
+def test_no_amount_is_left_out_of_a_sum(rows):
+    def sums(*amounts):
+        got = rows("a double", *((a,) for a in amounts)).agg(sum_eur("a").alias("e"), sum_native("a").alias("n")).collect()[0]
+        return got["e"], got["n"]
+
+    assert sums(1e15, 1e17, 2e16) == (1.21e17, 1.21e17)
+    assert sums(2e16, 2e16, 2e16, 2e16, 2e16, -1.5) == (1e17 - 1.5, 1e17 - 1.5)
+    assert sums(1e300, 1.0) == (1e300, 1e300)
+    assert sums(math.inf, 5.0) == (math.inf, math.inf)
+    assert all(math.isnan(x) for x in sums(math.nan, 5.0))
+    assert sums(None, None) == (None, None)
+    assert sums(0.00001, 0.00001)[1] == 0.00002
     assert rows("a double", (math.nan,)).select(cents("a").alias("c")).collect()[0]["c"] is None
 
 
