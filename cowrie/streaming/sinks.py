@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cowrie.model import TRIGGER
@@ -13,6 +14,7 @@ from cowrie.sources import files
 
 
 ADAPTIVE = "spark.sql.adaptive.enabled"
+BATCH = "batch_id"
 
 
 def run(
@@ -66,23 +68,42 @@ def late_rows(query: StreamingQuery) -> int:
 
 @dataclass(frozen=True)
 class StreamTable:
-    """An append-only table; each micro-batch owns one folder and overwrites it on replay."""
+    """An append-only table cut by ``partition_by`` and, innermost, by micro-batch.
+
+    A replayed micro-batch overwrites its own folders.  Batches come one after another
+    and each is marked when all of it is written; readers take those up to the mark.
+    """
 
     path: str
     partition_by: Sequence[str]
 
+    @property
+    def _done(self) -> str:
+        return f"{self.path}/_done"
+
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         if not self.exists(spark):
             empty = spark.createDataFrame([], rows.schema)
-            empty.write.mode("ignore").options(**files.MARK_DONE).parquet(f"{self.path}/_schema")
-        folder = f"{self.path}/batch_id={batch_id}"
-        pieces = rows.hint("rebalance", *self.partition_by)
-        pieces.write.mode("overwrite").partitionBy(*self.partition_by).parquet(folder)
+            empty.write.mode("overwrite").options(**files.MARK_DONE).parquet(f"{self.path}/_schema")
+        pieces = rows.withColumn(BATCH, F.lit(batch_id)).hint("rebalance", *self.partition_by)
+        output = pieces.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        output.partitionBy(*self.partition_by, BATCH).parquet(self.path)
+        before = files.children(spark, self._done)
+        files.make_folder(spark, f"{self._done}/{max(batch_id, self._last(before)):020d}")
+        for mark in before:
+            if int(mark) < batch_id:
+                files.remove(spark, f"{self._done}/{mark}")
+
+    @staticmethod
+    def _last(marks: Sequence[str]) -> int:
+        return max(map(int, marks), default=-1)
 
     def exists(self, spark: SparkSession) -> bool:
         return files.is_complete(spark, f"{self.path}/_schema")
 
     def read(self, spark: SparkSession) -> DataFrame:
         schema = spark.read.parquet(f"{self.path}/_schema").schema
-        return spark.read.schema(schema).parquet(self.path)
+        last = self._last(files.children(spark, self._done))
+        rows = spark.read.schema(schema.add(BATCH, "long")).parquet(self.path)
+        return rows.filter(F.col(BATCH) <= last).drop(BATCH)

@@ -19,7 +19,7 @@ from cowrie.functions.periods import on_day
 from cowrie.model import DATASETS
 from cowrie.operators import incremental, indicators, latest, quality, regulatory
 from cowrie.plans import bronze, gold, report, silver
-from cowrie.sources import raw_files
+from cowrie.sources import files, raw_files
 from cowrie.sources.lake import FactTable, Lake, SmallTable
 from cowrie.streaming import alerts
 
@@ -132,6 +132,18 @@ def _(spark, sf):
     return indicators.daily_transaction_volume(bank(spark, sf), "event_ts")
 
 
+@query(
+    "e1_large_amounts",
+    oracle(
+        f"""SELECT {day_text('event_ts')} AS period, country_code, entity_type, transaction_type,
+                   count(*) AS txn_count, {as_eur(f"sum({cts('amount')})")} AS total_amount_eur
+            FROM v_bank_large GROUP BY ALL"""
+    ),
+)
+def _(spark, sf):
+    return indicators.daily_transaction_volume(with_eur(view(spark, sf, "v_bank_large"), ["amount"]), "event_ts")
+
+
 NPL_CTES = (
     f"""daily AS (SELECT due_date, country_code, loan_type,
               sum(CASE WHEN repayment_status = 'DEFAULT' THEN {cts('amount_due')} ELSE 0 END) AS d,
@@ -721,6 +733,23 @@ def _(spark, sf):
     return ingested_payments(spark, sf, "p1").bronze("mobile_money").read().select(*PAYMENT_COLUMNS)
 
 
+@query("p1_redelivered_files", oracle(f"{PAYMENT_SQL} FROM v_mobile"))
+def _(spark, sf):
+    """Each country's file comes with half its rows, then under the same name with all of them."""
+    root = session.shared_folder(spark, "redelivered")
+    lake, rows = Lake(spark, f"{root}/lake"), payment_rows(spark, sf)
+    countries = sorted(r[0] for r in rows.select("sender_country").distinct().collect())
+    for part in (rows.filter("CAST(payment_id AS BIGINT) % 2 = 0"), rows):
+        for country in countries:
+            parts, stamp = f"{root}/parts-{country}", "20240131"
+            mine = part.filter(F.col("sender_country") == country).coalesce(1)
+            mine.write.mode("overwrite").option("header", True).csv(parts)
+            name = f"mobile_money_{country}_{stamp}_01.csv"
+            files.publish_single(spark, parts, f"{root}/raw/{country}/mobile_money/{stamp}/{name}")
+        bronze.ingest(spark, lake, f"{root}/raw", "mobile_money")
+    return lake.bronze("mobile_money").read().select(*PAYMENT_COLUMNS)
+
+
 def customer_table(spark: SparkSession, sf: str, lake: Lake) -> None:
     customers = view(spark, sf, "v_customers").select(
         F.col("customer_id").cast("string").alias("customer_id"), "country_code", "segment", "kyc_level"
@@ -734,7 +763,7 @@ def customer_table(spark: SparkSession, sf: str, lake: Lake) -> None:
 )
 def _(spark, sf):
     """Bronze to silver to gold in two runs; the second adds the later weeks only."""
-    lake = Lake(spark, f"{session.shared_folder(spark, 'p3')}/lake", by_day=False)
+    lake = Lake(spark, f"{session.shared_folder(spark, 'p3')}/lake")
     customer_table(spark, sf, lake)
     payments = payment_rows(spark, sf).withColumns(
         {c: F.col(c).cast(kind) for c, kind in DATASETS["mobile_money"].fields.items()}
@@ -746,14 +775,54 @@ def _(spark, sf):
     return lake.gold("cross_border_transfers").read()
 
 
-# Bronze, silver and gold in one go, for the facts that span years (so not cut by day).
+def begun_lake(spark: SparkSession, sf: str, label: str) -> Lake:
+    """All payments in bronze, those up to a day in silver, and their corridors in gold."""
+    lake = Lake(spark, f"{session.shared_folder(spark, label)}/lake")
+    customer_table(spark, sf, lake)
+    payments = payment_rows(spark, sf).withColumns(
+        {c: F.col(c).cast(kind) for c, kind in DATASETS["mobile_money"].fields.items()}
+    ).withColumns({"country_code": F.col("sender_country"), "event_date": F.to_date("timestamp")})
+    lake.bronze("mobile_money").merge(payments.filter("event_date < DATE '2024-01-15'"))
+    silver.refresh(lake, "mobile_money")
+    gold.refresh(lake, "cross_border_transfers")
+    lake.bronze("mobile_money").merge(payments)
+    return lake
+
+
+@query(
+    "k1_pending_days_of_the_lake",
+    oracle("SELECT DISTINCT CAST(CAST(event_ts AS DATE) AS VARCHAR) AS day FROM v_mobile WHERE event_ts >= TIMESTAMP '2024-01-15 00:00:00'"),
+)
+def _(spark, sf):
+    days = silver.pending_days(begun_lake(spark, sf, "k1"), "mobile_money")
+    return spark.createDataFrame([(d,) for d in days], "day date")
+
+
+@query(
+    "k2_new_periods_of_the_lake",
+    oracle(
+        """SELECT DISTINCT CAST(CAST(date_trunc('week', event_ts) AS DATE) AS VARCHAR) AS period FROM v_mobile
+           WHERE date_trunc('week', event_ts) > (SELECT max(date_trunc('week', event_ts)) FROM v_mobile
+               WHERE event_ts < TIMESTAMP '2024-01-15 00:00:00')"""
+    ),
+)
+def _(spark, sf):
+    lake = begun_lake(spark, sf, "k2")
+    silver.refresh(lake, "mobile_money")
+    periods = gold.new_periods(lake, "cross_border_transfers")
+    return spark.createDataFrame([(d,) for d in periods], "period date")
+
+
+# Bronze, silver and gold in one go.
 
 
 def refined_lake(spark: SparkSession, sf: str, label: str, *names: str) -> Lake:
-    lake = Lake(spark, f"{session.shared_folder(spark, label)}/lake", by_day=False)
+    lake = Lake(spark, f"{session.shared_folder(spark, label)}/lake")
     for name, frame in references(spark, sf).items():
         FactTable(spark, lake.path("bronze", name), DATASETS[name].key, []).append(frame)
-    sources = {"bank_transactions": "v_bank", "insurance_operations": "v_insurance", "loan_repayments": "v_loans"}
+    sources = {
+        "bank_transactions": "v_bank_near", "insurance_operations": "v_insurance_near", "loan_repayments": "v_loans_near"
+    }
     for name in names:
         rows = view(spark, sf, sources[name])
         moment = "due_date" if "due_date" in rows.columns else "event_ts"
@@ -765,9 +834,9 @@ def refined_lake(spark: SparkSession, sf: str, label: str, *names: str) -> Lake:
     return lake
 
 
-S_LOANS = silver_ctes("s_loans", "v_loans", "repayment_id", "due_date", ["amount_due"], LOAN_TIES)
-S_BANK = silver_ctes("s_bank", "v_bank", "transaction_id", "event_ts", ["amount"], BANK_TIES)
-S_INSURANCE = silver_ctes("s_insurance", "v_insurance", "operation_id", "event_ts", ["amount"], INSURANCE_TIES)
+S_LOANS = silver_ctes("s_loans", "v_loans_near", "repayment_id", "due_date", ["amount_due"], LOAN_TIES)
+S_BANK = silver_ctes("s_bank", "v_bank_near", "transaction_id", "event_ts", ["amount"], BANK_TIES)
+S_INSURANCE = silver_ctes("s_insurance", "v_insurance_near", "operation_id", "event_ts", ["amount"], INSURANCE_TIES)
 
 
 @query(
@@ -898,6 +967,11 @@ def _(spark, sf):
     return alerts.multiple_transactions(bank_events(spark, sf), "event_ts")
 
 
+@query("j12_large_amounts", oracle(BURST_SQL.replace("v_bank_stream", "v_bank_large").replace("DECIMAL(20, 4)", "DECIMAL(30, 4)")))
+def _(spark, sf):
+    return alerts.multiple_transactions(view(spark, sf, "v_bank_large"), "event_ts")
+
+
 UNUSUAL_SQL = """SELECT 'UNUSUAL_COUNTRY_MOBILE_MONEY' AS alert_type, payment_id, sender_id, sender_country,
        c.country_code AS registered_country, amount, currency
 FROM v_mobile JOIN v_customers c ON sender_id = c.customer_id WHERE sender_country <> c.country_code"""
@@ -950,3 +1024,11 @@ FLOORS = {"floors": {"GHS": -500000.0}, "default_floor": -1000000.0}
 @query("j16_liquidity", oracle(liquidity_sql(-1000000, -500000)))
 def _(spark, sf):
     return alerts.liquidity_breach(bank_events(spark, sf), "event_ts", **FLOORS)
+
+
+@query(
+    "j16_large_amounts",
+    oracle(liquidity_sql(-1000000, -500000).replace("v_bank_stream", "v_bank_large").replace("DECIMAL(20, 4)", "DECIMAL(30, 4)")),
+)
+def _(spark, sf):
+    return alerts.liquidity_breach(view(spark, sf, "v_bank_large"), "event_ts", **FLOORS)

@@ -313,10 +313,7 @@ def _(spark, sf):
     history = insurance(spark, sf).withColumns(
         {"event_date": F.to_date("event_ts"), "customer_id": F.col("customer_id").cast("string")}
     )
-    # the history lies in one folder per country here, to write few files
-    table_by_country = platform.lake.silver("insurance_operations")
-    table_by_country.partition_by = ["country_code"]
-    table_by_country.append(history)
+    platform.lake.silver("insurance_operations").append(history)
     operations = view(spark, sf, "v_insurance").withColumn("timestamp", wire_text("event_ts"))
     # one row per key and time, so that which duplicate arrives first does not matter
     first = latest.latest_per_key(operations.withColumn("less", -F.col("amount")), ["operation_id", "timestamp"], "less")

@@ -285,3 +285,15 @@ def test_stream_equals_batch(spark, tmp_path, channel):
     last = sent.groupBy("window_start", "account_id").agg(F.max("total_amount_xof"), F.max("txn_count"))
     assert as_set(last) == as_set(batch.select("window_start", "account_id", "total_amount_xof", "txn_count"))
     assert batch.count() > 0
+
+
+def test_an_unfinished_batch_is_not_read_until_it_is_replayed(spark, rows, tmp_path):
+    out = StreamTable(str(tmp_path / "t"), ["country_code"])
+    out.write_batch(rows("k int, country_code string", (1, "CI"), (2, "SN")), 0)
+    late = rows("k int, country_code string", (3, "CI"))
+    late.write.parquet(str(tmp_path / "t" / "country_code=CI" / "batch_id=1"))  # the writer died before its mark
+    assert sorted(r["k"] for r in out.read(spark).collect()) == [1, 2]
+    for _ in range(2):
+        out.write_batch(rows("k int, country_code string", (3, "CI"), (4, None)), 1)
+        assert sorted(r["k"] for r in out.read(spark).collect()) == [1, 2, 3, 4]
+    assert out.read(spark).columns == ["k", "country_code"]
