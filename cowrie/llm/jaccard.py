@@ -1,16 +1,19 @@
 """N-gram Jaccard self-join of documents by signature trees.
 
 1.  Every document becomes the set of its hashed shingles; equal sets form a class.
-2.  Candidates.  Two linked sets of a size band differ in at most ``d`` tokens.  Tokens
-    are dealt by hash to ``m > d`` cells, so at least one cell of linked sets holds the
-    same tokens: a key of its band, number and tokens.  Sets with an equal key are
-    chained, and the chains' connected components are clusters; links don't leave them.
-    (Cells that are empty in both sets could be the only equal ones.  A set with so many
-    empty cells that this is possible has keys for its empty cells too.)
-3.  Links.  The distinct sets of a cluster are dealt to blocks of bounded size.  Each
-    block, together with the first one, becomes a signature tree that is joined with
-    itself.  What is then outside the largest component of a cluster meets all of its
-    blocks, again by trees.  Pairs already connected need no comparison.
+2.  Candidates.  Two linked sets of a size band differ in at most ``d`` tokens, also
+    without the tokens a sample shows to be common.  Tokens are dealt by hash to more
+    than ``d`` cells; a cell's tokens with its band and number are a key, and linked
+    sets share at least ``SHARED`` keys.  Sets of a rare key are paired and the pairs
+    counted; sets of a frequent key are chained.  Pairs that share enough keys and
+    chains connect clusters, which no link leaves.  (A set with too many empty cells to
+    be sure of that is chained, one whose equal cells may all be empty also has keys
+    for its empty cells.)
+3.  Links.  A small cluster becomes a signature tree that is joined with itself.  The
+    distinct sets of a large one are dealt to blocks of bounded size, by size and hash;
+    each block makes a tree with the first blocks of its size and the next.  What is
+    then outside the largest component of the cluster meets all blocks of its own and
+    the neighbouring sizes, again by trees.  Connected pairs need no comparison.
 4.  The connected components of the links are the groups.
 
 No step holds a group as a whole: keys are combined where they are made, chains and
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -33,8 +36,12 @@ from cowrie.llm.shingles import mixed, set_id, shingles
 from cowrie.llm.signature_tree import join
 from cowrie.session import shared_folder
 
-#: Ratio of the size bands' limits.
-BAND = 1.6
+#: Ratio of the size bands' limits, and keys that linked sets share.
+BAND, SHARED = 1.6, 2
+#: Sets of a key that are paired; those of more frequent keys are chained.
+RARE = 16
+#: Documents that show which tokens are common, documents of them that must have one, tokens kept.
+SAMPLE, COMMON, MOST_COMMON = 5_000, 4, 500_000
 #: Keys a task combines before it sends them, and keys of a task that chains them, about.
 KEYS_TOGETHER = 1_000_000
 #: Sets of a block and tokens of their sets, about; a tree holds at most two blocks.
@@ -58,45 +65,101 @@ def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
             break
         d = (100 - percent) * 2 * high // (100 + percent)
         if d:
-            found.append((band, d + 3 + d // 32, d))
+            found.append((band, d + SHARED + 2 + d // 24, d))
     return found
 
 
 _LIMITS = np.unique(np.ceil(BAND ** np.arange(64)).astype(np.int64))
 
 
-def keys(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of a set of ascending hashed tokens: linked different sets share at least one."""
-    found = []
+def keys(tokens: np.ndarray, percent: int, common: np.ndarray = np.empty(0, np.uint64)) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set of ascending hashed tokens, and which of them have to be chained.
+
+    Linked different sets share at least ``SHARED`` keys, or one that one of them chains.
+    """
+    found, chained = [], []
+    rare = tokens
+    if len(common):
+        rare = tokens[common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] != tokens]
     for band, cells, d in bands(len(tokens), percent):
-        cell = ((tokens >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)  # ascending, like the tokens
-        begin = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-        held = np.add.reduceat(mixed(tokens), begin)
-        number = cell[begin]
-        if len(begin) <= d:  # then all equal cells may be empty ones
+        cell = ((rare >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)  # ascending, like the tokens
+        begin = np.flatnonzero(np.diff(cell, prepend=np.uint64(cells)) != 0)
+        held, number = (np.add.reduceat(mixed(rare), begin), cell[begin]) if len(begin) else (rare, rare)
+        sure = len(begin) - d  # at least so many equal cells aren't empty
+        if sure <= 0:
             empty = np.setdiff1d(np.arange(cells, dtype=np.uint64), number)
             number, held = np.append(number, empty), np.append(held, np.zeros(len(empty), np.uint64))
         found.append(mixed(mixed(number + np.uint64(band << 32)) ^ held))
-    return np.concatenate(found) if found else np.empty(0, np.uint64)
+        chained.append(np.full(len(number), sure < SHARED))
+    if not found:
+        return np.empty(0, np.uint64), np.empty(0, bool)
+    return np.concatenate(found), np.concatenate(chained)
+
+
+def _common(docs: DataFrame, n: int) -> np.ndarray:
+    """Tokens of ``COMMON`` or more documents of a sample of about ``SAMPLE``, ascending.
+
+    Any list is right, as links survive the loss of tokens; this one keeps frequent
+    passages and phrases from making keys.
+    """
+    rows = docs.count()
+    drawn = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(1 << 30)) < SAMPLE / max(rows, 1) * (1 << 30))
+    schema = pa.schema([("token", pa.int64())])
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in slices(batches):
+            found = [shingles(t, n).view(np.int64) for t in columns["text"]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], schema=schema)
+
+    counts = drawn.select("text").mapInArrow(tokens, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    frequent = counts.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "token").limit(MOST_COMMON).select("token").toArrow()
+    return np.sort(frequent["token"].to_numpy().view(np.uint64))
 
 
 _MIXED_ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 _MIXED = "part int, kind int, data binary"
-_KEYS, _EDGES, _DOCS = 0, 1, 2
+_KEYS, _EDGES, _DOCS, _ONCE = 0, 1, 2, 3
 _DOC = np.dtype([("has_id", "<i8"), ("doc_id", "<i8"), ("n", "<i8"), ("set_id", "V16")])
+_ONE = np.uint64(1)  # the last bit of a node says that its key has to be chained
+
 
+def _combined(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys with their nodes, once each, and edges that chain the nodes of frequent keys.
 
-def _chained(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each key once with one of its nodes, and edges from that node to the others of the key."""
+    Of a chained key only the first node is left, with the mark that it is one.
+    """
     if not len(key):
         return key, node, np.empty((0, 2), np.uint64)
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
-    first = np.concatenate([[True], key[1:] != key[:-1]])
-    begin = np.flatnonzero(first)
-    hub = np.repeat(node[begin], np.diff(np.append(begin, len(key))))
-    edges = np.stack([hub, node], 1)[hub != node]
-    return key[begin], node[begin], _distinct(edges)
+    fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+    key, node = key[fresh], node[fresh]
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(begin, len(key)))
+    chained = (size > RARE) | (np.bitwise_or.reduceat(node, begin) & _ONE).astype(bool)
+    group = np.repeat(np.arange(len(begin)), size)
+    first = np.zeros(len(key), bool)
+    first[begin] = True
+    edges = np.stack([node[begin][group], node], 1)[chained[group] & ~first]
+    stays = first | ~chained[group]
+    node = np.where(chained[group], node | _ONE, node)
+    return key[stays], node[stays], _distinct(edges & ~_ONE)
+
+
+def _paired(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of nodes that share ``SHARED`` of these combined keys, and those that share fewer, once for each."""
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, int)
+    size = np.diff(np.append(begin, len(key)))
+    pairs = [np.empty((0, 2), np.uint64)]
+    for n in np.unique(size[size > 1]).tolist():  # at most RARE
+        at = begin[size == n]
+        pairs += [np.stack([node[at + i], node[at + j]], 1) for j in range(n) for i in range(j)]
+    both = np.sort(np.concatenate(pairs) & ~_ONE, axis=1)
+    view = np.ascontiguousarray(both, "<u8").view([("a", "<u8"), ("b", "<u8")]).ravel()
+    found, times = np.unique(view, return_counts=True)
+    enough = times >= SHARED
+    flat = lambda v: v.view("<u8").reshape(-1, 2)
+    return flat(found[enough]), flat(np.repeat(found[~enough], times[~enough]))
 
 
 def _distinct(pairs: np.ndarray) -> np.ndarray:
@@ -107,18 +170,20 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     """Written ``doc_id, n_shingles, set_id`` of all rows, and edges ``a, b`` between sets' first 8 bytes."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    common = spark.sparkContext.broadcast(_common(docs, n))  # at most MOST_COMMON numbers
     # about a third as many keys as words
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + size // 18 // KEYS_TOGETHER)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         random = np.random.default_rng(0)
 
-        def send(held: list[tuple[np.ndarray, bytes]], rows: list[tuple]) -> pa.RecordBatch:
+        def send(held: list[tuple[np.ndarray, np.ndarray, bytes]], rows: list[tuple]) -> pa.RecordBatch:
             out = [(int(random.integers(parts)), _DOCS, np.array(rows, _DOC).tobytes())]
             if held:
-                key = np.concatenate([k for k, _ in held])
-                node = np.repeat(np.array([int.from_bytes(s[:8], "big") for _, s in held], np.uint64), [len(k) for k, _ in held])
-                key, node, edges = _chained(key, node)
+                key = np.concatenate([k for k, _, _ in held])
+                own = np.array([int.from_bytes(s[:8], "big") for _, _, s in held], np.uint64)
+                node = np.repeat(own & ~_ONE, [len(k) for k, _, _ in held]) | np.concatenate([c for _, c, _ in held]).astype(np.uint64)
+                key, node, edges = _combined(key, node)
                 out.append((int(random.integers(parts)), _EDGES, edges.astype("<u8").tobytes()))
                 part = (key % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
@@ -134,7 +199,7 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
                 own = set_id(tokens)
                 rows.append((doc_id is not None, doc_id or 0, len(tokens), own))
                 if len(tokens) and doc_id is not None:
-                    held.append((keys(tokens, percent), own))
+                    held.append((*keys(tokens, percent, common.value), own))
                     total += len(held[-1][0])
             if total >= KEYS_TOGETHER or len(rows) >= KEYS_TOGETHER // 10:
                 yield send(held, rows)
@@ -164,16 +229,21 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
                     ids = pa.array(rows["doc_id"], pa.int64(), mask=rows["has_id"] == 0)
                     yield table(_DOCS, ids, rows["n"], [s.tobytes() for s in rows["set_id"]])
         pairs = np.frombuffer(b"".join(held), "<u8").reshape(-1, 2)
-        edges.append(_chained(pairs[:, 0], pairs[:, 1])[2])
-        both = _distinct(np.concatenate(edges)).view("<i8")
+        key, node, chains = _combined(pairs[:, 0], pairs[:, 1])
+        enough, once = _paired(key, node)
+        both = _distinct(np.concatenate([*edges, chains, enough])).view("<i8")
         yield table(_EDGES, both[:, 0], both[:, 1])
+        once = once.view("<i8")
+        yield table(_ONCE, once[:, 0], once[:, 1])
 
     sent = docs.select("doc_id", "text").mapInArrow(make, _MIXED).repartition(parts, "part")
     folder = shared_folder(spark, "shingles")
     sent.mapInArrow(chain, "kind int, a long, b long, set_id binary").write.parquet(folder)
     found = spark.read.schema("kind int, a long, b long, set_id binary").parquet(folder)
     sets = found.where(F.col("kind") == _DOCS).select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "set_id")
-    return sets, found.where(F.col("kind") == _EDGES).select("a", "b")
+    sure = found.where(F.col("kind") == _EDGES).select("a", "b")
+    counted = found.where(F.col("kind") == _ONCE).groupBy("a", "b").agg(F.count(F.lit(1)).alias("keys"))
+    return sets, sure.union(counted.where(F.col("keys") >= SHARED).select("a", "b"))
 
 
 class MaybeIn:
@@ -210,32 +280,23 @@ class MaybeIn:
         return rows.withColumn("_hash", F.xxhash64(column)).mapInArrow(keep, schema)
 
 
-def _tokens_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``wanted (doc_id, set_id, …)`` with the ``tokens`` of each set, from the documents' texts."""
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``tile, side, set_id, text`` of ``wanted (doc_id, set_id, tiles)``; only texts that may be wanted are shuffled."""
     near = MaybeIn(wanted, "doc_id").split(docs.select("doc_id", "text"), "doc_id", True)
-    schema = pa.schema([("doc_id", pa.int64()), ("set_id", pa.binary()), ("tokens", pa.binary())])
+    return near.join(wanted, "doc_id").select(F.explode("tiles").alias("_t"), "set_id", "text").select("_t.*", "set_id", "text")
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in slices(batches):
-            sets = [shingles(t, n) for t in columns["text"]]
-            arrays = [columns["doc_id"], [set_id(s) for s in sets], [s.astype("<u8").tobytes() for s in sets]]
-            yield pa.RecordBatch.from_arrays([pa.array(a, f.type) for a, f in zip(arrays, schema)], schema=schema)
-
-    # only what may be wanted is shuffled, as texts; a row that repeats gives its set once more, which does no harm
-    texts = near.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    made = texts.mapInArrow(make, "doc_id long, set_id binary, tokens binary")
-    return made.join(wanted, ["doc_id", "set_id"])
 
+def _linked(tiles: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links ``a, b`` between set ids inside each tile of ``tiles (tile, side, set_id, text)``.
 
-def _linked(tiles: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` between set ids inside each tile of ``tiles (tile, side, set_id, tokens)``.
-
-    Side 0 is joined with itself, or with side 1 where a tile has one.
+    Side 0 is joined with itself, or with side 1 where a tile has one.  Texts are
+    shuffled, not sets, which take more room.  Of rows that repeat an id, those with
+    another set than the one wanted drop out.
     """
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
-    def links(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-        sets = [np.frombuffer(t, "<u8") for _, _, t in rows]
+    def links(rows: list[tuple[int, bytes, np.ndarray]]) -> pa.RecordBatch:
+        sets = [tokens for _, _, tokens in rows]
         side = np.array([s for s, _, _ in rows])
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         found = join(sets, left, right if len(right) else None, percent) if len(rows) > 1 and len(left) else []
@@ -245,16 +306,18 @@ def _linked(tiles: DataFrame, percent: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, held = None, []
         for columns in slices(batches):
-            for t, side, own, tokens in zip(columns["tile"], columns["side"], columns["set_id"], columns["tokens"]):
+            for t, side, own, text in zip(columns["tile"], columns["side"], columns["set_id"], columns["text"]):
                 if t != tile and held:
                     yield links(held)
                     held = []
                 tile = t
-                held.append((side, own, tokens))
+                tokens = shingles(text, n)
+                if set_id(tokens) == own:
+                    held.append((side, own, tokens))
         if held:
             yield links(held)
 
-    dealt = tiles.select("tile", "side", "set_id", "tokens").repartition("tile").sortWithinPartitions("tile")
+    dealt = tiles.select("tile", "side", "set_id", "text").repartition("tile").sortWithinPartitions("tile")
     return dealt.mapInArrow(work, "a binary, b binary")
 
 
@@ -277,7 +340,7 @@ def groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     sets, chains = _sets_and_chains(docs, n, percent)
     clusters = components(chains)
     # eight bytes of a set's id, as the number that chains know it by
-    node = F.conv(F.hex(F.substring("set_id", 1, 8)), 16, -10).cast("long")
+    node = F.conv(F.hex(F.substring("set_id", 1, 8)), 16, -10).cast("long").bitwiseAND(-2)
     real = sets.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = _written(
         real.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"))
@@ -286,25 +349,37 @@ def groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     ends = clusters.select(F.col("root").alias("node"), "root").distinct()
     member = classes.join(clusters.union(ends), "node").withColumnRenamed("root", "cluster")
     counted = member.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("members"),
-        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_TOKENS)).cast("int").alias("blocks"),
+        F.count(F.lit(1)).alias("members"), _blocks("n_shingles").alias("all")
     )
-    placed = (
-        member.join(counted.where("members > 1"), "cluster")
+    # linked sets of a large cluster have the same or neighbouring heights
+    height = F.floor(F.log(F.col("n_shingles")) / float(np.log(100 / percent) * (1 + 1e-9))).cast("int")
+    tall = member.join(counted.where("members > 1"), "cluster").withColumn("height", F.when(F.col("all") > 1, height).otherwise(-9))
+    dealt = tall.groupBy("cluster", "height").agg(_blocks("n_shingles").alias("blocks"))
+    placed = _written(
+        tall.join(dealt, ["cluster", "height"])
         .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-        .select("doc_id", "set_id", "cluster", "blocks", "block")
+        .select("doc_id", "set_id", "cluster", "height", "block"), "members",
     )
-    held = _written(_tokens_of(docs, _written(placed, "members"), n), "tokens")
-
-    # the first block of a cluster goes into the tree of each other one
-    own_tiles = F.when((F.col("block") == 0) & (F.col("blocks") > 1), F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(
-        F.array("block")
-    )
-    first = held.select(F.explode(own_tiles).alias("at"), "cluster", "set_id", "tokens")
-    tiles = first.select(F.xxhash64("cluster", "at").alias("tile"), F.lit(0).alias("side"), "set_id", "tokens")
-    links = _written(_linked(tiles, percent), "links")
-    if not held.where("blocks > 1").isEmpty():
-        links = links.union(_linked(_outside(held, components(links)), percent))
+    dealt = _written(dealt, "blocks")
+
+    # the first block of a height goes into the trees of its height and of the one below
+    below = dealt.select("cluster", (F.col("height") + 1).alias("height"), F.col("blocks").alias("lower"))
+    hubs = placed.where("block = 0").join(dealt, ["cluster", "height"]).join(below, ["cluster", "height"], "left")
+    into = hubs.select("doc_id", "set_id", "cluster", F.explode(F.array_union(
+        F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.col("height").alias("height"), k.alias("at"))),
+        F.coalesce(
+            F.transform(F.sequence(F.lit(0), F.col("lower") - 1), lambda k: F.struct((F.col("height") - 1).alias("height"), k.alias("at"))),
+            F.array().cast("array<struct<height:int,at:int>>"),
+        ),
+    )).alias("_t")).select("doc_id", "set_id", "cluster", "_t.height", "_t.at")
+    others = placed.where("block > 0").select("doc_id", "set_id", "cluster", "height", F.col("block").alias("at"))
+    goes = others.unionByName(into).select("doc_id", "set_id", F.xxhash64("cluster", "height", "at").alias("tile"), F.lit(0).alias("side"))
+    tiles = _texts_of(docs, _gathered(goes))
+    links = _written(_linked(tiles, n, percent), "links")
+    many = placed.where("height <> -9")
+    if not many.isEmpty():
+        outside = _outside(many, components(links))
+        links = links.union(_linked(_texts_of(docs, _gathered(outside)), n, percent))
     roots = components(links)
     of_class = classes.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "set_id", "doc_id", F.coalesce("root", "set_id").alias("root")
@@ -318,26 +393,46 @@ def groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return out.select("doc_id", "n_shingles", "set_id", F.coalesce("component_id", "doc_id").alias("component_id"), "root")
 
 
-def _outside(held: DataFrame, roots: DataFrame) -> DataFrame:
-    """Tiles of the sets outside the largest component of their cluster with each of its blocks."""
-    many = held.where("blocks > 1")
-    rooted = many.select("cluster", "set_id").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "cluster", "set_id", F.coalesce("root", "set_id").alias("root")
+def _blocks(size: str) -> Column:
+    return F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(size) / BLOCK_TOKENS)).cast("int")
+
+
+def _gathered(goes: DataFrame) -> DataFrame:
+    """One row for each document, with the list of its tiles: its text is looked up once."""
+    tile = F.struct("tile", "side")
+    return _written(goes.groupBy("doc_id", "set_id").agg(F.collect_set(tile).alias("tiles")), "tiles")
+
+
+def _outside(many: DataFrame, roots: DataFrame) -> DataFrame:
+    """Tiles of the sets outside the largest component of their cluster with the blocks near their size."""
+    rooted = many.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
+        "root", F.coalesce("root", "set_id")
     )
     sizes = rooted.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("size", "root")).alias("largest"))
-    outside = rooted.join(largest, "cluster").where("root <> largest").select("cluster", "set_id")
-    stacks = outside.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("stacks"))
-    met = many.join(stacks, "cluster")
-    stack = F.pmod(F.xxhash64("set_id", F.lit(1)), F.col("stacks")).cast("int")
-    left = met.join(outside, ["cluster", "set_id"], "left_semi").select(
-        "cluster", "set_id", "tokens", F.array(stack).alias("stacks"), F.sequence(F.lit(0), F.col("blocks") - 1).alias("blocks"), F.lit(0).alias("side")
+    outside = rooted.join(largest, "cluster").where("root <> largest")
+    stacks = outside.groupBy("cluster", "height").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("stacks"))
+    blocks = many.groupBy("cluster", "height").agg((F.max("block") + 1).alias("blocks"))
+    near = F.explode(F.array(*(F.col("height") + k for k in (-1, 0, 1))))
+
+    def tile(stack: Column, at: Column, low: Column, high: Column) -> Column:
+        return F.xxhash64("cluster", low, stack, high, at)
+
+    left = (
+        outside.join(stacks, ["cluster", "height"])
+        .withColumn("stack", F.pmod(F.xxhash64("set_id", F.lit(1)), F.col("stacks")).cast("int"))
+        .select("doc_id", "set_id", "cluster", F.col("height").alias("own"), "stack", near.alias("height"))
+        .join(blocks, ["cluster", "height"])
+        .withColumn("at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("doc_id", "set_id", tile(F.col("stack"), F.col("at"), F.col("own"), F.col("height")).alias("tile"), F.lit(0).alias("side"))
     )
-    right = met.select(
-        "cluster", "set_id", "tokens", F.sequence(F.lit(0), F.col("stacks") - 1).alias("stacks"), F.array("block").alias("blocks"), F.lit(1).alias("side")
+    right = (
+        many.select("doc_id", "set_id", "cluster", "block", F.col("height").alias("own"), near.alias("height"))
+        .join(stacks, ["cluster", "height"])
+        .withColumn("stack", F.explode(F.sequence(F.lit(0), F.col("stacks") - 1)))
+        .select("doc_id", "set_id", tile(F.col("stack"), F.col("block"), F.col("height"), F.col("own")).alias("tile"), F.lit(1).alias("side"))
     )
-    both = left.unionByName(right).select("*", F.explode("stacks").alias("stack")).select("*", F.explode("blocks").alias("at"))
-    return both.select(F.xxhash64("cluster", "stack", "at").alias("tile"), "side", "set_id", "tokens")
+    return left.unionByName(right)
 
 
 def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

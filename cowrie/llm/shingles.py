@@ -6,8 +6,8 @@ import hashlib
 
 import numpy as np
 
-#: Words whose hashes a worker remembers, about 100 MB.
-WORDS_KEPT = 500_000
+#: Words whose hashes a worker remembers, about 50 MB.
+WORDS_KEPT = 250_000
 
 # White space cuts; A-Z are lower-cased.  In UTF-8 every byte of a character beyond
 # ASCII is 128 or more, so bytes cut as characters do.

@@ -129,8 +129,8 @@ def join(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, per
             links.append((x, y))
 
     def arranged(ids: np.ndarray) -> np.ndarray:
-        # similar sets mostly have the same least token, so they come to lie together
-        return np.array(sorted(ids.tolist(), key=lambda i: (int(sets[i][0]), len(sets[i]), int(sets[i][-1]))))
+        # by size, roughly; then similar sets mostly have the same least token, so they come to lie together
+        return np.array(sorted(ids.tolist(), key=lambda i: (int(np.log(len(sets[i])) * 16), int(sets[i][0]), len(sets[i]))))
 
     words = 1 << max(2, int(np.ceil(np.log2(max(len(s) for s in sets) / 16))))
     a = Tree(sets, arranged(left), words)
