@@ -22,17 +22,19 @@ from cowrie.session import shared_folder
 # Short names of public licences and the statements files quote them by.
 STATEMENTS = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
-    ("MPL-2.0", "Subject to the terms of the Mozilla Public License, version 2.0."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
 )
 
 #: Least cosine of a sentence, and of a whole file, to be taken for a statement.
 SENTENCE, WHOLE = 0.7, 0.6
+#: What rounding may add to a score.
+ROUNDED = 1e-4
 
 
 def words_of(text: str) -> list[str]:
@@ -59,30 +61,53 @@ def vectors() -> list[tuple[str, str, float]]:
     return out
 
 
-def anchors(least: float) -> set[str]:
-    """Words of which a text must have one to reach cosine ``least`` with any statement.
+def _folded(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _may_match(folded: Column, least: float) -> Column:
+    """False only for texts with too few of every statement's words to reach cosine ``least``.
 
-    Without the heaviest words of a statement the cosine is at most the length of the
-    rest of its vector; as many are taken as bring that below ``least``.
+    The cosine is at most the length of what a statement's vector has in common words.
     """
-    found = set()
-    for name in {name for name, _, _ in vectors()}:
-        own = sorted(((x, w) for n, w, x in vectors() if n == name), reverse=True)
-        rest = 1.0
-        for x, w in own:
-            if math.sqrt(max(rest, 0)) < least:
-                break
-            found.add(w)
-            rest -= x * x
-    return found
+    own = vectors()
+    there = {w: F.contains(folded, F.lit(w)) for _, w, _ in own}
+    length = lambda name: sum((F.when(there[w], F.lit(x * x)).otherwise(0.0) for n, w, x in own if n == name), F.lit(0.0))
+    return reduce(or_, (length(name) >= (least - ROUNDED) ** 2 for name, _ in STATEMENTS))
 
 
-def _folded(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def _tokens(texts: DataFrame, keys: list[str]) -> DataFrame:
+    return texts.select(*keys, F.explode(F.split("folded", "[^a-z0-9]+")).alias("word")).where("word <> ''")
 
 
-def _may_match(folded: Column, least: float) -> Column:
-    return reduce(or_, (F.contains(folded, F.lit(w)) for w in sorted(anchors(least))))
+def _known() -> Column:
+    """The weight of a word of the statements, null for others."""
+    idf, _ = inverse_frequencies()
+    return F.create_map(*(F.lit(x) for pair in sorted(idf.items()) for x in pair))[F.col("word")]
+
+
+def _mostly_known(texts: DataFrame, keys: list[str], least: float) -> DataFrame:
+    """``texts (keys, folded)`` without those with too many words that no statement has.
+
+    Of a text's vector, statements only meet the part of their own words; each other
+    word adds at least the square of its weight to the rest.  Other words are counted
+    as one before the shuffle.
+    """
+    idf, other = inverse_frequencies()
+    counts = (
+        _tokens(texts, keys)
+        .withColumn("word", F.when(F.col("word").isin(*sorted(idf)), F.col("word")))
+        .groupBy(*keys, "word")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    value = F.col("n") * _known()
+    sums = counts.groupBy(*keys).agg(
+        F.coalesce(F.sum(value * value), F.lit(0.0)).alias("part"),
+        F.coalesce(F.sum(F.when(F.col("word").isNull(), F.col("n"))), F.lit(0)).alias("others"),
+    )
+    part, rest = F.col("part"), F.col("others") * other**2
+    kept = sums.where(part >= (least - ROUNDED) ** 2 * (part + rest)).select(*keys)
+    return texts.join(kept, keys, "left_semi")
 
 
 def _table(spark: SparkSession) -> DataFrame:
@@ -100,11 +125,8 @@ def cosines(texts: DataFrame, keys: list[str]) -> DataFrame:
     depend on the order of a sum.
     """
     idf, other = inverse_frequencies()
-    known = F.create_map(*(F.lit(x) for pair in sorted(idf.items()) for x in pair))
-    tokens = texts.select(*keys, F.explode(F.split("folded", "[^a-z0-9]+")).alias("word")).where("word <> ''")
-    counts = tokens.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
-    value = F.col("n") * F.coalesce(known[F.col("word")], F.lit(other))
-    weighed = counts.withColumn("value", value)
+    counts = _tokens(texts, keys).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+    weighed = counts.withColumn("value", F.col("n") * F.coalesce(_known(), F.lit(other)))
     norms = weighed.groupBy(*keys).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
     statements = F.broadcast(_table(texts.sparkSession))  # a constant of some fifty rows
     shared = weighed.where(F.col("word").isin(*sorted(idf))).join(statements, "word")
@@ -148,10 +170,11 @@ def scan(files: DataFrame) -> DataFrame:
         "key", "folded", F.posexplode(F.split(F.regexp_replace("folded", "([.!?])[ \t\n\r\f]+", "$1\n"), "\n"))
     ).select("key", F.xxhash64("folded", "pos").alias("sentence"), F.col("col").alias("folded"))
     sentences = sentences.where(_may_match(F.col("folded"), SENTENCE)).distinct()
+    sentences = _mostly_known(sentences, ["key", "sentence"], SENTENCE)
+    wholes = near.select("key", F.xxhash64("folded").alias("text"), "folded")
+    wholes = _mostly_known(wholes, ["key", "text"], WHOLE)
     header = _best(cosines(sentences, ["key", "sentence"]), ["key"], SENTENCE)
-    whole = _best(
-        cosines(near.select("key", F.xxhash64("folded").alias("text"), "folded").distinct(), ["key", "text"]), ["key"], WHOLE
-    )
+    whole = _best(cosines(wholes, ["key", "text"]), ["key"], WHOLE)
     own = _written(header.select("key", F.col("license").alias("h_license"), F.col("score").alias("h_score")).join(
         whole.select("key", F.col("license").alias("w_license"), F.col("score").alias("w_score")), "key", "full"
     ))
