@@ -2,6 +2,8 @@
 
 import hashlib
 
+from against_sql import same_as_sql
+
 from cowrie.llm import chat
 
 NASTY = [
@@ -10,8 +12,8 @@ NASTY = [
 ]
 
 
-def test_query(same_as_sql):
-    same_as_sql("op9_chat_formatting")
+def test_query(spark):
+    same_as_sql(spark, "op9_chat_formatting")
 
 
 def sha(text):

@@ -7,11 +7,13 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from against_sql import same_as_sql
+
 from cowrie.llm import licenses
 
 
-def test_query(same_as_sql):
-    same_as_sql("op7_license_scan")
+def test_query(spark):
+    same_as_sql(spark, "op7_license_scan")
 
 
 def cosine(text, statement):
