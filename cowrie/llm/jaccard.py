@@ -36,8 +36,8 @@ from cowrie.llm.shingles import mixed, set_id, shingles
 from cowrie.llm.signature_tree import join
 from cowrie.session import shared_folder
 
-#: Ratio of the size bands' limits, and keys that linked sets share.
-BAND, SHARED = 1.6, 2
+#: Tokens of a cell in the smallest set of a band, about, and keys that linked sets share.
+FILL, SHARED = 3.2, 2
 #: Sets of a key that are paired; those of more frequent keys are chained.
 RARE = 16
 #: Documents that show which tokens are common, documents of them that must have one, tokens kept.
@@ -50,26 +50,34 @@ BLOCK, BLOCK_TOKENS = 1_000, 2_000_000
 FILTER_BITS = 26
 
 
+def _limits(percent: int) -> np.ndarray:
+    """Limits of the size bands: so narrow that the smallest partner fills most cells, but at least 100 / percent."""
+    t = percent / 100
+    ratio = max(1 / t, t * (1 + t) / (2 * (1 - t) * FILL)) if t < 1 else 2.0
+    return np.unique(np.ceil(ratio ** np.arange(1 + int(48 / np.log2(ratio)))).astype(np.int64))
+
+
 def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
     """``band, cells, d`` of the bands a set of ``size`` tokens has keys for.
 
-    A pair belongs to the band of its larger set, so a set also has keys for the next
-    band if that holds sets it can be linked with.  Bands without links of different
-    sets are left out.
+    A pair belongs to the band of its larger set, so a set also has keys for further
+    bands that hold sets it can be linked with.  Bands without links of different sets
+    are left out.
     """
-    own = int(np.searchsorted(_LIMITS, size, "right")) - 1
+    if percent not in _LIMITS:
+        _LIMITS[percent] = _limits(percent)
+    limits = _LIMITS[percent]
+    band = int(np.searchsorted(limits, size, "right")) - 1
     found = []
-    for band in (own, own + 1):
-        low, high = int(_LIMITS[band]), int(_LIMITS[band + 1]) - 1
-        if band > own and 100 * size < percent * low:
-            break
-        d = (100 - percent) * 2 * high // (100 + percent)
+    while limits[band] <= size or 100 * size >= percent * limits[band]:
+        d = (100 - percent) * 2 * (int(limits[band + 1]) - 1) // (100 + percent)
         if d:
-            found.append((band, d + SHARED + 2 + d // 24, d))
+            found.append((band, d + SHARED + 2 + d // 8, d))
+        band += 1
     return found
 
 
-_LIMITS = np.unique(np.ceil(BAND ** np.arange(64)).astype(np.int64))
+_LIMITS: dict[int, np.ndarray] = {}
 
 
 def keys(tokens: np.ndarray, percent: int, common: np.ndarray = np.empty(0, np.uint64)) -> tuple[np.ndarray, np.ndarray]:
