@@ -15,8 +15,8 @@ from itertools import chain
 
 import numpy as np
 
-#: Entries after which a worker forgets its words: bounds its memory to about 250 MB.
-WORDS_KEPT, STEMS_KEPT = 250_000, 700_000
+#: Entries of a lot, of which a worker keeps two: bounds its memory to about 250 MB.
+WORDS_KEPT, STEMS_KEPT = 200_000, 400_000
 
 # A run of letters whose case and composition are plain, then a run of ASCII marks.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
@@ -35,15 +35,19 @@ _BYTE_LETTERS = _byte_letters()
 
 
 class _Kept(dict):
-    """Keeps what ``make`` gave for a key; forgets everything at ``most`` entries."""
+    """Keeps what ``make`` gave for a key; at ``most`` entries it starts anew, with the last lot at hand."""
 
     def __init__(self, make, most: int) -> None:
-        self.make, self.most = make, most
+        self.make, self.most, self.last = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
         if len(self) >= self.most:
+            self.last = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.last.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
