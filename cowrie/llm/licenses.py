@@ -22,13 +22,13 @@ from cowrie.session import shared_folder
 # Short names of public licences and the statements files quote them by.
 STATEMENTS = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
-    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    ("MPL-2.0", "Subject to the terms of the Mozilla Public License, version 2.0."),
 )
 
 #: Least cosine of a sentence, and of a whole file, to be taken for a statement.
@@ -65,7 +65,7 @@ def _folded(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _may_match(folded: Column, least: float) -> Column:
+def _may_match(folded: Column, least: float | Column) -> Column:
     """False only for texts with too few of every statement's words to reach cosine ``least``.
 
     The cosine is at most the length of what a statement's vector has in common words.
@@ -80,34 +80,33 @@ def _tokens(texts: DataFrame, keys: list[str]) -> DataFrame:
     return texts.select(*keys, F.explode(F.split("folded", "[^a-z0-9]+")).alias("word")).where("word <> ''")
 
 
-def _known() -> Column:
+def _known(word: Column) -> Column:
     """The weight of a word of the statements, null for others."""
     idf, _ = inverse_frequencies()
-    return F.create_map(*(F.lit(x) for pair in sorted(idf.items()) for x in pair))[F.col("word")]
+    return F.create_map(*(F.lit(x) for pair in sorted(idf.items()) for x in pair))[word]
 
 
-def _mostly_known(texts: DataFrame, keys: list[str], least: float) -> DataFrame:
-    """``texts (keys, folded)`` without those with too many words that no statement has.
+def _mostly_known(texts: DataFrame, keys: list[str], least: float | Column) -> DataFrame:
+    """``keys, folded`` of ``texts`` without those with too many words that no statement has.
 
     Of a text's vector, statements only meet the part of their own words; each other
-    word adds at least the square of its weight to the rest.  Other words are counted
-    as one before the shuffle.
+    word adds at least the square of its weight to the rest.  Each row is looked at by
+    itself: no word is shuffled.
     """
     idf, other = inverse_frequencies()
-    counts = (
-        _tokens(texts, keys)
-        .withColumn("word", F.when(F.col("word").isin(*sorted(idf)), F.col("word")))
-        .groupBy(*keys, "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    value = F.col("n") * _known()
-    sums = counts.groupBy(*keys).agg(
-        F.coalesce(F.sum(value * value), F.lit(0.0)).alias("part"),
-        F.coalesce(F.sum(F.when(F.col("word").isNull(), F.col("n"))), F.lit(0)).alias("others"),
-    )
-    part, rest = F.col("part"), F.col("others") * other**2
-    kept = sums.where(part >= (least - ROUNDED) ** 2 * (part + rest)).select(*keys)
-    return texts.join(kept, keys, "left_semi")
+    let = lambda value, body: F.transform(F.array(value), body)[0]  # noqa: E731  evaluates ``value`` once
+
+    def like(words: Column, own: Column) -> Column:
+        squares = F.transform(
+            F.array_distinct(own), lambda w: F.pow(F.size(F.filter(own, lambda x: x == w)) * _known(w), F.lit(2.0))
+        )
+        part = F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)
+        rest, share = (F.size(words) - F.size(own)) * other**2, (least - ROUNDED) ** 2
+        return (F.size(own) > 0) & (part * (1 - share) >= share * rest)
+
+    words = F.filter(F.split("folded", "[^a-z0-9]+"), lambda w: w != "")
+    kept = let(words, lambda ws: let(F.filter(ws, lambda w: w.isin(*sorted(idf))), lambda own: like(ws, own)))
+    return texts.where(kept).select(*keys, "folded")
 
 
 def _table(spark: SparkSession) -> DataFrame:
@@ -126,7 +125,7 @@ def cosines(texts: DataFrame, keys: list[str]) -> DataFrame:
     """
     idf, other = inverse_frequencies()
     counts = _tokens(texts, keys).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
-    weighed = counts.withColumn("value", F.col("n") * F.coalesce(_known(), F.lit(other)))
+    weighed = counts.withColumn("value", F.col("n") * F.coalesce(_known(F.col("word")), F.lit(other)))
     norms = weighed.groupBy(*keys).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
     statements = F.broadcast(_table(texts.sparkSession))  # a constant of some fifty rows
     shared = weighed.where(F.col("word").isin(*sorted(idf))).join(statements, "word")
@@ -164,15 +163,15 @@ def scan(files: DataFrame) -> DataFrame:
     )
     # nulls in keys would not join
     known = rows.withColumn("key", F.xxhash64(F.struct("doc_id", "path")))
-    # few texts have one of the words, and what follows reads them twice
-    near = _written(known.where(_may_match(F.col("folded"), min(SENTENCE, WHOLE))).select("key", "folded"))
-    sentences = near.select(
-        "key", "folded", F.posexplode(F.split(F.regexp_replace("folded", "([.!?])[ \t\n\r\f]+", "$1\n"), "\n"))
-    ).select("key", F.xxhash64("folded", "pos").alias("sentence"), F.col("col").alias("folded"))
-    sentences = sentences.where(_may_match(F.col("folded"), SENTENCE)).distinct()
-    sentences = _mostly_known(sentences, ["key", "sentence"], SENTENCE)
-    wholes = near.select("key", F.xxhash64("folded").alias("text"), "folded")
-    wholes = _mostly_known(wholes, ["key", "text"], WHOLE)
+    may = known.where(_may_match(F.col("folded"), min(SENTENCE, WHOLE)))
+    parts = F.split(F.regexp_replace("folded", "([.!?])[ \t\n\r\f]+", "$1\n"), "\n")
+    # the whole text at 0, its sentences from 1; what follows reads the few that are left twice
+    pieces = may.select("key", F.xxhash64("folded").alias("text"), F.posexplode(F.concat(F.array("folded"), parts)))
+    pieces = pieces.withColumnRenamed("col", "folded")
+    least = F.when(F.col("pos") == 0, WHOLE).otherwise(SENTENCE)
+    near = _written(_mostly_known(pieces.where(_may_match(F.col("folded"), least)), ["key", "text", "pos"], least).distinct())
+    sentences = near.where("pos > 0").select("key", F.xxhash64("text", "pos").alias("sentence"), "folded")
+    wholes = near.where("pos = 0").select("key", "text", "folded")
     header = _best(cosines(sentences, ["key", "sentence"]), ["key"], SENTENCE)
     whole = _best(cosines(wholes, ["key", "text"]), ["key"], WHOLE)
     own = _written(header.select("key", F.col("license").alias("h_license"), F.col("score").alias("h_score")).join(

@@ -101,6 +101,24 @@ def test_bounds_let_all_matches_pass(rows):
         assert like <= left and len(left) < len(set(texts))
 
 
+def test_sentences_of_real_headers(rows):
+    """What files with these licences really say, whole or as one sentence among others."""
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+    files = [
+        (1, "a/x", f"{bsd} provided that the following conditions are met:\n{'other words ' * 20}"),
+        (2, "b/x", mpl),
+        (3, "c/x", f"{'other words ' * 20}. {bsd}. {'more ' * 20}"),
+    ]
+    got = {tuple(r) for r in licenses.scan(rows("doc_id long, path string, text string", *files)).collect()}
+    assert got == brute(files)
+    assert {r[0]: r[2:5] for r in got} == {
+        1: ("BSD-3-Clause", "header", cosine(files[0][2].split("\n")[0], licenses.STATEMENTS[1][1])),
+        2: ("MPL-2.0", "file", cosine(mpl, licenses.STATEMENTS[7][1])),
+        3: ("BSD-3-Clause", "header", 1.0),
+    }
+
+
 def test_no_python_in_the_plan(rows):
     text = licenses.scan(rows("doc_id long, path string, text string", (1, "a", "x")))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in text for word in ("Python", "Arrow", "Pandas"))
