@@ -115,12 +115,38 @@ def _rolled(ids: np.ndarray, size: int, at: np.ndarray | None = None) -> np.ndar
 
 
 def _parts(benchmark: DataFrame, n: int) -> Iterator[Windows]:
-    """The windows of the benchmark, in parts of a checked size; one if it is small."""
-    rows = benchmark.select("item_id", "text")
+    """The windows of the benchmark, in parts of at most ``PART_BYTES``; one if it is small.
+
+    Copies of an item count once.  Rows are dealt to buckets by a hash, so finely that a
+    bucket above ``PART_BYTES`` is a single item, and measured buckets make up the parts.
+    """
+    known = benchmark.select("item_id", "text").where("text <> ''").distinct()
+    folder = shared_folder(benchmark.sparkSession, "benchmark")
+    known.write.parquet(folder)  # each part reads it
+    rows = benchmark.sparkSession.read.schema(known.schema).parquet(folder)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = 1 + total // PART_BYTES
-    for k in range(parts):
-        own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
+    buckets = 1 if total <= PART_BYTES else 16 * (1 + total // PART_BYTES)
+    while True:
+        bucket = F.pmod(F.xxhash64("item_id", "text"), F.lit(buckets))
+        length = F.octet_length("text")
+        measured = rows.groupBy(bucket.alias("k")).agg(
+            F.sum(length).alias("size"), F.max(length).alias("longest"), F.count(F.lit(1)).alias("n")
+        )
+        # long items first: a short one cut out could break a long one's windows
+        sizes = measured.orderBy(F.desc("longest"), "k").collect()
+        if all(r["size"] <= PART_BYTES or r["n"] == 1 for r in sizes):
+            break
+        buckets *= 2
+    parts: list[list[int]] = [[]]
+    left = PART_BYTES
+    for r in sizes:
+        if r["size"] > left and parts[-1]:
+            parts.append([])
+            left = PART_BYTES
+        parts[-1].append(r["k"])
+        left -= r["size"]
+    for part in parts:
+        own = rows.where(bucket.isin(part))
         yield Windows.of([(r["item_id"], r["text"]) for r in own.collect()], n)
 
 

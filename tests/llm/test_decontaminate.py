@@ -76,6 +76,18 @@ def test_edges(spark, rows, monkeypatch, part_bytes):
     assert {r["text"] for r in cut if r["doc_id"] == 1} == {"before \n after"}
 
 
+def test_copies_do_not_outgrow_a_part(spark, rows, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 100)
+    many = [(k, f"w{k:03} " * 4) for k in range(60)] + [(1000, "a much repeated item")] * 30 + [(2000, "long " * 40)]
+    items = rows("item_id long, text string", *many)
+    parts = list(decontaminate._parts(items, 10))
+    texts = dict(many)
+    assert sorted(i for p in parts for i in p.item_ids) == sorted(texts)
+    sizes = [sum(len(texts[i]) for i in p.item_ids) for p in parts]
+    assert all(size <= 100 or p.item_ids == [2000] for size, p in zip(sizes, parts))
+    assert len(parts) < 40
+
+
 def test_empty_tables(spark, rows):
     docs, items = rows("doc_id long, text string", *DOCS), rows("item_id long, text string", *ITEMS)
     assert decontaminate.scan(docs.where("false"), items).count() == 0
