@@ -62,6 +62,21 @@ def test_clustered_vectors_need_narrow_windows(spark, rows):
     assert recall(got, brute(data, 10, 100)) >= 0.9
 
 
+def test_recall_of_a_thinned_sample(spark, rows, monkeypatch):
+    """Windows fitted on a twelfth of the vectors; one cluster has a third of them, some lie alone."""
+    monkeypatch.setattr(neighbours, "SAMPLE", 500)
+    random = np.random.default_rng(1)
+    centres = random.normal(size=(40, 16))
+    cluster = np.where(random.random(6000) < 1 / 3, 0, random.integers(40, size=6000))
+    x = centres[cluster] + 0.05 * random.normal(size=(6000, 16))
+    x[::60] = 3 * random.normal(size=(100, 16))
+    data = [(int(k), v.tolist()) for k, v in zip(random.permutation(6000), x)]
+    got = by_query(neighbours.search(rows("vec_id long, embedding array<double>", *data), 10, 20).collect())
+    found = recall(got, brute(data, 10, 20))
+    print("recall", found)
+    assert found >= 0.9
+
+
 def test_ties_and_odd_rows_are_exact(spark, rows, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK", 7)
     one = [1.0, 0.0]
