@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cowrie.llm import chat, decontaminate, jaccard, language, licenses, neighbours, packing, quality, token_files, toxicity
+from cowrie.llm import (
+    chat,
+    decontaminate,
+    fill_middle,
+    jaccard,
+    language,
+    licenses,
+    neighbours,
+    packing,
+    quality,
+    token_files,
+    toxicity,
+)
 from cowrie.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +192,43 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+FILL_MIDDLE_SQL = r"""
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex
+    FROM documents
+), drawn AS (
+    SELECT *,
+        CAST('0x' || substr(hex, 1, 8) AS BIGINT) % (n + 1) AS c1,
+        CAST('0x' || substr(hex, 9, 8) AS BIGINT) % (n + 1) AS c2,
+        CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                  OR CAST('0x' || substr(hex, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+             WHEN CAST('0x' || substr(hex, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM hashed
+), parts AS (
+    SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b,
+        substr(text, 1, least(c1, c2)) AS prefix,
+        substr(text, least(c1, c2) + 1, abs(c1 - c2)) AS middle,
+        substr(text, greatest(c1, c2) + 1) AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text
+        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op13_fill_middle", FILL_MIDDLE_SQL)
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formed = fill_middle.restore(fill_middle.transform(table(spark, sf_dir, "documents")))
+    return formed.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
