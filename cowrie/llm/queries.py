@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cowrie.llm import (
     chat,
+    conversations,
     decontaminate,
     fill_middle,
     jaccard,
@@ -194,6 +195,82 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+
+def _repair_sql() -> str:
+    """From each state of the grammar the least (cost, letters, lines) to the end, row by row from the last one."""
+
+    def of(state: str, letter: str, cost: str, line: str | None) -> str:
+        lines = f"list_prepend({line}, {state}.x)" if line else f"{state}.x"
+        return f"{{{{'c': {state}.c + {cost}, 't': '{letter}' || {state}.t, 'x': {lines}}}}}"
+
+    wanted = {"e": "u", "s": "u", "u": "a", "a": "u"}
+    role = {"u": "user", "a": "assistant"}
+    kept = {"e": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    own = "(CASE fault WHEN 3 THEN 3 ELSE 0 END + CASE WHEN fault IN (1, 2) THEN 1000000000 ELSE 0 END)"
+    steps = []
+    for state, goes in kept.items():
+        options = [of(state, "D", "4", None)]
+        for initial, to in goes.items():
+            options.append(of(to, "K", f"({own} + CASE r WHEN '{initial}' THEN 0 ELSE 1000000000 END)", "role || ':' || text"))
+        to = wanted[state]
+        options.append(of(to, "R", f"(3 + {own})", f"'{role[to]}:' || text"))
+        steps.append(f"list_min([{', '.join(options)}]) AS {state}")
+    once = ", ".join(
+        [f"list_min([{q}, {of(wanted[q], 'I', '3', chr(39) + role[wanted[q]] + ':' + chr(39))}]) AS {q}" for q in ("u", "a")]
+    )
+    then = ", ".join([f"list_min([{q}, {of('u', 'I', '3', chr(39) + 'user:' + chr(39))}]) AS {q}" for q in ("e", "s")])
+    sql = rf"""
+WITH RECURSIVE hashed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+            lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END))) % 20 AS kind
+    FROM conversations
+), damaged AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM hashed WHERE kind <> 0
+), marked AS (
+    SELECT *, left(role, 1) AS r, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+    FROM damaged
+), rows AS (
+    SELECT *, lag(r) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+        CASE WHEN body = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault
+    FROM marked
+), back AS (
+    SELECT conv_id, max(i) + 1 AS i, {{{{'c': 0, 't': '', 'x': []::VARCHAR[]}}}} AS e, {{{{'c': 6, 't': 'II', 'x': ['user:', 'assistant:']}}}} AS s,
+        {{{{'c': 3, 't': 'I', 'x': ['assistant:']}}}} AS u, {{{{'c': 0, 't': '', 'x': []::VARCHAR[]}}}} AS a
+    FROM rows GROUP BY conv_id
+    UNION ALL
+    SELECT conv_id, i, {then}, u, a FROM (
+        SELECT conv_id, i, e, s, {once} FROM (
+            SELECT b.conv_id, b.i - 1 AS i, {", ".join(steps)}
+            FROM back b JOIN rows r ON b.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = b.i - 1))
+), sums AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+        count(*) FILTER (before || r NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM rows GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.c, 0)::BIGINT AS cost,
+    coalesce(e.t, '') AS audit, sha256(coalesce(array_to_string(e.x, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+    LEFT JOIN sums ON o.conv_id IS NOT DISTINCT FROM sums.conv_id
+    LEFT JOIN back ON o.conv_id IS NOT DISTINCT FROM back.conv_id AND back.i = 1
+"""
+    return sql.replace("{{", "{").replace("}}", "}")
+
+
+@query("op11_conversation_repair", _repair_sql())
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.digests(turns, lost="lost")
+
+
 FILL_MIDDLE_SQL = r"""
 WITH hashed AS (
     SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
