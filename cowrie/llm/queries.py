@@ -19,6 +19,7 @@ from cowrie.llm import (
     neighbours,
     packing,
     quality,
+    shortest_pack,
     token_files,
     toxicity,
 )
@@ -271,6 +272,11 @@ def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.digests(turns, lost="lost")
 
 
+@query("op12_shortest_pack")
+def shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shortest_pack.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 FILL_MIDDLE_SQL = r"""
 WITH hashed AS (
     SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
