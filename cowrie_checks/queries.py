@@ -631,65 +631,94 @@ def _(spark, sf):
     )
 
 
-ARRIVED = """arrived AS (SELECT DISTINCT sender_country AS country_code, CAST(event_ts AS DATE) AS day
-    FROM v_mobile WHERE amount >= 100000)"""
+def payment_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Mobile payments with all columns of the raw file, times as text."""
+    wanted = DATASETS["mobile_money"].fields
+    rows = view(spark, sf, "v_mobile").withColumns(
+        {
+            "timestamp": F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+            "receiver_id": F.col("sender_id"),
+            "payment_type": F.lit("P2P"),
+            "operator": F.lit("WALLET"),
+            "entity_type": F.lit("MOBILE_MONEY"),
+        }
+    )
+    return rows.select(*(F.col(c).cast("string") for c in wanted))
 
 
-def arrivals(spark: SparkSession, sf: str) -> DataFrame:
-    """Paths of day files, one for each country and day with a large payment."""
-    stamp = F.date_format("event_ts", "yyyyMMdd")
-    country = F.col("sender_country")
-    name = F.concat(F.lit("mobile_money_"), country, F.lit("_"), stamp, F.lit("_0001.csv"))
-    large = view(spark, sf, "v_mobile").filter("amount >= 100000")
-    return large.select(
-        F.concat_ws("/", F.lit("file:/raw-landing"), country, F.lit("mobile_money"), stamp, name).alias("path")
-    ).distinct()
+HALF, AGAIN = dt.date(2024, 1, 16), dt.date(2024, 1, 15)
+LATE = (dt.date(2024, 1, 10), dt.date(2024, 1, 20))
+ARRIVED = """arrived AS (SELECT DISTINCT sender_country AS country_code, CAST(event_ts AS DATE) AS day FROM v_mobile)"""
+
+
+def deliver(spark: SparkSession, rows: DataFrame, root: str) -> None:
+    """Payments as raw day files ``<country>/mobile_money/<day>/mobile_money_<country>_<day>_0001.csv``."""
+    staged = session.shared_folder(spark, "staged")
+    dated = rows.withColumns(
+        {"_country": F.col("sender_country"), "_day": F.regexp_replace(F.left("timestamp", F.lit(10)), "-", "")}
+    )
+    # one file for each country and day
+    dated.repartition("_country", "_day").write.partitionBy("_country", "_day").option("header", True).csv(staged)
+    for country in files.children(spark, staged):
+        for day in files.children(spark, f"{staged}/{country}"):
+            if "=" in day:
+                place, stamp = country.partition("=")[2], day.partition("=")[2]
+                name = f"mobile_money_{place}_{stamp}_0001.csv"
+                files.publish_single(spark, f"{staged}/{country}/{day}", f"{root}/{place}/mobile_money/{stamp}/{name}")
+
+
+def on_days(rows: DataFrame, condition: str) -> DataFrame:
+    return rows.filter(condition.replace("day", "CAST(timestamp AS DATE)"))
 
 
 @query(
     "a4_unread_files",
     oracle(
-        "SELECT country_code, CAST(day AS VARCHAR) AS day FROM arrived WHERE day >= DATE '2024-01-16'", ARRIVED
+        f"""SELECT country_code, CAST(day AS VARCHAR) AS day FROM arrived
+            WHERE day >= DATE '{HALF}' OR (day = DATE '{AGAIN}' AND country_code = 'GH')""",
+        ARRIVED,
     ),
 )
 def _(spark, sf):
-    files = arrivals(spark, sf)
-    done = raw_files.located(files).filter("day < DATE '2024-01-16'").select("path")
-    return raw_files.located(raw_files.unread(files, done)).select("country_code", "day")
+    """The first half of the files is read; the others come, and one of the first once more."""
+    root = session.shared_folder(spark, "a4")
+    lake, rows = Lake(spark, f"{root}/lake"), payment_rows(spark, sf)
+    deliver(spark, on_days(rows, f"day < DATE '{HALF}'"), f"{root}/raw")
+    bronze.ingest(spark, lake, f"{root}/raw", "mobile_money")
+    again = f"day = DATE '{AGAIN}' AND sender_country = 'GH'"
+    deliver(spark, on_days(rows, f"day >= DATE '{HALF}' OR ({again})"), f"{root}/raw")
+    left = bronze.unread_files(spark, lake, f"{root}/raw", "mobile_money")
+    return raw_files.located(left).select("country_code", "day")
 
 
 @query(
     "a5_arrival_coverage",
     oracle(
-        """SELECT country_code, 'mobile_money' AS dataset, CAST(day AS VARCHAR) AS day
+        f"""SELECT country_code, dataset, CAST(day AS VARCHAR) AS day, CAST(a.day IS NOT NULL AS BIGINT) AS files,
+                  CASE WHEN a.day IS NULL OR (a.day NOT IN (DATE '{LATE[0]}', DATE '{LATE[1]}')
+                            AND NOT (country_code = 'GH' AND a.day = DATE '{AGAIN}')) THEN 0 ELSE 1 END::BIGINT AS unread,
+                  CASE WHEN a.day IS NULL THEN 'MISSING' WHEN a.day IN (DATE '{LATE[0]}', DATE '{LATE[1]}') THEN 'NEW'
+                       WHEN country_code = 'GH' AND a.day = DATE '{AGAIN}' THEN 'REDELIVERED' ELSE 'READ' END AS state
            FROM (SELECT unnest(['CI', 'SN', 'ML', 'BF', 'GN', 'TG', 'BJ', 'GH']) AS country_code) c
-                CROSS JOIN (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30',
+                CROSS JOIN (SELECT unnest(['mobile_money', 'insurance_operations']) AS dataset) t
+                CROSS JOIN (SELECT CAST(unnest(generate_series(TIMESTAMP '2023-12-30', TIMESTAMP '2024-02-02',
                                                INTERVAL 1 DAY)) AS DATE) AS day) d
-           WHERE (country_code, day) NOT IN (SELECT (country_code, day) FROM arrived)""",
+                LEFT JOIN (SELECT *, 'mobile_money' AS dataset FROM arrived) a USING (country_code, dataset, day)""",
         ARRIVED,
     ),
 )
 def _(spark, sf):
-    expected = raw_files.expected_arrivals(
-        spark, ["CI", "SN", "ML", "BF", "GN", "TG", "BJ", "GH"], ["mobile_money"],
-        dt.date(2024, 1, 1), dt.date(2024, 1, 30),
-    )
-    return raw_files.missing_arrivals(expected, raw_files.located(arrivals(spark, sf)))
-
-
-def payment_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Mobile payments with all columns of the raw file, times as text."""
-    wanted = DATASETS["mobile_money"].fields
-    rows = view(spark, sf, "v_mobile").withColumns(
-        {
-            "timestamp": F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-            "receiver_id": F.col("sender_id"),
-            "payment_type": F.lit("P2P"),
-            "operator": F.lit("WALLET"),
-            "entity_type": F.lit("MOBILE_MONEY"),
-        }
-    )
-    return rows.select(*(F.col(c).cast("string") for c in wanted))
+    """All countries miss two days, which come after the others were read; one file comes twice."""
+    root = session.shared_folder(spark, "a5")
+    lake, rows = Lake(spark, f"{root}/lake"), payment_rows(spark, sf)
+    late = f"day IN (DATE '{LATE[0]}', DATE '{LATE[1]}')"
+    deliver(spark, on_days(rows, f"NOT {late}"), f"{root}/raw")
+    bronze.ingest(spark, lake, f"{root}/raw", "mobile_money")
+    again = f"day = DATE '{AGAIN}' AND sender_country = 'GH'"
+    deliver(spark, on_days(rows, f"{late} OR ({again})"), f"{root}/raw")
+    return bronze.arrival_report(
+        spark, lake, f"{root}/raw", ["mobile_money", "insurance_operations"], dt.date(2023, 12, 30), dt.date(2024, 2, 2)
+    ).drop("bytes")
 
 
 def write_payment_files(spark: SparkSession, sf: str, root: str) -> list[str]:

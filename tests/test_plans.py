@@ -137,6 +137,42 @@ def test_listing_and_coverage(spark, raw):
     }
 
 
+def test_arrival_states(spark, lake, raw):
+    def come(country, stamp, number, *lines):
+        put(raw, f"{country}/mobile_money/{stamp}/mobile_money_{country}_{stamp}_{number}.csv", MOBILE_HEADER, *lines)
+
+    for stamp in ("20260510", "20260511", "20260512"):
+        come("CI", stamp, 1, payment(f"m{stamp}", "2026-05-10 08:00:00"))
+    assert bronze.ingest(spark, lake, str(raw), "mobile_money").files == 3
+    come("CI", "20260511", 2, payment("m2", "2026-05-11 08:00:00"))
+    come("CI", "20260512", 1, payment("m3", "2026-05-12 08:00:00"), payment("m4", "2026-05-12 08:00:00"))
+    come("CI", "20260513", 1)
+    come("GH", "20260513", 1)
+    come("GH", "no-day", 1)
+    report = bronze.arrival_report(
+        spark, lake, str(raw), ["mobile_money"], day("2026-05-10"), day("2026-05-12"), ["CI", "GH"]
+    )
+    by_place = {(r["country_code"], r["day"].day): (r["files"], r["unread"], r["state"]) for r in report.collect()}
+    assert by_place == {
+        ("CI", 10): (1, 0, "READ"), ("CI", 11): (2, 1, "PARTLY_READ"), ("CI", 12): (1, 1, "REDELIVERED"),
+        ("CI", 13): (1, 1, "NEW"), ("GH", 10): (0, 0, "MISSING"), ("GH", 11): (0, 0, "MISSING"),
+        ("GH", 12): (0, 0, "MISSING"), ("GH", 13): (1, 1, "NEW"),
+    }
+
+
+def test_a_backlog_is_read_in_lots_of_whole_days(spark, lake, raw, monkeypatch):
+    monkeypatch.setattr(bronze, "LOT", 2)
+    for stamp, number in (("20260510", 1), ("20260510", 2), ("20260510", 3), ("20260511", 1), ("20260512", 1), ("20260513", 1)):
+        put(raw, f"CI/mobile_money/{stamp}/mobile_money_CI_{stamp}_{number}.csv", MOBILE_HEADER,
+            payment(f"m{stamp}{number}", "2026-05-10 08:00:00"))
+    read, real = [], bronze.read_csv
+    monkeypatch.setattr(bronze, "read_csv", lambda spark, paths, columns: read.append(len(paths)) or real(spark, paths, columns))
+    load = bronze.ingest(spark, lake, str(raw), "mobile_money")
+    assert read == [3, 2, 1] and (load.files, load.rows_handled) == (6, 6)
+    assert lake.bronze("mobile_money").read().count() == 6
+    assert bronze.ingest(spark, lake, str(raw), "mobile_money").files == 0
+
+
 def test_a_file_delivered_again_under_its_name_is_read_again(spark, lake, raw):
     name = "CI/mobile_money/20260510/mobile_money_CI_20260510_01.csv"
     put(raw, name, MOBILE_HEADER, payment("m1", "2026-05-10 08:00:00"))
