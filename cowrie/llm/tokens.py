@@ -11,12 +11,13 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from itertools import chain
 
 import numpy as np
 
-#: Entries of a lot, of which a worker keeps two: bounds its memory to about 250 MB.
-WORDS_KEPT, STEMS_KEPT = 200_000, 400_000
+#: Entries of a lot, of which a worker keeps two: bounds its memory to about 200 MB.
+WORDS_KEPT = 300_000
 
 # A run of letters whose case and composition are plain, then a run of ASCII marks.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
@@ -32,6 +33,11 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_SPACE = _BYTE_LETTERS[0x20]
+
+
+def _code(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _Kept(dict):
@@ -74,25 +80,31 @@ class Encoder:
             self.encode = self.whole
         self._model = self.tokenizer.model
         self._marks = _Kept(self.whole, WORDS_KEPT)
-        self._stems = _Kept(self._stem, STEMS_KEPT)
         self._inner = _Kept(lambda word: self._word(" ", word), WORDS_KEPT)
         self._first = _Kept(lambda word: self._word("", word), WORDS_KEPT)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _code(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _stem(self, stem: str) -> bytes:
         """A run of plain letters is one word to the model: no need to normalise and cut it."""
-        letters = stem.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return np.array([token.id for token in self._model.tokenize(letters)], "<u4").tobytes()
+        if not stem.isascii():
+            stem = stem.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        elif stem[0] == " ":
+            stem = _SPACE + stem[1:]
+        return _code([token.id for token in self._model.tokenize(stem)])
 
     def _word(self, before: str, word: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        if not plain:
-            return self.whole(before + word)
-        stem, marks = plain.groups()
-        ids = self._stems[before + (stem.lower() if self.lower else stem)]
-        return ids + self._marks[marks] if marks else ids
+        if not (word.isascii() and word.isalpha()):
+            plain = _PLAIN.fullmatch(word)
+            if not plain:
+                return self.whole(before + word)
+            stem, marks = plain.groups()
+            if marks:  # the stem is a word that may be at hand
+                return (self._inner if before else self._first)[stem] + self._marks[marks]
+        if self.lower and word != (lower := word.lower()):
+            return self._first[lower]
+        return self._stem(before + word)
 
     def _spaced(self, text: str) -> bytes:
         lines = [line.split(" ") for line in text.split("\n")]
