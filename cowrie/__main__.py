@@ -8,7 +8,7 @@ import json
 from cowrie import session
 from cowrie.functions.periods import parse_day
 from cowrie.model import COUNTRIES, DATASETS, FACTS, STREAMED
-from cowrie.plans import bronze, gold, report, silver
+from cowrie.plans import bronze, gold, premiums, report, silver
 from cowrie.sources.lake import Lake
 from cowrie.sources.topics import Channel
 from cowrie.streaming import alerts
@@ -65,6 +65,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "silver":
         rows = silver.refresh(lake, args.data_type, args.date, args.refresh_current)
         print("nothing pending" if rows is None else f"{rows} rows refined")
+        if args.data_type == "insurance_operations":
+            premiums.refresh(lake, alerts.utc_today())
     elif args.job == "gold":
         rows = gold.refresh(lake, args.kpi, args.refresh_current, args.null_safe)
         print("nothing pending" if rows is None else f"{rows} rows computed")
@@ -79,7 +81,7 @@ def main(argv: list[str] | None = None) -> None:
             )
         else:
             alerts.start(
-                spark, args.rule, channel, lake.load, args.checkpoints,
+                spark, args.rule, channel, premiums.loader(lake, alerts.utc_today), args.checkpoints,
                 state_partitions=args.state_partitions,
             )
         spark.streams.awaitAnyTermination()

@@ -46,36 +46,32 @@ def daily_transaction_volume(bank: DataFrame, moment: str = "timestamp") -> Data
     )
 
 
-def npl_ratio_by_country(
-    loans: DataFrame,
-    moment: str = "due_date",
-    first: dt.date | None = None,
-    periods: DataFrame | None = None,
-) -> DataFrame:
-    """Share in default of all that was due up to each period (a stock).
+_GROUP = ["country_code", "loan_type"]
+_DUE_SUMS = ["d", "d_beyond", "t", "t_beyond"]
 
-    Facts shrink to one row per day and group; a running sum over those gives the
-    stock.  It is read at a mark for each group and reported day: the days present
-    from ``first`` on, or the given ``periods`` (one column ``period``).  So the facts
-    are aggregated once, when the function is called, however many periods are
-    reported, and days without rows cost nothing, however far apart.
-    """
-    group = ["country_code", "loan_type"]
-    sums = ["d", "d_beyond", "t", "t_beyond"]
+
+def due_by_day(loans: DataFrame, moment: str = "due_date") -> DataFrame:
+    """What was due, and what of it is in default, per day and group: all a stock needs of its facts."""
     due = F.col("amount_due_eur")
     bad = F.when(F.col("repayment_status") == DEFAULTED, due).otherwise(F.lit(0.0))
-    daily = (
+    return (
         loans.filter(F.col(moment).isNotNull())
-        .groupBy(period_of(moment, "day").alias("day"), *group)
+        .groupBy(period_of(moment, "day").alias("day"), *_GROUP)
         .agg(
             F.sum(cents(bad)).alias("d"), F.sum(beyond(bad)).alias("d_beyond"),
             F.sum(cents(due)).alias("t"), F.sum(beyond(due)).alias("t_beyond"),
         )
     )
-    # written: days, groups and sums are read from it, and the facts but once
-    folder = shared_folder(loans.sparkSession, "daily-due")
-    daily.write.parquet(folder)
-    daily = loans.sparkSession.read.schema(daily.schema).parquet(folder)
+
+
+def default_stock(daily: DataFrame, first: dt.date | None = None, periods: DataFrame | None = None) -> DataFrame:
+    """Share in default of all that was due up to each period, from written ``due_by_day`` rows.
+
+    Days before ``first`` count as one opening stock of their group.  The running sum of
+    a group is read at a mark for each reported day: the days present from ``first`` on, or
+    the given ``periods`` (one column ``period``).  Days without rows cost nothing, however
+    far apart.
+    """
     if periods is None:
         reported = daily.select(F.col("day").alias("period")).distinct()
         if first is not None:
@@ -84,21 +80,26 @@ def npl_ratio_by_country(
         reported = periods.select("period").distinct()
     # one date for each day there is: a list, ascending, of some thousands at most
     listed = reported.agg(F.sort_array(F.collect_list("period"))).scalar()
-
-    marks = daily.select(*group).distinct().select(
-        F.explode(listed).alias("day"), *group, *(F.lit(None).cast(daily.schema[c].dataType).alias(c) for c in sums),
+    if first is not None:
+        # sums stay exact decimals and doubles, so folding the days before changes no digit
+        day = F.when(F.col("day") < F.lit(first), F.date_sub(F.lit(first), 1)).otherwise(F.col("day"))
+        daily = daily.groupBy(day.alias("day"), *_GROUP).agg(*(F.sum(c).cast(daily.schema[c].dataType).alias(c) for c in _DUE_SUMS))
+
+    marks = daily.select(*_GROUP).distinct().select(
+        F.explode(listed).alias("day"), *_GROUP,
+        *(F.lit(None).cast(daily.schema[c].dataType).alias(c) for c in _DUE_SUMS),
         F.lit(True).alias("mark"),
     )
     # a day's own rows come before its mark
     so_far = (
-        Window.partitionBy(*group).orderBy("day", "mark").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*_GROUP).orderBy("day", "mark").rowsBetween(Window.unboundedPreceding, 0)
     )
     stocks = (
         daily.withColumn("mark", F.lit(False))
         .unionByName(marks)
         .select(
             F.col("day").alias("period"),
-            *group,
+            *_GROUP,
             "mark",
             F.min("mark").over(so_far).alias("before_all"),
             total(F.sum("d").over(so_far), F.sum("d_beyond").over(so_far)).alias("d"),
@@ -108,13 +109,30 @@ def npl_ratio_by_country(
     )
     return stocks.select(
         "period",
-        *group,
+        *_GROUP,
         ratio(F.col("d"), F.col("t"), 4).alias("npl_ratio"),
         euros(F.col("d")).alias("encours_defaut_eur"),
         euros(F.col("t")).alias("encours_total_eur"),
     )
 
 
+def npl_ratio_by_country(
+    loans: DataFrame,
+    moment: str = "due_date",
+    first: dt.date | None = None,
+    periods: DataFrame | None = None,
+) -> DataFrame:
+    """Share in default of all that was due up to each period (a stock).
+
+    The facts shrink to one row per day and group, once, when the function is called.
+    """
+    # written: days, groups and sums are read from it, and the facts but once
+    folder = shared_folder(loans.sparkSession, "daily-due")
+    daily = due_by_day(loans, moment)
+    daily.write.parquet(folder)
+    return default_stock(loans.sparkSession.read.schema(daily.schema).parquet(folder), first, periods)
+
+
 def customer_arpu_monthly(
     bank: DataFrame,
     loans: DataFrame,

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from cowrie.functions.periods import period_start
 from cowrie.operators import indicators
 from cowrie.operators.incremental import first_pending
+from cowrie.plans.kept import KeptDays
 from cowrie.sources.lake import Lake
 
 DAY = "event_date"
@@ -43,10 +44,18 @@ def _volume(lake: Lake, first: dt.date) -> DataFrame:
     return indicators.daily_transaction_volume(_since(lake, "bank_transactions", first), DAY)
 
 
+def due_by_day(lake: Lake) -> KeptDays:
+    """What each day adds to the stock of defaults."""
+    return KeptDays(
+        lake, "loan_due_by_day", "loan_repayments", lambda loans: indicators.due_by_day(loans, DAY), "month"
+    )
+
+
 def _npl(lake: Lake, first: dt.date) -> DataFrame:
-    # a stock: all rows count, only the periods reported are limited
-    loans = lake.silver("loan_repayments").read()
-    return indicators.npl_ratio_by_country(loans, DAY, first)
+    # a stock: all days count, but only the facts of those that changed are read
+    kept = due_by_day(lake)
+    kept.refresh()
+    return indicators.default_stock(kept.read(), first)
 
 
 def _arpu(lake: Lake, first: dt.date) -> DataFrame:

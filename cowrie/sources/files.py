@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from cowrie.session import shared_folder
 
 
 # Written by Spark when all of a write is in place; the lake's tables go by it, so it
@@ -30,6 +32,20 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
+def listed(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, length, modificationTime`` of all files below a folder, written down once.
+
+    Spark would take a task for every 128 MB that the files hold, though it only lists
+    them; a session of its own limits the tasks.
+    """
+    lister = spark.newSession()
+    lister.conf.set("spark.sql.files.maxPartitionNum", spark.conf.get("spark.sql.shuffle.partitions"))
+    found = lister.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    listing = shared_folder(spark, "listing")
+    found.select("path", "length", "modificationTime").write.parquet(listing)
+    return spark.read.schema("path string, length long, modificationTime timestamp").parquet(listing)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = _handle(spark, path)
     fs.mkdirs(target)

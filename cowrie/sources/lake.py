@@ -9,7 +9,7 @@ half a write.  A table has one writer at a time.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,18 +36,24 @@ class HalfWritten(RuntimeError):
 
 
 class Lake:
-    """Where each table of the platform lies and how it is merged; facts are cut by country and day."""
+    """Where each table of the platform lies and how it is merged.
 
-    def __init__(self, spark: SparkSession, root: str):
+    Facts are cut by country and day, or as ``layout`` says for a dataset: a thin one by
+    day alone, so that its folders hold more than a few rows.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, layout: Mapping[str, Sequence[str]] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.layout = dict(layout or {})
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
     def _facts(self, layer: str, name: str, update: bool) -> FactTable:
         dataset = DATASETS[name]
-        return FactTable(self.spark, self.path(layer, name), dataset.key, dataset.partition_by, update)
+        folders = self.layout.get(name, dataset.partition_by)
+        return FactTable(self.spark, self.path(layer, name), dataset.key, folders, update)
 
     def bronze(self, name: str) -> FactTable:
         return self._facts("bronze", name, update=False)
@@ -159,12 +165,13 @@ class FactTable:
             return self.read().filter(F.col(column).isNotNull() & rows)
         wanted = [
             folder
-            for folder, day in self._day_folders(column)
+            for folder, day in self.folders(column)
             if (first is None or day >= first) and (last is None or day <= last)
         ]
         return self._read_folders(wanted)
 
-    def _day_folders(self, column: str) -> list[tuple[str, dt.date]]:
+    def folders(self, column: str) -> list[tuple[str, dt.date]]:
+        """The folders of each date the table is cut by."""
         folders = [self.path]
         for name in self.partition_by[: self.partition_by.index(column) + 1]:
             folders = [
@@ -186,13 +193,32 @@ class FactTable:
             return []
         self._refuse_half_written()
         if column in self.partition_by:
-            return sorted({day for _, day in self._day_folders(column)})
+            return sorted({day for _, day in self.folders(column)})
         found = self.read().select(column).filter(F.col(column).isNotNull()).distinct()
         return sorted(row[0] for row in found.collect())
 
     def latest(self, column: str) -> dt.date | None:
         return max(self.days(column), default=None)
 
+    def read_on(self, column: str, days: Collection[dt.date]) -> DataFrame:
+        """The rows of some days, of which the table is cut: no other folder is listed or read."""
+        self._refuse_half_written()
+        return self._read_folders([folder for folder, day in self.folders(column) if day in days])
+
+    def day_marks(self, column: str) -> DataFrame:
+        """``day, mark`` of each day the table is cut by; a mark changes with any file of the day.
+
+        Files are listed, not read.  The listing has as many tasks as the session has
+        pieces in a shuffle, not as many as the data would need.
+        """
+        self._refuse_half_written()
+        if not self.exists():
+            return self.spark.createDataFrame([], "day date, mark long")
+        found = files.listed(self.spark, self.path)
+        day = F.try_to_date(F.regexp_extract("path", rf"/{column}=(\d{{4}}-\d\d-\d\d)/", 1))
+        mark = F.bit_xor(F.xxhash64("path", "length", "modificationTime"))
+        return found.select(day.alias("day"), "*").filter("day IS NOT NULL").groupBy("day").agg(mark.alias("mark"))
+
     # -- writing ---------------------------------------------------------------
 
     def append(self, df: DataFrame) -> None:
@@ -299,9 +325,10 @@ class FactTable:
 class SmallTable:
     """An aggregate kept as numbered snapshots ``v00000001``, ``v00000002``, …"""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()):
         self.spark = spark
         self.path = path
+        self.partition_by = list(partition_by)
 
     def _versions(self) -> list[int]:
         names = [n for n in files.children(self.spark, self.path) if n.startswith("v")]
@@ -314,8 +341,10 @@ class SmallTable:
     def exists(self) -> bool:
         return bool(self._versions())
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self._folder(self._versions()[-1]))
+    def read(self, columns: str | None = None) -> DataFrame:
+        """The newest snapshot; an empty one cut into folders has no file to take ``columns`` from."""
+        reader = self.spark.read.schema(columns) if columns else self.spark.read
+        return reader.parquet(self._folder(self._versions()[-1]))
 
     def latest(self, column: str) -> dt.date | None:
         return self.read().agg(F.max(column).alias("m")).collect()[0]["m"] if self.exists() else None
@@ -323,7 +352,8 @@ class SmallTable:
     def write(self, df: DataFrame) -> None:
         versions = self._versions()
         target = self._folder(versions[-1] + 1 if versions else 1)
-        df.write.mode("overwrite").options(**files.MARK_DONE).parquet(target)
+        output = df.write.mode("overwrite").options(**files.MARK_DONE)
+        (output.partitionBy(*self.partition_by) if self.partition_by else output).parquet(target)
         for version in versions[:-1]:
             files.remove(self.spark, self._folder(version))
 

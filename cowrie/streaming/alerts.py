@@ -30,10 +30,13 @@ from cowrie.model import (
     PREMIUM_DAYS,
 )
 from cowrie.operators.indicators import is_premium, is_settled_claim
-from cowrie.operators.merge import matched
 from cowrie.sources.topics import Channel
 from cowrie.streaming.sinks import run
 
+#: The kept sums of premiums and the folders they are cut into.
+PREMIUM_TOTALS, BUCKET, PREMIUM_BUCKETS = "premium_totals", "bucket", 64
+
+
 def _alert(kind: str, rows: DataFrame, *columns: Column | str) -> DataFrame:
     return rows.select(F.lit(kind).alias("alert_type"), *columns)
 
@@ -103,6 +106,10 @@ def claim_over_premiums(
     claims = operations.filter(is_settled_claim())
     premiums = recent_premiums(history, today, moment).withColumnRenamed("customer_id", "_customer")
     known = claims.join(premiums, claims["customer_id"] == premiums["_customer"], "inner")
+    return _claim_alerts(known)
+
+
+def _claim_alerts(known: DataFrame) -> DataFrame:
     over = F.col("amount_eur") > CLAIM_TO_PREMIUM_LIMIT * F.col("annual_premium_eur")
     return _alert(
         "CLAIM_EXCEEDS_PREMIUM_RATIO",
@@ -115,10 +122,21 @@ def claim_over_premiums(
     )
 
 
-def claims_of_batch(batch: DataFrame, history: DataFrame, today: dt.date) -> DataFrame:
-    """The rule for one micro-batch: the history is first cut to the batch's claimants."""
-    theirs = matched(history, batch.filter(is_settled_claim()), ["customer_id"])
-    return claim_over_premiums(batch, theirs, today, "event_date")
+def bucket_of(customer: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(customer).cast("string")), F.lit(PREMIUM_BUCKETS)).cast("int")
+
+
+def claims_over_totals(operations: DataFrame, totals: DataFrame) -> DataFrame:
+    """The rule for one micro-batch, against totals of the year cut by ``bucket_of`` the customer.
+
+    Buckets are compared too, so that Spark reads the folders of the claimants alone.
+    """
+    claims = operations.filter(is_settled_claim()).withColumn("_bucket", bucket_of("customer_id"))
+    sums = totals.select(F.col("customer_id").alias("_customer"), "annual_premium_eur", BUCKET)
+    known = claims.join(
+        sums, (claims["_bucket"] == sums[BUCKET]) & (claims["customer_id"] == sums["_customer"]), "inner"
+    )
+    return _claim_alerts(known)
 
 
 def aml_threshold(
@@ -201,9 +219,7 @@ RULES = {
     "fraud_claim_ratio": Rule(
         "insurance_operations",
         FRAUD_TOPIC,
-        lambda events, load, today: claims_of_batch(
-            events, load("silver", "insurance_operations"), today
-        ),
+        lambda events, load, today: claims_over_totals(events, load("gold", PREMIUM_TOTALS)),
         per_batch=True,
     ),
     "aml_threshold": Rule("bank_transactions", AML_TOPIC, lambda events, load, today: aml_threshold(events)),
@@ -213,7 +229,7 @@ RULES = {
 }
 
 
-def _utc_today() -> dt.date:
+def utc_today() -> dt.date:
     return dt.datetime.now(dt.timezone.utc).date()
 
 
@@ -234,7 +250,7 @@ def start(
     load: Callable[[str, str], DataFrame],
     checkpoints: str,
     trigger: dict | None = None,
-    today: Callable[[], dt.date] = _utc_today,
+    today: Callable[[], dt.date] = utc_today,
     rules: Mapping[str, Rule] | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:

@@ -845,12 +845,16 @@ def _(spark, sf):
 # Bronze, silver and gold in one go.
 
 
+#: The tables are thin: a folder for each of the thousands of days holds all countries.
+BY_DAY = {name: ["event_date"] for name in ("bank_transactions", "insurance_operations", "loan_repayments")}
+
+
 def refined_lake(spark: SparkSession, sf: str, label: str, *names: str) -> Lake:
-    lake = Lake(spark, f"{session.shared_folder(spark, label)}/lake")
+    lake = Lake(spark, f"{session.shared_folder(spark, label)}/lake", BY_DAY)
     for name, frame in references(spark, sf).items():
         FactTable(spark, lake.path("bronze", name), DATASETS[name].key, []).append(frame)
     sources = {
-        "bank_transactions": "v_bank_near", "insurance_operations": "v_insurance_near", "loan_repayments": "v_loans_near"
+        "bank_transactions": "v_bank", "insurance_operations": "v_insurance", "loan_repayments": "v_loans"
     }
     for name in names:
         rows = view(spark, sf, sources[name])
@@ -863,9 +867,48 @@ def refined_lake(spark: SparkSession, sf: str, label: str, *names: str) -> Lake:
     return lake
 
 
-S_LOANS = silver_ctes("s_loans", "v_loans_near", "repayment_id", "due_date", ["amount_due"], LOAN_TIES)
-S_BANK = silver_ctes("s_bank", "v_bank_near", "transaction_id", "event_ts", ["amount"], BANK_TIES)
-S_INSURANCE = silver_ctes("s_insurance", "v_insurance_near", "operation_id", "event_ts", ["amount"], INSURANCE_TIES)
+S_LOANS = silver_ctes("s_loans", "v_loans", "repayment_id", "due_date", ["amount_due"], LOAN_TIES)
+S_BANK = silver_ctes("s_bank", "v_bank", "transaction_id", "event_ts", ["amount"], BANK_TIES)
+S_INSURANCE = silver_ctes("s_insurance", "v_insurance", "operation_id", "event_ts", ["amount"], INSURANCE_TIES)
+
+
+FIRST_LOT, SECOND_LOT = dt.date(1995, 7, 1), dt.date(1998, 1, 1)
+LOT_SQL = f"""CASE WHEN due_date < DATE '{FIRST_LOT}' AND loan_type <> 'SME' THEN 1
+                   WHEN due_date < DATE '{SECOND_LOT}' THEN 2 ELSE 3 END"""
+
+
+@query(
+    "e2_stock_of_three_refreshes",
+    oracle(
+        f"""SELECT {day_text('due_date')} AS period, country_code, loan_type, {half_up('d', 't', 4)} AS npl_ratio,
+                   {as_eur('d')} AS encours_defaut_eur, {as_eur('t')} AS encours_total_eur
+            FROM stock WHERE t IS NOT NULL AND due_date IN (SELECT due_date FROM reported r WHERE r.run = stock.run)""",
+        f"daily AS (SELECT *, {LOT_SQL} AS lot FROM (SELECT due_date, country_code, loan_type, "
+        f"sum(CASE WHEN repayment_status = 'DEFAULT' THEN {cts('amount_due')} ELSE 0 END) AS d, "
+        f"sum({cts('amount_due')}) AS t FROM v_loans GROUP BY ALL))",
+        # a run reports the days after the last one there was
+        """reported AS (SELECT run, due_date FROM (SELECT unnest([1, 2, 3]) AS run) JOIN daily ON lot <= run
+           WHERE due_date > coalesce((SELECT max(due_date) FROM daily WHERE lot < run), DATE '0001-01-01') GROUP BY ALL)""",
+        """stock AS (SELECT run, due_date, country_code, loan_type, sum(d) OVER w AS d, sum(t) OVER w AS t
+           FROM (SELECT r.run, a.due_date, g.country_code, g.loan_type FROM (SELECT unnest([1, 2, 3]) AS run) r
+                 JOIN (SELECT DISTINCT due_date, lot FROM daily) a ON a.lot <= r.run
+                 JOIN (SELECT DISTINCT country_code, loan_type, lot FROM daily) g ON g.lot <= r.run GROUP BY ALL) grid
+                LEFT JOIN (SELECT r.run, x.* FROM (SELECT unnest([1, 2, 3]) AS run) r JOIN daily x ON x.lot <= r.run)
+                USING (run, due_date, country_code, loan_type)
+           WINDOW w AS (PARTITION BY run, country_code, loan_type ORDER BY due_date))""",
+    ),
+)
+def _(spark, sf):
+    """Loans come in three lots of days; all loans of one type come late, with the second.
+
+    Each refresh reads the facts of the days that changed and reports the new days.
+    """
+    lake = Lake(spark, f"{session.shared_folder(spark, 'e2')}/lake", BY_DAY)
+    facts = loans(spark, sf).withColumn("event_date", F.col("due_date")).withColumn("lot", F.expr(LOT_SQL))
+    for lot in (1, 2, 3):
+        lake.silver("loan_repayments").append(facts.filter(F.col("lot") == lot).drop("lot"))
+        gold.refresh(lake, "npl_ratio_by_country")
+    return lake.gold("npl_ratio_by_country").read()
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cowrie_checks.queries import (
     AML_SQL,
     BURST_SQL,
+    BY_DAY,
     CLAIMS_TODAY,
     FLOORS,
     PREMIUMS_CTE,
@@ -31,6 +32,7 @@ from cowrie.functions import messages as msg
 from cowrie.functions.money import with_eur
 from cowrie.model import DATASETS, REJECTED_TOPIC
 from cowrie.operators import latest, reconcile
+from cowrie.plans import premiums
 from cowrie.sources import raw_files
 from cowrie.sources.lake import Lake
 from cowrie.sources.topics import Channel
@@ -74,7 +76,7 @@ class Platform:
         root = session.shared_folder(spark, label)
         self.root = root
         self.channel = Channel("parquet", {"root": f"{root}/topics"})
-        self.lake = Lake(spark, f"{root}/lake")
+        self.lake = Lake(spark, f"{root}/lake", BY_DAY)
         self.checkpoints = f"{root}/checkpoints"
 
     def raw_to_silver(self, name: str, messages: DataFrame) -> None:
@@ -99,7 +101,7 @@ class Platform:
         self.channel.write(msg.to_messages(refined), dataset.silver_topic, "all")
         finish(
             alerts.start(
-                self.spark, rule, self.channel, self.lake.load, self.checkpoints, NOW,
+                self.spark, rule, self.channel, premiums.loader(self.lake, lambda: CLAIMS_TODAY), self.checkpoints, NOW,
                 lambda: CLAIMS_TODAY, rules, cores(self.spark),
             )
         )
@@ -314,6 +316,7 @@ def _(spark, sf):
         {"event_date": F.to_date("event_ts"), "customer_id": F.col("customer_id").cast("string")}
     )
     platform.lake.silver("insurance_operations").append(history)
+    premiums.refresh(platform.lake, CLAIMS_TODAY)
     operations = view(spark, sf, "v_insurance").withColumn("timestamp", wire_text("event_ts"))
     # one row per key and time, so that which duplicate arrives first does not matter
     first = latest.latest_per_key(operations.withColumn("less", -F.col("amount")), ["operation_id", "timestamp"], "less")

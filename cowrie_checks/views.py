@@ -84,16 +84,7 @@ VIEWS = {
 }
 
 
-def _near(day: str, kind: str) -> str:
-    """The date moved into the first sixty days of 2024, in both engines' SQL."""
-    return f"CAST(DATE '2024-01-01' + CAST(dayofyear({day}) % 60 AS INT) AS {kind})"
-
-
-# The same facts on sixty days: tables cut by country and day then have some hundred folders.
 VIEWS |= {
-    "v_loans_near": VIEWS["v_loans"].replace("CAST(l_shipdate AS DATE)", _near("l_shipdate", "DATE")),
-    "v_bank_near": VIEWS["v_bank"].replace("o_orderdate AS", f"{_near('o_orderdate', 'TIMESTAMP')} AS"),
-    "v_insurance_near": VIEWS["v_insurance"].replace("l_shipdate AS", f"{_near('l_shipdate', 'TIMESTAMP')} AS"),
     # every tenth transaction is larger than whole cents in 64 bits allow to sum up
     "v_bank_large": """
   SELECT transaction_id, event_ts, account_id, country_code, transaction_type, currency, entity_type,

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from cowrie.functions import messages as msg
 from cowrie.functions.money import with_eur
 from cowrie.model import DATASETS, FRAUD_TOPIC, REJECTED_TOPIC
-from cowrie.sources.lake import Lake
+from cowrie.plans import premiums
+from cowrie.sources.lake import Lake, SmallTable
 from cowrie.sources.raw_files import event_stream
 from cowrie.sources.topics import Channel
 from cowrie.streaming import alerts
@@ -231,8 +232,58 @@ def test_claims_over_premiums(rows):
     )
     got = alerts.claim_over_premiums(claims, history, today)
     assert {(r["operation_id"], r["annual_premium_eur"]) for r in got.collect()} == {("2", 10.0)}
-    dated = history.withColumn("event_date", F.to_date("timestamp"))
-    assert {r["operation_id"] for r in alerts.claims_of_batch(claims, dated, today).collect()} == {"2"}
+
+
+def test_claims_meet_kept_premiums(spark, rows, tmp_path):
+    """Totals follow late, changed and expired premiums; a micro-batch opens no facts."""
+    ddl = ("operation_id string, customer_id string, country_code string, operation_type string, claim_status string, "
+           "amount_eur double, event_date date")
+
+    def premium(key, customer, amount, when):
+        return (key, customer, "CI", "PREMIUM_PAYMENT", None, amount, day(when))
+
+    def claim(key, customer, amount):
+        return (key, customer, "CI", "CLAIM_PAYMENT", "PAID", amount, day("2026-07-01"))
+
+    lake, today = Lake(spark, str(tmp_path / "lake")), day("2026-07-01")
+    operations = lake.silver("insurance_operations")
+    batch = rows(ddl, claim("1", "c1", 30.0), claim("2", "c1", 30.01), claim("3", "c2", 31.0), claim("4", None, 5.0))
+
+    def alerted(now=today):
+        totals = premiums.loader(lake, lambda: now)("gold", "premium_totals")
+        got = alerts.claims_over_totals(batch, totals)
+        assert not any("silver" in f for f in got.inputFiles())
+        return {(r["operation_id"], r["annual_premium_eur"]) for r in got.collect()}
+
+    assert alerted() == set()
+    operations.merge(rows(
+        ddl, premium("h1", "c1", 10.0, "2025-07-01"), premium("h2", "c1", 90.0, "2025-06-30"),
+        premium("h3", "c2", 10.0, "2026-06-30"), premium("h4", None, 1.0, "2026-06-30"), claim("h5", "c2", 9.0),
+    ))
+    assert premiums.refresh(lake, today) == [day("2025-07-01"), day("2026-06-30"), today]
+    assert alerted() == {("2", 10.0), ("3", 10.0)}
+    assert premiums.refresh(lake, today) == []
+    operations.merge(rows(ddl, premium("h6", "c2", 2.5, "2026-06-30"), premium("h3", "c2", 0.5, "2026-06-01")))
+    assert premiums.refresh(lake, today) == [day("2026-06-01"), day("2026-06-30")]
+    assert alerted() == {("2", 10.0), ("3", 3.0)}
+    tomorrow = day("2026-07-02")  # the first premium has expired, nobody has refreshed
+    assert alerted(tomorrow) == {("3", 3.0)}
+    assert alerted(day("2026-07-03")) == {("3", 3.0)}
+    assert sorted(p.name for p in (tmp_path / "lake/gold/premium_totals").iterdir()) == ["2026-07-02", "2026-07-03"]
+
+
+def test_claims_read_the_folders_of_their_customers(spark, rows, tmp_path):
+    totals = SmallTable(spark, str(tmp_path / "t"), [alerts.BUCKET])
+    sums = spark.range(5000).select(F.concat(F.lit("c"), "id").alias("customer_id"), F.lit(1.0).alias("annual_premium_eur"))
+    totals.write(sums.withColumn(alerts.BUCKET, alerts.bucket_of("customer_id")))
+    batch = rows(
+        "operation_id string, customer_id string, country_code string, operation_type string, claim_status string, amount_eur double",
+        ("1", "c7", "CI", "CLAIM_PAYMENT", "PAID", 4.0),
+    ).persist()
+    batch.count()
+    got = alerts.claims_over_totals(batch, totals.read())
+    assert [r["operation_id"] for r in got.collect()] == ["1"]
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_update_mode_repeats_a_window_when_its_sum_changes(spark, tmp_path, channel):
