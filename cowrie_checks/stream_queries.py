@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cowrie_checks.queries import (
@@ -33,6 +33,7 @@ from cowrie.functions.money import with_eur
 from cowrie.model import DATASETS, REJECTED_TOPIC
 from cowrie.operators import latest, reconcile
 from cowrie.plans import premiums
+from cowrie.plans.ledger import Ledger
 from cowrie.sources import raw_files
 from cowrie.sources.lake import Lake
 from cowrie.sources.topics import Channel
@@ -167,7 +168,7 @@ MILLIS = "strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%gZ')"
 @query(
     "a11_topic_table",
     oracle(
-        f"""SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, {MILLIS} AS event_time,
+        f"""SELECT CAST(transaction_id AS VARCHAR) AS _key, CAST(transaction_id AS VARCHAR) AS transaction_id, {MILLIS} AS event_time,
                    CAST(account_id AS VARCHAR) AS account_id, CAST(NULL AS VARCHAR) AS customer_id, country_code,
                    transaction_type, amount, {eur('amount')} AS streaming_amount_eur, currency,
                    CAST(NULL AS VARCHAR) AS entity_type
@@ -202,7 +203,7 @@ def _(spark, sf):
     )
     platform = Platform(spark, "c11")
     platform.raw_to_silver("bank_transactions", damaged)
-    return platform.channel.read(spark, REJECTED_TOPIC)
+    return platform.channel.read(spark, REJECTED_TOPIC).select("value")
 
 
 @query(
@@ -328,6 +329,192 @@ def _(spark, sf):
     )
 
 
+# -- several micro-batches --------------------------------------------------------------------------
+
+# Events arrive in pieces of five days; two kinds come one and two pieces late.
+PIECE_SQL = """CAST(floor((day(event_ts) - 1) / 5) AS INT)
+    + CASE transaction_type WHEN 'WITHDRAWAL' THEN 2 WHEN 'INTERNATIONAL_WIRE' THEN 1 ELSE 0 END"""
+PIECES = 9  # days 1 to 31 give 0 to 6, the latest come two later
+
+
+def watermarks(delay: str, restarts: tuple[int, ...] = ()) -> tuple[str, ...]:
+    """Parts of SQL: ``arriving`` events with their piece, and the time up to which a piece's rows are late.
+
+    Rows are late by the watermark of the micro-batch before theirs, which knows the pieces
+    before that one.  Where a run has ended in between, its last micro-batch, without rows,
+    knew all pieces.
+    """
+    known = " ".join(f"WHEN {piece} THEN {piece - 1}" for piece in restarts)
+    before = f"CASE p.piece {known} ELSE p.piece - 2 END" if known else "p.piece - 2"
+    return (
+        f"arriving AS (SELECT *, {PIECE_SQL} AS piece FROM v_bank_stream)",
+        f"""late AS (SELECT p.piece, date_trunc('millisecond', max(a.event_ts)) - INTERVAL {delay} AS up_to
+            FROM (SELECT unnest(range({PIECES})) AS piece) p LEFT JOIN arriving a ON a.piece <= {before} GROUP BY p.piece)""",
+    )
+
+
+def in_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return bank_events(spark, sf).withColumn("piece", F.expr(PIECE_SQL))
+
+
+def raw_message(rows: DataFrame) -> DataFrame:
+    return msg.to_messages(rows.withColumn("timestamp", wire_text("event_ts")).drop("event_ts", "piece"))
+
+
+class Replay(Platform):
+    """A stream whose topic gets one file for each piece; a micro-batch takes one file."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        super().__init__(spark, label)
+        self.channel = Channel("parquet", {"root": f"{self.root}/topics", "maxFilesPerTrigger": "1"})
+
+    def send(self, messages: DataFrame, topic: str, piece: int) -> None:
+        self.channel.write(messages.coalesce(1), topic, f"all/batch_id={piece}")
+
+
+@query(
+    "j2_dedup_over_batches",
+    oracle(
+        f"""{TEXT_IDS.replace("FROM v_bank_stream", "FROM arriving a LEFT JOIN late USING (piece)")}
+            WHERE up_to IS NULL OR event_ts > up_to""",
+        *watermarks("10 MINUTE"),
+    ),
+)
+def _(spark, sf):
+    """Nine micro-batches, each with all events of the piece before once more; one run."""
+    replay, events = Replay(spark, "j2b"), in_pieces(spark, sf).persist()
+    topic = DATASETS["bank_transactions"].raw_topic
+    for piece in range(PIECES):
+        replay.send(raw_message(events.filter(F.col("piece").isin(piece, piece - 1))), topic, piece)
+    finish(*stream.start(spark, "bank_transactions", replay.channel, replay.lake.root, replay.checkpoints, NOW, cores(spark)))
+    events.unpersist()
+    return replay.table("bank_transactions").select(*STREAM_BANK_COLUMNS)
+
+
+RESTART = 5
+
+
+@query(
+    "j9_run_ledger",
+    oracle(
+        f"""SELECT piece, rows_in, rejected, late FROM (
+              SELECT piece, count(*) AS rows_in, count(*) FILTER (transaction_type = 'PAYMENT') AS rejected,
+                     count(*) FILTER (transaction_type <> 'PAYMENT' AND event_ts <= up_to) AS late
+              FROM arriving LEFT JOIN late USING (piece) GROUP BY piece)""",
+        *(part.replace("LEFT JOIN arriving a ON", "LEFT JOIN arriving a ON a.transaction_type <> 'PAYMENT' AND")
+          for part in watermarks("10 MINUTE", (RESTART,))),
+    ),
+)
+def _(spark, sf):
+    """What each micro-batch took in, rejected and found late, over a stop and a restart.
+
+    Payments come without a time: they are rejected and move no watermark.
+    """
+    replay, events = Replay(spark, "j9"), in_pieces(spark, sf).persist()
+    topic, runs = DATASETS["bank_transactions"].raw_topic, Ledger(replay.lake)
+    timed = F.when(F.col("transaction_type") != "PAYMENT", F.col("event_ts"))
+    for pieces in (range(RESTART), range(RESTART, PIECES)):
+        for piece in pieces:
+            replay.send(raw_message(events.filter(F.col("piece") == piece).withColumn("event_ts", timed)), topic, piece)
+        queries = stream.start(
+            spark, "bank_transactions", replay.channel, replay.lake.root, replay.checkpoints, NOW, cores(spark)
+        )
+        finish(*queries)
+        runs.stream("silver", queries[0])
+    events.unpersist()
+    taken = runs.read().filter("job = 'silver' AND rows_in > 0")
+    # one row for each micro-batch
+    numbered = taken.withColumn("piece", F.row_number().over(Window.partitionBy("job").orderBy("batch")) - 1)
+    return numbered.select("piece", "rows_in", "rejected", "late")
+
+
+@query(
+    "j12_windows_over_batches",
+    oracle(
+        BURST_SQL.replace(", account_id, country_code,", ", CAST(account_id AS VARCHAR) AS account_id, country_code,")
+        .replace("FROM v_bank_stream WHERE", "FROM arriving LEFT JOIN late USING (piece) WHERE")
+        .replace("GROUP BY w,", "WHERE up_to IS NULL OR w + INTERVAL 5 MINUTE > up_to GROUP BY w,"),
+        *(part.replace("FROM (SELECT unnest", "FROM (SELECT unnest").replace(
+            "LEFT JOIN arriving a ON", "LEFT JOIN arriving a ON a.currency = 'XOF' AND") for part in watermarks("10 MINUTE", (RESTART,))),
+    ),
+)
+def _(spark, sf):
+    """Windows whose rows come in several micro-batches, over a restart: the last alert of each counts."""
+    replay, events = Replay(spark, "j12b"), in_pieces(spark, sf).persist()
+    dataset = DATASETS["bank_transactions"]
+    for pieces in (range(RESTART), range(RESTART, PIECES)):
+        for piece in pieces:
+            refined = stream.stream_silver(raw_message(events.filter(F.col("piece") == piece)), dataset)
+            replay.send(msg.to_messages(refined), dataset.silver_topic, piece)
+        finish(alerts.start(
+            spark, "fraud_multiple_txn", replay.channel, replay.lake.load, replay.checkpoints, NOW, state_partitions=cores(spark)
+        ))
+    events.unpersist()
+    sent = replay.topic(
+        alerts.RULES["fraud_multiple_txn"].topic,
+        WINDOW_COLUMNS + "account_id string, total_amount_xof double, txn_count long, detected_at timestamp",
+    )
+    return latest.latest_per_key(sent, ["window_start", "account_id", "country_code"], "detected_at").drop("detected_at")
+
+
+# -- topics by key and range ------------------------------------------------------------------------
+
+
+@query(
+    "a9_topic_range",
+    oracle(
+        """SELECT reading, CAST(transaction_id AS VARCHAR) AS _key, transaction_type
+           FROM v_bank_stream, (SELECT unnest(['first', 'again']) AS reading)
+           WHERE transaction_type IN ('DEPOSIT', 'PAYMENT')
+           UNION ALL SELECT 'rest', CAST(transaction_id AS VARCHAR), transaction_type
+           FROM v_bank_stream WHERE transaction_type NOT IN ('DEPOSIT', 'PAYMENT')"""
+    ),
+)
+def _(spark, sf):
+    """A range is read, new messages come, the same range is read again and then the rest."""
+    platform, events = Platform(spark, "a9"), bank_events(spark, sf)
+    columns, topic = {"transaction_type": ("transaction_type", "string")}, "a9"
+
+    def send(condition: str, part: str) -> None:
+        platform.channel.write(msg.to_messages(events.filter(condition), "transaction_id"), topic, part)
+
+    def reading(name: str, since: str | None, until: str | None) -> DataFrame:
+        rows = msg.as_table(platform.channel.read(spark, topic, since, until), columns)
+        return rows.select(F.lit(name).alias("reading"), "_key", "transaction_type")
+
+    send("transaction_type = 'DEPOSIT'", "writer/batch_id=0")
+    send("transaction_type = 'PAYMENT'", "other/batch_id=7")
+    end = platform.channel.end(spark, topic)
+    first = reading("first", None, end)
+    send("transaction_type NOT IN ('DEPOSIT', 'PAYMENT')", "writer/batch_id=1")
+    return first.unionByName(reading("again", None, end)).unionByName(reading("rest", end, None))
+
+
+@query(
+    "a10_schema_drift",
+    oracle(
+        """SELECT * FROM (VALUES ('transaction_id', 'string', 'number', (SELECT count(*) FROM v_bank_stream), 'RETYPED'),
+             ('amount', 'double', 'number', (SELECT count(*) FROM v_bank_stream WHERE transaction_type <> 'DEPOSIT'), 'SAME'),
+             ('currency', 'string', 'string', (SELECT count(*) FROM v_bank_stream), 'SAME'),
+             ('channel', 'string', NULL, 0, 'MISSING'),
+             ('country_code', NULL, 'string', (SELECT count(*) FROM v_bank_stream WHERE transaction_type = 'TRANSFER'), 'NEW')
+           ) t(field, stated, found, messages, state)"""
+    ),
+)
+def _(spark, sf):
+    """No field but two is in every message; one is stated and never sent, one sent and not stated."""
+    kind = F.col("transaction_type")
+    events = bank_events(spark, sf).select(
+        "transaction_id", "currency",
+        F.when(kind != "DEPOSIT", F.col("amount")).alias("amount"),
+        F.when(kind == "TRANSFER", F.col("country_code")).alias("country_code"),
+    )
+    platform = Platform(spark, "a10")
+    platform.channel.write(msg.to_messages(events), "a10", "all")
+    stated = "transaction_id string, amount double, currency string, channel string"
+    return msg.schema_drift(platform.channel.read(spark, "a10"), stated)
+
+
 # -- D10 ------------------------------------------------------------------------------------------
 
 

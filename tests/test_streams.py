@@ -11,6 +11,7 @@ from cowrie.functions import messages as msg
 from cowrie.functions.money import with_eur
 from cowrie.model import DATASETS, FRAUD_TOPIC, REJECTED_TOPIC
 from cowrie.plans import premiums
+from cowrie.plans.ledger import Ledger
 from cowrie.sources.lake import Lake, SmallTable
 from cowrie.sources.raw_files import event_stream
 from cowrie.sources.topics import Channel
@@ -65,8 +66,42 @@ def test_messages_leave_nulls_out(spark, rows):
 
 def test_sample_schema(spark):
     assert msg.sample_schema(texts(spark, '{"a": 1, "b": "x"}')) == "STRUCT<a: BIGINT, b: STRING>"
-    with pytest.raises(RuntimeError):
-        msg.sample_schema(texts(spark))
+    later = texts(spark, '{"a": 1}', "broken", "[1]", None, '{"b": {"c": true}, "a": null}', '{"a": 2}')
+    assert msg.sample_schema(later) == "STRUCT<a: BIGINT, b: STRUCT<c: BOOLEAN>>"
+    for none in (texts(spark), texts(spark, "broken", "[]", None)):
+        with pytest.raises(RuntimeError):
+            msg.sample_schema(none)
+
+
+def test_schema_drift(spark):
+    messages = texts(spark, '{"a": 1, "t": "2026-01-01"}', '{"a": 1.5, "b": "x", "new": [1]}', '{"b": 2, "a": null}', "broken")
+    got = as_set(msg.schema_drift(messages, "a double, b string, t timestamp, gone string"))
+    assert {r for r in got if r[0] != "b"} == {
+        ("a", "double", "number", 2, "SAME"), ("t", "timestamp", "string", 1, "SAME"),
+        ("gone", "string", None, 0, "MISSING"), ("new", None, "array<bigint>", 1, "NEW"),
+    }
+    (mixed,) = (r for r in got if r[0] == "b")
+    assert mixed[3:] == (2, "RETYPED")
+
+
+def test_ranges_of_a_topic(spark, tmp_path):
+    channel = Channel("parquet", {"root": str(tmp_path)})
+    keyed = spark.createDataFrame([("k1", "v1")], "key string, value string")
+    assert channel.read(spark, "t").count() == 0 and channel.end(spark, "t") == "{}"
+    channel.write(keyed, "t", "w/batch_id=3")
+    channel.write(texts(spark, "v2"), "t", "all")
+    end = channel.end(spark, "t")
+    assert json.loads(end) == {"w": 3, "all": 0}
+    for _ in range(2):  # a replayed piece replaces itself
+        channel.write(texts(spark, "v3"), "t", "w/batch_id=10")
+    keyed.write.parquet(str(tmp_path / "t" / "w" / "batch_id=11" / "half"))  # not complete
+    assert as_set(channel.read(spark, "t", until=end)) == {("k1", "v1"), (None, "v2")}
+    assert as_set(channel.read(spark, "t", since=end)) == {(None, "v3")}
+    assert as_set(channel.read(spark, "t")) == {("k1", "v1"), (None, "v2"), (None, "v3")}
+    assert channel.read(spark, "t", end, end).count() == 0
+    plain = Channel("text", {"root": str(tmp_path / "plain")})
+    plain.write(keyed, "t", "w/batch_id=0")
+    assert as_set(plain.read(spark, "t")) == {("v1",)}
 
 
 def test_topic_as_table(spark):
@@ -106,7 +141,47 @@ def test_stream_dedup_watermark_and_dead_letters(spark, tmp_path, channel):
     assert got == {("t1", "10:00:00"), ("t1", "10:05:00"), ("t2", "12:00:00"), ("t4", "11:50:01")}
     assert late == 1
     assert channel.read(spark, BANK.silver_topic).count() == 4
-    assert [r[0] for r in channel.read(spark, REJECTED_TOPIC).collect()] == ["broken"]
+    assert [r["value"] for r in channel.read(spark, REJECTED_TOPIC).collect()] == ["broken"]
+
+
+def test_rows_without_a_time_go_to_the_dead_letters(spark, tmp_path, channel):
+    messages = [txn("t1", "yesterday"), txn("t1", "yesterday"), txn("t2", "2026-01-01 10:00:00"), txn("t3", None)]
+    channel.write(texts(spark, *messages).coalesce(1), BANK.raw_topic, "p")
+    queries = stream.start(spark, BANK.name, channel, str(tmp_path / "lake"), str(tmp_path / "c"), NOW, 2)
+    finish(*queries)
+    assert {r[0] for r in stream.stream_table(str(tmp_path / "lake"), BANK.name).read(spark).select("transaction_id").collect()} == {"t2"}
+    assert sorted(r["value"] for r in channel.read(spark, REJECTED_TOPIC).collect()) == sorted(messages[:2] + messages[3:])
+    runs = Ledger(Lake(spark, str(tmp_path / "lake")))
+    for _ in range(2):  # nothing is written twice
+        runs.stream("silver", queries[0])
+    runs.batch("gold", 1.5, rows_in=3, rows_out=2)
+    rows = runs.read().filter("rows_in > 0").select("job", "rows_in", "rows_out", "rejected", "late")
+    assert as_set(rows) == {("silver", 4, None, 3, 0), ("gold", 3, 2, None, None)}
+
+
+@pytest.mark.parametrize("alone", [False, True])
+@pytest.mark.parametrize("salts", [0, 16])
+def test_an_event_that_floods_the_topic(spark, tmp_path, channel, alone, salts):
+    """Half of the rows are one event: it is kept once, and no partition of the state gets twice the mean."""
+    for piece in range(2):
+        hot, many = [txn("hot", "2026-01-01 10:00:00")] * 2000, [txn(f"t{n}", "2026-01-01 10:00:00") for n in range(2000)]
+        channel.write(texts(spark, *hot, *many).coalesce(1), BANK.raw_topic, f"p{piece}")
+    messages = channel.read_stream(spark, BANK.raw_topic)
+    rows = stream.stream_silver(messages, BANK, by_key_alone=alone, salts=salts)
+    out = StreamTable(str(tmp_path / "out"), ["country_code"])
+    finish(run(rows, out.write_batch, str(tmp_path / "c"), "append", NOW, 4))
+    assert out.read(spark).groupBy("transaction_id").count().filter("count > 1").isEmpty()
+    assert out.read(spark).count() == 2001
+    if salts:
+        events = stream.stream_silver(channel.read(spark, BANK.raw_topic), BANK, by_key_alone=alone)
+        assert events.count() == 2001
+        copies = msg.accepted(msg.parsed(channel.read(spark, BANK.raw_topic), BANK.message_columns), BANK.key)
+        dealt = stream.salted(copies).withColumn("t", F.to_timestamp("timestamp"))
+        key = ["_salt", "transaction_id"] + ([] if alone else ["t"])
+        loads = [r["count"] for r in dealt.groupBy(F.pmod(F.hash(*key), F.lit(4)).alias("p")).count().collect()]
+        assert max(loads) <= 2 * sum(loads) / 4
+        second = dealt.dropDuplicates(key).groupBy("transaction_id").count()
+        assert second.agg(F.max("count")).collect()[0][0] <= 16
 
 
 def test_dedup_by_key_alone(spark, tmp_path, channel):
