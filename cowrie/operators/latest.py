@@ -24,6 +24,19 @@ def latest_per_key(
     return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
 
 
+def repeated_apart(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key occurs once, and the others (and those without a key).
+
+    Keys are counted on that column alone.  Where few repeat, Spark broadcasts those and no
+    row moves.  Where many do, both sides move by key once, and windows over the key, or the
+    key and more, find their rows together.  ``df`` is read for each part: it should be a table.
+    """
+    again = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col(key).alias("_again"))
+    marked = df.join(again, df[key] == again["_again"], "left")
+    repeats = F.col("_again").isNotNull() | F.col(key).isNull()
+    return marked.filter(~repeats).drop("_again"), marked.filter(repeats).drop("_again")
+
+
 def latest_per_day(df: DataFrame, key: str, day: str, newest: str) -> DataFrame:
     """Newest row of each key within each day."""
     return latest_per_key(df, [key, day], newest)

@@ -125,6 +125,7 @@ def refresh(
     indicator = INDICATORS[name]
     for source in indicator.sources:
         lake.silver(source).recover()  # what a dead job has left half done would be passed by for ever
+    lake.gold(name).recover()
     periods = new_periods(lake, name, refresh_current)
     if not periods:
         return None

@@ -6,20 +6,26 @@ import datetime as dt
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from cowrie.sources import files
 from cowrie.sources.lake import FactTable, Lake
 
 COLUMNS = (
     "job string, run string, batch long, at timestamp, rows_in long, rows_out long, rejected long, "
-    "late long, state_rows long, watermark timestamp, seconds double, event_date date"
+    "late long, state_rows long, watermark timestamp, seconds double"
 )
 
 
-def table(lake: Lake) -> FactTable:
-    runs = FactTable(lake.spark, lake.path("gold", "runs"), "run", ["event_date"])
+ROOT = "runs"
+
+
+def table(lake: Lake, job: str) -> FactTable:
+    """The rows of one job: jobs run side by side, and a table has one writer at a time."""
+    runs = FactTable(lake.spark, f"{lake.path('gold', ROOT)}/{job.replace(' ', '-')}", "run", [])
     runs.create(COLUMNS)
     return runs
 
@@ -37,13 +43,13 @@ def _progress(job: str, p, observed: str) -> tuple:
     return (
         job, p["runId"], p["batchId"], at, p["numInputRows"], None, rejected,
         sum(s["numRowsDroppedByWatermark"] for s in states), sum(s["numRowsTotal"] for s in states),
-        _time(p["eventTime"].get("watermark")), p["batchDuration"] / 1000, at.date(),
+        _time(p["eventTime"].get("watermark")), p["batchDuration"] / 1000,
     )
 
 
 @dataclass
 class Ledger:
-    """Writes rows to the table ``gold/runs``, which every job appends to.
+    """Writes rows to tables below ``gold/runs``, one for each job.
 
     Spark keeps the figures of a query's last hundred micro-batches; ``stream`` takes those
     it hasn't written, so it has to be called within that many triggers and once at the end.
@@ -56,7 +62,7 @@ class Ledger:
     def batch(self, job: str, seconds: float, rows_in: int | None = None, rows_out: int | None = None,
               rejected: int | None = None) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        self._append([(job, str(uuid.uuid4()), 0, now, rows_in, rows_out, rejected, None, None, None, seconds, now.date())])
+        self._append([(job, str(uuid.uuid4()), 0, now, rows_in, rows_out, rejected, None, None, None, seconds)])
 
     def stream(self, job: str, query: StreamingQuery, observed: str = "messages") -> None:
         run = str(query.runId)
@@ -72,10 +78,13 @@ class Ledger:
             self.stream(job, query)
 
     def _append(self, rows: list[tuple]) -> None:
-        table(self.lake).append(self.lake.spark.createDataFrame(rows, COLUMNS).coalesce(1))
+        table(self.lake, rows[0][0]).append(self.lake.spark.createDataFrame(rows, COLUMNS).coalesce(1))
 
     def read(self) -> DataFrame:
-        return table(self.lake).read()
+        """The rows of all jobs."""
+        root = self.lake.path("gold", ROOT)
+        every = [table(self.lake, job).read() for job in files.children(self.lake.spark, root)]
+        return reduce(DataFrame.unionByName, every, self.lake.spark.createDataFrame([], COLUMNS))
 
 
 def _ran(progress) -> bool:

@@ -13,7 +13,7 @@ from cowrie.functions.periods import period_of
 from cowrie.model import DATASETS, Dataset
 from cowrie.operators.enrich import enrich
 from cowrie.operators.incremental import first_pending
-from cowrie.operators.latest import last_day_wins, latest_per_day, latest_per_key
+from cowrie.operators.latest import last_day_wins, latest_per_day, latest_per_key, repeated_apart
 from cowrie.operators.quality import usable_amounts
 from cowrie.sources.lake import Lake
 
@@ -31,15 +31,19 @@ def refined(
     The end state is that of refining and upserting day by day: the newest row of
     a key within a day is kept, then cleaned; where a key survives on several
     days, the last day's row stays.  Rows without a business date are left out.
+
+    Rows of a key that occurs once need no window: they aren't shuffled for it.
     """
     moment = moment or dataset.event_column
     dated = rows.filter(rows[moment].isNotNull())
+    once, again = repeated_apart(dated, dataset.key)
     if single_day:
-        clean = usable_amounts(latest_per_key(dated, [dataset.key], newest), dataset.amounts)
+        clean = usable_amounts(latest_per_key(again, [dataset.key], newest), dataset.amounts)
     else:
-        by_day = dated.withColumn("_day", period_of(moment, "day"))
+        by_day = again.withColumn("_day", period_of(moment, "day"))
         clean = usable_amounts(latest_per_day(by_day, dataset.key, "_day", newest), dataset.amounts)
         clean = last_day_wins(clean, dataset.key, "_day").drop("_day")
+    clean = usable_amounts(once, dataset.amounts).unionByName(clean)
     used = {name: references[name] for name in dataset.references}
     return enrich(with_eur(clean, dataset.amounts), used)
 

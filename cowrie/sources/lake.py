@@ -1,9 +1,9 @@
 """Tables of the lake as Parquet folders: ``<root>/<layer>/<name>``.
 
 ``FactTable`` is partitioned and can be very large: a merge touches only the
-partitions it must.  ``SmallTable`` holds aggregates and is written anew as a
-numbered snapshot; the newest complete one is current, so its readers never see
-half a write.  A table has one writer at a time.
+partitions it must.  ``PeriodTable`` holds aggregates, and an upsert touches the months it
+must.  ``SmallTable`` is written anew as a numbered snapshot; the newest complete one is
+current, so its readers never see half a write.  A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from cowrie.model import DATASETS, REPORT_COLUMNS
 from cowrie.operators import merge
+from cowrie.session import shared_folder
 from cowrie.sources import files
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL
@@ -61,8 +62,8 @@ class Lake:
     def silver(self, name: str) -> FactTable:
         return self._facts("silver", name, update=True)
 
-    def gold(self, name: str) -> SmallTable:
-        return SmallTable(self.spark, self.path("gold", name))
+    def gold(self, name: str) -> PeriodTable:
+        return PeriodTable(self.spark, self.path("gold", name))
 
     def load(self, layer: str, name: str) -> DataFrame:
         """A table as it is now."""
@@ -318,10 +319,61 @@ class FactTable:
         if self.partition_by:
             # one writing task per partition, except that AQE splits the oversized ones
             df = df.hint("rebalance", *self.partition_by)
-        output = df.write.mode(mode).options(partitionOverwriteMode="dynamic", **files.MARK_DONE)
+        # Spark marks a folder as complete only where it replaces all of it
+        replaced = "dynamic" if path == self.path else "static"
+        output = df.write.mode(mode).options(partitionOverwriteMode=replaced, **files.MARK_DONE)
         (output.partitionBy(*self.partition_by) if self.partition_by else output).parquet(path)
 
 
+class PeriodTable(FactTable):
+    """An aggregate with a column ``period``, in a folder for each month.
+
+    An upsert reads and writes the months its rows lie in; other folders' files stay.  What
+    the months will hold is complete before the first of them is exchanged, so a job that
+    dies is finished by ``recover``, which needs no keys.
+    """
+
+    MONTH = "month"
+
+    def __init__(self, spark: SparkSession, path: str):
+        super().__init__(spark, path, "period", [self.MONTH], update=True)
+
+    def read(self) -> DataFrame:
+        return super().read().drop(self.MONTH)
+
+    def latest(self, column: str = "period") -> dt.date | None:
+        """The last period: only the folder of its month is read."""
+        months = self.days(self.MONTH)
+        if not months:
+            return None
+        return self.read_on(self.MONTH, {months[-1]}).agg(F.max(column).alias("m")).collect()[0]["m"]
+
+    def upsert(self, source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> int:
+        """Replace the rows with the source's keys, of which ``period`` is one, and add the others.
+
+        Returns the source's number of rows.  Several source rows for one stored row are
+        refused; new keys may repeat.
+        """
+        if "period" not in keys:
+            raise ValueError("rows are looked for in the months of their periods")
+        self.recover()
+        staged = shared_folder(self.spark, "upsert")  # computed once, though it is looked at more often
+        source.withColumn(self.MONTH, F.trunc("period", "month")).write.parquet(staged)
+        source = self.spark.read.parquet(staged)
+        self.create(source.schema)
+        source = self._fitting(source).select(*self.schema().names)
+        counted = {row[self.MONTH]: row["count"] for row in source.groupBy(self.MONTH).count().collect()}
+        if None in counted:
+            raise WrongShape(f"{self.path} has no place for rows without a period")
+        stored = self.read_on(self.MONTH, set(counted))
+        if not merge.matched(merge.repeated_keys(source, keys), stored, keys, null_safe).isEmpty():
+            raise DuplicateMatch(f"several source rows for one row of {self.path}")
+        if counted:
+            self._partitioned(merge.upserted(stored, source, keys, null_safe), "overwrite", self._rewrite)
+            self._put_rewritten()
+        return sum(counted.values())
+
+
 class SmallTable:
     """An aggregate kept as numbered snapshots ``v00000001``, ``v00000002``, …"""
 
@@ -346,9 +398,6 @@ class SmallTable:
         reader = self.spark.read.schema(columns) if columns else self.spark.read
         return reader.parquet(self._folder(self._versions()[-1]))
 
-    def latest(self, column: str) -> dt.date | None:
-        return self.read().agg(F.max(column).alias("m")).collect()[0]["m"] if self.exists() else None
-
     def write(self, df: DataFrame) -> None:
         versions = self._versions()
         target = self._folder(versions[-1] + 1 if versions else 1)
@@ -356,25 +405,3 @@ class SmallTable:
         (output.partitionBy(*self.partition_by) if self.partition_by else output).parquet(target)
         for version in versions[:-1]:
             files.remove(self.spark, self._folder(version))
-
-    def upsert(self, source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> int:
-        """Replace the rows with the source's keys and add the others; returns the source's number of rows.
-
-        Several source rows for one stored row are refused; new keys may repeat.
-        """
-        staged = f"{self.path}/_incoming"  # computed once, though it is looked at twice
-        source.write.mode("overwrite").parquet(staged)
-        source = self.spark.read.schema(source.schema).parquet(staged)
-        rows = source.count()
-        if self.exists():
-            stored = self.read()
-            own, brought = ({f.name: f.dataType.simpleString() for f in df.schema} for df in (stored, source))
-            if own != brought:
-                raise WrongShape(f"{self.path} has other columns or types: {sorted(set(own.items()) ^ set(brought.items()))}")
-            repeated = merge.repeated_keys(source, keys)
-            if not merge.matched(repeated, stored, keys, null_safe).isEmpty():
-                raise DuplicateMatch(f"several source rows for one row of {self.path}")
-            source = merge.upserted(stored, source, keys, null_safe)
-        self.write(source)
-        files.remove(self.spark, staged)
-        return rows

@@ -20,7 +20,7 @@ from cowrie.model import DATASETS
 from cowrie.operators import incremental, indicators, latest, quality, regulatory
 from cowrie.plans import bronze, gold, report, silver
 from cowrie.sources import files, raw_files
-from cowrie.sources.lake import FactTable, Lake, SmallTable
+from cowrie.sources.lake import FactTable, Lake, PeriodTable
 from cowrie.streaming import alerts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -524,7 +524,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     facts = bank(spark, sf)
-    volumes = SmallTable(spark, f"{session.shared_folder(spark, 'b6')}/volumes")
+    volumes = PeriodTable(spark, f"{session.shared_folder(spark, 'b6')}/volumes")
     keys = list(gold.INDICATORS["daily_transaction_volume"].keys)
     successes = facts.filter("transaction_status = 'SUCCESS'")
     volumes.upsert(indicators.daily_transaction_volume(successes, "event_ts"), keys)
@@ -1003,8 +1003,8 @@ def _(spark, sf):
     root = session.shared_folder(spark, "p4")
     lake = Lake(spark, f"{root}/lake")
     npl, loss = report_inputs(spark, sf)
-    lake.gold("npl_ratio_by_country").write(npl)
-    lake.gold("loss_ratio_by_product").write(loss)
+    for name, rows in (("npl_ratio_by_country", npl), ("loss_ratio_by_product", loss)):
+        lake.gold(name).upsert(rows, list(gold.INDICATORS[name].keys))
     report.publish(lake, REPORT_DAY, f"{root}/report.csv")
     columns = "report_date date, country_code string, indicator_type string, dimension string, " \
               "value double, threshold double, breach boolean"

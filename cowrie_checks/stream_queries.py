@@ -193,12 +193,12 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Messages that are no JSON or lack the key come back unchanged, the others do not."""
-    events = bank_events(spark, sf)
+    events = bank_events(spark, sf).withColumn("timestamp", wire_text("event_ts"))
     kind = F.col("transaction_type")
     damaged = events.select(
         F.when(kind == "DEPOSIT", F.concat(F.lit("no JSON: "), F.col("transaction_id")))
         .when(kind == "PAYMENT", F.to_json(F.struct("account_id")))
-        .otherwise(F.to_json(F.struct("transaction_id", "account_id")))
+        .otherwise(F.to_json(F.struct("transaction_id", "account_id", "timestamp")))
         .alias("value")
     )
     platform = Platform(spark, "c11")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cowrie.operators import merge
 from cowrie.operators.incremental import first_pending, pending_periods
 from cowrie.sources import files
-from cowrie.sources.lake import DuplicateMatch, FactTable, HalfWritten, Lake, SmallTable, WrongShape
+from cowrie.sources.lake import DuplicateMatch, FactTable, HalfWritten, Lake, PeriodTable, SmallTable, WrongShape
 
 DDL = "k string, v int, place string"
 
@@ -108,6 +108,22 @@ def test_a_job_that_dies_between_the_partitions(table, rows, spark):
     assert as_set(table.read()) == {("a", 10, "x"), ("b", 2, "x"), ("c", 30, "y")}
 
 
+def test_rows_of_a_folder_that_was_being_exchanged_are_not_lost(table, rows, spark, monkeypatch):
+    """The job dies after the old folder has gone and before the new one is in its place."""
+    table.merge(rows(DDL, ("a", 1, "x"), ("b", 2, "x"), ("c", 3, "y")))
+
+    def half(spark, folder, target):
+        files.remove(spark, target)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "exchange", half)
+        with pytest.raises(RuntimeError):
+            table.merge(rows(DDL, ("a", 10, "x"), ("n", 7, "w")))
+    table.recover()
+    assert as_set(table.read()) == {("a", 10, "x"), ("b", 2, "x"), ("c", 3, "y"), ("n", 7, "w")}
+
+
 def test_create_is_tolerant_and_keeps_the_first_schema(table, rows):
     assert not table.exists()
     table.create(DDL)
@@ -124,15 +140,69 @@ def test_replace_partitions(table, rows):
 
 def test_snapshots(spark, rows, tmp_path):
     small = SmallTable(spark, str(tmp_path / "s"))
-    assert not small.exists() and small.latest("p") is None
-    ddl = "p date, g string, v int"
-    small.upsert(rows(ddl, (day("2026-01-01"), "a", 1), (day("2026-01-01"), None, 2)), ["p", "g"])
-    small.upsert(rows(ddl, (day("2026-01-01"), "a", 9), (day("2026-01-02"), "a", 3)), ["p", "g"])
-    assert small.latest("p") == day("2026-01-02")
-    assert {tuple(r)[1:] for r in small.read().collect()} == {("a", 9), ("a", 3), (None, 2)}
+    assert not small.exists()
+    for n in range(3):
+        small.write(rows("g string, v int", ("a", n)))
+        assert as_set(small.read()) == {("a", n)}
     # a write that did not finish is not read
     os.makedirs(tmp_path / "s" / "v00000009")
-    assert small.read().count() == 3
+    assert small.read().count() == 1
+    assert sorted(os.listdir(tmp_path / "s")) == ["v00000002", "v00000003", "v00000009"]
+
+
+GOLD = "period date, g string, v int"
+
+
+def contents(path):
+    return {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet") if "_schema" not in str(f)}
+
+
+def test_an_upsert_of_one_day_leaves_other_months_alone(spark, rows, tmp_path):
+    table = PeriodTable(spark, str(tmp_path / "g"))
+    assert not table.exists() and table.latest() is None
+    assert table.upsert(rows(
+        GOLD, (day("2026-01-01"), "a", 1), (day("2026-01-01"), None, 2), (day("2026-01-31"), "a", 3), (day("2026-02-03"), "a", 4)
+    ), ["period", "g"]) == 4
+    before = contents(tmp_path / "g")
+    assert table.upsert(rows(GOLD, (day("2026-02-03"), "a", 5), (day("2026-02-04"), "b", 6)), ["period", "g"]) == 2
+    after = contents(tmp_path / "g")
+    assert {f for f in after if "month=2026-01-01" in str(f)} == {f for f in before if after.get(f) == before[f]}
+    assert table.latest() == day("2026-02-04")
+    assert table.upsert(rows(GOLD, (day("2026-01-01"), "a", 9), (day("2026-01-01"), None, 7)), ["period", "g"]) == 2
+    assert as_set(table.read()) == {
+        (day("2026-01-01"), "a", 9), (day("2026-01-01"), None, 2), (day("2026-01-01"), None, 7),
+        (day("2026-01-31"), "a", 3), (day("2026-02-03"), "a", 5), (day("2026-02-04"), "b", 6),
+    }
+    with pytest.raises(DuplicateMatch):
+        table.upsert(rows(GOLD, (day("2026-02-04"), "b", 1), (day("2026-02-04"), "b", 2)), ["period", "g"])
+    with pytest.raises(WrongShape):
+        table.upsert(rows(GOLD, (None, "b", 1)), ["period", "g"])
+    with pytest.raises(ValueError):
+        table.upsert(rows(GOLD, (day("2026-02-04"), "b", 1)), ["g"])
+    assert table.upsert(rows(GOLD), ["period", "g"]) == 0 and table.read().count() == 6
+
+
+def test_an_upsert_that_died_between_its_months(spark, rows, tmp_path, monkeypatch):
+    table = PeriodTable(spark, str(tmp_path / "g"))
+    table.upsert(rows(GOLD, (day("2026-01-01"), "a", 1), (day("2026-02-01"), "a", 2), (day("2026-03-01"), "a", 3)), ["period", "g"])
+    real, moved = files.exchange, []
+
+    def once(*args):
+        if moved:
+            raise RuntimeError("driver lost")
+        moved.append(args)
+        real(*args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "exchange", once)
+        with pytest.raises(RuntimeError):
+            table.upsert(rows(GOLD, (day("2026-01-01"), "a", 10), (day("2026-02-01"), "b", 20)), ["period", "g"])
+    with pytest.raises(HalfWritten):
+        table.read()
+    table.recover()
+    assert as_set(table.read()) == {
+        (day("2026-01-01"), "a", 10), (day("2026-02-01"), "a", 2), (day("2026-02-01"), "b", 20), (day("2026-03-01"), "a", 3)
+    }
 
 
 def test_null_keys_when_merging_aggregates(rows):
@@ -240,13 +310,14 @@ def test_an_upsert_rewrites_only_the_folders_of_its_rows(table, rows):
 
 
 def test_aggregates_refuse_ambiguous_updates_and_other_shapes(spark, rows, tmp_path):
-    small, ddl = SmallTable(spark, str(tmp_path / "s")), "p int, g string, v int"
-    small.upsert(rows(ddl, (1, None, 1), (1, "a", 2)), ["p", "g"], null_safe=True)
+    table, keys, may = PeriodTable(spark, str(tmp_path / "s")), ["period", "g"], day("2026-05-01")
+    table.upsert(rows(GOLD, (may, None, 1), (may, "a", 2)), keys, null_safe=True)
+    table.upsert(rows(GOLD, (may, None, 5)), keys, null_safe=True)
     with pytest.raises(DuplicateMatch):
-        small.upsert(rows(ddl, (1, None, 3), (1, None, 4)), ["p", "g"], null_safe=True)
+        table.upsert(rows(GOLD, (may, None, 3), (may, None, 4)), keys, null_safe=True)
     with pytest.raises(WrongShape):
-        small.upsert(rows("p int, g string", (1, "a")), ["p", "g"])
-    assert small.read().count() == 2
+        table.upsert(rows("period date, g string", (may, "a")), keys)
+    assert as_set(table.read()) == {(may, None, 5), (may, "a", 2)}
 
 
 def test_unpartitioned_tables_only_grow(spark, tmp_path):

@@ -1,15 +1,19 @@
 """Raw files to report, through the lake."""
 
+import json
 import os
 
 import pytest
 from conftest import as_set, day
 
-from cowrie.__main__ import arguments
+from cowrie.__main__ import arguments, main
 from cowrie.model import DATASETS, FACTS
 from cowrie.plans import bronze, gold, report, silver
+from cowrie.plans.ledger import Ledger
 from cowrie.sources import files, raw_files
 from cowrie.sources.lake import FactTable, Lake
+from cowrie.sources.topics import Channel
+from cowrie.streaming import silver as stream_silver
 
 BANK_HEADER = ("transaction_id,timestamp,account_id,beneficiary_account,branch_id,country_code,transaction_type,"
                "amount,currency,channel,transaction_status,fee_amount,entity_type")
@@ -341,3 +345,39 @@ def test_job_arguments():
     )
     assert args.options == {"root": "/t"}
     assert os.path.isabs(args.checkpoints)
+
+
+def test_jobs_report_arrivals_drift_and_differences(spark, lake, raw, tmp_path, capsys):
+    put_references(raw)
+    put(raw, "CI/mobile_money/20260510/mobile_money_CI_20260510_1.csv", MOBILE_HEADER,
+        payment("m1", "2026-05-10 08:00:00"), payment("m2", "2026-05-10 09:00:00"))
+    topics = ["--format", "parquet", "--options", json.dumps({"root": str(tmp_path / "topics")})]
+
+    def job(*args):
+        capsys.readouterr()
+        main(["--lake", lake.root, *args])
+        return capsys.readouterr().out.splitlines()
+
+    span = ["arrivals", "--raw", str(raw), "--data-type", "mobile_money", "--from", "20260510", "--to", "20260510"]
+    assert [line.split()[-1] for line in job(*span)] == ["MISSING"] * 2 + ["NEW"] + ["MISSING"] * 5
+    for args in (["ingest", "--raw", str(raw), "--data-type", "customers"], ["ingest", "--raw", str(raw), "--data-type", "mobile_money"],
+                 ["silver", "--data-type", "mobile_money"], ["gold", "--kpi", "mobile_money_daily_flow"]):
+        job(*args)
+    assert "NEW" not in " ".join(job(*span))
+
+    channel, dataset = Channel("parquet", {"root": str(tmp_path / "topics")}), DATASETS["mobile_money"]
+    message = json.dumps({"payment_id": "m1", "timestamp": "2026-05-10 08:00:00", "sender_country": "CI", "amount": 655.957,
+                          "currency": "XOF", "surprise": True})
+    channel.write(spark.createDataFrame([(message,)], "value string"), dataset.raw_topic, "w/batch_id=0")
+    drift = job("schema", "--data-type", "mobile_money", *topics)
+    assert "surprise None boolean 1 NEW" in drift and "status string None 0 MISSING" in drift
+    again = job("schema", "--data-type", "mobile_money", *topics, "--since", drift[-1].split("'")[1])
+    assert {line.split()[-1] for line in again[:-1]} == {"MISSING"}
+
+    queries = stream_silver.start(spark, "mobile_money", channel, lake.root, str(tmp_path / "c"), {"availableNow": True}, 2)
+    for query in queries:
+        query.awaitTermination()
+    assert job("reconcile", "--data-type", "mobile_money") == ["ONLY_BATCH 1", "SAME 1"]
+    kept = {r["job"]: (r["rows_in"], r["rows_out"], r["rejected"]) for r in Ledger(lake).read().collect()}
+    assert kept["ingest mobile_money"] == (2, 2, 0) and kept["silver mobile_money"] == (None, 2, None)
+    assert kept["gold mobile_money_daily_flow"] == (None, 1, None)

@@ -11,8 +11,11 @@ from cowrie.functions.money import with_eur
 from cowrie.operators import indicators
 from cowrie.operators.enrich import enrich
 from cowrie.operators.incremental import pending_rows
-from cowrie.operators.latest import latest_per_key
+from cowrie.model import Dataset
+from cowrie.operators.latest import last_day_wins, latest_per_day, latest_per_key
 from cowrie.operators.merge import may_match, rows_to_insert
+from cowrie.operators.quality import usable_amounts
+from cowrie.plans.silver import refined
 from cowrie.sources.lake import FactTable
 from cowrie.streaming.silver import distinct_events
 from cowrie.streaming.sinks import StreamTable, run
@@ -58,6 +61,28 @@ def test_dedup_cuts_a_hot_key_before_the_shuffle(spark):
     assert latest.count() == 6001
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_rows_of_single_keys_are_not_shuffled_for_dedup(spark, conf, tmp_path, threshold):
+    """Few keys repeat: only their rows meet the windows; where keys can't be broadcast rows move by key, once."""
+    conf(spark__sql__autoBroadcastJoinThreshold=threshold, spark__sql__adaptive__autoBroadcastJoinThreshold=threshold)
+    dataset = Dataset(name="x", key="k", columns="", event_column="day", amounts=("amount",))
+    seconds = F.timestamp_seconds(F.col("id") * 1000)
+    spark.range(20000).select(
+        F.when(F.col("id") % 100 == 0, F.col("id") % 70).when(F.col("id") != 5, F.col("id") + 1000).alias("k"),
+        (F.col("id") % 1000 - 3).cast("double").alias("amount"), F.lit("XOF").alias("currency"),
+        seconds.alias("timestamp"), F.to_date(seconds).alias("day"),
+    ).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    got = refined(table, dataset, {})
+    rows = {(r["k"], r["timestamp"]) for r in got.collect()}
+    text = plan(got)
+    once, again = text.split("Union", 1)[1].split("Window [", 1)
+    assert once.count("Exchange hashpartitioning(k") == (1 if threshold == "10MB" else 2)
+    assert ("BroadcastHashJoin" in once) == (threshold == "10MB")
+    by_windows = last_day_wins(usable_amounts(latest_per_day(table.withColumn("_day", F.col("day")), "k", "_day", "timestamp"), ["amount"]), "k", "_day")
+    assert rows == {(r["k"], r["timestamp"]) for r in by_windows.collect()}
+
+
 def test_stock_reads_its_facts_once(spark, tmp_path):
     loans(spark).write.parquet(str(tmp_path / "loans"))
     result = indicators.npl_ratio_by_country(spark.read.parquet(str(tmp_path / "loans")))
