@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cowrie.llm.ngrams import buckets, slices
+from cowrie.llm.slices import bounded
 from cowrie.llm.training import held_out, sampled
 
 LOW, HIGH, BITS = 1, 3, 15
@@ -81,7 +82,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((1 << BITS) + 1, np.int64)
-        for columns in slices(batches):
+        for columns in slices(bounded(batches, "text")):
             for text in columns["text"]:
                 total[counted(text)[0]] += 1
             total[-1] += len(columns["text"])
@@ -162,7 +163,7 @@ def fit(docs: DataFrame, folds: int = 5, fold: int = 0, each: int = SAMPLE_EACH)
     ])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in slices(batches):
+        for columns in slices(bounded(batches, "text")):
             kept = [r for r in zip(columns["doc_id"], columns["lang"], columns["text"]) if has_letter(r[2])]
             vectors = [counted(text) for _, _, text in kept]
             arrays = [[d for d, _, _ in kept], [g for _, g, _ in kept], [f for f, _ in vectors], [c for _, c in vectors]]
@@ -188,7 +189,8 @@ def predict(docs: DataFrame, model: Model, folds: int = 5, fold: int = 0) -> Dat
     """``doc_id, held_out, lang_pred, score`` of every row; only the text is looked at.
 
     Null texts and texts without a letter are ``und`` with score 0, and so is every text
-    under a model that has learned no language.
+    under a model that has learned no language.  Repeated rows are predicted alike, a null id
+    isn't held out, an empty table gives no rows, and other columns are not read.
     """
     schema = pa.schema([
         ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()),
@@ -196,7 +198,7 @@ def predict(docs: DataFrame, model: Model, folds: int = 5, fold: int = 0) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS weights a language
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in slices(batches):
+        for columns in slices(bounded(batches, "text")):
             found = [shared.value.predict(text) for text in columns["text"]]
             arrays = [columns["doc_id"], columns["held_out"], [g for g, _ in found], [p for _, p in found]]
             yield pa.RecordBatch.from_arrays([pa.array(a, f.type) for a, f in zip(arrays, schema)], schema=schema)
@@ -206,11 +208,14 @@ def predict(docs: DataFrame, model: Model, folds: int = 5, fold: int = 0) -> Dat
 
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """Rows of ``docs``, with all their columns, whose language is known with score ``least`` or more."""
+    """Rows of ``docs``, with all their columns, whose language is known with score ``least`` or more.
+
+    Nulls, repeated rows and empty tables count as in ``predict``.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, "text"):
             known = [shared.value.predict(text.as_py()) for text in batch.column("text")]
             yield batch.filter(pa.array([g != UNKNOWN and p >= least for g, p in known], pa.bool_()))
 

@@ -1,9 +1,10 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes ratios.
 
 A feature is the presence of a hashed n-gram of 4 to 6 characters.  Its scale is the
-log ratio of the rates at which the two labels' texts have it (naive Bayes); n-grams
-with few texts or a small ratio are no features.  A logistic regression on the scaled
-features, learned with AdaGrad, gives the score.
+log ratio of the rates at which the two labels' texts have it (naive Bayes), counted over
+all labelled texts and drawn towards 0 by ``CONFIDENCE`` standard errors: the scale is what
+the ratio is at least, and 0 where the counts don't tell it from 0.  A logistic regression
+on the scaled features, learned with AdaGrad from a bounded sample, gives the score.
 """
 
 from __future__ import annotations
@@ -17,17 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cowrie.llm.ngrams import buckets, slices
-from cowrie.llm.training import held_out, sampled
+from cowrie.llm.slices import bounded
+from cowrie.llm.training import held_out
 from cowrie.session import shared_folder
 
 LOW, HIGH, BITS = 4, 6, 20
-#: Labelled documents of each label that ratios and weights are learned from.
+#: Distinct labelled rows of each label, about, that weights are learned from.
 SAMPLE_EACH = 10_000
-#: Texts that must have an n-gram, and the least absolute ratio, for it to be a feature.
-LEAST_TEXTS, LEAST_RATIO = 5, 2.0
-#: Features the driver handles; of more, those with the largest ratios are taken.
-MOST_FEATURES = 100_000
-SMOOTHING, EPOCHS, RATE, DECAY = 1.0, 10, 0.1, 1e-3
+#: Standard errors by which a ratio is drawn towards 0.
+CONFIDENCE = 3.0
+EPOCHS, RATE, DECAY = 30, 0.1, 1e-3
+_WHOLE = 1 << 30
 
 
 def present(text: str | None) -> np.ndarray:
@@ -49,37 +50,38 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, each: int) -> DataFrame:
-    """``doc_id, text, label, weight`` of a bounded sample outside the held-out fold."""
+def _labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int) -> DataFrame:
+    """``doc_id, text, label, times`` of all labelled rows outside the held-out fold, equal labels once."""
     allowed = labels.select("doc_id", F.col(label).alias("label")).where(
-        F.col("label").isin(0, 1) & ~held_out("doc_id", folds, fold)
+        F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", folds, fold)
     )
-    drawn = sampled(allowed, "doc_id", "label", each)
-    # at most about 2 * each rows of three numbers, whatever the size of the tables
-    return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    once = allowed.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("times"))
+    return docs.select("doc_id", "text").join(once, "doc_id")
 
 
-def ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the features, ascending, and their log ratios.
+def ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
+    """Buckets whose scale isn't 0, ascending, their scales, and the texts of each label.
 
-    Every task adds up the texts of each label that have a bucket; Spark adds the sums.
+    ``rows (label, text)`` count ``times`` each where they have that column.  Every task adds
+    up the texts of each label that have a bucket; Spark adds the sums.
     """
     schema = pa.schema([("bucket", pa.int32()), ("label", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, (1 << BITS) + 1), np.int64)
-        for columns in slices(batches):
-            for label, text in zip(columns["label"], columns["text"]):
-                total[label, present(text)] += 1
-                total[label, -1] += 1
+        for columns in slices(bounded(batches, "text")):
+            for label, text, times in zip(columns["label"], columns["text"], columns["times"]):
+                total[label, present(text)] += times
+                total[label, -1] += times
         label, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(bucket, pa.int32()), pa.array(label, pa.int32()), pa.array(total[label, bucket])], schema=schema
         )
 
     one = F.col("label") == 1
+    times = F.col("times") if "times" in rows.columns else F.lit(1)
     counts = (
-        rows.select("label", "text").mapInArrow(count, "bucket int, label int, n long")
+        rows.select("label", "text", times.cast("long").alias("times")).mapInArrow(count, "bucket int, label int, n long")
         .groupBy("bucket")
         .agg(F.sum(F.when(one, F.col("n"))).alias("with"), F.sum(F.when(~one, F.col("n"))).alias("without"))
         .na.fill(0)
@@ -88,18 +90,30 @@ def ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     counts.write.parquet(folder)
     counts = rows.sparkSession.read.schema(counts.schema).parquet(folder)
     totals = counts.where(F.col("bucket") == 1 << BITS).first()
-    if not totals or not totals["with"] or not totals["without"]:
-        return np.empty(0, np.int64), np.empty(0)
-
-    def rate(column: str):
-        return (F.col(column) + SMOOTHING) / (totals[column] + 2 * SMOOTHING)
-
-    ratio = F.log(rate("with") / rate("without"))
-    kept = counts.where(
-        (F.col("bucket") < 1 << BITS) & (F.col("with") + F.col("without") >= LEAST_TEXTS) & (F.abs(ratio) >= LEAST_RATIO)
-    ).select("bucket", ratio.alias("ratio"))
-    table = kept.orderBy(F.abs("ratio").desc(), "bucket").limit(MOST_FEATURES).orderBy("bucket").toArrow()
-    return table["bucket"].to_numpy().astype(np.int64), table["ratio"].to_numpy()
+    texts = {1: totals["with"], 0: totals["without"]} if totals else {0: 0, 1: 0}
+    if not texts[0] or not texts[1]:
+        return np.empty(0, np.int64), np.empty(0), texts
+    having, without = F.col("with") + 0.5, F.col("without") + 0.5
+    ratio = F.log(having / (texts[1] + 1)) - F.log(without / (texts[0] + 1))
+    error = F.sqrt(1 / having - 1 / (texts[1] + 1) + 1 / without - 1 / (texts[0] + 1))
+    scale = F.signum(ratio) * F.greatest(F.lit(0.0), F.abs(ratio) - CONFIDENCE * error)
+    known = counts.where(F.col("bucket") < 1 << BITS).select("bucket", scale.alias("scale"))
+    table = known.where("scale <> 0").orderBy("bucket").toArrow()  # at most 2**BITS rows
+    return table["bucket"].to_numpy().astype(np.int64), table["scale"].to_numpy(), texts
+
+
+def _drawn(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, each: int, texts: dict[int, int]) -> DataFrame:
+    """About ``each`` distinct labelled rows of both labels, by a hash of the row, with the rows they stand for.
+
+    Rows are drawn before they meet their labels, at the greater of the two rates.
+    """
+    rates = {k: min(1.0, each / n) for k, n in texts.items()}
+    row = F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(_WHOLE))
+    some = docs.where(row < max(rates.values()) * _WHOLE)
+    rate = F.when(F.col("label") == 1, rates[1]).otherwise(rates[0])
+    joined = _labelled(some, labels, label, folds, fold).where(row < rate * _WHOLE)
+    # copies are one row of their number: an id or a text that repeats can't fill the sample
+    return joined.groupBy("doc_id", "text", "label").agg((F.sum("times") / F.any_value(rate)).alias("weight"))
 
 
 def fit(
@@ -109,38 +123,37 @@ def fit(
 
     Other labels, null ids and labels without a document teach nothing; a repeated row
     counts each time.  Where one of the labels is missing, the model scores every text
-    with the share of label 1 it has seen, 0 for none.
+    with the share of label 1 it has seen, 0 for none.  Where no n-gram tells the labels
+    apart, it scores every text with the share of label 1.
     """
     spark = docs.sparkSession
-    folder = shared_folder(spark, "labelled")
-    drawn = _labelled(docs, labels, label, folds, fold, each)
-    drawn.write.parquet(folder)  # both passes read the same sample
-    rows = spark.read.schema(drawn.schema).parquet(folder)
-    bucket, ratio = ratios(rows)
+    bucket, ratio, texts = ratios(_labelled(docs, labels, label, folds, fold))
     place = np.full(1 << BITS, -1, np.int32)
     place[bucket] = np.arange(len(bucket), dtype=np.int32)
+    if not texts[0] or not texts[1]:
+        return Model(place, np.zeros(len(bucket)), 500.0 if texts[1] else -500.0)
     shared = spark.sparkContext.broadcast(place)
     schema = pa.schema([
         ("doc_id", pa.int64()), ("label", pa.int32()), ("weight", pa.float64()), ("found", pa.list_(pa.int32())),
     ])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in slices(batches):
+        for columns in slices(bounded(batches, "text")):
             places = (shared.value[buckets(t, LOW, HIGH, BITS)] for t in columns["text"])
             found = [np.unique(p[p >= 0]) for p in places]
             arrays = [columns["doc_id"], columns["label"], columns["weight"], found]
             yield pa.RecordBatch.from_arrays([pa.array(a, f.type) for a, f in zip(arrays, schema)], schema=schema)
 
-    numbers = rows.select("doc_id", F.col("label").cast("int").alias("label"), "weight", "text")
+    drawn = _drawn(docs, labels, label, folds, fold, each, texts)
+    numbers = drawn.select("doc_id", F.col("label").cast("int").alias("label"), "weight", "text")
     table = numbers.mapInArrow(features, "doc_id long, label int, weight double, found array<int>").toArrow()
+    shared.destroy()
     y = table["label"].to_numpy().astype(float)
     weight = table["weight"].to_numpy()
-    if len(y) == 0 or y.min() == y.max():
-        return Model(place, np.zeros(len(bucket)), 500.0 if len(y) and y.max() else -500.0)
-    order = np.lexsort((y, table["doc_id"].to_numpy()))
     lists = table["found"].combine_chunks()
-    found = [lists[i].values.to_numpy() for i in order.tolist()]
-    weights, constant = _logistic(found, ratio, y[order], weight[order])
+    rows = [lists[i].values.to_numpy() for i in range(len(y))]
+    order = sorted(range(len(y)), key=lambda i: (table["doc_id"][i].as_py(), y[i], weight[i], rows[i].tobytes()))
+    weights, constant = _logistic([rows[i] for i in order], ratio, y[order], weight[order])
     return Model(place, weights * ratio, constant)
 
 
@@ -168,12 +181,14 @@ def predict(docs: DataFrame, model: Model, folds: int = 5, fold: int = 0) -> Dat
     """``doc_id, held_out, score, predicted`` of every row; only the text is looked at.
 
     Null and empty texts have no n-grams: their score is that of the constant alone.
+    Repeated rows score alike, a null id isn't held out, an empty table gives no rows, and
+    other columns are not read.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS places, bounded features
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in slices(batches):
+        for columns in slices(bounded(batches, "text")):
             arrays = [columns["doc_id"], columns["held_out"], [shared.value.score(t) for t in columns["text"]]]
             yield pa.RecordBatch.from_arrays([pa.array(a, f.type) for a, f in zip(arrays, schema)], schema=schema)
 
@@ -183,11 +198,11 @@ def predict(docs: DataFrame, model: Model, folds: int = 5, fold: int = 0) -> Dat
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """Rows of ``docs``, with all their columns, that score below 0.5."""
+    """Rows of ``docs``, with all their columns, that score below 0.5; nulls, repeats and empty tables as in ``predict``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, "text"):
             clean = [shared.value.score(text.as_py()) < 0.5 for text in batch.column("text")]
             yield batch.filter(pa.array(clean, pa.bool_()))
 

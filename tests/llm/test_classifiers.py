@@ -106,6 +106,62 @@ def test_toxicity_query(spark):
     assert accuracy(spark, "op10_toxicity", "toxic", 5, 0) > 0.9
 
 
+def test_toxicity_finds_the_toxic_ones(spark):
+    """Recall and precision of label 1 among held-out documents, on a table with some 100 of them."""
+    folder = "/root/testdata/sf0.1"
+    toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    got = QUERIES["op10_toxicity"](spark, folder).where("held_out").collect()
+    pairs = [(toxic[r["doc_id"]], r["predicted"]) for r in got if toxic.get(r["doc_id"]) is not None]
+    both = pairs.count((1, 1))
+    assert both >= 0.85 * sum(y for y, _ in pairs) and both >= 0.95 * sum(p for _, p in pairs)
+
+
+def test_toxicity_learns_from_noisy_labels(spark):
+    """An n-gram in 20 of 100 toxic and 3 of 100 clean texts is a feature, and the only ones are its own."""
+    draw = np.random.default_rng(7)
+    words = ["".join(draw.choice(list("abcdefgh"), 5)) for _ in range(400)]
+    made = []
+    for k in range(4000):
+        text = list(draw.choice(words, 12))
+        if draw.random() < (0.2 if k % 2 else 0.03):
+            text[5] = "zzyzxq"
+        made.append((k, " ".join(text), k % 2))
+    docs = spark.createDataFrame(made, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs.drop("toxic"), docs.drop("text"))
+    grams = {int(b) for b in toxicity.present("zzyzxq")} - {int(b) for b in toxicity.present("x")}
+    found = set(np.flatnonzero(model.place >= 0).tolist())
+    assert grams <= found and len(found) < 100
+    with_it, without = model.score(f"{words[0]} zzyzxq {words[1]}"), model.score(f"{words[0]} {words[2]} {words[1]}")
+    assert with_it > 0.75 > 0.55 > without
+
+
+def test_toxicity_scores_are_brute_force(spark):
+    """Ratios and the regression over all labelled rows, computed from the plain tables."""
+    docs = {r["doc_id"]: r["text"] for r in read(spark, "documents").collect()}
+    rows = [(r["doc_id"], r["toxic"]) for r in read(spark, "labels").collect()
+            if r["toxic"] in (0, 1) and r["doc_id"] in docs and not in_fold(r["doc_id"], 5, 0)]
+    having = [{b: 0 for b in ()} for _ in range(2)]
+    for doc_id, y in rows:
+        for b in toxicity.present(docs[doc_id]).tolist():
+            having[y][b] = having[y].get(b, 0) + 1
+    n = [sum(y == k for _, y in rows) for k in (0, 1)]
+    scale = {}
+    for b in set(having[0]) | set(having[1]):
+        one, none = having[1].get(b, 0) + 0.5, having[0].get(b, 0) + 0.5
+        r = np.log(one / (n[1] + 1)) - np.log(none / (n[0] + 1))
+        e = np.sqrt(1 / one - 1 / (n[1] + 1) + 1 / none - 1 / (n[0] + 1))
+        if abs(r) > 3 * e:
+            scale[b] = np.sign(r) * (abs(r) - 3 * e)
+    place = {b: k for k, b in enumerate(sorted(scale))}
+    found = [np.array(sorted(place[b] for b in toxicity.present(docs[d]).tolist() if b in place), int) for d, _ in sorted(rows)]
+    weights, constant = toxicity._logistic(found, np.array([scale[b] for b in sorted(scale)]),
+                                           np.array([float(y) for _, y in sorted(rows)]), np.ones(len(rows)))
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op10_toxicity"](spark, SF).collect()}
+    for doc_id, text in docs.items():
+        z = constant + sum(weights[place[b]] * scale[b] for b in toxicity.present(text).tolist() if b in place)
+        assert abs(got[doc_id] - 1 / (1 + np.exp(-z))) < 1e-6
+
+
 def test_quality_query(spark):
     assert accuracy(spark, "op1_quality_mil", "quality", 3, 1) > 0.97
 
@@ -147,18 +203,34 @@ def test_toxicity_stage_keeps_columns(spark):
 
 
 def test_ratios_are_brute_force(spark, rows, monkeypatch):
-    monkeypatch.setattr(toxicity, "LEAST_TEXTS", 2)
-    monkeypatch.setattr(toxicity, "LEAST_RATIO", 0.5)
+    monkeypatch.setattr(toxicity, "CONFIDENCE", 0.1)
     texts = [(1, "bad word"), (1, "bad wordy"), (0, "good day"), (0, "good day"), (0, "a bad day"), (1, None)]
-    bucket, ratio = toxicity.ratios(rows("label int, text string", *texts))
+    bucket, scale, found = toxicity.ratios(rows("label int, text string", *texts))
+    assert found == {0: 3, 1: 3}
     held = [[set(toxicity.present(t).tolist()) for y, t in texts if y == label] for label in (0, 1)]
     slow = {}
     for b in set().union(*held[0], *held[1]):
-        without, having = (sum(b in s for s in side) for side in held)
-        r = np.log((having + 1) / (3 + 2) / ((without + 1) / (3 + 2)))
-        if having + without >= 2 and abs(r) >= 0.5:
-            slow[b] = r
-    assert dict(zip(bucket.tolist(), ratio.round(9).tolist())) == {b: round(r, 9) for b, r in slow.items()}
+        without, having = (sum(b in s for s in side) + 0.5 for side in held)
+        r = np.log(having / 4) - np.log(without / 4)
+        bound = abs(r) - 0.1 * np.sqrt(1 / having + 1 / without - 0.5)
+        if bound > 0:
+            slow[b] = np.sign(r) * bound
+    assert dict(zip(bucket.tolist(), scale.round(9).tolist())) == {b: round(r, 9) for b, r in slow.items()}
+
+
+def test_toxicity_sample_holds_for_repeated_ids(spark):
+    """A third of the rows have one id, half of those one text: copies are one row of their weight."""
+    docs = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 6 == 0, "the same").otherwise(F.concat(F.lit("text "), "id")).alias("text"),
+    )
+    labels = spark.range(6000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    labels = labels.unionByName(labels.where("doc_id = 1"))
+    texts = toxicity.ratios(toxicity._labelled(docs, labels, "toxic", 5, 0))[2]
+    drawn = toxicity._drawn(docs, labels, "toxic", 5, 0, 200, texts)
+    got = {r["label"]: (r["n"], r["w"]) for r in drawn.groupBy("label").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
+    assert all(got[k][0] < 300 for k in (0, 1))
+    assert abs(got[0][1] - texts[0]) < 0.4 * texts[0]
 
 
 def test_mil_gradients_are_numeric_ones():

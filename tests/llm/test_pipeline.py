@@ -64,7 +64,7 @@ def test_odd_rows_pass_all_stages(spark):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {name.split("_")[0] for name in names if name.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {name.split("_")[0] for name in names if name.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert names["pipeline"] is corpus_pipeline.run
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language ID", "toxicity", "n-gram Jaccard join", "benchmark decontamination", "best-fit packing",
