@@ -23,8 +23,11 @@ from cowrie.llm.training import held_out
 from cowrie.session import shared_folder
 
 LOW, HIGH, BITS = 4, 6, 20
-#: Distinct labelled rows of each label, about, that weights are learned from.
-SAMPLE_EACH = 10_000
+#: Distinct labelled rows of each label, about, that weights are learned from, and the most
+#: n-grams of all of them together (four bytes each) that the driver takes.
+SAMPLE_EACH, MOST_FIGURES = 4_000, 10_000_000
+#: Labelled ids, of some forty bytes each, up to which they are broadcast to the texts.
+MOST_BROADCAST = 1_000_000
 #: Standard errors by which a ratio is drawn towards 0.
 CONFIDENCE = 3.0
 EPOCHS, RATE, DECAY = 30, 0.1, 1e-3
@@ -56,6 +59,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold:
         F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", folds, fold)
     )
     once = allowed.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("times"))
+    if once.count() <= MOST_BROADCAST:
+        once = F.broadcast(once)  # else texts and labels are shuffled by id
     return docs.select("doc_id", "text").join(once, "doc_id")
 
 
@@ -134,26 +139,34 @@ def fit(
         return Model(place, np.zeros(len(bucket)), 500.0 if texts[1] else -500.0)
     shared = spark.sparkContext.broadcast(place)
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("label", pa.int32()), ("weight", pa.float64()), ("found", pa.list_(pa.int32())),
+        ("row", pa.int64()), ("label", pa.int32()), ("weight", pa.float64()), ("found", pa.list_(pa.int32())),
     ])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in slices(bounded(batches, "text")):
             places = (shared.value[buckets(t, LOW, HIGH, BITS)] for t in columns["text"])
             found = [np.unique(p[p >= 0]) for p in places]
-            arrays = [columns["doc_id"], columns["label"], columns["weight"], found]
+            arrays = [columns["row"], columns["label"], columns["weight"], found]
             yield pa.RecordBatch.from_arrays([pa.array(a, f.type) for a, f in zip(arrays, schema)], schema=schema)
 
     drawn = _drawn(docs, labels, label, folds, fold, each, texts)
-    numbers = drawn.select("doc_id", F.col("label").cast("int").alias("label"), "weight", "text")
-    table = numbers.mapInArrow(features, "doc_id long, label int, weight double, found array<int>").toArrow()
+    numbers = drawn.select(F.xxhash64("doc_id", "text").alias("row"), F.col("label").cast("int").alias("label"), "weight", "text")
+    folder, kinds = shared_folder(spark, "features"), "row long, label int, weight double, found array<int>"
+    numbers.mapInArrow(features, kinds).write.parquet(folder)
     shared.destroy()
-    y = table["label"].to_numpy().astype(float)
-    weight = table["weight"].to_numpy()
+    sample = spark.read.schema(kinds).parquet(folder)
+    figures = sample.agg(F.sum(F.size("found"))).first()[0] or 0
+    if figures > MOST_FIGURES:  # long texts: fewer of them, by the hash of the row
+        share = MOST_FIGURES / figures
+        kept = F.pmod(F.xxhash64("row", F.lit("fewer")), F.lit(_WHOLE)) < share * _WHOLE
+        sample = sample.where(kept).withColumn("weight", F.col("weight") / share)
+    table = sample.orderBy("row", "label").toArrow()
+    y, weight = table["label"].to_numpy().astype(float), table["weight"].to_numpy()
+    if len(y) == 0:
+        return Model(place, np.zeros(len(bucket)), float(np.log(texts[1] / texts[0])))
     lists = table["found"].combine_chunks()
-    rows = [lists[i].values.to_numpy() for i in range(len(y))]
-    order = sorted(range(len(y)), key=lambda i: (table["doc_id"][i].as_py(), y[i], weight[i], rows[i].tobytes()))
-    weights, constant = _logistic([rows[i] for i in order], ratio, y[order], weight[order])
+    rows = np.split(lists.values.to_numpy(), lists.offsets.to_numpy()[1:-1])
+    weights, constant = _logistic(rows, ratio, y, weight)
     return Model(place, weights * ratio, constant)
 
 
@@ -161,7 +174,7 @@ def _logistic(found: list[np.ndarray], scale: np.ndarray, y: np.ndarray, weight:
     """AdaGrad on the log loss with weight decay; one row at a time, in a fixed random order."""
     weight = weight / weight.mean()
     w, seen = np.zeros(len(scale)), np.full(len(scale), 1e-8)
-    share = float((weight * y).sum() / weight.sum())
+    share = float(np.clip((weight * y).sum() / weight.sum(), 1e-6, 1 - 1e-6))
     constant, seen_constant = float(np.log(share / (1 - share))), 1e-8
     random = np.random.default_rng(0)
     for _ in range(EPOCHS):

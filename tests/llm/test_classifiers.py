@@ -153,9 +153,12 @@ def test_toxicity_scores_are_brute_force(spark):
         if abs(r) > 3 * e:
             scale[b] = np.sign(r) * (abs(r) - 3 * e)
     place = {b: k for k, b in enumerate(sorted(scale))}
-    found = [np.array(sorted(place[b] for b in toxicity.present(docs[d]).tolist() if b in place), int) for d, _ in sorted(rows)]
+    hashed = spark.createDataFrame([(d, docs[d]) for d, _ in rows], "doc_id long, text string")
+    hashed = {r["doc_id"]: r["h"] for r in hashed.select("doc_id", F.xxhash64("doc_id", "text").alias("h")).collect()}
+    rows.sort(key=lambda r: hashed[r[0]])  # the order the regression meets them in
+    found = [np.array(sorted(place[b] for b in toxicity.present(docs[d]).tolist() if b in place), int) for d, _ in rows]
     weights, constant = toxicity._logistic(found, np.array([scale[b] for b in sorted(scale)]),
-                                           np.array([float(y) for _, y in sorted(rows)]), np.ones(len(rows)))
+                                           np.array([float(y) for _, y in rows]), np.ones(len(rows)))
     got = {r["doc_id"]: r["score"] for r in QUERIES["op10_toxicity"](spark, SF).collect()}
     for doc_id, text in docs.items():
         z = constant + sum(weights[place[b]] * scale[b] for b in toxicity.present(text).tolist() if b in place)
@@ -218,7 +221,17 @@ def test_ratios_are_brute_force(spark, rows, monkeypatch):
     assert dict(zip(bucket.tolist(), scale.round(9).tolist())) == {b: round(r, 9) for b, r in slow.items()}
 
 
-def test_toxicity_sample_holds_for_repeated_ids(spark):
+def test_toxicity_figures_are_bounded(spark, monkeypatch):
+    docs, labels = read(spark, "documents"), read(spark, "labels")
+    taken, real = [], toxicity._logistic
+    monkeypatch.setattr(toxicity, "_logistic", lambda found, *rest: taken.append(sum(map(len, found))) or real(found, *rest))
+    toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "MOST_FIGURES", taken[0] // 3)
+    model = toxicity.fit(docs, labels)
+    assert 0 < taken[1] < taken[0] / 2 and np.isfinite(model.weights).all()
+
+
+def test_toxicity_sample_holds_for_repeated_ids(spark, monkeypatch):
     """A third of the rows have one id, half of those one text: copies are one row of their weight."""
     docs = spark.range(6000).select(
         F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("doc_id"),
@@ -226,6 +239,7 @@ def test_toxicity_sample_holds_for_repeated_ids(spark):
     )
     labels = spark.range(6000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
     labels = labels.unionByName(labels.where("doc_id = 1"))
+    monkeypatch.setattr(toxicity, "MOST_BROADCAST", 10)
     texts = toxicity.ratios(toxicity._labelled(docs, labels, "toxic", 5, 0))[2]
     drawn = toxicity._drawn(docs, labels, "toxic", 5, 0, 200, texts)
     got = {r["label"]: (r["n"], r["w"]) for r in drawn.groupBy("label").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
