@@ -1,17 +1,23 @@
 """Licence scans in DataFrame functions only.
 
-Every sentence of a whole file is compared with licence statements by the cosine of
-sparse TF-IDF vectors of their words; the best one is the file's own licence.  A file
-that is as a whole like a statement is a licence file: it speaks for its directory.
-Files without a licence of their own take that of the nearest ancestor directory with a
-licence file, found by joining paths.
+Every sentence and every line of a whole file is compared with the notices of public
+licences by the cosine of sparse TF-IDF vectors of their words; the best one is the file's
+own licence.  A file that is as a whole like the text of a licence is a licence file: it
+speaks for its directory.  Files without a licence of their own take that of the nearest
+ancestor directory with a licence file, found by joining paths.
+
+Before any word is exploded, texts go by bounds that no match falls short of: a text has
+to have one of the telling words without which a template can't reach the least cosine,
+and as many of its words as that takes at least.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from functools import reduce
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import cached_property, reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,136 +25,283 @@ from pyspark.sql import functions as F
 
 from cowrie.session import shared_folder
 
-# Short names of public licences and the statements files quote them by.
-STATEMENTS = (
+# Short names of public licences, the notices that files quote them by, and
+# the texts of licence files.
+_MIT_GRANT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+    "to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+)
+_ISC_GRANT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies."
+)
+_BSD_GRANT = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+    "the following conditions are met:"
+)
+_BSD_NAMES = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission."
+)
+_BSD_CONDITIONS = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+    "and the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+    "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_MIT_REST = (
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+    'the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT '
+    "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT "
+    "SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+    "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+    "IN THE SOFTWARE."
+)
+_ISC_REST = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+    "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN "
+    "AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+    "PERFORMANCE OF THIS SOFTWARE."
+)
+_APACHE_NOTICE = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
+    "with the License."
+)
+_APACHE_REST = (
+    "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable "
+    'law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT '
+    "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+    "governing permissions and limitations under the License."
+)
+_GPL_REST = (
+    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
+    "details. You should have received a copy of the GNU General Public License along with this program."
+)
+
+
+def _gpl_notice(version: int) -> str:
+    return (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+        f"Public License as published by the Free Software Foundation, either version {version} of the License, or (at "
+        "your option) any later version."
+    )
+
+
+NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", _APACHE_NOTICE),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
+    ("BSD-3-Clause", _BSD_GRANT),
+    ("BSD-3-Clause", _BSD_NAMES),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", _gpl_notice(2)),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", _gpl_notice(3)),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("ISC", "Released under the ISC License."),
+    ("ISC", _ISC_GRANT),
+    ("ISC", "SPDX-License-Identifier: ISC"),
     ("MIT", "Released under the MIT License."),
+    ("MIT", _MIT_GRANT),
+    ("MIT", "SPDX-License-Identifier: MIT"),
     ("MPL-2.0", "Subject to the terms of the Mozilla Public License, version 2.0."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+)
+TEXTS = (
+    ("Apache-2.0", f"{_APACHE_NOTICE} {_APACHE_REST}"),
+    ("BSD-2-Clause", f"{_BSD_GRANT} {_BSD_CONDITIONS} {_BSD_DISCLAIMER}"),
+    ("BSD-3-Clause", f"{_BSD_GRANT} {_BSD_CONDITIONS} {_BSD_NAMES} {_BSD_DISCLAIMER}"),
+    ("GPL-2.0", f"{_gpl_notice(2)} {_GPL_REST}"),
+    ("GPL-3.0", f"{_gpl_notice(3)} {_GPL_REST}"),
+    ("ISC", f"{_ISC_GRANT} {_ISC_REST}"),
+    ("MIT", f"{_MIT_GRANT} {_MIT_REST}"),
+)
+# Words of any English text: no telling words.
+COMMON = frozenset(
+    "a all an and any are as at be but by for from in is it may more must not of on or other the this to under use with you".split()
 )
 
-#: Least cosine of a sentence, and of a whole file, to be taken for a statement.
-SENTENCE, WHOLE = 0.7, 0.6
+#: Least cosine of a sentence or line with a notice, and of a whole file with a text.
+SENTENCE, WHOLE = 0.6, 0.8
 #: What rounding may add to a score.
 ROUNDED = 1e-4
+_WORDS = "[^a-z0-9]+"
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in re.split(r"[^a-z0-9]+", text.translate({c: c + 32 for c in range(65, 91)})) if w]
-
-
-def inverse_frequencies() -> tuple[dict[str, float], float]:
-    """Smoothed inverse document frequency of the statements' words, and that of all others."""
-    n = len(STATEMENTS)
-    texts = [set(words_of(text)) for _, text in STATEMENTS]
-    seen = {w: sum(w in t for t in texts) for w in set().union(*texts)}
-    return {w: math.log((1 + n) / (1 + df)) + 1 for w, df in seen.items()}, math.log(1 + n) + 1
-
-
-def vectors() -> list[tuple[str, str, float]]:
-    """``license, word, weight`` of the statements, each of length 1."""
-    idf, _ = inverse_frequencies()
-    out = []
-    for name, text in STATEMENTS:
-        words = words_of(text)
-        weights = {w: words.count(w) * idf[w] for w in words}
-        norm = math.sqrt(sum(x * x for x in weights.values()))
-        out += [(name, w, x / norm) for w, x in sorted(weights.items())]
-    return out
+    return [w for w in re.split(_WORDS, text.translate({c: c + 32 for c in range(65, 91)})) if w]
+
+
+def _counted(n: int) -> float:
+    """The weight of ``n`` occurrences: 1 + ln n."""
+    return 1 + math.log(n)
+
+
+@dataclass(frozen=True)
+class Templates:
+    """Texts by licence as TF-IDF vectors, frequencies being taken from these texts."""
+
+    texts: tuple[tuple[str, str], ...]
+    least: float
+
+    @cached_property
+    def idf(self) -> dict[str, float]:
+        n, sets = len(self.texts), [set(words_of(t)) for _, t in self.texts]
+        return {w: math.log((1 + n) / (1 + sum(w in s for s in sets))) + 1 for w in sorted(set().union(*sets))}
+
+    @property
+    def other(self) -> float:
+        """The weight of a word that no template has."""
+        return math.log(1 + len(self.texts)) + 1
+
+    @cached_property
+    def vectors(self) -> list[dict[str, float]]:
+        """Of length 1, in the order of the texts."""
+        made = []
+        for _, text in self.texts:
+            words = words_of(text)
+            weights = {w: _counted(words.count(w)) * self.idf[w] for w in set(words)}
+            norm = math.sqrt(sum(x * x for x in weights.values()))
+            made.append({w: x / norm for w, x in sorted(weights.items())})
+        return made
+
+    @cached_property
+    def telling(self) -> list[str]:
+        """Words of which each text that reaches the least cosine has one.
+
+        A cosine is at most the length of the template's part in the words in common.  So the
+        heaviest words are taken, common ones last, until the length of the others is less.
+        """
+        found: set[str] = set()
+        for vector in self.vectors:
+            rest = 1.0
+            for w, x in sorted(vector.items(), key=lambda i: (i[0] in COMMON, -i[1], i[0])):
+                if rest < (self.least - ROUNDED) ** 2:
+                    break
+                found.add(w)
+                rest -= x * x
+        return sorted(found)
+
+    @cached_property
+    def fewest(self) -> list[int]:
+        """How many of a template's words, the heaviest, reach the least cosine."""
+        made = []
+        for vector in self.vectors:
+            reached, n = 0.0, 0
+            for x in sorted(vector.values(), reverse=True):
+                if reached >= (self.least - ROUNDED) ** 2:
+                    break
+                reached, n = reached + x * x, n + 1
+            made.append(n)
+        return made
+
+    def tell(self, words: Column) -> Column:
+        """False only for texts, as arrays of words, without a telling word."""
+        return F.arrays_overlap(words, F.array(*map(F.lit, self.telling)))
+
+    def may_match(self, words: Column) -> Column:
+        """False only for texts that have too few words of every template."""
+        enough = [
+            F.size(F.array_intersect(words, F.array(*map(F.lit, vector)))) >= least
+            for vector, least in zip(self.vectors, self.fewest)
+        ]
+        return self.tell(words) & reduce(or_, enough)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``template, license, word, weight``: a constant of the templates' words."""
+        rows = F.array(*(
+            F.struct(F.lit(k).alias("template"), F.lit(self.texts[k][0]).alias("license"), F.lit(w).alias("word"), F.lit(x).alias("weight"))
+            for k, vector in enumerate(self.vectors) for w, x in vector.items()
+        ))
+        return spark.range(1).select(F.explode(rows).alias("v")).select("v.*")
+
+    def frequencies(self, spark: SparkSession) -> DataFrame:
+        rows = F.array(*(F.struct(F.lit(w).alias("word"), F.lit(x).alias("idf")) for w, x in self.idf.items()))
+        return spark.range(1).select(F.explode(rows).alias("v")).select("v.*")
 
 
 def _folded(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _may_match(folded: Column, least: float | Column) -> Column:
-    """False only for texts with too few of every statement's words to reach cosine ``least``.
-
-    The cosine is at most the length of what a statement's vector has in common words.
-    """
-    own = vectors()
-    there = {w: F.contains(folded, F.lit(w)) for _, w, _ in own}
-    length = lambda name: sum((F.when(there[w], F.lit(x * x)).otherwise(0.0) for n, w, x in own if n == name), F.lit(0.0))
-    return reduce(or_, (length(name) >= (least - ROUNDED) ** 2 for name, _ in STATEMENTS))
-
-
-def _tokens(texts: DataFrame, keys: list[str]) -> DataFrame:
-    return texts.select(*keys, F.explode(F.split("folded", "[^a-z0-9]+")).alias("word")).where("word <> ''")
+def _words(folded: Column | str) -> Column:
+    return F.split(folded, _WORDS)
 
 
-def _known(word: Column) -> Column:
-    """The weight of a word of the statements, null for others."""
-    idf, _ = inverse_frequencies()
-    return F.create_map(*(F.lit(x) for pair in sorted(idf.items()) for x in pair))[word]
+def _pieces(text: str) -> Column:
+    """A text's sentences and lines, each once.
 
-
-def _mostly_known(texts: DataFrame, keys: list[str], least: float | Column) -> DataFrame:
-    """``keys, folded`` of ``texts`` without those with too many words that no statement has.
-
-    Of a text's vector, statements only meet the part of their own words; each other
-    word adds at least the square of its weight to the rest.  Each row is looked at by
-    itself: no word is shuffled.
+    A sentence ends at a point, mark or question mark before white space, unless a single
+    letter stands before it, so that ``v. 2.0`` stays whole.
     """
-    idf, other = inverse_frequencies()
-    let = lambda value, body: F.transform(F.array(value), body)[0]  # noqa: E731  evaluates ``value`` once
-
-    def like(words: Column, own: Column) -> Column:
-        squares = F.transform(
-            F.array_distinct(own), lambda w: F.pow(F.size(F.filter(own, lambda x: x == w)) * _known(w), F.lit(2.0))
-        )
-        part = F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)
-        rest, share = (F.size(words) - F.size(own)) * other**2, (least - ROUNDED) ** 2
-        return (F.size(own) > 0) & (part * (1 - share) >= share * rest)
-
-    words = F.filter(F.split("folded", "[^a-z0-9]+"), lambda w: w != "")
-    kept = let(words, lambda ws: let(F.filter(ws, lambda w: w.isin(*sorted(idf))), lambda own: like(ws, own)))
-    return texts.where(kept).select(*keys, "folded")
-
-
-def _table(spark: SparkSession) -> DataFrame:
-    """The statements' vectors as a constant table."""
-    rows = F.array(*(
-        F.struct(F.lit(n).alias("license"), F.lit(w).alias("word"), F.lit(x).alias("weight")) for n, w, x in vectors()
-    ))
-    return spark.range(1).select(F.explode(rows).alias("v")).select("v.*")
+    end = "([0-9]|[^ \t\n\r\f][^ \t\n\r\f])([.!?])[ \t\n\r\f]+"
+    sentences = F.split(F.regexp_replace(text, end, "$1$2\u0001"), "\u0001")
+    return F.array_distinct(F.concat(sentences, F.split(text, "\n")))
 
 
-def cosines(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, license, score`` of ``texts (keys, folded)`` that share a word with a statement.
+def cosines(texts: DataFrame, keys: list[str], templates: Templates) -> DataFrame:
+    """``keys, license, score`` of ``texts (keys, folded)`` that share a word with a template.
 
-    One row for each statement; ``score`` is rounded to 4 digits, so that it doesn't
+    One row for each template; ``score`` is rounded to 4 digits, so that it doesn't
     depend on the order of a sum.
     """
-    idf, other = inverse_frequencies()
-    counts = _tokens(texts, keys).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
-    weighed = counts.withColumn("value", F.col("n") * F.coalesce(_known(F.col("word")), F.lit(other)))
+    spark = texts.sparkSession
+    words = texts.select(*keys, F.explode(_words("folded")).alias("word")).where("word <> ''")
+    counts = words.groupBy(*keys, "word").agg((1 + F.log(F.count(F.lit(1)))).alias("n"))
+    # constants of some hundred rows
+    weighed = counts.join(F.broadcast(templates.frequencies(spark)), "word", "left").withColumn(
+        "value", F.col("n") * F.coalesce(F.col("idf"), F.lit(templates.other))
+    )
     norms = weighed.groupBy(*keys).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
-    statements = F.broadcast(_table(texts.sparkSession))  # a constant of some fifty rows
-    shared = weighed.where(F.col("word").isin(*sorted(idf))).join(statements, "word")
-    dots = shared.groupBy(*keys, "license").agg(F.sum(F.col("value") * F.col("weight")).alias("dot"))
+    shared = weighed.where(F.col("idf").isNotNull()).join(F.broadcast(templates.table(spark)), "word")
+    dots = shared.groupBy(*keys, "template", "license").agg(F.sum(F.col("value") * F.col("weight")).alias("dot"))
     return dots.join(norms, keys).select(*keys, "license", F.round(F.col("dot") / F.col("norm"), 4).alias("score"))
 
 
 def _best(scored: DataFrame, keys: list[str], least: float) -> DataFrame:
-    """The statement with the highest score of at least ``least``, ties to the first by name."""
-    order = F.max_by(F.struct("license", "score"), F.struct("score", _descending("license")))
-    return scored.where(F.col("score") >= least).groupBy(*keys).agg(order.alias("_b")).select(*keys, "_b.*")
-
-
-def _descending(name: str) -> Column:
-    """A rank that is higher for names that come earlier."""
-    names = sorted((n for n, _ in STATEMENTS), reverse=True)
-    return F.create_map(*(F.lit(x) for pair in ((n, k) for k, n in enumerate(names)) for x in pair))[F.col(name)]
+    """The licence with the highest score of at least ``least``, ties to the first by name."""
+    best = scored.where(F.col("score") >= least).groupBy(*keys, "license").agg(F.max("score").alias("score"))
+    # a row for each licence at most
+    first = F.array_min(F.collect_list(F.struct((-F.col("score")).alias("s"), "license")))
+    return best.groupBy(*keys).agg(first.alias("_b")).select(
+        *keys, F.col("_b.license").alias("license"), (-F.col("_b.s")).alias("score")
+    )
 
 
-def scan(files: DataFrame) -> DataFrame:
+def scan(
+    files: DataFrame, notices: Sequence[tuple[str, str]] = NOTICES, texts: Sequence[tuple[str, str]] = TEXTS
+) -> DataFrame:
     """``doc_id, path, license, how, score, found_in`` of every row of ``files (doc_id, path, text)``.
 
-    ``how`` is ``file`` for licence files, ``header`` for a statement inside the text,
+    ``how`` is ``file`` for licence files, ``header`` for a notice inside the text,
     ``inherited`` for the licence of the nearest ancestor directory with a licence file
     (of several the one with the highest score, ties to the first name), else ``none``.
     ``found_in`` is the path of the text or directory it is from.  Null and empty texts
@@ -157,23 +310,17 @@ def scan(files: DataFrame) -> DataFrame:
     columns are ignored, empty tables give empty results.
     """
     keys = ["doc_id", "path"]
-    spark = files.sparkSession
-    rows = files.select(
-        F.col("doc_id"), F.col("path").cast("string").alias("path"), _folded(F.col("text").cast("string")).alias("folded")
-    )
+    by_notice, by_text = Templates(tuple(notices), SENTENCE), Templates(tuple(texts), WHOLE)
+    rows = files.select("doc_id", F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
     # nulls in keys would not join
-    known = rows.withColumn("key", F.xxhash64(F.struct("doc_id", "path")))
-    may = known.where(_may_match(F.col("folded"), min(SENTENCE, WHOLE)))
-    parts = F.split(F.regexp_replace("folded", "([.!?])[ \t\n\r\f]+", "$1\n"), "\n")
-    # the whole text at 0, its sentences from 1; what follows reads the few that are left twice
-    pieces = may.select("key", F.xxhash64("folded").alias("text"), F.posexplode(F.concat(F.array("folded"), parts)))
-    pieces = pieces.withColumnRenamed("col", "folded")
-    least = F.when(F.col("pos") == 0, WHOLE).otherwise(SENTENCE)
-    near = _written(_mostly_known(pieces.where(_may_match(F.col("folded"), least)), ["key", "text", "pos"], least).distinct())
-    sentences = near.where("pos > 0").select("key", F.xxhash64("text", "pos").alias("sentence"), "folded")
-    wholes = near.where("pos = 0").select("key", "text", "folded")
-    header = _best(cosines(sentences, ["key", "sentence"]), ["key"], SENTENCE)
-    whole = _best(cosines(wholes, ["key", "text"]), ["key"], WHOLE)
+    known = rows.select(F.xxhash64(F.struct("doc_id", "path")).alias("key"), "text", _folded(F.col("text")).alias("folded"))
+    words = _words("folded")
+    told = _written(known.where(by_notice.tell(words) | by_text.may_match(words)).distinct())
+    whole = told.where(by_text.may_match(words)).select("key", F.xxhash64("folded").alias("whole"), "folded")
+    pieces = told.select("key", F.explode(_pieces("text")).alias("piece")).select("key", _folded(F.col("piece")).alias("folded"))
+    near = pieces.where(by_notice.may_match(words)).distinct()
+    header = _best(cosines(near.withColumn("piece", F.xxhash64("folded")), ["key", "piece"], by_notice), ["key"], SENTENCE)
+    whole = _best(cosines(whole, ["key", "whole"], by_text), ["key"], WHOLE)
     own = _written(header.select("key", F.col("license").alias("h_license"), F.col("score").alias("h_score")).join(
         whole.select("key", F.col("license").alias("w_license"), F.col("score").alias("w_score")), "key", "full"
     ))

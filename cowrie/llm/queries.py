@@ -81,50 +81,56 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-_STATEMENTS = ", ".join(f"('{name}', '{text}')" for name, text in licenses.STATEMENTS)
+def _values(templates) -> str:
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    return ", ".join(f"({k}, {quoted(name)}, {quoted(text)})" for k, (name, text) in enumerate(templates))
+
+
+_FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 LICENSE_SQL = rf"""
-WITH statements(license, statement) AS (VALUES {_STATEMENTS}),
-words AS (
-    SELECT license, word
-    FROM (SELECT license, unnest(regexp_split_to_array(lower(statement), '[^a-z0-9]+')) AS word FROM statements)
+WITH templates(kind, template, license, statement) AS (
+    SELECT 1, * FROM (VALUES {_values(licenses.NOTICES)}) UNION ALL SELECT 0, * FROM (VALUES {_values(licenses.TEXTS)})
+), words AS (
+    SELECT kind, template, license, word FROM (
+        SELECT kind, template, license, unnest(regexp_split_to_array({_FOLDED.format("statement")}, '[^a-z0-9]+')) AS word FROM templates)
     WHERE word <> ''
+), sizes AS (
+    SELECT kind, count(*) AS n FROM templates GROUP BY kind
 ), idf AS (
-    SELECT word, ln((SELECT 1.0 + count(*) FROM statements) / (1 + count(DISTINCT license))) + 1 AS idf FROM words GROUP BY word
+    SELECT kind, word, ln((1.0 + any_value(n)) / (1 + count(DISTINCT template))) + 1 AS idf FROM words JOIN sizes USING (kind) GROUP BY kind, word
 ), weights AS (
-    SELECT license, word, count(*) * any_value(idf) AS weight FROM words JOIN idf USING (word) GROUP BY license, word
+    SELECT kind, template, license, word, (1 + ln(count(*))) * any_value(idf) AS weight
+    FROM words JOIN idf USING (kind, word) GROUP BY kind, template, license, word
 ), lengths AS (
-    SELECT license, sqrt(sum(weight * weight)) AS length FROM weights GROUP BY license
+    SELECT kind, template, sqrt(sum(weight * weight)) AS length FROM weights GROUP BY kind, template
 ), docs AS (
-    SELECT doc_id, source || '/' || lang || '/' || doc_id AS path, source || '/' || lang AS directory,
-        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS folded
-    FROM documents
-), sentences AS (
-    SELECT doc_id, string_split(regexp_replace(folded, '([.!?])[ 	
-
-]+', '' || chr(10), 'g'), chr(10)) AS parts FROM docs
+    SELECT doc_id, source || '/' || lang || '/' || doc_id AS path, source || '/' || lang AS directory, text FROM documents
 ), texts AS (
-    SELECT doc_id, 0 AS pos, folded AS text FROM docs
-    UNION ALL SELECT doc_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS text FROM sentences
+    SELECT doc_id, 0 AS kind, 0 AS pos, {_FOLDED.format("text")} AS text FROM docs
+    UNION ALL SELECT doc_id, 1, row_number() OVER (PARTITION BY doc_id), {_FOLDED.format("piece")} FROM (
+        SELECT DISTINCT doc_id, unnest(list_concat(
+            string_split(regexp_replace(text, '([0-9]|[^ \t\n\r\f][^ \t\n\r\f])([.!?])[ \t\n\r\f]+', '\1\2' || chr(1), 'g'), chr(1)),
+            string_split(text, chr(10)))) AS piece FROM docs)
 ), counts AS (
-    SELECT doc_id, pos, word, count(*) AS n
-    FROM (SELECT doc_id, pos, unnest(regexp_split_to_array(text, '[^a-z0-9]+')) AS word FROM texts)
-    WHERE word <> '' GROUP BY doc_id, pos, word
+    SELECT doc_id, kind, pos, word, 1 + ln(count(*)) AS n
+    FROM (SELECT doc_id, kind, pos, unnest(regexp_split_to_array(text, '[^a-z0-9]+')) AS word FROM texts)
+    WHERE word <> '' GROUP BY doc_id, kind, pos, word
 ), valued AS (
-    SELECT doc_id, pos, word, n * coalesce(idf, (SELECT ln(1.0 + count(*)) + 1 FROM statements)) AS value
-    FROM counts LEFT JOIN idf USING (word)
+    SELECT doc_id, kind, pos, word, counts.n * coalesce(idf, ln(1.0 + sizes.n) + 1) AS value
+    FROM counts JOIN sizes USING (kind) LEFT JOIN idf USING (kind, word)
 ), norms AS (
-    SELECT doc_id, pos, sqrt(sum(value * value)) AS norm FROM valued GROUP BY doc_id, pos
+    SELECT doc_id, kind, pos, sqrt(sum(value * value)) AS norm FROM valued GROUP BY doc_id, kind, pos
 ), scores AS (
-    SELECT doc_id, pos, license, round(sum(value * weight) / any_value(length) / any_value(norm), 4) AS score
-    FROM valued JOIN weights USING (word) JOIN lengths USING (license) JOIN norms USING (doc_id, pos)
-    GROUP BY doc_id, pos, license
+    SELECT doc_id, kind, pos, license, round(sum(value * weight) / any_value(length) / any_value(norm), 4) AS score
+    FROM valued JOIN weights USING (kind, word) JOIN lengths USING (kind, template) JOIN norms USING (doc_id, kind, pos)
+    GROUP BY doc_id, kind, pos, template, license
 ), header AS (
     SELECT doc_id, arg_min(license, (-score, license)) AS license, max(score) AS score
-    FROM scores WHERE pos > 0 AND score >= {licenses.SENTENCE} GROUP BY doc_id
+    FROM scores WHERE kind = 1 AND score >= {licenses.SENTENCE} GROUP BY doc_id
 ), whole AS (
     SELECT doc_id, arg_min(license, (-score, license)) AS license, max(score) AS score
-    FROM scores WHERE pos = 0 AND score >= {licenses.WHOLE} GROUP BY doc_id
+    FROM scores WHERE kind = 0 AND score >= {licenses.WHOLE} GROUP BY doc_id
 ), spoken AS (
     SELECT directory, arg_min(license, (-score, license)) AS license, max(score) AS score
     FROM whole JOIN docs USING (doc_id) WHERE directory IS NOT NULL GROUP BY directory

@@ -5,7 +5,7 @@ import random
 import re
 from collections import Counter
 
-from pyspark.sql import functions as F
+import pytest
 
 from against_sql import same_as_sql
 
@@ -16,25 +16,32 @@ def test_query(spark):
     same_as_sql(spark, "op7_license_scan")
 
 
-def cosine(text, statement):
-    idf, other = licenses.inverse_frequencies()
+NOTICES, TEXTS = licenses.Templates(licenses.NOTICES, licenses.SENTENCE), licenses.Templates(licenses.TEXTS, licenses.WHOLE)
+
+
+def cosine(text, statement, templates):
     a, b = licenses.words_of(text), licenses.words_of(statement)
-    va, vb = ({w: n * idf.get(w, other) for w, n in Counter(x).items()} for x in (a, b))
+    weigh = lambda words: {w: (1 + math.log(n)) * templates.idf.get(w, templates.other) for w, n in Counter(words).items()}
+    va, vb = weigh(a), weigh(b)
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
     return round(sum(va[w] * vb[w] for w in va if w in vb) / (norm(va) * norm(vb)), 4) if va and vb else 0
 
 
-def best(texts, least):
-    found = [(-cosine(t, s), name) for t in texts for name, s in licenses.STATEMENTS]
-    found = [(-x, name) for x, name in sorted(found) if -x >= least]
+def best(texts, templates):
+    found = [(-cosine(t, s, templates), name) for t in texts for name, s in templates.texts]
+    found = [(-x, name) for x, name in sorted(found) if -x >= templates.least]
     return found[0] if found else None
 
 
+def pieces(text):
+    end = "([0-9]|[^ \t\n\r\f][^ \t\n\r\f])([.!?])[ \t\n\r\f]+"
+    return re.sub(end, "\\1\\2\x01", text).split("\x01") + text.split("\n")
+
+
 def brute(files):
     own, speaks = {}, {}
     for doc_id, path, text in files:
-        folded = re.sub("([.!?])[ \t\n\r\f]+", "\\1\n", text or "")
-        whole, header = best([text or ""], licenses.WHOLE), best(folded.split("\n"), licenses.SENTENCE)
+        whole, header = best([text or ""], TEXTS), best(pieces(text or ""), NOTICES)
         own[doc_id] = ("file", whole) if whole else ("header", header) if header else None
         if whole and path is not None:
             directory = path.rpartition("/")[0]
@@ -56,11 +63,12 @@ def brute(files):
     return out
 
 
-MIT, GPL = licenses.STATEMENTS[6][1], licenses.STATEMENTS[5][1]
+MIT, GPL = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+WHOLE = {name: text for name, text in licenses.TEXTS}
 FILES = [
-    (1, "a/LICENSE", MIT.upper()), (2, "a/b/c/x", "plain text"), (3, "a/b/COPYING", GPL), (4, "a/b/y", f"words here. {MIT} more"),
+    (1, "a/LICENSE", WHOLE["MIT"].upper()), (2, "a/b/c/x", "plain text"), (3, "a/b/COPYING", f"GNU\n\n{WHOLE['GPL-3.0']}\n"), (4, "a/b/y", f"words here. {MIT} more"),
     (5, "a/z", None), (6, "top", ""), (7, "e/f", "the license of the work"), (8, None, "no path"), (9, None, MIT),
-    (10, "g/LICENSE", MIT), (11, "g/COPYING", "licensed under cc by 4 0"), (12, "g/h", "x"), (13, "a//w", "x"), (14, "/abs/q", "x"),
+    (10, "g/LICENSE", WHOLE["ISC"]), (11, "g/COPYING", WHOLE["BSD-2-Clause"]), (12, "g/h", "x"), (13, "a//w", "x"), (14, "/abs/q", "x"),
     (15, "k/long", "word " * 40_000 + "\n" + GPL + "\n" + "word " * 40_000), (16, "k/m", "!?. . ."), (17, "a/b", "bare"),
 ]
 
@@ -71,14 +79,14 @@ def test_tree_is_brute_force(rows):
 
 
 def test_root_speaks_for_all(rows):
-    files = [*FILES, (20, "LICENSE", "Licensed under CC BY-SA 4.0")]
+    files = [*FILES, (20, "LICENSE", WHOLE["Apache-2.0"])]
     got = licenses.scan(rows("doc_id long, path string, text string", *files)).collect()
     assert set(map(tuple, got)) == brute(files)
     assert {r["found_in"] for r in got if r["doc_id"] in (5, 6)} == {"a", ""}
 
 
 def test_repeats_nulls_and_empty(rows):
-    df = rows("doc_id long, path string, text string", (1, "a/b", MIT), (1, "a/b", MIT), (None, "a/c", "x"), (None, None, None))
+    df = rows("doc_id long, path string, text string", (1, "a/b", WHOLE["MIT"]), (1, "a/b", WHOLE["MIT"]), (None, "a/c", "x"), (None, None, None))
     got = [tuple(r) for r in licenses.scan(df).collect()]
     assert sorted(got, key=repr) == sorted(
         [(1, "a/b", "MIT", "file", 1.0, "a/b")] * 2 + [(None, "a/c", "MIT", "inherited", 1.0, "a"), (None, None, None, "none", 0.0, None)],
@@ -87,36 +95,59 @@ def test_repeats_nulls_and_empty(rows):
     assert licenses.scan(df.where("false")).count() == 0
 
 
-def test_bounds_let_all_matches_pass(rows):
-    statements = [s for _, s in licenses.STATEMENTS]
+@pytest.mark.parametrize("templates", [NOTICES, TEXTS], ids=["notices", "texts"])
+def test_bounds_let_all_matches_pass(rows, templates):
+    statements = [s for _, s in templates.texts]
     words = sorted({w for s in statements for w in licenses.words_of(s)}) + ["alpha", "beta", "and"]
     r = random.Random(1)
-    texts = [" ".join(r.sample(licenses.words_of(s), r.randint(2, len(licenses.words_of(s)))) + r.choices(words, k=r.randint(0, 5)))
-             for s in statements for _ in range(40)]
-    for least in (licenses.SENTENCE, licenses.WHOLE):
-        df = rows("k int, folded string", *enumerate(texts))
-        passed = licenses._mostly_known(df.where(licenses._may_match(F.col("folded"), least)), ["k"], least)
-        left = {t["folded"] for t in passed.collect()}
-        like = {t for t in texts if max(cosine(t, s) for s in statements) >= least}
-        assert like <= left and len(left) < len(set(texts))
-
-
-def test_sentences_of_real_headers(rows):
-    """What files with these licences really say, whole or as one sentence among others."""
-    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted"
-    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
-    files = [
-        (1, "a/x", f"{bsd} provided that the following conditions are met:\n{'other words ' * 20}"),
-        (2, "b/x", mpl),
-        (3, "c/x", f"{'other words ' * 20}. {bsd}. {'more ' * 20}"),
-    ]
+    texts = []
+    for statement in statements:
+        own = licenses.words_of(statement)
+        for _ in range(25):
+            texts.append(" ".join(r.sample(own, r.randint(len(own) // 6 + 1, len(own))) + r.choices(words, k=r.randint(0, len(own) // 3))))
+    df = rows("k int, folded string", *enumerate(texts))
+    left = {t["folded"] for t in df.where(templates.may_match(licenses._words("folded"))).collect()}
+    like = {t for t in texts if max(cosine(t, s, templates) for s in statements) >= templates.least}
+    assert like and like <= left and len(left) < len(set(texts))
+
+
+GPL_HEADER = """/* Copyright 2020 Someone
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version. */
+int main() { return 0; }
+"""
+
+
+def test_what_files_really_say(rows):
+    """Notices among other words, headers of source files, whole licence files, and what is none."""
+    other = "other words " * 20
+    mit_file = f"The MIT License (MIT)\n\nCopyright (c) 2020 Someone\n\n{WHOLE['MIT']}"
+    said = {
+        "BSD-3-Clause header": f"{other}end. Redistribution and use in source and binary forms, with or without modification, are permitted. {other}",
+        "MPL-2.0 header": "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. */\nint x;",
+        "MIT header": licenses._MIT_GRANT,
+        "MIT header ": f"# SPDX-License-Identifier: MIT\nimport x\n{other}",
+        "GPL-3.0 header": GPL_HEADER,
+        "CC-BY-4.0 header": f"{other}\nThis work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "MIT header  ": "xx yy Released under the MIT License.",
+        "MIT file": mit_file,
+        "GPL-2.0 file": WHOLE["GPL-2.0"].replace("you can", "you\ncan"),
+        "BSD-3-Clause file": f"Copyright 2020, Someone\n{WHOLE['BSD-3-Clause']}",
+        "none": f"The license of this work is unknown. {other}",
+    }
+    files = [(k, f"{k}/x", text) for k, text in enumerate(said.values())]
     got = {tuple(r) for r in licenses.scan(rows("doc_id long, path string, text string", *files)).collect()}
     assert got == brute(files)
-    assert {r[0]: r[2:5] for r in got} == {
-        1: ("BSD-3-Clause", "header", cosine(files[0][2].split("\n")[0], licenses.STATEMENTS[1][1])),
-        2: ("MPL-2.0", "file", cosine(mpl, licenses.STATEMENTS[7][1])),
-        3: ("BSD-3-Clause", "header", 1.0),
-    }
+    assert [f"{r[2]} {r[3]}" for r in sorted(got)] == [s.strip() if s != "none" else "None none" for s in said]
+
+
+def test_own_templates(rows):
+    df = rows("doc_id long, path string, text string", (1, "a/x", "Use it as you like, says Someone."), (2, "a/y", "no"), (3, "b/z", MIT))
+    got = licenses.scan(df, [("Own", "Use it as you like.")], [("Own", "Use it as you like, says Someone.")]).collect()
+    assert {(r["doc_id"], r["license"], r["how"]) for r in got} == {(1, "Own", "file"), (2, "Own", "inherited"), (3, None, "none")}
 
 
 def test_no_python_in_the_plan(rows):
