@@ -15,13 +15,46 @@ COUNTS = tuple(60 // width for width in WIDTHS)
 ESCAPE = 0
 
 _COUNT_OF = np.array([1, *COUNTS, 0], np.int64)
+_LIMITS = np.array([1 << width for width in WIDTHS], np.uint64)
+#: The least selector that holds each small value, which most token ids are.
+_SMALL = 1 + np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), "right").astype(np.uint8)
 
 
-def _bits(values: np.ndarray) -> np.ndarray:
-    """Bits each value needs, at least 1."""
-    high = (values >> np.uint64(32)).astype(np.float64)
-    low = (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    return np.maximum(np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1]), 1).astype(np.int8)
+def _least(values: np.ndarray) -> np.ndarray:
+    """The least selector wide enough for each value; one more than the last for escapes."""
+    if values.max() < len(_SMALL):
+        return _SMALL[values.astype(np.uint16)]
+    return 1 + np.searchsorted(_LIMITS, values, "right").astype(np.uint8)
+
+
+def _selectors(values: np.ndarray) -> np.ndarray:
+    """At each place the selector that packs most of the values from there on.
+
+    The least selector of ``count`` values is the greatest one of theirs, taken over
+    windows that double; places behind the last value need none.
+    """
+    n = len(values)
+    least = _least(values)
+    windows = {1: np.concatenate([least, np.zeros(COUNTS[0], np.uint8)])}
+
+    def window(count: int) -> np.ndarray:
+        if count not in windows:
+            half = window((count + 1) // 2)
+            other = half[count // 2 :]
+            windows[count] = np.maximum(half[: len(other)], other)
+        return windows[count]
+
+    select = np.where(least > len(WIDTHS), ESCAPE, len(WIDTHS)).astype(np.uint8)
+    widest = int(least.max())
+    for selector in range(len(WIDTHS) - 1, 0, -1):
+        fits = window(COUNTS[selector - 1])[:n] <= selector
+        if selector >= widest:
+            select[:] = selector
+        elif fits.any():
+            select[fits] = selector
+        else:
+            break  # nor does a narrower one, which takes more values
+    return select
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -34,21 +67,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(values)
     if n == 0:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    need = _bits(values)
-    widest = int(need.max())
-    select = np.zeros(n, np.int8)
-    at = np.arange(n, dtype=np.int32)
-    for selector in range(len(WIDTHS), 0, -1):
-        width, count = WIDTHS[selector - 1], COUNTS[selector - 1]
-        if width >= widest:
-            select[:] = selector  # may be filled up behind the last value
-            continue
-        # place of the next value too wide for this selector
-        wide = np.where(need > width, at, np.int32(n))
-        fits = np.minimum.accumulate(wide[::-1])[::-1] - at >= count
-        if not fits.any():
-            break  # nor does a narrower one, which takes more values
-        select[fits] = selector
+    select = _selectors(values)
     takes = _COUNT_OF[select].tolist()
     begins, place = [], 0
     while place < n:
