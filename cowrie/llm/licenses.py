@@ -144,9 +144,11 @@ TEXTS = (
     ("ISC", f"{_ISC_GRANT} {_ISC_REST}"),
     ("MIT", f"{_MIT_GRANT} {_MIT_REST}"),
 )
-# Words of any English text: no telling words.
+# Words of any English text: they count in no vector.
 COMMON = frozenset(
-    "a all an and any are as at be but by for from in is it may more must not of on or other the this to under use with you".split()
+    """a above all an and any are as at be but by can do either even following for from has have if in is it its may more
+    must no not of on only or other out shall should such than that the their there these they this to under use was
+    when whether which will with without you your""".split()
 )
 
 #: Least cosine of a sentence or line with a notice, and of a whole file with a text.
@@ -157,7 +159,8 @@ _WORDS = "[^a-z0-9]+"
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in re.split(_WORDS, text.translate({c: c + 32 for c in range(65, 91)})) if w]
+    words = re.split(_WORDS, text.translate({c: c + 32 for c in range(65, 91)}))
+    return [w for w in words if w and w not in COMMON]
 
 
 def _counted(n: int) -> float:
@@ -198,12 +201,12 @@ class Templates:
         """Words of which each text that reaches the least cosine has one.
 
         A cosine is at most the length of the template's part in the words in common.  So the
-        heaviest words are taken, common ones last, until the length of the others is less.
+        heaviest words are taken until the length of the others is less.
         """
         found: set[str] = set()
         for vector in self.vectors:
             rest = 1.0
-            for w, x in sorted(vector.items(), key=lambda i: (i[0] in COMMON, -i[1], i[0])):
+            for w, x in sorted(vector.items(), key=lambda i: (-i[1], i[0])):
                 if rest < (self.least - ROUNDED) ** 2:
                     break
                 found.add(w)
@@ -274,7 +277,9 @@ def cosines(texts: DataFrame, keys: list[str], templates: Templates) -> DataFram
     depend on the order of a sum.
     """
     spark = texts.sparkSession
-    words = texts.select(*keys, F.explode(_words("folded")).alias("word")).where("word <> ''")
+    words = texts.select(*keys, F.explode(_words("folded")).alias("word")).where(
+        (F.col("word") != "") & ~F.col("word").isin(*sorted(COMMON))
+    )
     counts = words.groupBy(*keys, "word").agg((1 + F.log(F.count(F.lit(1)))).alias("n"))
     # constants of some hundred rows
     weighed = counts.join(F.broadcast(templates.frequencies(spark)), "word", "left").withColumn(

@@ -86,6 +86,7 @@ def _values(templates) -> str:
     return ", ".join(f"({k}, {quoted(name)}, {quoted(text)})" for k, (name, text) in enumerate(templates))
 
 
+_NO_WORDS = ", ".join(f"'{w}'" for w in ["", *sorted(licenses.COMMON)])
 _FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 LICENSE_SQL = rf"""
@@ -94,7 +95,7 @@ WITH templates(kind, template, license, statement) AS (
 ), words AS (
     SELECT kind, template, license, word FROM (
         SELECT kind, template, license, unnest(regexp_split_to_array({_FOLDED.format("statement")}, '[^a-z0-9]+')) AS word FROM templates)
-    WHERE word <> ''
+    WHERE word NOT IN ({_NO_WORDS})
 ), sizes AS (
     SELECT kind, count(*) AS n FROM templates GROUP BY kind
 ), idf AS (
@@ -115,7 +116,7 @@ WITH templates(kind, template, license, statement) AS (
 ), counts AS (
     SELECT doc_id, kind, pos, word, 1 + ln(count(*)) AS n
     FROM (SELECT doc_id, kind, pos, unnest(regexp_split_to_array(text, '[^a-z0-9]+')) AS word FROM texts)
-    WHERE word <> '' GROUP BY doc_id, kind, pos, word
+    WHERE word NOT IN ({_NO_WORDS}) GROUP BY doc_id, kind, pos, word
 ), valued AS (
     SELECT doc_id, kind, pos, word, counts.n * coalesce(idf, ln(1.0 + sizes.n) + 1) AS value
     FROM counts JOIN sizes USING (kind) LEFT JOIN idf USING (kind, word)
