@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -91,8 +93,9 @@ def dead_letters(messages: DataFrame, dataset: Dataset) -> DataFrame:
     return rejected(parsed(messages, dataset.message_columns), dataset.key)
 
 
-def stream_table(root: str, name: str) -> StreamTable:
-    return StreamTable(f"{root.rstrip('/')}/silver/{name}_stream", ["country_code", "event_date"])
+def stream_table(root: str, name: str, folders: Sequence[str] = ("country_code", "event_date")) -> StreamTable:
+    """A dataset's stream silver; a thin one may be cut by day alone."""
+    return StreamTable(f"{root.rstrip('/')}/silver/{name}_stream", list(folders))
 
 
 def start(
@@ -104,13 +107,14 @@ def start(
     trigger: dict | None = None,
     state_partitions: int | None = None,
     salts: int = SALTS,
+    folders: Sequence[str] = ("country_code", "event_date"),
 ) -> list[StreamingQuery]:
     """Start the two queries of a dataset: silver rows and dead letters.
 
     ``salts`` belongs to the checkpoint's first run, as ``state_partitions`` does.
     """
     dataset = DATASETS[name]
-    table = stream_table(lake_root, name)
+    table = stream_table(lake_root, name, folders)
 
     def to_table_and_topic(rows: DataFrame, batch_id: int) -> None:
         table.write_batch(rows.withColumn("event_date", period_of("timestamp", "day")), batch_id)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +17,16 @@ from cowrie_checks.views import oracle, table, view
 from cowrie import session
 from cowrie.functions.money import with_eur
 from cowrie.functions.periods import on_day
-from cowrie.model import DATASETS
+from cowrie.model import DATASETS, FACTS
 from cowrie.operators import incremental, indicators, latest, quality, regulatory
 from cowrie.plans import bronze, gold, report, silver
 from cowrie.sources import files, raw_files
 from cowrie.sources.lake import FactTable, Lake, PeriodTable
 from cowrie.streaming import alerts
 
+#: The tables are thin: a folder for each of the thousands of days holds all countries.
+BY_DAY = {name: ["event_date"] for name in FACTS}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -779,6 +783,67 @@ def _(spark, sf):
     return lake.bronze("mobile_money").read().select(*PAYMENT_COLUMNS)
 
 
+def raw_rows(spark: SparkSession, sf: str, name: str, rows: DataFrame) -> DataFrame:
+    """Rows with all columns of a raw file as text; what the view hasn't got is empty."""
+    known = set(rows.columns)
+    if "timestamp" in DATASETS[name].fields and "timestamp" not in known:
+        moment = F.col("event_ts") if "event_ts" in known else F.col("due_date").cast("timestamp")
+        rows = rows.withColumn("timestamp", F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    fields = DATASETS[name].fields
+    return rows.select(*((F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(c) for c in fields))
+
+
+def write_raw(spark: SparkSession, rows: DataFrame, name: str, root: str) -> None:
+    """Raw files of a type: a folder for each country, or the one file of a referential."""
+    if DATASETS[name].is_reference:
+        parts = session.shared_folder(spark, "parts")
+        rows.coalesce(1).write.option("header", True).csv(parts)
+        files.publish_single(spark, parts, f"{root}/shared/referentials/{name}.csv")
+        return
+    for country in sorted(r[0] for r in rows.select("country_code").distinct().collect()):
+        mine = rows.filter(F.col("country_code") == country)
+        mine.write.option("header", True).csv(f"{root}/{country}/{name}/20240131")
+
+
+OTHER_TYPES = {  # view, business key, amount
+    "bank_transactions": ("v_bank", "transaction_id", "amount"),
+    "insurance_operations": ("v_insurance", "operation_id", "amount"),
+    "loan_repayments": ("v_loans", "repayment_id", "amount_due"),
+    "customers": ("v_customers", "customer_id", None),
+    "accounts": ("v_accounts", "account_id", None),
+    "branches": ("v_branches", "branch_id", None),
+    "products": ("(SELECT p_partkey AS product_id FROM {part})", "product_id", None),
+}
+
+
+def _other_type_sql(name: str) -> str:
+    source, key, amount = OTHER_TYPES[name]
+    day = {"loan_repayments": day_text("due_date")}.get(name, day_text("event_ts")) if amount else "NULL"
+    country = "country_code" if amount or name == "customers" else "NULL"
+    return f"""SELECT '{name}' AS dataset, CAST({key} AS VARCHAR) AS id, {country} AS country_code,
+               {day} AS event_date, {amount or 'CAST(NULL AS DOUBLE)'} AS amount FROM {source}"""
+
+
+@query("p1_bronze_other_types", oracle(" UNION ALL ".join(map(_other_type_sql, OTHER_TYPES))))
+def _(spark, sf):
+    """The other seven types from raw files, facts by country and referentials as one file each."""
+    root = session.shared_folder(spark, "p1o")
+    lake, loaded = Lake(spark, f"{root}/lake", BY_DAY), []
+    for name, (source, key, amount) in OTHER_TYPES.items():
+        rows = view(spark, sf, source) if source.startswith("v_") else table(spark, sf, "part").withColumnRenamed("p_partkey", key)
+        write_raw(spark, raw_rows(spark, sf, name, rows), name, f"{root}/raw")
+        for _ in range(2):  # facts aren't read again, referentials add nothing new
+            bronze.ingest(spark, lake, f"{root}/raw", name)
+        stored = lake.bronze(name).read()
+        day = F.col("event_date") if amount else F.lit(None).cast("date")
+        loaded.append(stored.select(
+            F.lit(name).alias("dataset"), F.col(key).alias("id"),
+            (F.col("country_code") if "country_code" in stored.columns else F.lit(None).cast("string")).alias("country_code"),
+            day.alias("event_date"), (F.col(amount) if amount else F.lit(None).cast("double")).alias("amount"),
+        ))
+    return reduce(DataFrame.unionByName, loaded)
+
+
 def customer_table(spark: SparkSession, sf: str, lake: Lake) -> None:
     customers = view(spark, sf, "v_customers").select(
         F.col("customer_id").cast("string").alias("customer_id"), "country_code", "segment", "kyc_level"
@@ -845,19 +910,16 @@ def _(spark, sf):
 # Bronze, silver and gold in one go.
 
 
-#: The tables are thin: a folder for each of the thousands of days holds all countries.
-BY_DAY = {name: ["event_date"] for name in ("bank_transactions", "insurance_operations", "loan_repayments")}
-
-
 def refined_lake(spark: SparkSession, sf: str, label: str, *names: str) -> Lake:
     lake = Lake(spark, f"{session.shared_folder(spark, label)}/lake", BY_DAY)
     for name, frame in references(spark, sf).items():
         FactTable(spark, lake.path("bronze", name), DATASETS[name].key, []).append(frame)
     sources = {
-        "bank_transactions": "v_bank", "insurance_operations": "v_insurance", "loan_repayments": "v_loans"
+        "bank_transactions": "v_bank", "insurance_operations": "v_insurance", "loan_repayments": "v_loans",
+        "mobile_money": "v_mobile",
     }
     for name in names:
-        rows = view(spark, sf, sources[name])
+        rows = quality.with_country(view(spark, sf, sources[name]), DATASETS[name].country_from)
         moment = "due_date" if "due_date" in rows.columns else "event_ts"
         stamped = rows.withColumns(
             {"timestamp": F.col(moment).cast("timestamp"), "event_date": F.to_date(moment)}
@@ -973,6 +1035,55 @@ def _(spark, sf):
     return lake.gold("loss_ratio_by_product").read()
 
 
+S_MOBILE = silver_ctes(
+    "s_mobile", "v_mobile", "payment_id", "event_ts", ["amount"],
+    ["sender_id", "sender_country", "receiver_country", "amount", "currency", "status", "fee_amount"],
+)
+
+
+@query(
+    "p3_gold_volume",
+    oracle(
+        f"""SELECT {day_text('event_ts')} AS period, country_code, entity_type, transaction_type,
+                   count(*) AS txn_count, {as_eur(f"sum({cts('amount')})")} AS total_amount_eur
+            FROM s_bank GROUP BY ALL""",
+        *S_BANK,
+    ),
+)
+def _(spark, sf):
+    lake = refined_lake(spark, sf, "p3v", "bank_transactions")
+    gold.refresh(lake, "daily_transaction_volume")
+    return lake.gold("daily_transaction_volume").read()
+
+
+@query(
+    "p3_gold_processing_time",
+    oracle(
+        f"""SELECT {month_text('event_ts')} AS period, country_code, product_line,
+                   {half_up('sum(processing_days)', 'count(processing_days)', 1)} AS avg_processing_days
+            FROM s_insurance WHERE processing_days IS NOT NULL GROUP BY ALL""",
+        *S_INSURANCE,
+    ),
+)
+def _(spark, sf):
+    lake = refined_lake(spark, sf, "p3t", "insurance_operations")
+    gold.refresh(lake, "claims_processing_time")
+    return lake.gold("claims_processing_time").read()
+
+
+@query(
+    "p3_gold_mobile_flow",
+    oracle(
+        f"SELECT {day_text('event_ts')} AS period, sender_country AS country_code, {FLOW_COLUMNS} FROM s_mobile GROUP BY ALL",
+        *S_MOBILE,
+    ),
+)
+def _(spark, sf):
+    lake = refined_lake(spark, sf, "p3f", "mobile_money")
+    gold.refresh(lake, "mobile_money_daily_flow")
+    return lake.gold("mobile_money_daily_flow").read()
+
+
 # -- P4: report ----------------------------------------------------------------------------
 
 REPORT_DAY = dt.date(1998, 6, 30)

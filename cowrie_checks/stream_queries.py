@@ -80,12 +80,12 @@ class Platform:
         self.lake = Lake(spark, f"{root}/lake", BY_DAY)
         self.checkpoints = f"{root}/checkpoints"
 
-    def raw_to_silver(self, name: str, messages: DataFrame) -> None:
+    def raw_to_silver(self, name: str, messages: DataFrame, folders: tuple[str, ...] = ("country_code", "event_date")) -> None:
         self.channel.write(messages, DATASETS[name].raw_topic, "all")
         finish(
             *stream.start(
                 self.spark, name, self.channel, self.lake.root, self.checkpoints, NOW,
-                state_partitions=cores(self.spark),
+                state_partitions=cores(self.spark), folders=folders,
             )
         )
 
@@ -158,6 +158,35 @@ def _(spark, sf):
     )
 
 
+FIRST_OPERATIONS = """(SELECT * FROM v_insurance
+    QUALIFY row_number() OVER (PARTITION BY operation_id, event_ts ORDER BY amount) = 1)"""
+
+
+def first_operations(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per key and time, so that which duplicate arrives first does not matter; times as text."""
+    operations = view(spark, sf, "v_insurance").withColumn("timestamp", wire_text("event_ts"))
+    first = latest.latest_per_key(operations.withColumn("less", -F.col("amount")), ["operation_id", "timestamp"], "less")
+    return first.drop("less", "event_ts")
+
+
+@query(
+    "j17_stream_silver_insurance",
+    oracle(
+        f"""SELECT CAST(operation_id AS VARCHAR) AS operation_id, {time_text('event_ts')} AS timestamp,
+                   CAST(customer_id AS VARCHAR) AS customer_id, country_code, product_line, operation_type, claim_status,
+                   processing_days, amount, currency, {eur('amount')} AS amount_eur
+            FROM {FIRST_OPERATIONS}"""
+    ),
+)
+def _(spark, sf):
+    platform = Platform(spark, "j17i")
+    platform.raw_to_silver("insurance_operations", msg.to_messages(first_operations(spark, sf)), ("event_date",))
+    return platform.table("insurance_operations").select(
+        "operation_id", "timestamp", "customer_id", "country_code", "product_line", "operation_type", "claim_status",
+        "processing_days", "amount", "currency", "amount_eur",
+    )
+
+
 def numbers(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("double") for c in ("amount", "fee_amount")})
 
@@ -282,6 +311,28 @@ def _(spark, sf):
     )
 
 
+@query(
+    "j15_aml_beneficiary_stream",
+    oracle(
+        AML_SQL.replace("FROM v_bank ", "FROM v_bank_stream ")
+        .replace("transaction_id, account_id", "CAST(transaction_id AS VARCHAR) AS transaction_id, "
+                 "CAST(account_id AS VARCHAR) AS account_id, 'to ' || account_id AS beneficiary_account")
+        .replace(time_text("event_ts"), MILLIS)
+    ),
+)
+def _(spark, sf):
+    platform = Platform(spark, "j15b")
+    events = bank_events(spark, sf).withColumns(
+        {"timestamp": wire_text("event_ts"), "beneficiary_account": F.concat(F.lit("to "), F.col("account_id"))}
+    )
+    return platform.alerts(
+        "aml_threshold",
+        msg.to_messages(events.drop("event_ts")),
+        "alert_type string, transaction_id string, account_id string, beneficiary_account string, country_code string, "
+        "amount double, currency string, timestamp string",
+    )
+
+
 @query(
     "j13_unusual_country_stream",
     oracle(UNUSUAL_SQL.replace("payment_id, sender_id,", "CAST(payment_id AS VARCHAR) AS payment_id, CAST(sender_id AS VARCHAR) AS sender_id,")),
@@ -304,9 +355,7 @@ def _(spark, sf):
         f"""SELECT 'CLAIM_EXCEEDS_PREMIUM_RATIO' AS alert_type, CAST(operation_id AS VARCHAR) AS operation_id,
                    CAST(customer_id AS VARCHAR) AS customer_id, country_code,
                    {eur('amount')} AS claim_amount_eur, {as_eur('premium')} AS annual_premium_eur
-            FROM (SELECT * FROM v_insurance
-                  QUALIFY row_number() OVER (PARTITION BY operation_id, event_ts ORDER BY amount) = 1)
-                 JOIN p USING (customer_id)
+            FROM {FIRST_OPERATIONS} JOIN p USING (customer_id)
             WHERE operation_type = 'CLAIM_PAYMENT' AND claim_status = 'PAID' AND {cts('amount')} > 3 * premium""",
         PREMIUMS_CTE,
     ),
@@ -318,12 +367,9 @@ def _(spark, sf):
     )
     platform.lake.silver("insurance_operations").append(history)
     premiums.refresh(platform.lake, CLAIMS_TODAY)
-    operations = view(spark, sf, "v_insurance").withColumn("timestamp", wire_text("event_ts"))
-    # one row per key and time, so that which duplicate arrives first does not matter
-    first = latest.latest_per_key(operations.withColumn("less", -F.col("amount")), ["operation_id", "timestamp"], "less")
     return platform.alerts(
         "fraud_claim_ratio",
-        msg.to_messages(first.drop("less", "event_ts")),
+        msg.to_messages(first_operations(spark, sf)),
         "alert_type string, operation_id string, customer_id string, country_code string, "
         "claim_amount_eur double, annual_premium_eur double",
     )
