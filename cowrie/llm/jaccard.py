@@ -33,6 +33,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from cowrie.llm.components import components
 from cowrie.llm.ngrams import slices
 from cowrie.llm.shingles import mixed, set_id, shingles
+from cowrie.llm.slices import bounded
 from cowrie.llm.signature_tree import join
 from cowrie.session import shared_folder
 
@@ -446,8 +447,10 @@ def _outside(many: DataFrame, roots: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs``, with all their columns: of each group of linked rows one with the smallest ``doc_id``.
 
-    Rows without words and rows with a null id all stay.
+    Rows without words and rows with a null id all stay.  Other columns may have any name.
     """
+    own = docs.columns
+    docs = docs.toDF(*(c if c in ("doc_id", "text") else f"c{k}" for k, c in enumerate(own)))
     found = _written(groups(docs, n, percent), "groups")
     alone = F.col("root").isNull()
     repeated = found.where(~alone).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id")
@@ -457,9 +460,9 @@ def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     schema = StructType([*docs.schema.fields, StructField("_set_id", BinaryType())])
 
     def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [set_id(shingles(t.as_py(), n)) for t in batch.column("text")]
-            yield batch.append_column("_set_id", pa.array(own, pa.binary()))
+        for batch in bounded(batches, "text"):
+            ids = [set_id(shingles(t.as_py(), n)) for t in batch.column("text")]
+            yield batch.append_column("_set_id", pa.array(ids, pa.binary()))
 
     rows = maybe.split(docs, "doc_id", True).mapInArrow(tagged, schema)
     verdict = found.select(
@@ -471,4 +474,4 @@ def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     single = F.coalesce("_root", F.xxhash64("doc_id", "text").cast("string").cast("binary"))
     order = Window.partitionBy(single).orderBy("_set_id", "text")
     ranked = kept.withColumn("_rank", F.when(F.col("_root").isNull(), 1).otherwise(F.row_number().over(order)))
-    return ranked.where("_rank = 1").select(docs.columns).unionByName(maybe.split(docs, "doc_id", False))
+    return ranked.where("_rank = 1").select(docs.columns).unionByName(maybe.split(docs, "doc_id", False)).toDF(*own)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cowrie.llm.ngrams import buckets, slices
 from cowrie.llm.slices import bounded
+from cowrie.llm.tokens import forget
 from cowrie.llm.training import held_out, sampled
 
 LOW, HIGH, BITS = 1, 3, 15
@@ -81,6 +82,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         total = np.zeros((1 << BITS) + 1, np.int64)
         for columns in slices(bounded(batches, "text")):
             for text in columns["text"]:
@@ -215,6 +217,7 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in bounded(batches, "text"):
             known = [shared.value.predict(text.as_py()) for text in batch.column("text")]
             yield batch.filter(pa.array([g != UNKNOWN and p >= least for g, p in known], pa.bool_()))

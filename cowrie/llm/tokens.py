@@ -133,3 +133,8 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Drops this worker's encoders and the words they keep, for stages that encode nothing."""
+    _ENCODERS.clear()

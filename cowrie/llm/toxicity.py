@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cowrie.llm.ngrams import buckets, slices
 from cowrie.llm.slices import bounded
+from cowrie.llm.tokens import forget
 from cowrie.llm.training import held_out
 from cowrie.session import shared_folder
 
@@ -73,6 +74,7 @@ def ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
     schema = pa.schema([("bucket", pa.int32()), ("label", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         total = np.zeros((2, (1 << BITS) + 1), np.int64)
         for columns in slices(bounded(batches, "text")):
             for label, text, times in zip(columns["label"], columns["text"], columns["times"]):

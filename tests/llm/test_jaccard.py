@@ -177,3 +177,14 @@ def test_shingles():
     assert np.array_equal(shingles("A b\tc", 4), shingles("a B\n\nc ", 4)) and len(shingles("a b c", 4)) == 1
     assert len(shingles("a b c d e a b c d", 4)) == 5
     assert np.array_equal(shingles("é x", 4), shingles("é  X", 4)) and not np.array_equal(shingles("É x", 4), shingles("é x", 4))
+
+
+def test_columns_of_any_name_stay(rows):
+    same = "one two three four five six seven eight nine ten"
+    docs = rows(
+        "_hash long, doc_id long, _set_id string, text string, root int, score double, _rank int",
+        (1, 3, "a", same, 1, 1.0, 9), (2, 2, "b", same, 2, 2.0, 8), (3, 5, "c", "other words", 3, 3.0, 7), (4, None, "d", same, 4, 4.0, 6),
+    )
+    kept = jaccard.deduplicated(docs)
+    assert kept.schema == docs.schema
+    assert sorted(map(tuple, kept.collect())) == [tuple(r) for r in docs.collect()[1:]]
