@@ -231,11 +231,20 @@ class Templates:
         return F.arrays_overlap(words, F.array(*map(F.lit, self.telling)))
 
     def may_match(self, words: Column) -> Column:
-        """False only for texts that have too few words of every template."""
-        enough = [
-            F.size(F.array_intersect(words, F.array(*map(F.lit, vector)))) >= least
-            for vector, least in zip(self.vectors, self.fewest)
-        ]
+        """False only for texts that no template reaches the least cosine with.
+
+        A text needs enough of a template's words.  And with ``m`` of them and ``u`` others
+        that no template has, each of weight ``other`` at least, its square cosine is at most
+        ``s / (s + u)`` where ``s`` is ``m`` times the square of the weight of as many
+        occurrences as the text has repeated words at all.
+        """
+        distinct = F.size(F.array_except(words, F.array(*map(F.lit, ["", *sorted(COMMON)]))))
+        strange = distinct - F.size(F.array_intersect(words, F.array(*map(F.lit, self.idf))))
+        most = F.pow(1 + F.log(F.size(words) - distinct + 1), F.lit(2.0)) * (1 / (self.least - ROUNDED) ** 2 - 1)
+        enough = []
+        for vector, least in zip(self.vectors, self.fewest):
+            common = F.size(F.array_intersect(words, F.array(*map(F.lit, vector))))
+            enough.append((common >= least) & (strange <= common * most))
         return self.tell(words) & reduce(or_, enough)
 
     def table(self, spark: SparkSession) -> DataFrame:
@@ -318,12 +327,16 @@ def scan(
     by_notice, by_text = Templates(tuple(notices), SENTENCE), Templates(tuple(texts), WHOLE)
     rows = files.select("doc_id", F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
     # nulls in keys would not join
-    known = rows.select(F.xxhash64(F.struct("doc_id", "path")).alias("key"), "text", _folded(F.col("text")).alias("folded"))
-    words = _words("folded")
-    told = _written(known.where(by_notice.tell(words) | by_text.may_match(words)).distinct())
-    whole = told.where(by_text.may_match(words)).select("key", F.xxhash64("folded").alias("whole"), "folded")
+    folded = _folded(F.col("text"))
+    told = _written(
+        rows.select(F.xxhash64(F.struct("doc_id", "path")).alias("key"), "text")
+        .where(by_notice.tell(_words(folded)) | by_text.may_match(_words(folded)))
+    )
+    # rows that repeat a text or a piece of it count once
+    whole = told.select("key", folded.alias("folded")).where(by_text.may_match(_words("folded"))).distinct()
+    whole = whole.withColumn("whole", F.xxhash64("folded"))
     pieces = told.select("key", F.explode(_pieces("text")).alias("piece")).select("key", _folded(F.col("piece")).alias("folded"))
-    near = pieces.where(by_notice.may_match(words)).distinct()
+    near = pieces.where(by_notice.may_match(_words("folded"))).distinct()
     header = _best(cosines(near.withColumn("piece", F.xxhash64("folded")), ["key", "piece"], by_notice), ["key"], SENTENCE)
     whole = _best(cosines(whole, ["key", "whole"], by_text), ["key"], WHOLE)
     own = _written(header.select("key", F.col("license").alias("h_license"), F.col("score").alias("h_score")).join(
