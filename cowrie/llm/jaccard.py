@@ -33,8 +33,9 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from cowrie.llm.components import components
 from cowrie.llm.ngrams import slices
 from cowrie.llm.shingles import mixed, set_id, shingles
-from cowrie.llm.slices import bounded
 from cowrie.llm.signature_tree import join
+from cowrie.llm.slices import bounded, release
+from cowrie.llm.tokens import forget
 from cowrie.session import shared_folder
 
 #: Tokens of a cell in the smallest set of a band, about, and keys that linked sets share.
@@ -44,7 +45,7 @@ RARE = 16
 #: Documents that show which tokens are common, documents of them that must have one, tokens kept.
 SAMPLE, COMMON, MOST_COMMON = 5_000, 4, 500_000
 #: Keys a task combines before it sends them, and keys of a task that chains them, about.
-KEYS_TOGETHER = 1_000_000
+KEYS_TOGETHER = 500_000
 #: Sets of a block and tokens of their sets, about; a tree holds at most two blocks.
 BLOCK, BLOCK_TOKENS = 1_000, 2_000_000
 #: Bits of the filter of documents that have to be read again: 8 MB.
@@ -184,6 +185,7 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + size // 18 // KEYS_TOGETHER)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         random = np.random.default_rng(0)
 
         def send(held: list[tuple[np.ndarray, np.ndarray, bytes]], rows: list[tuple]) -> pa.RecordBatch:
@@ -202,7 +204,7 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _MIXED_ARROW)], schema=_MIXED_ARROW)
 
         held, rows, total = [], [], 0
-        for columns in slices(batches):
+        for columns in slices(bounded(batches, "text")):
             for doc_id, text in zip(columns["doc_id"], columns["text"]):
                 tokens = shingles(text, n)
                 own = set_id(tokens)
@@ -210,7 +212,7 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
                 if len(tokens) and doc_id is not None:
                     held.append((*keys(tokens, percent, common.value), own))
                     total += len(held[-1][0])
-            if total >= KEYS_TOGETHER or len(rows) >= KEYS_TOGETHER // 10:
+            if total >= KEYS_TOGETHER or len(rows) >= KEYS_TOGETHER // 5:
                 yield send(held, rows)
                 held, rows, total = [], [], 0
         if rows:
@@ -244,6 +246,7 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
         yield table(_EDGES, both[:, 0], both[:, 1])
         once = once.view("<i8")
         yield table(_ONCE, once[:, 0], once[:, 1])
+        release()
 
     sent = docs.select("doc_id", "text").mapInArrow(make, _MIXED).repartition(parts, "part")
     folder = shared_folder(spark, "shingles")
