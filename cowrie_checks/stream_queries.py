@@ -34,7 +34,7 @@ from cowrie.model import DATASETS, REJECTED_TOPIC
 from cowrie.operators import latest, reconcile
 from cowrie.plans import premiums
 from cowrie.plans.ledger import Ledger
-from cowrie.sources import raw_files
+from cowrie.sources import files, raw_files
 from cowrie.sources.lake import Lake
 from cowrie.sources.topics import Channel
 from cowrie.streaming import alerts
@@ -408,14 +408,23 @@ def raw_message(rows: DataFrame) -> DataFrame:
 
 
 class Replay(Platform):
-    """A stream whose topic gets one file for each piece; a micro-batch takes one file."""
+    """A stream whose topic gets as many files for each piece as there are cores; a micro-batch takes those."""
 
     def __init__(self, spark: SparkSession, label: str):
         super().__init__(spark, label)
-        self.channel = Channel("parquet", {"root": f"{self.root}/topics", "maxFilesPerTrigger": "1"})
+        self.width = cores(spark)
+        self.channel = Channel("parquet", {"root": f"{self.root}/topics", "maxFilesPerTrigger": str(self.width)})
 
     def send(self, messages: DataFrame, topic: str, piece: int) -> None:
-        self.channel.write(messages.coalesce(1), topic, f"all/batch_id={piece}")
+        part = f"all/batch_id={piece}"
+        self.channel.write(messages.repartition(self.width), topic, part)
+        # a task without rows writes no file: empty ones make up the number
+        folder = f"{self.channel.folder(topic)}/{part}"
+        written = sum(name.startswith("part-") for name in files.children(self.spark, folder))
+        if written < self.width:
+            empty = self.spark.createDataFrame([], "key string, value string").coalesce(1)
+            for _ in range(self.width - written):
+                empty.write.format("parquet").mode("append").options(**files.MARK_DONE).save(folder)
 
 
 @query(

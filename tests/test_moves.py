@@ -5,7 +5,12 @@ from conftest import as_set
 from pyspark.sql import functions as F
 
 from cowrie.model import Dataset
+from cowrie.operators import merge
 from cowrie.plans.silver import refined
+from cowrie.sources import files
+from cowrie.sources.lake import FactTable
+from cowrie_checks.queries import write_by_country
+from cowrie_checks.stream_queries import Replay
 from cowrie_checks.views import VIEWS, holders_first, view
 
 
@@ -62,3 +67,38 @@ def test_lines_move_by_order_once(spark, shuffled, tmp_path):
         line for line in text.splitlines() if "o_custkey" in line and "Exchange" in line)
     assert loans.count() == sum(1 for n in range(300) if n % 90 < 80 and (n % 90) % 45 < 40)
     assert all(holders_first(VIEWS[v]) != VIEWS[v] for v in ("v_loans", "v_insurance"))
+
+
+def test_a_first_load_looks_for_no_keys(spark, tmp_path, monkeypatch):
+    rows = spark.range(20).select("id", (F.col("id") % 3).cast("string").alias("part"))
+
+    def refuse(*_):
+        raise AssertionError("an empty table has no keys")
+
+    for update, looked in ((False, "rows_to_insert"), (True, "rows_to_update")):
+        table = FactTable(spark, f"{tmp_path}/{update}", "id", ["part"], update=update)
+        with monkeypatch.context() as patched:
+            patched.setattr(merge, looked, refuse)
+            table.merge(rows)
+            assert table.read().count() == 20
+            with pytest.raises(AssertionError):
+                table.merge(rows)
+        table.recover()
+        assert as_set(table.read()) == as_set(rows)
+
+
+def test_countries_are_written_from_one_reading(spark, tmp_path):
+    rows = spark.range(12).select("id", F.when(F.col("id") < 9, F.concat(F.lit("C"), F.col("id") % 3)).alias("c"))
+    assert write_by_country(spark, rows, "c", lambda c: f"{tmp_path}/{c}/x") == ["C0", "C1", "C2"]
+    for n in range(3):
+        got = spark.read.option("header", True).csv(f"{tmp_path}/C{n}/x")
+        assert {(r["id"], r["c"]) for r in got.collect()} == {(str(i), f"C{n}") for i in range(9) if i % 3 == n}
+
+
+def test_a_piece_has_as_many_files_as_its_micro_batch_takes(spark):
+    replay = Replay(spark, "moves")
+    for piece, n in ((0, 1000), (1, 3), (2, 0)):
+        replay.send(spark.range(n).select(F.lit(None).cast("string").alias("key"), F.col("id").cast("string").alias("value")), "t", piece)
+        names = files.children(spark, f"{replay.channel.folder('t')}/all/batch_id={piece}")
+        assert sum(name.startswith("part-") for name in names) == replay.width > 1
+    assert replay.channel.read(spark, "t").count() == 1003
