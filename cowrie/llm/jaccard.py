@@ -4,11 +4,12 @@
 2.  Candidates.  Two linked sets of a size band differ in at most ``d`` tokens, also
     without the tokens a sample shows to be common.  Tokens are dealt by hash to more
     than ``d`` cells; a cell's tokens with its band and number are a key, and linked
-    sets share at least ``SHARED`` keys.  Sets of a rare key are paired and the pairs
-    counted; sets of a frequent key are chained.  Pairs that share enough keys and
-    chains connect clusters, which no link leaves.  (A set with too many empty cells to
-    be sure of that is chained, one whose equal cells may all be empty also has keys
-    for its empty cells.)
+    sets share at least ``SHARED`` keys.  Each key brings a sketch of its set: its size
+    and how many of its tokens fall into each of some buckets.  Sets of a rare key are
+    paired where their sketches allow a link; sets of a frequent key are chained.  Of all
+    pairs and chains a task sends a forest, so no more edges than sets.  They connect
+    clusters, which no link leaves.  (A set whose equal cells may all be empty is chained
+    and also has keys for its empty cells.)
 3.  Links.  A small cluster becomes a signature tree that is joined with itself.  The
     distinct sets of a large one are dealt to blocks of bounded size, by size and hash;
     each block makes a tree with the first blocks of its size and the next.  What is
@@ -39,9 +40,13 @@ from cowrie.llm.tokens import forget
 from cowrie.session import shared_folder
 
 #: Tokens of a cell in the smallest set of a band, about, and keys that linked sets share.
-FILL, SHARED = 3.2, 2
+FILL, SHARED = 3.2, 1
 #: Sets of a key that are paired; those of more frequent keys are chained.
 RARE = 16
+#: Pairs compared by their sketches at a time, pairs held before they become a forest.
+PAIRS_TOGETHER, PAIRS_HELD = 100_000, 500_000
+#: Buckets of a sketch, four bits each; eight bits more are the size, in steps of this ratio.
+BUCKETS, STEP = 14, 1.04
 #: Documents that show which tokens are common, documents of them that must have one, tokens kept.
 SAMPLE, COMMON, MOST_COMMON = 5_000, 4, 500_000
 #: Keys a task combines before it sends them, and keys of a task that chains them, about.
@@ -128,22 +133,52 @@ def _common(docs: DataFrame, n: int) -> np.ndarray:
 
 _MIXED_ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 _MIXED = "part int, kind int, data binary"
-_KEYS, _EDGES, _DOCS, _ONCE = 0, 1, 2, 3
+_KEYS, _EDGES, _DOCS = 0, 1, 2
 _DOC = np.dtype([("has_id", "<i8"), ("doc_id", "<i8"), ("n", "<i8"), ("set_id", "V16")])
 _ONE = np.uint64(1)  # the last bit of a node says that its key has to be chained
 
 
-def _combined(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys with their nodes, once each, and edges that chain the nodes of frequent keys.
+_SIZES = np.array([*np.ceil(STEP ** np.arange(256)), 2.0**50]).astype(np.int64)  # the last step has no end
+
+
+def sketch(tokens: np.ndarray) -> np.uint64:
+    """A set's size, rounded, and how many tokens each bucket has, modulo 16."""
+    step = np.searchsorted(_SIZES[1:256], len(tokens), "right")
+    counts = np.bincount(((tokens >> np.uint64(16)) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS) % 16
+    return np.uint64(int(step) << 4 * BUCKETS) | np.bitwise_or.reduce(counts.astype(np.uint64) << _NIBBLES)
+
+
+_NIBBLES = np.arange(0, 4 * BUCKETS, 4, dtype=np.uint64)
+
+
+def linkable(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets with these sketches may be linked: never False for linked sets.
+
+    A token that only one of two sets has changes the count of one bucket by one, so the
+    counts differ by no more than the sets may.
+    """
+    top = np.uint64(4 * BUCKETS)
+    one, other = (a >> top).astype(np.int64), (b >> top).astype(np.int64)
+    low, high = np.minimum(one, other), np.maximum(one, other)
+    sizes = 100 * _SIZES[low + 1] >= percent * _SIZES[high]
+    apart = np.zeros(len(a), np.int64)
+    for shift in _NIBBLES:
+        x = ((a >> shift) - (b >> shift)).astype(np.int64) & 15
+        apart += np.minimum(x, 16 - x)
+    return sizes & (apart * (100 + percent) <= (100 - percent) * (_SIZES[low + 1] + _SIZES[high + 1]))
+
+
+def _combined(key: np.ndarray, node: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys with their nodes and sketches, once each, and edges that chain the nodes of frequent keys.
 
     Of a chained key only the first node is left, with the mark that it is one.
     """
     if not len(key):
-        return key, node, np.empty((0, 2), np.uint64)
-    order = np.lexsort((node, key))
-    key, node = key[order], node[order]
-    fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
-    key, node = key[fresh], node[fresh]
+        return key, node, seen, np.empty((0, 2), np.uint64)
+    order = np.lexsort((seen, node, key))
+    key, node, seen = key[order], node[order], seen[order]
+    fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1]) | (seen[1:] != seen[:-1])])
+    key, node, seen = key[fresh], node[fresh], seen[fresh]
     begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(begin, len(key)))
     chained = (size > RARE) | (np.bitwise_or.reduceat(node, begin) & _ONE).astype(bool)
@@ -153,27 +188,42 @@ def _combined(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray
     edges = np.stack([node[begin][group], node], 1)[chained[group] & ~first]
     stays = first | ~chained[group]
     node = np.where(chained[group], node | _ONE, node)
-    return key[stays], node[stays], _distinct(edges & ~_ONE)
+    return key[stays], node[stays], seen[stays], _forest(edges & ~_ONE)
 
 
-def _paired(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of nodes that share ``SHARED`` of these combined keys, and those that share fewer, once for each."""
+def _paired(key: np.ndarray, node: np.ndarray, seen: np.ndarray, percent: int) -> np.ndarray:
+    """A forest of the nodes that share one of these combined keys and may be linked."""
     begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, int)
     size = np.diff(np.append(begin, len(key)))
-    pairs = [np.empty((0, 2), np.uint64)]
+    held, total = [np.empty((0, 2), np.uint64)], 0
     for n in np.unique(size[size > 1]).tolist():  # at most RARE
-        at = begin[size == n]
-        pairs += [np.stack([node[at + i], node[at + j]], 1) for j in range(n) for i in range(j)]
-    both = np.sort(np.concatenate(pairs) & ~_ONE, axis=1)
-    view = np.ascontiguousarray(both, "<u8").view([("a", "<u8"), ("b", "<u8")]).ravel()
-    found, times = np.unique(view, return_counts=True)
-    enough = times >= SHARED
-    flat = lambda v: v.view("<u8").reshape(-1, 2)
-    return flat(found[enough]), flat(np.repeat(found[~enough], times[~enough]))
-
-
-def _distinct(pairs: np.ndarray) -> np.ndarray:
-    return np.unique(np.ascontiguousarray(pairs, "<u8").view([("a", "<u8"), ("b", "<u8")])).view("<u8").reshape(-1, 2)
+        groups = begin[size == n]
+        for k in range(0, len(groups), PAIRS_TOGETHER):
+            at = groups[k : k + PAIRS_TOGETHER]
+            for i, j in ((i, j) for j in range(n) for i in range(j)):
+                fits = at[linkable(seen[at + i], seen[at + j], percent)]
+                held.append(np.stack([node[fits + i], node[fits + j]], 1))
+                total += len(fits)
+                if total > PAIRS_HELD:
+                    held = [_forest(np.concatenate(held))]
+                    total = 0
+    return _forest(np.concatenate(held) & ~_ONE)
+
+
+def _forest(edges: np.ndarray) -> np.ndarray:
+    """Edges from every node to the least one connected with it, which are fewer than nodes."""
+    nodes, ends = np.unique(edges, return_inverse=True)
+    a, b = ends.reshape(-1, 2).T
+    root = np.arange(len(nodes))
+    while len(a):
+        x, y = root[a], root[b]
+        apart = x != y
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while not np.array_equal(up := root[root], root):
+            root = up
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return np.stack([nodes[root[moved]], nodes[moved]], 1)
 
 
 def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -188,19 +238,20 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
         forget()
         random = np.random.default_rng(0)
 
-        def send(held: list[tuple[np.ndarray, np.ndarray, bytes]], rows: list[tuple]) -> pa.RecordBatch:
+        def send(held: list[tuple[np.ndarray, np.ndarray, bytes, np.uint64]], rows: list[tuple]) -> pa.RecordBatch:
             out = [(int(random.integers(parts)), _DOCS, np.array(rows, _DOC).tobytes())]
             if held:
-                key = np.concatenate([k for k, _, _ in held])
-                own = np.array([int.from_bytes(s[:8], "big") for _, _, s in held], np.uint64)
-                node = np.repeat(own & ~_ONE, [len(k) for k, _, _ in held]) | np.concatenate([c for _, c, _ in held]).astype(np.uint64)
-                key, node, edges = _combined(key, node)
+                key, sizes = np.concatenate([h[0] for h in held]), [len(h[0]) for h in held]
+                own = np.array([int.from_bytes(h[2][:8], "big") for h in held], np.uint64)
+                node = np.repeat(own & ~_ONE, sizes) | np.concatenate([h[1] for h in held]).astype(np.uint64)
+                seen = np.repeat(np.array([h[3] for h in held], np.uint64), sizes)
+                key, node, seen, edges = _combined(key, node, seen)
                 out.append((int(random.integers(parts)), _EDGES, edges.astype("<u8").tobytes()))
                 part = (key % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 cuts = np.searchsorted(part[order], np.arange(parts + 1))
-                pairs = np.stack([key, node], 1)[order].astype("<u8")
-                out += [(p, _KEYS, pairs[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+                dealt = np.stack([key, node, seen], 1)[order].astype("<u8")
+                out += [(p, _KEYS, dealt[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _MIXED_ARROW)], schema=_MIXED_ARROW)
 
         held, rows, total = [], [], 0
@@ -210,7 +261,7 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
                 own = set_id(tokens)
                 rows.append((doc_id is not None, doc_id or 0, len(tokens), own))
                 if len(tokens) and doc_id is not None:
-                    held.append((*keys(tokens, percent, common.value), own))
+                    held.append((*keys(tokens, percent, common.value), own, sketch(tokens)))
                     total += len(held[-1][0])
             if total >= KEYS_TOGETHER or len(rows) >= KEYS_TOGETHER // 5:
                 yield send(held, rows)
@@ -239,13 +290,13 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
                     rows = np.frombuffer(data, _DOC)
                     ids = pa.array(rows["doc_id"], pa.int64(), mask=rows["has_id"] == 0)
                     yield table(_DOCS, ids, rows["n"], [s.tobytes() for s in rows["set_id"]])
-        pairs = np.frombuffer(b"".join(held), "<u8").reshape(-1, 2)
-        key, node, chains = _combined(pairs[:, 0], pairs[:, 1])
-        enough, once = _paired(key, node)
-        both = _distinct(np.concatenate([*edges, chains, enough])).view("<i8")
+        dealt = np.frombuffer(b"".join(held), "<u8").reshape(-1, 3)
+        held.clear()
+        *combined, chains = _combined(*dealt.T)
+        both = _forest(np.concatenate([*edges, chains, _paired(*combined, percent)])).view("<i8")
         yield table(_EDGES, both[:, 0], both[:, 1])
-        once = once.view("<i8")
-        yield table(_ONCE, once[:, 0], once[:, 1])
+        del dealt, combined, chains, both
+        edges.clear()
         release()
 
     sent = docs.select("doc_id", "text").mapInArrow(make, _MIXED).repartition(parts, "part")
@@ -253,9 +304,7 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     sent.mapInArrow(chain, "kind int, a long, b long, set_id binary").write.parquet(folder)
     found = spark.read.schema("kind int, a long, b long, set_id binary").parquet(folder)
     sets = found.where(F.col("kind") == _DOCS).select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "set_id")
-    sure = found.where(F.col("kind") == _EDGES).select("a", "b")
-    counted = found.where(F.col("kind") == _ONCE).groupBy("a", "b").agg(F.count(F.lit(1)).alias("keys"))
-    return sets, sure.union(counted.where(F.col("keys") >= SHARED).select("a", "b"))
+    return sets, found.where(F.col("kind") == _EDGES).select("a", "b")
 
 
 class MaybeIn:

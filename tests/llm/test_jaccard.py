@@ -122,6 +122,55 @@ def test_linked_sets_share_a_key(percent, size, data):
         assert len(shared) >= jaccard.SHARED or np.intersect1d(shared, np.append(one[chained], other[too])).size
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 2**32), st.sampled_from([1, 3, 20, 300, 5000, 60_000]), st.sampled_from([50, 80, 85, 100]))
+def test_sketches_of_linked_sets_allow_the_link(seed, size, percent):
+    r = np.random.default_rng(seed)
+    size = int(r.integers(1, size + 1))
+    low, high = (1 << 16, 1 << 18) if seed % 3 == 0 else (0, 2**63)  # few buckets
+    a = np.unique(r.integers(low, high, size).astype(np.uint64))
+    b = a[r.permutation(len(a))[: len(a) - int(r.integers(0, len(a) // 5 + 1))]]
+    b = np.unique(np.append(b, r.integers(low, high, int(r.integers(0, len(a) // 5 + 1))).astype(np.uint64)))
+    one, other = np.array([jaccard.sketch(a)]), np.array([jaccard.sketch(b)])
+    if signature_tree.linked(a, b, percent):
+        assert jaccard.linkable(one, other, percent)[0] and jaccard.linkable(other, one, percent)[0]
+
+
+def test_sketches_tell_sets_apart():
+    r = np.random.default_rng(0)
+    sets = [np.unique(r.integers(0, 2**63, n).astype(np.uint64)) for n in (30, 60, 100, 150)]
+    for a in sets:
+        b = np.unique(r.integers(0, 2**63, len(a)).astype(np.uint64))
+        assert not jaccard.linkable(np.array([jaccard.sketch(a)]), np.array([jaccard.sketch(b)]), 85)[0]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 2**32), st.integers(0, 80))
+def test_a_forest_connects_what_its_edges_do(seed, n):
+    r = np.random.default_rng(seed)
+    edges = r.integers(2**63, 2**63 + 40, (n, 2), dtype=np.uint64)
+    slow = signature_tree.Groups(40)
+    for x, y in (edges - np.uint64(2**63)).astype(int).tolist():
+        slow.join(x, y)
+    found = jaccard._forest(edges)
+    ends = {int(y) - 2**63: int(x) - 2**63 for x, y in found}
+    assert len(ends) == len(found)
+    assert {x: ends.get(x, x) for x in range(40)} == dict(enumerate(slow.roots().tolist()))
+
+
+def test_edges_grow_with_sets_not_pairs(spark, rows):
+    r = random.Random(5)
+    docs = []
+    for family in range(30):
+        base = [f"w{family}x{k}" for k in range(120)]
+        docs += [base[:at] + [f"n{family}y{at}"] + base[at + 1 :] for at in r.sample(range(120), 14)]
+    df = rows("doc_id long, text string", *((k, " ".join(w)) for k, w in enumerate(docs)))
+    _, chains = jaccard._sets_and_chains(df, 4, 85)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert chains.count() <= (len(docs) - 30) * parts
+    assert len({r["component_id"] for r in jaccard.groups(df, 4, 85).collect()}) == 30
+
+
 def test_sets_with_empty_cells_share_a_key():
     tokens = np.arange(1, 41, dtype=np.uint64)  # all in the first cell
     other = tokens[1:]
