@@ -33,7 +33,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from cowrie.llm.components import components
 from cowrie.llm.ngrams import slices
-from cowrie.llm.shingles import mixed, set_id, shingles
+from cowrie.llm.shingles import forget_words, mixed, set_id, shingles
 from cowrie.llm.signature_tree import join
 from cowrie.llm.slices import bounded, release
 from cowrie.llm.tokens import forget
@@ -44,13 +44,13 @@ FILL, SHARED = 3.2, 1
 #: Sets of a key that are paired; those of more frequent keys are chained.
 RARE = 16
 #: Pairs compared by their sketches at a time, pairs held before they become a forest.
-PAIRS_TOGETHER, PAIRS_HELD = 100_000, 500_000
+PAIRS_TOGETHER, PAIRS_HELD = 20_000, 100_000
 #: Buckets of a sketch, four bits each; eight bits more are the size, in steps of this ratio.
 BUCKETS, STEP = 14, 1.04
 #: Documents that show which tokens are common, documents of them that must have one, tokens kept.
 SAMPLE, COMMON, MOST_COMMON = 5_000, 4, 500_000
-#: Keys a task combines before it sends them, and keys of a task that chains them, about.
-KEYS_TOGETHER = 500_000
+#: Keys of a task that chains them, about, and keys a task combines at most before it sends them.
+KEYS_TOGETHER, KEYS_SENT = 250_000, 100_000
 #: Sets of a block and tokens of their sets, about; a tree holds at most two blocks.
 BLOCK, BLOCK_TOKENS = 1_000, 2_000_000
 #: Bits of the filter of documents that have to be read again: 8 MB.
@@ -125,6 +125,7 @@ def _common(docs: DataFrame, n: int) -> np.ndarray:
         for columns in slices(batches):
             found = [shingles(t, n).view(np.int64) for t in columns["text"]]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], schema=schema)
+        forget_words()
 
     counts = drawn.select("text").mapInArrow(tokens, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     frequent = counts.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "token").limit(MOST_COMMON).select("token").toArrow()
@@ -254,7 +255,7 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
                 out += [(p, _KEYS, dealt[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _MIXED_ARROW)], schema=_MIXED_ARROW)
 
-        held, rows, total = [], [], 0
+        held, rows, total, most = [], [], 0, min(KEYS_TOGETHER, KEYS_SENT)
         for columns in slices(bounded(batches, "text")):
             for doc_id, text in zip(columns["doc_id"], columns["text"]):
                 tokens = shingles(text, n)
@@ -263,11 +264,14 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
                 if len(tokens) and doc_id is not None:
                     held.append((*keys(tokens, percent, common.value), own, sketch(tokens)))
                     total += len(held[-1][0])
-            if total >= KEYS_TOGETHER or len(rows) >= KEYS_TOGETHER // 5:
+            if total >= most or len(rows) >= most // 5:
                 yield send(held, rows)
                 held, rows, total = [], [], 0
         if rows:
             yield send(held, rows)
+        held.clear()
+        forget_words()
+        release()
 
     schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("set_id", pa.binary())])
 
@@ -377,6 +381,9 @@ def _linked(tiles: DataFrame, n: int, percent: int) -> DataFrame:
                     held.append((side, own, tokens))
         if held:
             yield links(held)
+        held = []
+        forget_words()
+        release()
 
     dealt = tiles.select("tile", "side", "set_id", "text").repartition("tile").sortWithinPartitions("tile")
     return dealt.mapInArrow(work, "a binary, b binary")
@@ -515,6 +522,7 @@ def deduplicated(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         for batch in bounded(batches, "text"):
             ids = [set_id(shingles(t.as_py(), n)) for t in batch.column("text")]
             yield batch.append_column("_set_id", pa.array(ids, pa.binary()))
+        forget_words()
 
     rows = maybe.split(docs, "doc_id", True).mapInArrow(tagged, schema)
     verdict = found.select(

@@ -6,8 +6,8 @@ import hashlib
 
 import numpy as np
 
-#: Words whose hashes a worker remembers, about 50 MB.
-WORDS_KEPT = 250_000
+#: Words whose hashes a worker remembers, about 20 MB.
+WORDS_KEPT = 100_000
 
 # White space cuts; A-Z are lower-cased.  In UTF-8 every byte of a character beyond
 # ASCII is 128 or more, so bytes cut as characters do.
@@ -23,6 +23,13 @@ class _Hashes(dict):
 
 
 _HASHES = _Hashes()
+
+
+def forget_words() -> None:
+    """Drops the words a worker remembers: it lives on, idle or in other stages."""
+    _HASHES.clear()
+
+
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 

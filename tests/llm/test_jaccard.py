@@ -237,3 +237,18 @@ def test_columns_of_any_name_stay(rows):
     kept = jaccard.deduplicated(docs)
     assert kept.schema == docs.schema
     assert sorted(map(tuple, kept.collect())) == [tuple(r) for r in docs.collect()[1:]]
+
+
+def test_workers_forget_words(spark, rows):
+    docs = rows("doc_id long, text string", *((k, f"word{k} a b c d e f") for k in range(50))).coalesce(1)
+    jaccard.groups(docs, 4, 85).count()
+
+    def kept(batches):
+        import pyarrow as pa
+
+        from cowrie.llm import shingles
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(shingles._HASHES)]})
+
+    assert {r["n"] for r in spark.range(64, numPartitions=16).mapInArrow(kept, "n long").collect()} == {0}
