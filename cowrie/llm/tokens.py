@@ -12,15 +12,23 @@ import json
 import os
 import re
 import struct
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
-#: Entries of a lot, of which a worker keeps two: bounds its memory to about 200 MB.
+#: Entries of a worker's memory of words: about 65 MB.  Commas and full stops behind words are
+#: kept apart, so most of a corpus's words are in it.
 WORDS_KEPT = 300_000
 
 # A run of letters whose case and composition are plain, then a run of ASCII marks.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+# One mark between a letter and white space or the end: always a word of its own to the tokenizer.
+_MARKED = re.compile(r"[,.](?<=[A-Za-zÀ-ÖØ-öø-ÿ][,.])(?=[ \n]|\Z)")
+_GLUED = "\x01"  # before a mark that has no space before it in the text
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+# White space in ASCII other than a space and a line end, and what isn't single or inside.
+_NOT_SINGLE = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+_ENDS = (" ", "\n")
 # Characters that Python counts as white space and tokenizers may not.
 _ODD_SPACES = "\x1c\x1d\x1e\x1f\x85\u180e\u200b\ufeff"
 
@@ -36,23 +44,34 @@ _BYTE_LETTERS = _byte_letters()
 _SPACE = _BYTE_LETTERS[0x20]
 
 
+_PACKS = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+
 def _code(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    n = len(ids)
+    return _PACKS[n](*ids) if n < len(_PACKS) else struct.pack(f"<{n}I", *ids)
+
+
+def _single_spaced(text: str) -> bool:
+    """Whether every white space is one space or one line end between two words, of which there is one."""
+    if text.isascii():
+        return bool(text) and not (
+            text.startswith(_ENDS) or text.endswith(_ENDS) or any(w in text for w in _NOT_SINGLE)
+        )
+    return 1 + text.count(" ") + text.count("\n") == len(text.split()) and not _OTHER_SPACE.search(text)
 
 
 class _Kept(dict):
-    """Keeps what ``make`` gave for a key; at ``most`` entries it starts anew, with the last lot at hand."""
+    """Keeps what ``make`` gave for a key; at ``most`` entries the older half goes."""
 
     def __init__(self, make, most: int) -> None:
-        self.make, self.most, self.last = make, most, {}
+        self.make, self.most = make, most
 
     def __missing__(self, key: str) -> bytes:
+        value = self.make(key)  # may keep a part of the key too
         if len(self) >= self.most:
-            self.last = dict(self)
-            self.clear()
-        value = self.last.get(key)
-        if value is None:
-            value = self.make(key)
+            for old in list(islice(self, len(self) - self.most // 2)):
+                del self[old]
         self[key] = value
         return value
 
@@ -80,8 +99,8 @@ class Encoder:
             self.encode = self.whole
         self._model = self.tokenizer.model
         self._marks = _Kept(self.whole, WORDS_KEPT)
-        self._inner = _Kept(lambda word: self._word(" ", word), WORDS_KEPT)
-        self._first = _Kept(lambda word: self._word("", word), WORDS_KEPT)
+        self._inner = _Kept(self._after_space, WORDS_KEPT)
+        self._first = _Kept(self._alone, WORDS_KEPT)
 
     def whole(self, text: str) -> bytes:
         return _code(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -94,6 +113,16 @@ class Encoder:
             stem = _SPACE + stem[1:]
         return _code([token.id for token in self._model.tokenize(stem)])
 
+    def _after_space(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha() and not self.lower:
+            return _code([token.id for token in self._model.tokenize(_SPACE + word)])
+        if word[:1] == _GLUED:
+            return self._marks[word[1:]]
+        return self._word(" ", word)
+
+    def _alone(self, word: str) -> bytes:
+        return self._word("", word)
+
     def _word(self, before: str, word: str) -> bytes:
         if not (word.isascii() and word.isalpha()):
             plain = _PLAIN.fullmatch(word)
@@ -107,13 +136,12 @@ class Encoder:
         return self._stem(before + word)
 
     def _spaced(self, text: str) -> bytes:
-        lines = [line.split(" ") for line in text.split("\n")]
-        # equal counts: every white space is one space or one line end between two words
-        if sum(map(len, lines)) != len(text.split()) or any(s in text for s in self.special):
+        if not _single_spaced(text) or _GLUED in text or any(s in text for s in self.special):
             return self.whole(text)
         first, inner, end = self._first, self._inner, self._marks["\n"]
         parts = []
-        for words in lines:
+        for line in _MARKED.sub(rf" {_GLUED}\g<0>", text).split("\n"):
+            words = line.split(" ")
             parts.append(first[words[0]])
             parts.extend(map(inner.__getitem__, words[1:]))
             parts.append(end)
@@ -122,7 +150,7 @@ class Encoder:
     def _unspaced(self, text: str) -> bytes:
         if any(s in text for s in chain(self.special, _ODD_SPACES)):
             return self.whole(text)
-        return b"".join(map(self._first.__getitem__, text.split()))
+        return b"".join(map(self._first.__getitem__, _MARKED.sub(r" \g<0>", text).split()))
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cowrie.llm import packing, simple8b, token_files
+from cowrie.llm import packing, simple8b, token_files, tokens
 from cowrie.llm.queries import QUERIES
 from cowrie.llm.tokens import encoder
 from cowrie.session import shared_folder
@@ -159,3 +159,19 @@ def test_hot_length(spark):
     finally:
         packing.RANKED_TOGETHER = before
     assert check_packed(got, {k: 700 for k in range(5000)}, 2048) == 2500
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_white_space_and_marks_that_only_look_plain(name):
+    path = public_tokenizers.path(name)
+    whole = Tokenizer.from_file(path)
+    for text in ("ñ\n\xa0\xa0\x1cß Āé", "don't, a. b!, c.. d,e ,f\x01, g", "é, Ünd.\nlast,", "a \x01, b", "Ā, ﬁ."):
+        wanted = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder(path).encode(text), "<u4").tolist() == wanted
+
+
+def test_words_kept_are_bounded():
+    kept = tokens._Kept(str.encode, 10)
+    for k in range(1000):
+        assert kept[f"w{k}"] == f"w{k}".encode() and kept["often"] == b"often"
+        assert len(kept) + len(getattr(kept, "last", ())) <= 10
