@@ -222,3 +222,8 @@ def test_exact_sums_do_not_depend_on_partitions(spark):
     })
     results = {as_set(indicators.daily_transaction_volume(df.repartition(n))).pop() for n in (1, 3, 17)}
     assert len(results) == 1
+
+
+def test_merged_pieces_of_a_shuffle_stay_small(spark):
+    """A task's sorts hold several times what it reads, so pieces aren't merged up to Spark's own 64 MB."""
+    assert spark._jsparkSession.sessionState().conf().getConfString("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
