@@ -39,7 +39,7 @@ from cowrie.sources.lake import Lake
 from cowrie.sources.topics import Channel
 from cowrie.streaming import alerts
 from cowrie.streaming import silver as stream
-from cowrie.streaming.sinks import StreamTable, run
+from cowrie.streaming.sinks import StreamTable, run, state_pieces
 
 NOW = {"availableNow": True}
 
@@ -100,10 +100,11 @@ class Platform:
         dataset = DATASETS[alerts.RULES[rule].dataset]
         refined = stream.stream_silver(messages, dataset)
         self.channel.write(msg.to_messages(refined), dataset.silver_topic, "all")
+        width = state_pieces(self.spark, self.channel.folder(dataset.silver_topic))
         finish(
             alerts.start(
                 self.spark, rule, self.channel, premiums.loader(self.lake, lambda: CLAIMS_TODAY), self.checkpoints, NOW,
-                lambda: CLAIMS_TODAY, rules, cores(self.spark),
+                lambda: CLAIMS_TODAY, rules, width,
             )
         )
         return self.topic(alerts.RULES[rule].topic, columns)

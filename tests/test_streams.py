@@ -12,12 +12,13 @@ from cowrie.functions.money import with_eur
 from cowrie.model import DATASETS, FRAUD_TOPIC, REJECTED_TOPIC
 from cowrie.plans import premiums
 from cowrie.plans.ledger import Ledger
+from cowrie.sources import files
 from cowrie.sources.lake import Lake, SmallTable
 from cowrie.sources.raw_files import event_stream
 from cowrie.sources.topics import Channel
 from cowrie.streaming import alerts
 from cowrie.streaming import silver as stream
-from cowrie.streaming.sinks import StreamTable, late_rows, run
+from cowrie.streaming.sinks import StreamTable, late_rows, run, state_pieces
 
 NOW = {"availableNow": True}
 BANK = DATASETS["bank_transactions"]
@@ -423,3 +424,13 @@ def test_an_unfinished_batch_is_not_read_until_it_is_replayed(spark, rows, tmp_p
         out.write_batch(rows("k int, country_code string", (3, "CI"), (4, None)), 1)
         assert sorted(r["k"] for r in out.read(spark).collect()) == [1, 2, 3, 4]
     assert out.read(spark).columns == ["k", "country_code"]
+
+
+def test_pieces_of_state_grow_with_the_topic(spark, channel):
+    cores = spark.sparkContext.defaultParallelism
+    folder = channel.folder("grown")
+    assert state_pieces(spark, folder) == cores
+    channel.write(texts(spark, *(txn(str(k), "2026-05-10T08:00:00Z") for k in range(200))), "grown", "all")
+    size = files.size(spark, folder)
+    assert size > 0 and state_pieces(spark, folder) == cores
+    assert state_pieces(spark, folder, size // (4 * cores)) >= 4 * cores
