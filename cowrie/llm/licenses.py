@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
 from operator import or_
@@ -156,6 +156,7 @@ SENTENCE, WHOLE = 0.6, 0.8
 #: What rounding may add to a score.
 ROUNDED = 1e-4
 _WORDS = "[^a-z0-9]+"
+_LOWER_TO_ASCII = "\u212a\u0130"
 
 
 def words_of(text: str) -> list[str]:
@@ -238,14 +239,21 @@ class Templates:
         ``s / (s + u)`` where ``s`` is ``m`` times the square of the weight of as many
         occurrences as the text has repeated words at all.
         """
-        distinct = F.size(F.array_except(words, F.array(*map(F.lit, ["", *sorted(COMMON)]))))
-        strange = distinct - F.size(F.array_intersect(words, F.array(*map(F.lit, self.idf))))
-        most = F.pow(1 + F.log(F.size(words) - distinct + 1), F.lit(2.0)) * (1 / (self.least - ROUNDED) ** 2 - 1)
-        enough = []
-        for vector, least in zip(self.vectors, self.fewest):
-            common = F.size(F.array_intersect(words, F.array(*map(F.lit, vector))))
-            enough.append((common >= least) & (strange <= common * most))
-        return self.tell(words) & reduce(or_, enough)
+        no_words = F.array(*map(F.lit, ["", *sorted(COMMON)]))
+
+        def enough(words: Column, own: Column) -> Column:
+            # ``own``: the few of the words that any template has
+            distinct = F.size(F.array_except(words, no_words))
+            strange = distinct - F.size(own)
+            most = F.pow(1 + F.log(F.size(words) - distinct + 1), F.lit(2.0)) * (1 / (self.least - ROUNDED) ** 2 - 1)
+            reached = []
+            for vector, least in zip(self.vectors, self.fewest):
+                common = F.size(F.array_intersect(own, F.array(*map(F.lit, vector))))
+                reached.append((common >= least) & (strange <= common * most))
+            return F.size(own).between(min(self.fewest), len(self.idf)) & reduce(or_, reached)
+
+        known = F.array(*map(F.lit, self.idf))
+        return _once(words, lambda w: self.tell(w) & _once(F.array_intersect(w, known), lambda own: enough(w, own)))
 
     def table(self, spark: SparkSession) -> DataFrame:
         """``template, license, word, weight``: a constant of the templates' words."""
@@ -261,13 +269,25 @@ class Templates:
 
 
 def _folded(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """A-Z in lower case, and so the same words as folding A-Z alone leaves.
+
+    Other letters may change too, but they end words either way.  Only of two letters, the
+    Kelvin sign and the dotted I, the lower case holds one of a-z: they go before.
+    """
+    for letter in _LOWER_TO_ASCII:
+        text = F.replace(text, F.lit(letter), F.lit("\u00d7"))
+    return F.lower(text)
 
 
 def _words(folded: Column | str) -> Column:
     return F.split(folded, _WORDS)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value being computed once however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _pieces(text: str) -> Column:
     """A text's sentences and lines, each once.
 
@@ -330,7 +350,7 @@ def scan(
     folded = _folded(F.col("text"))
     told = _written(
         rows.select(F.xxhash64(F.struct("doc_id", "path")).alias("key"), "text")
-        .where(by_notice.tell(_words(folded)) | by_text.may_match(_words(folded)))
+        .where(_once(_words(folded), lambda w: by_notice.tell(w) | by_text.may_match(w)))
     )
     # rows that repeat a text or a piece of it count once
     whole = told.select("key", folded.alias("folded")).where(by_text.may_match(_words("folded"))).distinct()
