@@ -13,7 +13,8 @@ from cowrie.operators.enrich import enrich
 from cowrie.operators.incremental import pending_rows
 from cowrie.model import Dataset
 from cowrie.operators.latest import last_day_wins, latest_per_day, latest_per_key
-from cowrie.operators.merge import may_match, rows_to_insert
+from cowrie.operators import merge
+from cowrie.operators.merge import may_match, rows_to_insert, rows_to_update
 from cowrie.operators.quality import usable_amounts
 from cowrie.plans.silver import refined
 from cowrie.sources.lake import FactTable
@@ -180,6 +181,32 @@ def test_a_merge_scans_the_keys_of_the_target_and_forces_no_broadcast(spark, tmp
     assert "BroadcastHashJoin" not in plan(may_match(target.select("k"), source, ["k"]))
 
 
+def test_keys_of_a_large_merge_are_not_sent_to_the_driver(spark, tmp_path, monkeypatch):
+    """Their files are far below the broadcast threshold, the rows made of them aren't; results stay."""
+    planned = {}
+
+    def seen(name, made):
+        def call(*args):
+            planned[name] = plan(made(*args))
+            return made(*args)
+        return call
+
+    for most, broadcast in ((5, False), (50, True)):
+        monkeypatch.setattr(merge, "BROADCAST_KEYS", most)
+        for update, made in ((False, rows_to_insert), (True, rows_to_update)):
+            name = made.__name__
+            table = FactTable(spark, f"{tmp_path}/{most}-{update}", "k", ["part"], update=update)
+            old = spark.range(0, 30).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).alias("part"), F.lit("old").alias("v"))
+            new = spark.range(20, 40).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).alias("part"), F.lit("new").alias("v"))
+            table.merge(old)
+            with monkeypatch.context() as patched:
+                patched.setattr(merge, name, seen(name, made))
+                table.merge(new)
+            assert ("BroadcastHashJoin" in planned[name]) == broadcast
+            keep = 20 if update else 30  # keys from here on have the new value
+            assert as_set(table.read().select("k", "v")) == {(str(n), "old" if n < keep else "new") for n in range(40)}
+
+
 def test_a_hot_partition_is_written_by_several_tasks(spark, conf, tmp_path):
     conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20000", spark__sql__shuffle__partitions="8")
     rows = spark.range(0, 60000, 1, 8).select(
