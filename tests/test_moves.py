@@ -8,7 +8,7 @@ from cowrie.model import Dataset
 from cowrie.operators import merge
 from cowrie.plans.silver import refined
 from cowrie.sources import files
-from cowrie.sources.lake import FactTable
+from cowrie.sources.lake import FactTable, HalfWritten
 from cowrie_checks.queries import write_by_country
 from cowrie_checks.stream_queries import Replay
 from cowrie_checks.views import VIEWS, holders_first, view
@@ -87,6 +87,30 @@ def test_a_first_load_looks_for_no_keys(spark, tmp_path, monkeypatch):
         assert as_set(table.read()) == as_set(rows)
 
 
+@pytest.mark.parametrize("update", [False, True])
+def test_a_first_load_is_written_once_and_finished_by_the_next_job(spark, tmp_path, monkeypatch, update):
+    rows = spark.range(20).select("id", (F.col("id") % 3).cast("string").alias("part"))
+    table, moved = FactTable(spark, f"{tmp_path}/t", "id", ["part"], update=update), []
+    exchange = files.exchange
+
+    def dies(spark, folder, target):
+        assert not files.exists(spark, f"{table.path}/_incoming")  # rows were staged there besides
+        if moved:
+            raise KeyboardInterrupt
+        moved.append(target)
+        exchange(spark, folder, target)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "exchange", dies)
+        with pytest.raises(KeyboardInterrupt):
+            table.merge(rows)
+    assert len(moved) == 1
+    with pytest.raises(HalfWritten):
+        table.read()
+    table.recover()
+    assert as_set(table.read()) == as_set(rows)
+
+
 def test_countries_are_written_from_one_reading(spark, tmp_path):
     rows = spark.range(12).select("id", F.when(F.col("id") < 9, F.concat(F.lit("C"), F.col("id") % 3)).alias("c"))
     assert write_by_country(spark, rows, "c", lambda c: f"{tmp_path}/{c}/x") == ["C0", "C1", "C2"]
