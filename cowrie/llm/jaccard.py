@@ -9,7 +9,8 @@
     paired where their sketches allow a link; sets of a frequent key are chained.  Of all
     pairs and chains a task sends a forest, so no more edges than sets.  They connect
     clusters, which no link leaves.  (A set whose equal cells may all be empty is chained
-    and also has keys for its empty cells.)
+    and also has keys for its empty cells.)  Clusters are cut where the signatures of
+    their sets, counts of tokens in more buckets, allow no link.
 3.  Links.  A small cluster becomes a signature tree that is joined with itself.  The
     distinct sets of a large one are dealt to blocks of bounded size, by size and hash;
     each block makes a tree with the first blocks of its size and the next.  What is
@@ -53,6 +54,12 @@ SAMPLE, COMMON, MOST_COMMON = 5_000, 4, 500_000
 KEYS_TOGETHER, KEYS_SENT = 250_000, 100_000
 #: Sets of a block and tokens of their sets, about; a tree holds at most two blocks.
 BLOCK, BLOCK_TOKENS = 1_000, 2_000_000
+#: Signatures of one side of a tile that cuts a large cluster, about; bits of the number of their buckets.
+SIGNATURES, LEAST_BITS, MOST_BITS = 4_000, 4, 11
+#: Bytes of signatures compared at a time.
+BYTES_TOGETHER = 4_000_000
+#: Bytes of a key, of a node and of a sketch between two tasks.
+KEY_BYTES, NODE_BYTES, SEEN_BYTES = 5, 6, 8
 #: Bits of the filter of documents that have to be read again: 8 MB.
 FILTER_BITS = 26
 
@@ -136,7 +143,10 @@ _MIXED_ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("data", p
 _MIXED = "part int, kind int, data binary"
 _KEYS, _EDGES, _DOCS = 0, 1, 2
 _DOC = np.dtype([("has_id", "<i8"), ("doc_id", "<i8"), ("n", "<i8"), ("set_id", "V16")])
-_ONE = np.uint64(1)  # the last bit of a node says that its key has to be chained
+_NODE_SHIFT = 64 - 8 * NODE_BYTES
+_ONE = np.uint64(1 << _NODE_SHIFT)  # the last bit of a node says that its key has to be chained
+#: A node is the beginning of a set's id.  Sets that share one are of one cluster, which costs comparisons.
+_NODE = (1 << 64) - (2 << _NODE_SHIFT)
 
 
 _SIZES = np.array([*np.ceil(STEP ** np.arange(256)), 2.0**50]).astype(np.int64)  # the last step has no end
@@ -227,8 +237,27 @@ def _forest(edges: np.ndarray) -> np.ndarray:
     return np.stack([nodes[root[moved]], nodes[moved]], 1)
 
 
+def _packed(key: np.ndarray, node: np.ndarray, seen: np.ndarray, parts: int) -> np.ndarray:
+    """Keys of some of ``parts`` as rows of bytes; the part, which isn't among them, is a key's remainder."""
+    columns = ((key // np.uint64(parts), 0, KEY_BYTES), (node >> np.uint64(_NODE_SHIFT), 0, NODE_BYTES), (seen, 0, SEEN_BYTES))
+    return np.concatenate([c.astype("<u8").view(np.uint8).reshape(-1, 8)[:, a:b] for c, a, b in columns], 1)
+
+
+def _unpacked(part: int, data: bytes) -> np.ndarray:
+    """Rows of key, node and sketch; a key is its part and as many bits as were sent."""
+    sent = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES + NODE_BYTES + SEEN_BYTES)
+    wide, at = np.zeros((len(sent), 3, 8), np.uint8), 0
+    for k, size in enumerate((KEY_BYTES, NODE_BYTES, SEEN_BYTES)):
+        wide[:, k, :size] = sent[:, at : at + size]
+        at += size
+    rows = wide.reshape(-1, 24).view("<u8")
+    rows[:, 0] |= np.uint64(part << 8 * KEY_BYTES)
+    rows[:, 1] <<= np.uint64(_NODE_SHIFT)
+    return rows
+
+
 def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Written ``doc_id, n_shingles, set_id`` of all rows, and edges ``a, b`` between sets' first 8 bytes."""
+    """Written ``doc_id, n_shingles, set_id`` of all rows, and edges ``a, b`` between sets' nodes."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     common = spark.sparkContext.broadcast(_common(docs, n))  # at most MOST_COMMON numbers
@@ -244,14 +273,14 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
             if held:
                 key, sizes = np.concatenate([h[0] for h in held]), [len(h[0]) for h in held]
                 own = np.array([int.from_bytes(h[2][:8], "big") for h in held], np.uint64)
-                node = np.repeat(own & ~_ONE, sizes) | np.concatenate([h[1] for h in held]).astype(np.uint64)
+                node = np.repeat(own & np.uint64(_NODE), sizes) | np.concatenate([h[1] for h in held]).astype(np.uint64) * _ONE
                 seen = np.repeat(np.array([h[3] for h in held], np.uint64), sizes)
                 key, node, seen, edges = _combined(key, node, seen)
                 out.append((int(random.integers(parts)), _EDGES, edges.astype("<u8").tobytes()))
                 part = (key % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 cuts = np.searchsorted(part[order], np.arange(parts + 1))
-                dealt = np.stack([key, node, seen], 1)[order].astype("<u8")
+                dealt = _packed(key[order], node[order], seen[order], parts)
                 out += [(p, _KEYS, dealt[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _MIXED_ARROW)], schema=_MIXED_ARROW)
 
@@ -274,6 +303,7 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
         release()
 
     schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("set_id", pa.binary())])
+    columns = "kind int, a long, b long, set_id binary"
 
     def table(kind: int, a, b, sets=None) -> pa.RecordBatch:
         sets = pa.nulls(len(a), pa.binary()) if sets is None else pa.array(sets, pa.binary())
@@ -282,20 +312,23 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
         )
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[bytes] = []
+        held: list[tuple[int, bytes]] = []
         edges: list[np.ndarray] = []
         for batch in batches:
-            for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist()):
+            for part, kind, data in zip(*(batch.column(c).to_pylist() for c in ("part", "kind", "data"))):
                 if kind == _KEYS:
-                    held.append(data)
+                    held.append((part, data))
                 elif kind == _EDGES:
                     edges.append(np.frombuffer(data, "<u8").reshape(-1, 2))
                 else:
                     rows = np.frombuffer(data, _DOC)
                     ids = pa.array(rows["doc_id"], pa.int64(), mask=rows["has_id"] == 0)
                     yield table(_DOCS, ids, rows["n"], [s.tobytes() for s in rows["set_id"]])
-        dealt = np.frombuffer(b"".join(held), "<u8").reshape(-1, 3)
+        by_part: dict[int, list[bytes]] = {}
+        for part, data in held:
+            by_part.setdefault(part, []).append(data)
         held.clear()
+        dealt = np.concatenate([np.empty((0, 3), np.uint64), *(_unpacked(p, b"".join(by_part.pop(p))) for p in list(by_part))])
         *combined, chains = _combined(*dealt.T)
         both = _forest(np.concatenate([*edges, chains, _paired(*combined, percent)])).view("<i8")
         yield table(_EDGES, both[:, 0], both[:, 1])
@@ -305,8 +338,8 @@ def _sets_and_chains(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
 
     sent = docs.select("doc_id", "text").mapInArrow(make, _MIXED).repartition(parts, "part")
     folder = shared_folder(spark, "shingles")
-    sent.mapInArrow(chain, "kind int, a long, b long, set_id binary").write.parquet(folder)
-    found = spark.read.schema("kind int, a long, b long, set_id binary").parquet(folder)
+    sent.mapInArrow(chain, columns).write.parquet(folder)
+    found = spark.read.schema(columns).parquet(folder)
     sets = found.where(F.col("kind") == _DOCS).select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "set_id")
     return sets, found.where(F.col("kind") == _EDGES).select("a", "b")
 
@@ -407,21 +440,22 @@ def groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """
     sets, chains = _sets_and_chains(docs, n, percent)
     clusters = components(chains)
-    # eight bytes of a set's id, as the number that chains know it by
-    node = F.conv(F.hex(F.substring("set_id", 1, 8)), 16, -10).cast("long").bitwiseAND(-2)
+    # the beginning of a set's id, as the number that chains know it by
+    node = F.conv(F.hex(F.substring("set_id", 1, 8)), 16, -10).cast("long").bitwiseAND(_NODE - (1 << 64))
     real = sets.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = _written(
         real.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"))
         .withColumn("node", node), "classes",
     )
     ends = clusters.select(F.col("root").alias("node"), "root").distinct()
-    member = classes.join(clusters.union(ends), "node").withColumnRenamed("root", "cluster")
+    member = _parted(docs, classes.join(clusters.union(ends), "node").withColumnRenamed("root", "cluster"), n, percent)
     counted = member.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("members"), _blocks("n_shingles").alias("all")
     )
     # linked sets of a large cluster have the same or neighbouring heights
-    height = F.floor(F.log(F.col("n_shingles")) / float(np.log(100 / percent) * (1 + 1e-9))).cast("int")
-    tall = member.join(counted.where("members > 1"), "cluster").withColumn("height", F.when(F.col("all") > 1, height).otherwise(-9))
+    tall = member.join(counted.where("members > 1"), "cluster").withColumn(
+        "height", F.when(F.col("all") > 1, _height(percent)).otherwise(-9)
+    )
     dealt = tall.groupBy("cluster", "height").agg(_blocks("n_shingles").alias("blocks"))
     placed = _written(
         tall.join(dealt, ["cluster", "height"])
@@ -461,6 +495,166 @@ def groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return out.select("doc_id", "n_shingles", "set_id", F.coalesce("component_id", "doc_id").alias("component_id"), "root")
 
 
+def _height(percent: int) -> Column:
+    """The step of a set's size: linked sets have the same or neighbouring ones."""
+    return F.floor(F.log(F.col("n_shingles")) / float(np.log(100 / percent) * (1 + 1e-9))).cast("int")
+
+
+def signature(tokens: np.ndarray) -> np.ndarray:
+    """How many tokens each of a power of two of buckets has, modulo 256: a byte for some 8 tokens.
+
+    The sums of two neighbours each are the signature of half as many buckets.
+    """
+    bits = min(max(int(np.ceil(np.log2(max(len(tokens), 1) / 8))), LEAST_BITS), MOST_BITS)
+    return np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint8)
+
+
+def close(one: np.ndarray, other: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``n`` and ``m`` tokens with these rows of signatures may be linked, each with each.
+
+    Never False for linked sets: a token that only one of two sets has changes one bucket by one.
+    """
+    apart = one[:, None, :] - other[None, :, :]
+    apart = np.minimum(apart, -apart).sum(2, dtype=np.int64)
+    return apart * (100 + percent) <= (100 - percent) * (n[:, None] + m[None, :])
+
+
+def _connected(side: np.ndarray, node: np.ndarray, n: np.ndarray, signatures: list[bytes], percent: int) -> np.ndarray:
+    """A forest of the nodes of side 0, or of both sides where there are two, whose sets may be linked."""
+    order = np.argsort(n, kind="stable")
+    side, node, n = side[order], node[order], n[order].astype(np.int64)
+    signatures = [signatures[k] for k in order]
+    width = np.array([len(s) for s in signatures])
+    held, total = [np.empty((0, 2), np.uint64)], 0
+
+    def compare(a: np.ndarray, b: np.ndarray, rows: np.ndarray, same: bool) -> None:
+        nonlocal held, total
+        step = max(1, BYTES_TOGETHER // max(1, len(b) * rows.shape[1]))
+        for at in range(0, len(a), step):
+            some = a[at : at + step]
+            low = np.searchsorted(100 * n[b], percent * n[some[0]], "left")
+            high = np.searchsorted(percent * n[b], 100 * n[some[-1]], "right")
+            near = b[low:high]
+            may = close(rows[some], rows[near], n[some], n[near], percent)
+            if same:
+                may &= some[:, None] < near[None, :]
+            i, j = np.nonzero(may)
+            held.append(np.stack([node[some[i]], node[near[j]]], 1))
+            total += len(i)
+            if total > PAIRS_HELD:
+                held = [_forest(np.concatenate(held))]
+                total = 0
+
+    for w in np.unique(width).tolist():
+        own, wider = np.flatnonzero(width == w), np.flatnonzero((width > w) & (percent * width <= 200 * w))
+        rows = np.zeros((len(n), w), np.uint8)
+        for k in np.unique(width[np.append(own, wider)]).tolist():
+            of = np.flatnonzero(width == k)
+            rows[of] = np.frombuffer(b"".join(signatures[x] for x in of), np.uint8).reshape(-1, w, k // w).sum(2, dtype=np.uint8)
+        if side.max() == 0:
+            compare(own, np.append(own, wider), rows, True)  # ascending: wider ones are larger
+        else:
+            compare(own[side[own] == 0], np.append(own, wider)[side[np.append(own, wider)] == 1], rows, False)
+            compare(own[side[own] == 1], wider[side[wider] == 0], rows, False)
+    return _forest(np.concatenate(held))
+
+
+def _signed(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """``doc_id, set_id, signature`` of ``wanted (doc_id)``, once each; texts aren't shuffled."""
+    near = MaybeIn(wanted, "doc_id").split(docs.select("doc_id", "text"), "doc_id", True)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded(batches, "text"):
+            sets = [shingles(t.as_py(), n) for t in batch.column("text")]
+            own = [pa.array([f(s) for s in sets], pa.binary()) for f in (set_id, lambda s: signature(s).tobytes())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *own], ["doc_id", "set_id", "signature"])
+        forget_words()
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return near.mapInArrow(sign, f"doc_id {kind}, set_id binary, signature binary").dropDuplicates(["doc_id", "set_id"])
+
+
+def _height(percent: int) -> Column:
+    """The step of a set's size: linked sets have the same or neighbouring ones."""
+    return F.floor(F.log(F.col("n_shingles")) / float(np.log(100 / percent) * (1 + 1e-9))).cast("int")
+
+
+def _parted(docs: DataFrame, member: DataFrame, n: int, percent: int) -> DataFrame:
+    """``member (doc_id, n_shingles, set_id, node, cluster)``, clusters cut where no link can be.
+
+    The signatures of a cluster's sets are compared, of a large one's those of the same and
+    of neighbouring heights in bounded tiles.  Sets that may be linked stay together and
+    sets without a partner drop out.  Only the texts of what is left are shuffled, in as many
+    copies as a cluster has blocks: in clusters that chance or a passage has chained these
+    would grow with the square of the corpus.
+    """
+    member = _written(member, "clusters")
+    counted = member.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), _blocks("n_shingles").alias("all"))
+    crowd = _written(
+        member.join(counted.where("members > 1"), "cluster")
+        .withColumn("height", F.when(F.col("all") > 1, _height(percent)).otherwise(-9))
+        .drop("members", "all"), "crowd",
+    )
+    stacks = crowd.groupBy("cluster", "height").agg(F.ceil(F.count(F.lit(1)) / SIGNATURES).cast("int").alias("stacks"))
+    above = stacks.select("cluster", (F.col("height") - 1).alias("height"), F.col("stacks").alias("upper"))
+    below = stacks.select("cluster", (F.col("height") + 1).alias("height"), F.col("stacks").alias("lower"))
+    dealt = (
+        stacks.join(above, ["cluster", "height"], "left").join(below, ["cluster", "height"], "left")
+        .join(crowd, ["cluster", "height"]).join(_signed(docs, crowd.select("doc_id"), n), ["doc_id", "set_id"])
+        .withColumn("at", F.pmod(F.xxhash64("set_id", F.lit(2)), F.col("stacks")).cast("int"))
+    )
+
+    def numbers(count: str) -> Column:
+        return F.when(F.col(count) > 0, F.sequence(F.lit(0), F.col(count) - 1)).otherwise(F.array().cast("array<int>"))
+
+    def tile(low: Column, high: Column, left: Column, right: Column, side: Column) -> Column:
+        return F.struct(F.xxhash64(F.col("cluster"), low, high, left, right).alias("tile"), side.alias("side"))
+
+    at, own, zero, one = F.col("at"), F.col("height"), F.lit(0), F.lit(1)
+    tiles = dealt.select(
+        "node", "n_shingles", "signature", F.explode(F.concat(
+            F.transform(numbers("stacks"), lambda k: tile(own, own, F.least(k, at), F.greatest(k, at), F.when(k < at, one).otherwise(zero))),
+            F.transform(numbers("upper"), lambda k: tile(own, own + 1, at, k, zero)),
+            F.transform(numbers("lower"), lambda k: tile(own - 1, own, k, at, one)),
+        )).alias("_t"),
+    ).select("_t.*", "node", "n_shingles", "signature")
+    finer = components(_linkable(tiles, percent))
+    ends = finer.select(F.col("root").alias("node"), "root").distinct()
+    parts = crowd.join(finer.union(ends), "node").withColumn("cluster", F.xxhash64("cluster", "root"))
+    return _written(parts.drop("root", "height"), "parted")
+
+
+def _linkable(tiles: DataFrame, percent: int) -> DataFrame:
+    """Edges ``a, b`` that connect the nodes of each tile of ``tiles (tile, side, node, n_shingles, signature)`` that may be linked."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def edges(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        own = pa.Table.from_batches(rows)
+        side, node, n = (own.column(c).to_numpy() for c in ("side", "node", "n_shingles"))
+        found = _connected(side, node.view(np.uint64), n, own.column("signature").to_pylist(), percent).view("<i8")
+        return pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in (0, 1)], schema=schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            tile = batch.column("tile").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist(), len(tile)]
+            for a, b in zip(cuts, cuts[1:]):
+                if b > a:
+                    if held and tile[a] != last:
+                        yield edges(held)
+                        held = []
+                    last = tile[a]
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield edges(held)
+        held = []
+        release()
+
+    dealt = tiles.select("tile", "side", "node", "n_shingles", "signature").repartition("tile").sortWithinPartitions("tile")
+    return dealt.mapInArrow(work, "a long, b long")
+
+
 def _blocks(size: str) -> Column:
     return F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(size) / BLOCK_TOKENS)).cast("int")
 

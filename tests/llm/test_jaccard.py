@@ -252,3 +252,69 @@ def test_workers_forget_words(spark, rows):
             yield pa.RecordBatch.from_pydict({"n": [len(shingles._HASHES)]})
 
     assert {r["n"] for r in spark.range(64, numPartitions=16).mapInArrow(kept, "n long").collect()} == {0}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**32), st.integers(2, 40), st.booleans(), st.sampled_from([40, 80, 85]))
+def test_signatures_connect_all_linked_sets(seed, n, cross, percent):
+    r = np.random.default_rng(seed)
+    sets = []
+    for _ in range(n):
+        s = set(sets[r.integers(len(sets))].tolist()) if sets and r.random() < 0.7 else set(r.integers(0, 2**63, r.integers(1, 400)).tolist())
+        for _ in range(r.integers(0, 30)):
+            s.add(int(r.integers(2**63))) if r.random() < 0.5 or len(s) < 2 else s.pop()
+        sets.append(np.array(sorted(s), np.uint64))
+    side = np.arange(n) % 2 if cross else np.zeros(n, int)
+    edges = jaccard._connected(
+        side, np.arange(n, dtype=np.uint64), np.array([len(s) for s in sets]), [jaccard.signature(s).tobytes() for s in sets], percent
+    )
+    found = signature_tree.Groups(n)
+    for x, y in edges.astype(int).tolist():
+        found.join(x, y)
+    for x in range(n):
+        for y in range(x):
+            if (not cross or side[x] != side[y]) and signature_tree.linked(sets[x], sets[y], percent):
+                assert found.find(x) == found.find(y)
+
+
+def test_signatures_tell_unlike_sets_apart():
+    r = np.random.default_rng(0)
+    for n in (26, 100, 400, 5_000, 15_000):
+        a, b = (np.unique(r.integers(0, 2**64, n, dtype=np.uint64)) for _ in range(2))
+        one, other = jaccard.signature(a), jaccard.signature(b)
+        assert not jaccard.close(one[None], other[None], np.array([len(a)]), np.array([len(b)]), 80)[0, 0]
+        assert jaccard.close(one[None], one[None], np.array([len(a)]), np.array([len(a)]), 80)[0, 0]
+
+
+def test_packed_keys_keep_what_tells_them_apart():
+    r = np.random.default_rng(1)
+    parts, part = 7, 3
+    key = r.integers(0, 2**40, 100, dtype=np.uint64) * np.uint64(parts) + np.uint64(part)
+    node = r.integers(0, 2**64, 100, dtype=np.uint64) & np.uint64(jaccard._NODE) | np.where(r.random(100) < 0.5, jaccard._ONE, np.uint64(0))
+    seen = r.integers(0, 2**64, 100, dtype=np.uint64)
+    packed = jaccard._packed(key, node, seen, parts)
+    assert packed.shape == (100, 19)
+    got = jaccard._unpacked(part, packed.tobytes())
+    assert (got[:, 1] == node).all() and (got[:, 2] == seen).all()
+    assert (got[:, 0] == key // np.uint64(parts) + np.uint64(part << 40)).all()
+
+
+def short_texts(seed, n):
+    """Texts of a few sentences out of some that occur all over: hardly a token of theirs is rare."""
+    r = random.Random(seed)
+    sentences = [" ".join(f"s{k}w{j}" for j in range(8)) for k in range(40)]
+    return [(k, " ".join(r.sample(sentences, 4))) for k in range(n)]
+
+
+@pytest.mark.parametrize("signatures", [4_000, 20])
+def test_sets_chained_for_lack_of_rare_tokens_part(spark, rows, monkeypatch, signatures):
+    monkeypatch.setattr(jaccard, "SIGNATURES", signatures)
+    monkeypatch.setattr(jaccard, "BLOCK", 30)
+    docs = short_texts(3, 250)
+    docs += [(1000 + k, text + " more") for k, text in docs[:40]]
+    shuffled, real = [], jaccard._gathered
+    monkeypatch.setattr(jaccard, "_gathered", lambda goes: shuffled.append(goes.count()) or real(goes))
+    df = rows("doc_id long, text string", *docs)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.groups(df, 4, 85).collect())
+    assert got == brute(docs, 4, 85)
+    assert sum(shuffled) <= 120  # 40 pairs, and few more
