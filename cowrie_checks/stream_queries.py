@@ -19,7 +19,6 @@ from cowrie_checks.queries import (
     bank_events,
     cts,
     eur,
-    insurance,
     liquidity_sql,
     payment_rows,
     query,
@@ -163,11 +162,11 @@ FIRST_OPERATIONS = """(SELECT * FROM v_insurance
     QUALIFY row_number() OVER (PARTITION BY operation_id, event_ts ORDER BY amount) = 1)"""
 
 
-def first_operations(spark: SparkSession, sf: str) -> DataFrame:
+def first_operations(operations: DataFrame) -> DataFrame:
     """One row per key and time, so that which duplicate arrives first does not matter; times as text."""
-    operations = view(spark, sf, "v_insurance").withColumn("timestamp", wire_text("event_ts"))
-    first = latest.latest_per_key(operations.withColumn("less", -F.col("amount")), ["operation_id", "timestamp"], "less")
-    return first.drop("less", "event_ts")
+    # by the time itself: its text, which says as much, needn't be shuffled
+    first = latest.latest_per_key(operations.withColumn("less", -F.col("amount")), ["operation_id", "event_ts"], "less")
+    return first.withColumn("timestamp", wire_text("event_ts")).drop("less", "event_ts")
 
 
 @query(
@@ -181,7 +180,7 @@ def first_operations(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark, sf):
     platform = Platform(spark, "j17i")
-    platform.raw_to_silver("insurance_operations", msg.to_messages(first_operations(spark, sf)), ("event_date",))
+    platform.raw_to_silver("insurance_operations", msg.to_messages(first_operations(view(spark, sf, "v_insurance"))), ("event_date",))
     return platform.table("insurance_operations").select(
         "operation_id", "timestamp", "customer_id", "country_code", "product_line", "operation_type", "claim_status",
         "processing_days", "amount", "currency", "amount_eur",
@@ -363,14 +362,18 @@ def _(spark, sf):
 )
 def _(spark, sf):
     platform = Platform(spark, "j14")
-    history = insurance(spark, sf).withColumns(
+    # joined once, for the history and for the stream
+    staged, operations = f"{platform.root}/operations", view(spark, sf, "v_insurance")
+    operations.write.parquet(staged)
+    operations = spark.read.schema(operations.schema).parquet(staged)
+    history = with_eur(operations, ["amount"]).withColumns(
         {"event_date": F.to_date("event_ts"), "customer_id": F.col("customer_id").cast("string")}
     )
     platform.lake.silver("insurance_operations").append(history)
     premiums.refresh(platform.lake, CLAIMS_TODAY)
     return platform.alerts(
         "fraud_claim_ratio",
-        msg.to_messages(first_operations(spark, sf)),
+        msg.to_messages(first_operations(operations)),
         "alert_type string, operation_id string, customer_id string, country_code string, "
         "claim_amount_eur double, annual_premium_eur double",
     )

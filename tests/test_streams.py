@@ -7,6 +7,7 @@ from conftest import as_set, day, ts
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from cowrie_checks.stream_queries import first_operations
 from cowrie.functions import messages as msg
 from cowrie.functions.money import with_eur
 from cowrie.model import DATASETS, FRAUD_TOPIC, REJECTED_TOPIC
@@ -434,3 +435,17 @@ def test_pieces_of_state_grow_with_the_topic(spark, channel):
     size = files.size(spark, folder)
     assert size > 0 and state_pieces(spark, folder) == cores
     assert state_pieces(spark, folder, size // (4 * cores)) >= 4 * cores
+
+
+def test_first_operations_are_found_by_time_and_move_without_its_text(rows):
+    df = rows(
+        "operation_id long, event_ts timestamp, amount double, product_line string",
+        (1, ts("2026-05-01 10:00:00"), 5.0, "a"), (1, ts("2026-05-01 10:00:00"), 3.0, "b"),
+        (1, ts("2026-05-01 10:00:00.000001"), 9.0, "c"), (2, None, 4.0, "d"), (2, None, 1.0, "e"),
+    )
+    first = first_operations(df)
+    assert as_set(first.select("operation_id", "timestamp", "amount", "product_line")) == {
+        (1, "2026-05-01 10:00:00.000000", 3.0, "b"), (1, "2026-05-01 10:00:00.000001", 9.0, "c"), (2, None, 1.0, "e"),
+    }
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_format" in plan.partition("Window")[0] and "date_format" not in plan.partition("Window")[2]
