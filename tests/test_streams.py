@@ -449,3 +449,10 @@ def test_first_operations_are_found_by_time_and_move_without_its_text(rows):
     }
     plan = first._jdf.queryExecution().optimizedPlan().toString()
     assert "date_format" in plan.partition("Window")[0] and "date_format" not in plan.partition("Window")[2]
+
+
+def test_idle_pieces_of_state_leave_room_in_their_common_bound(spark):
+    """Half of 500 MB by default: the last buffers of some 60 pieces fit in, of which all but a few are idle."""
+    text = "spark.sql.streaming.stateStore.rocksdb."
+    assert spark.conf.get(text + "boundedMemoryUsage") == "true"
+    assert 60 * int(spark.conf.get(text + "writeBufferSizeMB")) <= 250
